@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import bytes_dedup, substring_dedup
 
 QUERIES = {
+    "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
 }
 SQL = {
+    "op8_suffix_dedup": bytes_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
 }

@@ -46,8 +46,8 @@ def anchors(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             _, first, second = _streams(batch)
-            grams, valid = first.windows(k)
-            at = winnow(grams, valid, w)
+            grams = first.windows(k)
+            at = winnow(grams, first.whole(size), w)
             at = np.unique(at[at >= 0])
             doc = batch.column("doc").to_numpy()
             yield pa.RecordBatch.from_arrays(
@@ -117,8 +117,7 @@ def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             _, first, second = _streams(batch)
-            grams, valid = first.windows(k)
-            chosen = winnow(grams, valid, w)
+            chosen = winnow(first.windows(k), first.whole(size), w)
             lists = batch.column("wanted")
             values = lists.flatten().to_numpy()
             at = values // 2 + np.repeat(first.off[:-1], np.diff(lists.offsets.to_numpy()))

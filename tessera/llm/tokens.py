@@ -124,12 +124,16 @@ class Grams:
     def span(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         return mix((self.prefix[hi] - self.prefix[lo]) * self.inverse[lo])
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the k tokens from each position, and whether all of them are in one document."""
+    def whole(self, k: int) -> np.ndarray:
+        """Whether the k tokens from each position are in one document."""
+        return np.arange(self.n) + k <= self.end
+
+    def windows(self, k: int) -> np.ndarray:
+        """Hash of the k tokens from each position; meaningless where these aren't in one document."""
         out = np.zeros(self.n, dtype=np.uint64)
         if self.n >= k:
             out[: self.n - k + 1] = mix((self.prefix[k:] - self.prefix[:-k]) * self.inverse[: self.n - k + 1])
-        return out, np.arange(self.n) + k <= self.end
+        return out
 
     def context(self, at: np.ndarray, left: int, right: int) -> np.ndarray:
         """Hash of the tokens [at - left, at + right), cut at the document's ends, with the cuts."""
@@ -137,23 +141,19 @@ class Grams:
         return mix(self.span(lo, hi) + mix(((at - lo) << 20 | (hi - at)).astype(np.uint64)))
 
 
-def winnow(grams: np.ndarray, valid: np.ndarray, w: int) -> np.ndarray:
-    """For each position whose w grams are all valid, the position of the least of them (the last
-    of equals), else -1.  Equal windows choose the same offset, wherever they stand."""
+def winnow(grams: np.ndarray, whole: np.ndarray, w: int) -> np.ndarray:
+    """For each position that begins a whole window (w grams of one document), the position of the
+    least of these grams (the last of equals), else -1.  Equal windows choose the same offset."""
     n = len(grams)
+    out = np.full(n, -1)
     if n < w:
-        return np.full(n, -1)
-    bits = max(1, int(n).bit_length())
-    low = np.uint64((1 << bits) - 1)
-    key = (grams & ~low) | (low - np.arange(n, dtype=np.uint64))
-    step, span = 1, key
+        return out
+    low = np.uint64((1 << max(1, int(n).bit_length())) - 1)
+    span = (grams & ~low) | (low - np.arange(n, dtype=np.uint64))
+    step = 1
     while step * 2 <= w:
         span = np.minimum(span[: len(span) - step], span[step:])
         step *= 2
     span = np.minimum(span[: n - w + 1], span[w - step : w - step + n - w + 1])
-    out = np.full(n, -1)
-    whole = valid[w - 1 :]  # validity only falls at a document's end, so the last gram decides
-    if len(whole):
-        inside = valid[: n - w + 1] & whole
-        out[: n - w + 1] = np.where(inside, (low - (span & low)).astype(np.int64), -1)
+    out[: n - w + 1] = np.where(whole[: n - w + 1], (low - (span & low)).astype(np.int64), -1)
     return out

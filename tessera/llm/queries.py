@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, substring_dedup
+from . import bytes_dedup, decontamination, substring_dedup
 
 QUERIES = {
+    "op7_decontamination": decontamination.op7_decontamination,
     "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
 }
 SQL = {
+    "op7_decontamination": decontamination.SQL,
     "op8_suffix_dedup": bytes_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
 }

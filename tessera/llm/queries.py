@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, substring_dedup
+from . import bytes_dedup, decontamination, line_dedup, substring_dedup
 
 QUERIES = {
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
 }
 SQL = {
+    "op9_line_dedup": line_dedup.SQL,
     "op7_decontamination": decontamination.SQL,
     "op8_suffix_dedup": bytes_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,

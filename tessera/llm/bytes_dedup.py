@@ -36,7 +36,9 @@ from .tokens import Grams, byte_values, flat, steps, winnow
 #: Contexts of one anchor that may share a suffix array; those of a more frequent one go by string.
 MOST_CONTEXTS = 2000
 #: Bytes of one suffix array.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 19
+#: Bytes of text that one step holds; every byte is a token here, so steps are shorter than for words.
+STEP = 1 << 20
 
 PACKED = "shard int, h binary, c binary, doc binary, at binary"
 FOUND = "doc long, h long, kind int, ats array<int>"
@@ -67,7 +69,7 @@ def _anchors(size: int, shards: int):
     w = size - k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             data, offsets = flat(batch.column("text"))
             grams = Grams(byte_values(0)[data], offsets)
             h = grams.windows(k)
@@ -144,7 +146,7 @@ def _pieces(size: int):
     w = size - k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             data, offsets = flat(batch.column("text"))
             lists = batch.column("wanted")
             fields = lists.flatten()
@@ -257,7 +259,7 @@ def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", te
     """
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    shards = shuffles(spark)
+    shards = 4 * shuffles(spark)  # a shard is sorted in memory, so it is smaller than a shuffle partition
     packed = docs.select("doc", "text").mapInArrow(_anchors(size, shards), PACKED)
     found = saved(packed.repartition(shards, "shard").mapInArrow(_shard, FOUND), "found")
     wanted = found.where("kind > 0").groupBy("doc").agg(F.collect_list(F.struct("h", "kind", "ats")).alias("wanted"))
@@ -268,7 +270,7 @@ def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", te
     marks = contexts.unionByName(strings).groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("marks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             data, offsets = flat(batch.column("text"))
             lists = batch.column("marks")
             spans = lists.flatten().to_numpy()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Used only where the session names no shared folder, as in tests on one machine.
-LOCAL_CHECKPOINTS = "file:/tmp/checkpoints"
+LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

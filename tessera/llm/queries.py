@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, line_dedup, substring_dedup
+from . import bytes_dedup, decontamination, jaccard_join, line_dedup, substring_dedup, vector_join
 
 QUERIES = {
+    "op1_vector_join": vector_join.op1_vector_join,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
 }
 SQL = {
+    "op1_vector_join": vector_join.SQL,
+    "op4_jaccard_join": jaccard_join.SQL,
     "op9_line_dedup": line_dedup.SQL,
     "op7_decontamination": decontamination.SQL,
     "op8_suffix_dedup": bytes_dedup.SQL,

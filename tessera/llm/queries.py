@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, line_dedup, substring_dedup, vector_join
+from . import bytes_dedup, decontamination, jaccard_join, line_dedup, substring_dedup, vector_join, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
     "op1_vector_join": vector_join.op1_vector_join,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
 }
 SQL = {
+    "op3_warc": warc.SQL,
     "op1_vector_join": vector_join.SQL,
     "op4_jaccard_join": jaccard_join.SQL,
     "op9_line_dedup": line_dedup.SQL,

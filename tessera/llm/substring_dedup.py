@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import key, saved, scratch, shuffles, table
@@ -39,7 +40,11 @@ def _streams(batch: pa.RecordBatch) -> tuple[Words, Grams, Grams]:
 
 
 def anchors(docs: DataFrame, size: int) -> DataFrame:
-    """(h, c, doc, at) for each anchor of documents (doc, text): gram hash, context hash, word number."""
+    """Anchors of documents (doc, text), equal ones of a step of text put together.
+
+    (h, c, n, doc, at): gram hash, context hash, how often in this step, and the first place.  What
+    repeats within the step is marked at once: rows with n = 0 are spans of words from `at` to `c`.
+    """
     k = size - size // 2
     w = size - k + 1
 
@@ -49,17 +54,36 @@ def anchors(docs: DataFrame, size: int) -> DataFrame:
             grams = first.windows(k)
             at = winnow(grams, first.whole(size), w)
             at = np.unique(at[at >= 0])
-            doc = batch.column("doc").to_numpy()
+            h, c = grams[at], second.context(at, w - 1, k + w - 1)
+            doc = batch.column("doc").to_numpy()[first.row[at]]
+            at = at - first.begin[at]
+            order = np.lexsort((at, doc, c, h))
+            h, c, doc, at = h[order], c[order], doc[order], at[order]
+            new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.append(new, len(h)))
+            again = np.repeat(n > 1, n)
+            by = np.lexsort((at[again], doc[again]))
+            d, lo = doc[again][by], np.maximum(at[again][by] - (w - 1), 0)
+            hi = at[again][by] + size
+            cut = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (lo[1:] > hi[:-1])))) if len(d) else np.zeros(0, np.int64)
+            last = np.append(cut[1:], len(d))[: len(cut)] - 1
+            d, lo, hi = d[cut], lo[cut], hi[last]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (grams[at].view(np.int64), second.context(at, w - 1, k + w - 1).view(np.int64), doc[first.row[at]], (at - first.begin[at]).astype(np.int32))],
-                names=["h", "c", "doc", "at"],
+                [
+                    pa.array(np.concatenate((h[new].view(np.int64), d))),
+                    pa.array(np.concatenate((c[new].view(np.int64), hi))),
+                    pa.array(np.concatenate((n, np.zeros(len(d), np.int64))).astype(np.int32)),
+                    pa.array(np.concatenate((doc[new], d))),
+                    pa.array(np.concatenate((at[new], lo)).astype(np.int32)),
+                ],
+                names=["h", "c", "n", "doc", "at"],
             )
 
-    return docs.select("doc", "text").mapInArrow(run, "h long, c long, doc long, at int")
+    return docs.select("doc", "text").mapInArrow(run, "h long, c long, n int, doc long, at int")
 
 
 class FingerprintIndex:
-    """Immutable sorted runs of anchors in the shared folder, merged by bucket."""
+    """Immutable runs of anchors in the shared folder, bucketed and sorted by key (h, c)."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
         self.spark, self.fanout, self.buckets = spark, fanout, buckets or shuffles(spark)
@@ -67,7 +91,8 @@ class FingerprintIndex:
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"run_{uuid.uuid4().hex}", scratch(self.spark, "run")
-        rows.write.bucketBy(self.buckets, "h").sortBy("h", "c").option("path", path).saveAsTable(name)
+        rows = rows.repartition(self.buckets, "h", "c")
+        rows.write.bucketBy(self.buckets, "h", "c").sortBy("h", "c").option("compression", "zstd").option("path", path).saveAsTable(name)
         return name, path
 
     def _drop(self, run: tuple[str, str]) -> None:
@@ -76,35 +101,49 @@ class FingerprintIndex:
         where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
+    def tables(self) -> list[DataFrame]:
+        return [self.spark.table(name) for name, _ in self.runs]
+
     def rows(self) -> DataFrame:
-        out = self.spark.table(self.runs[0][0])
-        for name, _ in self.runs[1:]:
-            out = out.unionByName(self.spark.table(name))
-        return out
+        first, *others = self.tables()
+        for other in others:
+            first = first.unionByName(other)
+        return first
 
     def ingest(self, fingerprints: DataFrame) -> DataFrame:
-        """Add a batch as a run; return the keys (h, c) that occur in it and repeat with it."""
-        older = self.rows() if self.runs else None
-        self.runs.append(self._write(fingerprints.repartition(self.buckets, "h")))
-        new = self.spark.table(self.runs[-1][0]).groupBy("h", "c").agg(F.count("*").alias("n"))
-        if older is None:
-            found = new.where("n > 1").select("h", "c")
-        else:
-            known = older.groupBy("h", "c").agg(F.count("*").alias("m"))
-            found = new.join(known, ["h", "c"], "left").where("n > 1 or m is not null").select("h", "c")
-        return found
-
-    def compact(self, force: bool = False) -> None:
+        """Add a batch as a run and merge-join it with the runs before it, bucket by bucket.
+        Returns the keys (h, c) of the batch that occur more than once in it or before it."""
+        older = self.tables()
+        self.runs.append(self._write(fingerprints))
+        found = self.tables()[-1].where("n > 0").groupBy("h", "c").agg(F.sum("n").alias("n"))
+        for i, run in enumerate(older):
+            known = run.where("n > 0").select("h", "c").distinct().withColumn(f"in_{i}", F.lit(1))
+            found = found.join(known, ["h", "c"], "left")
+        return found.where(" or ".join(["n > 1", *(f"in_{i} = 1" for i in range(len(older)))])).select("h", "c")
+
+    def compact(self) -> None:
         """Merge the runs into one if they are more than the fan-out."""
-        if len(self.runs) > (1 if force else self.fanout):
-            merged = self._write(self.rows().repartition(self.buckets, "h"))
+        if len(self.runs) > self.fanout:
+            merged = self._write(self.rows())
             for run in self.runs:
                 self._drop(run)
             self.runs = [merged]
 
-    def keys(self) -> DataFrame:
-        """(h, c, n, doc, at): each key's occurrences and the first of them."""
-        return self.rows().groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first")).select("h", "c", "n", "first.doc", "first.at")
+    def occurrences(self, keys: DataFrame) -> DataFrame:
+        """(doc, at) of the index rows with these keys, joined run by run without moving the runs."""
+        keys = keys.repartition(self.buckets, "h", "c").dropDuplicates(["h", "c"])
+        found = [run.where("n = 1").join(keys, ["h", "c"], "left_semi").select("doc", "at") for run in self.tables()]
+        out = found[0]
+        for other in found[1:]:
+            out = out.unionByName(other)
+        return out
+
+    def mixed(self) -> DataFrame:
+        """(doc, at, once) of the first place of each key whose anchor has other contexts as well."""
+        own = W.partitionBy("h")
+        rows = self.rows().where("n > 0").withColumn("least", F.min("c").over(own)).withColumn("most", F.max("c").over(own)).where("least <> most")
+        keys = rows.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+        return keys.select("first.doc", "first.at", (F.col("n") == 1).cast("int").alias("once"))
 
 
 def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
@@ -153,12 +192,11 @@ def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id"
         keys = index.ingest(anchors(part, size))
         found = keys if found is None else found.unionByName(keys)
         index.compact()
-    w = size // 2 + 1
-    repeated = found.distinct() if batches > 1 else found
-    inside = index.rows().join(repeated, ["h", "c"], "left_semi").select("doc", (F.col("at") - (w - 1)).alias("lo"), (F.col("at") + size).alias("hi"))
-    keys = index.keys()
-    several = keys.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1").select("h")
-    edges = keys.join(several, "h", "left_semi").select("doc", "at", (F.col("n") == 1).cast("int").alias("once"))
+    reach = size // 2
+    inside = index.occurrences(found).select("doc", (F.col("at") - reach).alias("lo"), (F.col("at") + size).alias("hi"))
+    local = index.rows().where("n = 0").select("doc", F.col("at").alias("lo"), F.col("c").cast("int").alias("hi"))
+    inside = inside.unionByName(local)
+    edges = index.mixed()
     marks = inside.unionByName(_window_marks(docs, edges, size))
     marks = marks.groupBy("doc").agg(F.collect_list(F.shiftleft(F.greatest("lo", F.lit(0)).cast("long"), 32) + F.col("hi")).alias("marks"))
 

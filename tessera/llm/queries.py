@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, line_dedup, substring_dedup, vector_join, warc
+from . import bytes_dedup, decontamination, jaccard_join, line_dedup, substring_dedup, toxicity, vector_join, warc
 
 QUERIES = {
+    "op6_toxicity": toxicity.op6_toxicity,
     "op3_warc": warc.op3_warc,
     "op1_vector_join": vector_join.op1_vector_join,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,

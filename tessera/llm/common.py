@@ -37,6 +37,11 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(rows: DataFrame, most: int = 200_000) -> DataFrame:
+    """Rows marked to be sent to every task if they are counted to be at most so many, else as they are."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -108,7 +108,8 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = 13, k: int = 5, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most_keys: int = MOST_KEYS) -> DataFrame:
     """Words of documents that lie inside a window of a benchmark item, and which items.
 
-    Returns (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items): a document is
+    Returns (doc_id, doc, n_words, n_hit, n_items, items_sha256, contaminated, items), `doc` being the
+    key that stands for doc_id (see common.key): a document is
     contaminated if it has hit words and these are at least one in `share` of its words.
     """
     spark = documents.sparkSession
@@ -131,13 +132,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = 13, k:
     out = docs.select("doc_id", "doc").join(counts, "doc").join(hits, "doc", "left")
     n_hit, found = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"), F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
+        "doc_id", "doc", "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"), F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), found.alias("items"),
     )
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "doc")
 
 
 SQL = r"""

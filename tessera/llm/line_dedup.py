@@ -17,10 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import key, saved, table
-
-#: Lines that share keys are sent to every task if they are at most so many, else shuffled.
-MOST_BROADCAST = 200_000
+from .common import key, saved, small, table
 
 
 def _segment(i: int, parts: int, length: Column) -> tuple[Column, Column]:
@@ -51,11 +48,11 @@ def _keys(line: Column, max_edits: int) -> tuple[list[Column], list[Column]]:
 def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the lines that repeat or nearly repeat an earlier line.
 
-    Returns (doc_id, doc, text, n_lines, n_removed): `text` is the kept lines joined by line feeds,
-    `doc` the key that stands for doc_id (see common.key).
+    Returns the columns of documents, `text` being the kept lines joined by line feeds, and n_lines
+    and n_removed (which replace columns with these names).
     """
-    spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    others = [c for c in documents.columns if c not in (text_col, "n_lines", "n_removed")]
+    docs = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     lines = docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.char_length("line") >= min_chars)
     lines = lines.select("doc", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"))
     index, probes = _keys(F.col("line"), max_edits)
@@ -68,9 +65,7 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key)).withColumn("indexed", F.max("own").over(by_key))
     shared = saved(shared.where("low <> high and indexed").select("k", "h1", "own").distinct(), "keys")
 
-    wanted = shared.select("h1").distinct()
-    few = wanted.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    texts = lines.join(F.broadcast(wanted) if few else wanted, "h1", "left_semi")
+    texts = lines.join(small(shared.select("h1").distinct()), "h1", "left_semi")
     texts = texts.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos", "line")).alias("t")).select("h1", "h2", F.struct("t.doc", "t.pos").alias("place"), "t.line")
     texts = saved(texts, "lines")
     sides = shared.join(texts, "h1")
@@ -86,15 +81,16 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     removed = removed.groupBy("doc").agg(F.collect_set("pos").alias("removed"))
     joined = docs.join(removed, "doc", "left").withColumn("lines", F.split("text", "\n", -1))
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("removed", i)))
+    names = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text_col: F.array_join(kept, "\n")}
     return joined.select(
-        "doc_id", "doc", F.array_join(kept, "\n").alias("text"),
+        *(names[c].alias(c) for c in documents.columns if c in names),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many of them go, and a digest of the kept text."""
-    out = line_dedup(table(spark, sf_dir, "documents"))
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, substring_dedup, toxicity, vector_join, warc
+from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, substring_dedup, toxicity, vector_join, warc
 
 QUERIES = {
+    "op5_pieces": pieces.op5_pieces,
     "op10_language_id": language_id.op10_language_id,
     "op6_toxicity": toxicity.op6_toxicity,
     "op3_warc": warc.op3_warc,

@@ -98,47 +98,51 @@ def _anchors(size: int, shards: int):
     return run
 
 
-def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shard(most_contexts: int):
     """Kinds of what a shard finds: 0 the context is a copy, 1 its bytes are wanted, 2 wanted string by string."""
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    done_doc, done_at = [], []
-    for batch in batches:
-        for h, c, doc, at in zip(*(batch.column(x) for x in ("h", "c", "doc", "at")), strict=True):
-            doc, at = np.frombuffer(doc.as_py(), np.int64), np.frombuffer(at.as_py(), np.int32)
-            if len(h.as_py()):
-                for out, x in zip(parts, (np.frombuffer(h.as_py(), np.uint64), np.frombuffer(c.as_py(), np.uint64), doc, at), strict=True):
-                    out.append(x)
-            else:
-                done_doc.append(doc)
-                done_at.append(at)
-
-    def rows(doc: np.ndarray, h: np.ndarray, kind: int, at: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((doc, h))
-        both = np.cumsum(np.concatenate(([0], (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])))) if len(doc) else doc
-        _, ats = _lists(both, at[order], pa.int32())
-        new = ats.offsets.to_numpy()[:-1]
-        return pa.RecordBatch.from_arrays([pa.array(doc[order][new]), pa.array(h[order][new].view(np.int64)), pa.array(np.full(len(new), kind, np.int32)), ats], names=["doc", "h", "kind", "ats"])
-
-    if done_doc:
-        doc = np.concatenate(done_doc)
-        yield rows(doc, np.zeros(len(doc), np.uint64), 0, np.concatenate(done_at))
-    if not parts[0]:
-        return
-    h, c, doc, at = (np.concatenate(x) for x in parts)
-    parts.clear()
-    order, number, least = _least((h, c), doc)
-    h, doc, at = h[order], doc[order], at[order]
-    first = doc == least[number]
-    if not first.all():
-        yield rows(doc[~first], np.zeros(int((~first).sum()), np.uint64), 0, at[~first])
-    new = np.concatenate(([True], h[1:] != h[:-1]))
-    group = np.cumsum(new) - 1
-    contexts = np.bincount(group[np.concatenate(([True], number[1:] != number[:-1]))])
-    low, high = np.minimum.reduceat(doc, np.flatnonzero(new)), np.maximum.reduceat(np.where(first, doc, np.iinfo(np.int64).min), np.flatnonzero(new))
-    wanted = (contexts > 1) & (low < high)
-    for kind, some in ((1, wanted & (contexts <= MOST_CONTEXTS)), (2, wanted & (contexts > MOST_CONTEXTS))):
-        if (pick := first & some[group]).any():
-            yield rows(doc[pick], h[pick], kind, at[pick])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        done_doc, done_at = [], []
+        for batch in batches:
+            for h, c, doc, at in zip(*(batch.column(x) for x in ("h", "c", "doc", "at")), strict=True):
+                doc, at = np.frombuffer(doc.as_py(), np.int64), np.frombuffer(at.as_py(), np.int32)
+                if len(h.as_py()):
+                    for out, x in zip(parts, (np.frombuffer(h.as_py(), np.uint64), np.frombuffer(c.as_py(), np.uint64), doc, at), strict=True):
+                        out.append(x)
+                else:
+                    done_doc.append(doc)
+                    done_at.append(at)
+
+        def rows(doc: np.ndarray, h: np.ndarray, kind: int, at: np.ndarray) -> pa.RecordBatch:
+            order = np.lexsort((doc, h))
+            both = np.cumsum(np.concatenate(([0], (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])))) if len(doc) else doc
+            _, ats = _lists(both, at[order], pa.int32())
+            new = ats.offsets.to_numpy()[:-1]
+            return pa.RecordBatch.from_arrays([pa.array(doc[order][new]), pa.array(h[order][new].view(np.int64)), pa.array(np.full(len(new), kind, np.int32)), ats], names=["doc", "h", "kind", "ats"])
+
+        if done_doc:
+            doc = np.concatenate(done_doc)
+            yield rows(doc, np.zeros(len(doc), np.uint64), 0, np.concatenate(done_at))
+        if not parts[0]:
+            return
+        h, c, doc, at = (np.concatenate(x) for x in parts)
+        parts.clear()
+        order, number, least = _least((h, c), doc)
+        h, doc, at = h[order], doc[order], at[order]
+        first = doc == least[number]
+        if not first.all():
+            yield rows(doc[~first], np.zeros(int((~first).sum()), np.uint64), 0, at[~first])
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+        group = np.cumsum(new) - 1
+        contexts = np.bincount(group[np.concatenate(([True], number[1:] != number[:-1]))])
+        low, high = np.minimum.reduceat(doc, np.flatnonzero(new)), np.maximum.reduceat(np.where(first, doc, np.iinfo(np.int64).min), np.flatnonzero(new))
+        wanted = (contexts > 1) & (low < high)
+        for kind, some in ((1, wanted & (contexts <= most_contexts)), (2, wanted & (contexts > most_contexts))):
+            if (pick := first & some[group]).any():
+                yield rows(doc[pick], h[pick], kind, at[pick])
+
+    return run
 
 
 def _pieces(size: int):
@@ -252,7 +256,7 @@ def _sorted_shard(size: int):
     return run
 
 
-def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text", most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """Remove each byte that a string of `size` bytes covers which also starts in a document with
     a smaller id.  Returns (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): `kept` is the
     remaining bytes, not always valid UTF-8.  Rows that repeat an id are the same document.
@@ -261,7 +265,7 @@ def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", te
     docs = documents.select(F.col(id_col).alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     shards = 4 * shuffles(spark)  # a shard is sorted in memory, so it is smaller than a shuffle partition
     packed = docs.select("doc", "text").mapInArrow(_anchors(size, shards), PACKED)
-    found = saved(packed.repartition(shards, "shard").mapInArrow(_shard, FOUND), "found")
+    found = saved(packed.repartition(shards, "shard").mapInArrow(_shard(most_contexts), FOUND), "found")
     wanted = found.where("kind > 0").groupBy("doc").agg(F.collect_list(F.struct("h", "kind", "ats")).alias("wanted"))
     pieces = docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_pieces(size), PIECES)
     strings = pieces.repartition(shards, "shard").mapInArrow(_sorted_shard(size), MARKS)

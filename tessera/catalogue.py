@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bare_chromosome
@@ -324,3 +324,24 @@ def qc_retention(spark, sf_dir):
     l = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     counted = l.groupBy("l_linenumber").agg(F.countDistinct("l_suppkey").alias("s"), F.count("*").alias("b"), F.sum((F.col("l_quantity") >= 5).cast("long")).alias("a"))
     return counted.select(*popgen.retention(F.concat(F.lit("chr"), F.col("l_linenumber").cast("string")), F.col("s"), F.col("b"), F.col("a")))
+
+
+def _communities(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
+    rows = e.select(F.lit("C1").alias("parent"), F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("w"))
+    return communities.communities(rows, s.select(F.lit("C1").alias("parent"), F.col("id").alias("v")), method).select(F.col("v").alias("id"), F.col("c").alias("community"))
+
+
+@query()
+def louvain_membership(spark, sf_dir):
+    return _communities(spark, sf_dir, "louvain")
+
+
+@query()
+def leiden_membership(spark, sf_dir):
+    return _communities(spark, sf_dir, "leiden")
+
+
+@query()
+def recursive_levels(spark, sf_dir):
+    return communities.recursive(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir).select("id"), "louvain", 2, 1.0, MIN_SIZE)[0]

@@ -3,8 +3,9 @@
 Each word of a text has a language; hashed features of the word (itself, its first and last letters,
 letter n-grams, membership in learned lexicons) score languages, learned transitions score
 neighbours, and forward-backward gives each word's probabilities, so that text which changes its
-language midway is labelled piece by piece.  A document's language is the one with the largest mean
-probability over its words.
+language midway is labelled piece by piece.  A document's probabilities are a mix of the means over
+all words, its first and its last words, weighted as best explains the labels of training documents
+(a text with a long quotation is labelled by what surrounds it).
 
 The field is trained on a bounded sample of labelled documents.  As their labels are for whole
 documents, training sequences are stitched from pieces of different documents; that is where the
@@ -26,7 +27,9 @@ from .common import table
 from .tokens import BYTE_BASES, Words, byte_values, flat, mix, powers, separators, steps
 
 #: Training documents of each language, and training words, at most; the sequences' length.
-PER_LANGUAGE, TRAINING_WORDS, LENGTH = 400, 240_000, 60
+PER_LANGUAGE, TRAINING_WORDS, LENGTH = 250, 240_000, 60
+#: Words at either end, and the weights that the mix may give to the whole, the start and the end.
+EDGE, MIXES = 8, ((1, 0, 0), (2, 1, 1), (1, 1, 1), (1, 2, 2), (1, 3, 1), (1, 1, 3))
 #: Weight rows: 2**BITS hashed features; longest word starts, ends and inner n-grams.
 BITS, AFFIXES, NGRAMS = 17, (1, 2, 3), (2, 3)
 NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
@@ -41,6 +44,7 @@ class Field:
     start: np.ndarray
     lexicon: np.ndarray  # sorted word hashes
     lexicon_language: np.ndarray
+    mix: tuple[float, float, float] = MIXES[0]
 
 
 class Vocabulary:
@@ -118,9 +122,23 @@ def marginals(scores: np.ndarray, off: np.ndarray, transitions: np.ndarray, star
     return out
 
 
+def _documents(p: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Mean word probabilities of each text (none empty): over the whole, the start and the end."""
+    total = np.vstack((np.zeros(p.shape[1]), np.cumsum(p, axis=0)))
+    a, b = off[:-1], off[1:]
+    spans = ((a, b), (a, np.minimum(a + EDGE, b)), (np.maximum(b - EDGE, a), b))
+    return np.stack([(total[y] - total[x]) / (y - x)[:, None] for x, y in spans])
+
+
+def _mixed(means: np.ndarray, weights: tuple[float, float, float]) -> np.ndarray:
+    return np.tensordot(np.array(weights) / sum(weights), means, axes=1)
+
+
 def train(texts: pa.Array, label: np.ndarray, languages: list[str], rounds: int = 60, seed: int = 7) -> Field:
     """Maximum likelihood with a Gaussian prior, by Adam over all sequences."""
     vocabulary, k = Vocabulary(texts), len(languages)
+    if not k:
+        return Field([], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     off = vocabulary.words.off
     document = np.repeat(np.arange(len(texts)), np.diff(off))
     # lexicons: words that one language has most of, in at least three documents
@@ -179,6 +197,10 @@ def train(texts: pa.Array, label: np.ndarray, languages: list[str], rounds: int
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             q += 0.15 * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
+    p = marginals(_scores(word, feature, len(vocabulary.hashes), field.weights)[vocabulary.number], off, field.transitions, field.start)
+    means = _documents(p, np.append(off[filled], off[-1]))
+    at = np.arange(len(filled)), label[filled]
+    field.mix = max(MIXES, key=lambda w: np.log(_mixed(means, w)[at] + 1e-3).sum())
     return field
 
 
@@ -190,6 +212,10 @@ def held_out(doc_id: Column) -> Column:
 def fit(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Field:
     """Train on at most `per_language` documents of each language that aren't held out."""
     known = documents.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and _id is not null").where(~held_out(F.col("_id")))
+    # thin each language by hash to about twice what is wanted before ranking, so no group is large
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    near = F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1 << 30)) < F.ceil((1 << 30) * 2.0 * per_language / F.col("n"))
+    known = known.join(F.broadcast(counts), "lang").where(near)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id"))
     chosen = known.withColumn("rank", rank).where(F.col("rank") <= per_language).select("_id", F.col("lang").alias("_lang"))
     rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id").select("text", "_lang").toArrow()
@@ -210,8 +236,7 @@ def _predicted(field: Field):
                 filled = np.flatnonzero((np.diff(off) > 0) & letters)
                 if len(filled):
                     p = marginals(scores[vocabulary.number], off, field.transitions, field.start)
-                    total = np.vstack((np.zeros(p.shape[1]), np.cumsum(p, axis=0)))
-                    mean = (total[off[filled + 1]] - total[off[filled]]) / np.diff(off)[filled][:, None]
+                    mean = _mixed(_documents(p, off[np.append(np.flatnonzero(np.diff(off) > 0), n)]), field.mix)[letters[np.diff(off) > 0]]
                     best[filled], score[filled] = mean.argmax(axis=1), np.clip(mean.max(axis=1), 0, 1)
             names = np.array([*field.languages, "und"], dtype=object)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Decimal numbers as the text formats allow them: digit groups may be joined by underscores.
 DECIMAL = r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
@@ -30,13 +31,18 @@ def parse_count(text: Column) -> Column:
     return F.when(text.rlike(INTEGER), F.regexp_replace(text, "_", "").try_cast("bigint"))
 
 
-@F.pandas_udf("string")
-def format_general(values: pd.Series) -> pd.Series:
+@F.pandas_udf(StringType())
+def _general(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: format(v, ".10g"))
+
+
+def format_general(column: str | Column) -> Column:
     """Ten significant digits, no trailing zeros; null stays null."""
-    return values.map(lambda v: None if v is None or v is pd.NA else format(v, ".10g"), na_action=None)
+    column = F.col(column) if isinstance(column, str) else column
+    return F.when(column.isNotNull(), _general(column))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def format_percent(values: pd.Series) -> pd.Series:
     """Two decimals, ties to even as binary floating point has them."""
     return values.map(lambda v: None if pd.isna(v) else f"{v:.2f}")

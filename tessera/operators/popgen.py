@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tessera.functions.text import bare_chromosome
 from tessera.shared import cut
@@ -63,7 +64,7 @@ def variant_id(chrom: Column, pos: Column, ref: Column, alt: Column, longest: in
     return F.concat_ws(":", bare_chromosome(chrom), pos.cast("string"), F.left(ref, F.lit(longest)), F.left(alt, F.lit(longest)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def hwe_midp(hom_ref: pd.Series, het: pd.Series, hom_alt: pd.Series) -> pd.Series:
     """Exact test of Hardy-Weinberg proportions, with half the weight of the observed outcome."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.operators.graph import induced, modularity, sizes
 from tessera.shared import cut
 
-MOST_ROUNDS, MOST_PASSES, LEAST_GAIN = 12, 8, 1e-12
+MOST_ROUNDS, MOST_PASSES, LEAST_GAIN = 12, 8, 1e-9
 
 
 def _halves(edges: DataFrame) -> DataFrame:
@@ -28,34 +28,34 @@ def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool) -
     """Rounds of local moves.  edges (parent, a, b, w), loops allowed; state (parent, v, c, bound):
     vertex, community, and a community that its own must stay inside (within) or null."""
     both = cut(_halves(edges))
-    strength = cut(both.groupBy("parent", F.col("a").alias("v")).agg(F.sum(F.when(F.col("a") == F.col("b"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k")))
+    strength = both.groupBy("parent", F.col("a").alias("v")).agg(F.sum(F.when(F.col("a") == F.col("b"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k"))
     total = strength.groupBy("parent").agg(F.sum("k").alias("m2"))
+    state = state.join(strength, ["parent", "v"], "left").join(total, "parent", "left").select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"), "m2")
+    state = cut(state)
     links = both.where("a <> b")
     quiet = 0
     for turn in range(MOST_ROUNDS):
-        full = state.join(strength, ["parent", "v"], "left").select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"))
-        weight = full.groupBy("parent", "c").agg(F.sum("k").alias("tot"))
-        to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("bound").alias("bound_b"))
-        near = links.join(to, ["parent", "b"]).join(full.select("parent", F.col("v").alias("a"), "c", "bound", "k"), ["parent", "a"])
+        full = state.join(state.groupBy("parent", "c").agg(F.sum("k").alias("tot")), ["parent", "c"])
+        to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("tot").alias("tot_to"), F.col("bound").alias("bound_b"))
+        own = full.select("parent", F.col("v").alias("a"), "c", "bound", "k", "m2", "tot")
+        near = links.join(to, ["parent", "b"]).join(own, ["parent", "a"])
         if within:
             near = near.where("bound = bound_b")
-        near = near.groupBy("parent", F.col("a").alias("v"), "c", "k", "to").agg(F.sum("w").alias("w"))
-        near = near.join(weight.withColumnRenamed("c", "to"), ["parent", "to"]).join(total, "parent")
-        own = F.col("to") == F.col("c")
-        gain = F.col("w") - resolution * F.col("k") * (F.col("tot") - F.when(own, F.col("k")).otherwise(0.0)) / F.col("m2")
-        best = near.withColumn("gain", gain).groupBy("parent", "v", "c", "k").agg(
-            F.max(F.when(own, F.col("gain"))).alias("stay"), F.min(F.when(~own, F.struct((-F.round("gain", 9)).alias("loss"), F.col("to")))).alias("go"),
+        near = near.groupBy("parent", F.col("a").alias("v"), "c", "k", "m2", "tot", "to", "tot_to").agg(F.sum("w").alias("w"))
+        stays, pull = F.col("to") == F.col("c"), resolution * F.col("k") / F.col("m2")
+        gain = F.round(F.col("w") - pull * (F.col("tot_to") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
+        best = near.withColumn("gain", gain).groupBy("parent", "v", "c", "k", "m2", "tot").agg(
+            F.max(F.when(stays, F.col("gain"))).alias("stay"), F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to")))).alias("go"),
         )
-        alone = weight.select("parent", "c", "tot").join(total, "parent")
-        best = best.join(alone, ["parent", "c"]).withColumn("stay", F.coalesce("stay", -resolution * F.col("k") * (F.col("tot") - F.col("k")) / F.col("m2")))
-        wins = (-F.col("go.loss") > F.col("stay") + LEAST_GAIN + 1e-9) & (F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2)
+        stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
+        wins = (-F.col("go.loss") > stay + LEAST_GAIN) & (F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2)
         moves = best.where(wins).select("parent", "v", F.col("go.to").alias("target"))
-        state = cut(state.join(moves, ["parent", "v"], "left").select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", F.col("target").isNotNull().alias("moved")))
-        quiet = 0 if state.where("moved").limit(1).count() else quiet + 1
+        state = cut(state.join(moves, ["parent", "v"], "left").select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2", F.col("target").isNotNull().alias("moved")))
+        quiet = quiet + 1 if state.where("moved").isEmpty() else 0
         state = state.drop("moved")
         if quiet == 2:
             break
-    return state
+    return state.select("parent", "v", "c", "bound")
 
 
 def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:

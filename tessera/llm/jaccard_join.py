@@ -168,7 +168,8 @@ def jaccard_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recal
     bucket = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / threshold) + 1e-9).cast("long")
     candidates = signed.join(reps, "doc").join(candidates, "doc").select("doc", "component", "copies", "n", bucket.alias("bucket"))
     candidates = saved(candidates, "candidates")
-    texts = docs.select("doc", "text").join(candidates.select("doc", "component", "copies", "bucket"), "doc").dropDuplicates(["doc"])
+    # the candidates grow with the corpus: texts are shuffled to them at every size, never broadcast
+    texts = docs.select("doc", "text").join(candidates.select("doc", "component", "copies", "bucket").hint("merge"), "doc").dropDuplicates(["doc"])
     full = texts.mapInArrow(_sets(n), "doc long, component long, bucket long, copies long, items array<long>")
     # a pair's sizes differ by the threshold at most, so it lies in one size bucket or two neighbours
     sizes = candidates.groupBy("component", "bucket").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"), F.count("*").alias("docs"))

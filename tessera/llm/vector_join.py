@@ -139,8 +139,8 @@ def _join(axes: np.ndarray, threshold: float, reach: float):
 def _near_blocks(boxes: DataFrame, reach: float) -> DataFrame:
     """Pairs (a <= b) of blocks whose boxes are within reach, from the whole sequence downwards."""
     levels = [boxes.select("node", "parent", "low", "high")]
-    merged = lambda f, c: F.array(*(f(F.col(c)[i]) for i in range(width)))
     width = len(boxes.select("low").first()[0])
+    merged = lambda f, c: F.array(*(f(F.col(c)[i]) for i in range(width)))
     parts = shuffles(boxes.sparkSession)
     while True:
         below = levels[-1]
@@ -149,10 +149,7 @@ def _near_blocks(boxes: DataFrame, reach: float) -> DataFrame:
         if parts <= 1:
             break
         parts = math.ceil(parts / FANOUT)
-    top = levels.pop()
-    pairs = top.select(F.col("node").alias("a")).join(top.select(F.col("node").alias("b")), F.col("a") <= F.col("b"))
-    if top.count() > 1:
-        raise AssertionError("the top level is one interval")
+    pairs = levels.pop().select(F.col("node").alias("a"), F.col("node").alias("b"))  # one interval: the whole sequence
     for level in reversed(levels):
         x = level.select(F.col("parent").alias("a"), F.col("node").alias("x"), F.col("low").alias("xl"), F.col("high").alias("xh"))
         y = level.select(F.col("parent").alias("b"), F.col("node").alias("y"), F.col("low").alias("yl"), F.col("high").alias("yh"))

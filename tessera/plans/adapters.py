@@ -70,5 +70,5 @@ def dosages(spark: SparkSession, sf_dir: str) -> DataFrame:
     dosage = F.when((F.col("vec_id") + F.col("i")) % 50 != 0, (F.col("x") > -0.05).cast("int") + (F.col("x") > 0.05).cast("int"))
     return rows.select(
         F.col("vec_id").cast("string").alias("sample"), F.concat(F.lit("P"), F.col("label").cast("string")).alias("cluster"), F.concat(F.lit("chr"), (F.floor((F.col("i") - 1) / 16) + 1).cast("string")).alias("chrom"),
-        (F.col("i") * 10000).alias("pos"), F.concat(F.lit("v"), F.lpad(F.col("i").cast("string"), 3, "0")).alias("variant"), dosage.alias("dosage"),
+        (F.col("i") * 10000).cast("long").alias("pos"), F.concat(F.lit("v"), F.lpad(F.col("i").cast("string"), 3, "0")).alias("variant"), dosage.alias("dosage"),
     )

@@ -252,3 +252,18 @@ def test_parameters():
         with pytest.raises(ValueError):
             bad()
     assert config.parse_boolean("TRUE")
+
+
+def test_levels(spark):
+    """Two groups of ten split once; a stray vertex makes a residual too small and blocks the split."""
+    rows = [(f"{i:02d}", f"{j:02d}", 2.0 if i // 10 == j // 10 else 0.1) for i in range(20) for j in range(i + 1, 20)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    samples = lambda n: spark.createDataFrame([(f"{i:02d}",) for i in range(n)], "id string")
+    members, diagnostics, sizes = communities.recursive(edges, samples(20), "louvain", 1, 1.0, 4)
+    assert {r["label"] for r in members.where("level = 1").collect()} == {"C1.1", "C1.2"} and members.count() == 40
+    last = diagnostics.where("level = 1").first()
+    assert (last["number_of_clusters"], last["eligible"], last["split"], last["carried_forward"], last["stopping_reason"]) == (2, 1, 1, 0, "fixed_depth_completed")
+    assert last["modularity_gain"] > 0.3 and sizes.where("level = 1 and size = 10 and terminal_level").count() == 2
+    assert communities.wide(members, 1).columns == ["ID", "level_0", "level_1"]
+    labels = communities.refine(edges, samples(21).withColumn("label", F.lit("C1")), "louvain", 1.0, 4)
+    assert {r["label"] for r in labels[0].collect()} == {"C1"} and labels[1].first()["rejected"] == 1

@@ -28,7 +28,7 @@ from .decontamination import SEPARATORS
 from .tokens import BYTE_BASES, Words, byte_values, flat, mix, powers, separators, steps
 
 #: Labelled documents that lexicons and classifier are fitted to, at most.
-SAMPLE = 8000
+SAMPLE = 4000
 #: Features: a word's hash, and the hashes of its first bytes, in 2**BITS buckets.
 STARTS, BITS = (4, 5, 6), 22
 #: Lexicon voters: (kind of feature, parts).  Kind 0: words, then STARTS.
@@ -188,7 +188,7 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = np.unique(rows.astype(np.int64) << (BITS + 3) | kinds.astype(np.int64) << BITS | buckets)
         row = code >> (BITS + 3)
         values = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)), pa.array((code & ((1 << (BITS + 3)) - 1)).astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("text"), values], names=["toxic", "text", "codes"])
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("number"), values], names=["toxic", "number", "codes"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -202,13 +202,14 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = known.groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "_id")
     texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies count once
-    rows = texts.select("toxic", "text").mapInArrow(_sample_rows, "toxic int, text string, codes array<int>").toArrow()
+    texts = texts.select("toxic", "text", F.xxhash64("text").alias("number"))
+    rows = texts.mapInArrow(_sample_rows, "toxic int, number long, codes array<int>").toArrow()
     toxic = rows.column("toxic").to_numpy()
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return None
     lists = rows.column("codes").combine_chunks()
-    codes = lists.flatten().to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(toxic)), np.diff(lists.offsets.to_numpy()))
+    codes = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     model = Model(lexicons=_lexicons(row, codes >> BITS, codes & ((1 << BITS) - 1), toxic))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,19 +224,29 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     counts[counted["votes"].to_numpy()] = counted["n"].to_numpy()
     model.posterior = label_model(counts, VOTERS - PATTERNS, PATTERNS)
 
-    texts = rows.column("text").combine_chunks()
-    votes = np.concatenate([_votes(model, texts.slice(i, 500)) for i in range(0, len(texts), 500)])
-    values, at, n = np.unique(codes, return_inverse=True, return_counts=True)
-    use = (n >= max(3, len(toxic) / 500)) & (n <= max(0.2 * len(toxic), 3))
-    number = np.cumsum(use) - 1
-    keep = use[at]
-    column, values = number[at[keep]], values[use]
-    weights, _ = _regression(row[keep], column, len(toxic), len(values), model.posterior[votes], 1e-3)
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column("number"), pa.array(_votes(model, batch.column("text")))], names=["number", "votes"])
+
+    voted = dict(texts.select("number", "text").mapInArrow(vote, "number long, votes long").toPandas().itertuples(index=False))
+    votes = np.array([voted[i] for i in rows.column("number").to_pylist()])
+    values, n = np.unique(codes, return_counts=True)
+    values = values[(n >= max(3, len(toxic) / 500)) & (n <= max(0.2 * len(toxic), 3))].astype(np.int64)
+    if not len(values):
+        model.features, model.weights = values, np.zeros(0)
+        model.intercept = float(np.log((model.posterior[votes].mean() + 1e-6) / (1 - model.posterior[votes].mean() + 1e-6)))
+        return model
+    column = np.minimum(np.searchsorted(values, codes), len(values) - 1)
+    keep = values[column] == codes
+    column = column[keep]
+    row = row[keep].astype(np.int64)
+    weights, _ = _regression(row, column, len(toxic), len(values), model.posterior[votes], 1e-3)
     # the penalty that chose the features also shrank their weights: fit these again with a tenth of it
     number = np.cumsum(weights != 0) - 1
     chosen = (weights != 0)[column]
     model.features = values[weights != 0]
-    model.weights, model.intercept = _regression(row[keep][chosen], number[column[chosen]], len(toxic), len(model.features), model.posterior[votes], 1e-4)
+    model.weights, model.intercept = _regression(row[chosen], number[column[chosen]], len(toxic), len(model.features), model.posterior[votes], 1e-4)
     return model
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 TOKEN_BASE = 0xD6E8FEB86659FD93
 #: Bytes of text that one step holds as arrays; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -1,13 +1,15 @@
 """Toxicity by weak supervision.
 
-1. Voters.  Word and word-start lexicons are drawn from labelled training documents and dealt to
-   several lexicon voters; pattern voters look at shouting, marks and address.  Each votes 0 or 1.
+1. Voters.  Spark counts each word and word start over all labelled training documents, by label.
+   Lexicons are drawn from these counts and dealt to several lexicon voters; pattern voters look at
+   shouting, marks and address.  Each votes 0 or 1.
 2. Label model.  All documents vote; Spark counts each combination of votes (at most 2**voters), and
    expectation maximisation on these counts estimates the share of toxic documents, each voter's
    accuracy and, along a tree that links the voters most correlated within the classes, their
    correlations.  No label is used here.
-3. Classifier.  A sparse logistic regression on hashed words and word starts is fitted to the label
-   model's posteriors of a bounded sample of training documents and scores every whole text.
+3. Classifier.  A sparse logistic regression on hashed words, word starts and the lexicons' votes is
+   fitted to the label model's posteriors of a bounded sample of training documents and scores every
+   whole text.  By the votes, a lexicon word counts even if no document of the sample has it.
 
 Texts are lower-cased (A-Z); null and empty texts have no words and get the score of the intercept.
 Without labels of both classes nothing can be learned: every score is then 0.
@@ -23,18 +25,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import saved, small, table
 from .decontamination import SEPARATORS
 from .tokens import BYTE_BASES, Words, byte_values, flat, mix, powers, separators, steps
 
-#: Labelled documents that lexicons and classifier are fitted to, at most.
-SAMPLE = 4000
+#: Labelled documents that the classifier is fitted to, at most; lexicons are counted on all of them.
+SAMPLE = 8000
 #: Features: a word's hash, and the hashes of its first bytes, in 2**BITS buckets.
 STARTS, BITS = (4, 5, 6), 22
 #: Lexicon voters: (kind of feature, parts).  Kind 0: words, then STARTS.
 LEXICONS = ((0, 3), (1, 2), (2, 2), (3, 2))
 PATTERNS = 3
 VOTERS = sum(parts for _, parts in LEXICONS) + PATTERNS
+#: The kind of features that are lexicon votes; distinct features that a task counts before it merges them.
+VOTE, MERGE = 1 + len(STARTS), 1 << 20
 
 
 @dataclass
@@ -77,33 +81,68 @@ def _patterns(words: Words, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([share((raw >= 0x41) & (raw <= 0x5A)) > 0.3, share(raw == 0x21) > 0.01, (repeats[words.off[1:]] - repeats[words.off[:-1]]) > 0.2 * np.maximum(n, 1)], axis=1)
 
 
-def _votes(model: Model, column: pa.Array) -> np.ndarray:
-    """The combination of votes of each text, one bit for each voter."""
-    rows, kinds, buckets, words = _features(column)
+def _lexicon_votes(model: Model, rows: np.ndarray, kinds: np.ndarray, buckets: np.ndarray, size: int) -> np.ndarray:
+    """Whether each text has a feature of each lexicon."""
     votes = []
     for (kind, parts), lexicon in zip([(k, p) for k, n in LEXICONS for p in range(n)], model.lexicons, strict=True):
         own = kinds == kind
         at = np.minimum(np.searchsorted(lexicon, buckets[own]), max(len(lexicon) - 1, 0))
         hit = lexicon[at] == buckets[own] if len(lexicon) else np.zeros(int(own.sum()), bool)
-        votes.append(np.bincount(rows[own][hit], minlength=len(column)) > 0)
-    raw, offsets = flat(column)
-    votes = np.column_stack([*votes, _patterns(words, raw, offsets)])
+        votes.append(np.bincount(rows[own][hit], minlength=size) > 0)
+    return np.column_stack(votes)
+
+
+def _votes(model: Model, column: pa.Array) -> np.ndarray:
+    """The combination of votes of each text, one bit for each voter."""
+    rows, kinds, buckets, words = _features(column)
+    votes = np.column_stack([_lexicon_votes(model, rows, kinds, buckets, len(column)), _patterns(words, *flat(column))])
     return votes @ (1 << np.arange(votes.shape[1]))
 
 
-def _lexicons(row: np.ndarray, kind: np.ndarray, bucket: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
-    """Buckets of features of toxic documents, dealt by hash to the voters.
+def _coded(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code) of all features of texts, lexicon votes included; words may repeat."""
+    rows, kinds, buckets, _ = _features(column)
+    row, voter = np.nonzero(_lexicon_votes(model, rows, kinds, buckets, len(column)))
+    return np.concatenate((rows, row)), np.concatenate((kinds.astype(np.int64) << BITS | buckets, VOTE << BITS | voter))
+
+
+def _distinct(rows: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = np.unique(rows.astype(np.int64) << (BITS + 3) | codes)
+    return both >> (BITS + 3), both & ((1 << (BITS + 3)) - 1)
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(code, n, bad) summed up by code."""
+    codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return codes, *(np.bincount(at, weights=np.concatenate([p[i] for p in parts]), minlength=len(codes)) for i in (1, 2))
+
 
-    A feature counts if at least one in fifty toxic documents has it, and few others: less would
-    let in whatever words the copies of a single toxic document share."""
-    least = max(4.0, toxic.sum() / 50)
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts, and toxic texts, each feature is; a row of a text with n rows counts 1 / n."""
+    parts = []
+    for batch in steps(batches, "text"):
+        rows, kinds, buckets, _ = _features(batch.column("text"))
+        row, code = _distinct(rows, kinds.astype(np.int64) << BITS | buckets)
+        weight = 1 / batch.column("n").to_numpy()
+        parts.append(_merged([(code, weight[row], (weight * batch.column("toxic").to_numpy())[row])]))
+        if len(parts) > 1 and sum(len(p[0]) for p in parts[1:]) > max(MERGE, len(parts[0][0])):
+            parts = [_merged(parts)]
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(parts)], names=["code", "n", "bad"])
+
+
+def _least(toxic: int) -> float:
+    """Toxic documents that a lexicon's feature needs: one in fifty while there are few, as less would
+    let in whatever words near copies of one document share; ten are enough among any number."""
+    return max(4.0, min(toxic / 50, 10.0))
+
+
+def _lexicons(code: np.ndarray, strong: np.ndarray) -> list[np.ndarray]:
+    """Buckets of the strong features, dealt by hash to the voters."""
     out = []
     for k, parts in LEXICONS:
-        own = kind == k
-        values, at = np.unique(bucket[own], return_inverse=True)
-        n, bad = np.bincount(at), np.bincount(at, weights=toxic[row[own]])
-        strong = values[(bad >= least) & ((bad + 0.5) / (n + 1) >= 0.85)]
-        out += [strong[(mix(strong.astype(np.uint64)) % np.uint64(parts)).astype(int) == p] for p in range(parts)]
+        values = np.sort(code[strong & (code >> BITS == k)]) & ((1 << BITS) - 1)
+        out += [values[(mix(values.astype(np.uint64)) % np.uint64(parts)).astype(int) == p] for p in range(parts)]
     return out
 
 
@@ -182,15 +221,6 @@ def _regression(row: np.ndarray, column: np.ndarray, size: int, width: int, targ
     return w, b
 
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in steps(batches, "text"):
-        rows, kinds, buckets, _ = _features(batch.column("text"))
-        code = np.unique(rows.astype(np.int64) << (BITS + 3) | kinds.astype(np.int64) << BITS | buckets)
-        row = code >> (BITS + 3)
-        values = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)), pa.array((code & ((1 << (BITS + 3)) - 1)).astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("number"), values], names=["toxic", "number", "codes"])
-
-
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -199,18 +229,24 @@ def held_out(doc_id: Column) -> Column:
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model | None:
     """Learn from labels of documents that aren't held out; None if they don't have both classes."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("_id is not null and toxic is not null").where(~held_out(F.col("_id")))
-    known = known.groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "_id")
-    texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies count once
-    texts = texts.select("toxic", "text", F.xxhash64("text").alias("number"))
-    rows = texts.mapInArrow(_sample_rows, "toxic int, number long, codes array<int>").toArrow()
-    toxic = rows.column("toxic").to_numpy()
-    if len(toxic) == 0 or toxic.min() == toxic.max():
+    known = known.groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.reverse("text")).alias("h2"), "text")
+    # copies count once, by the one with the least id, which may have n rows
+    texts = rows.drop("text").join(known, "_id").groupBy("_id", "h1", "h2").agg(F.max("toxic").alias("toxic"), F.count("*").alias("n"))
+    texts = texts.groupBy("h1", "h2").agg(F.max("toxic").alias("toxic"), F.min(F.struct("_id", "n")).alias("first")).select("first._id", "h1", "h2", "toxic", "first.n")
+    texts = saved(texts, "labelled")
+    total, toxic = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if toxic in (0, total):
         return None
-    lists = rows.column("codes").combine_chunks()
-    codes = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
-    model = Model(lexicons=_lexicons(row, codes >> BITS, codes & ((1 << BITS) - 1), toxic))
+    # every text adds up to 1, so the sums are whole numbers but for rounding
+    counted = rows.join(small(texts), ["_id", "h1", "h2"]).select("text", "toxic", "n").mapInArrow(_tally, "code long, n double, bad double")
+    counted = counted.groupBy("code").agg(F.round(F.sum("n")).alias("n"), F.round(F.sum("bad")).alias("bad"))
+    strong = (F.col("bad") >= _least(toxic)) & ((F.col("bad") + 0.5) / (F.col("n") + 1) >= 0.85)
+    usual = F.col("n").between(max(3, total / 500), max(0.2 * total, 3))
+    counted = counted.select("code", strong.alias("strong"), usual.alias("usual")).where("strong or usual").toArrow()
+    code, strong = counted.column("code").to_numpy(), counted.column("strong").to_numpy()
+    model = Model(lexicons=_lexicons(code, strong))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << VOTERS, dtype=np.int64)
@@ -224,29 +260,35 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     counts[counted["votes"].to_numpy()] = counted["n"].to_numpy()
     model.posterior = label_model(counts, VOTERS - PATTERNS, PATTERNS)
 
+    values = np.concatenate((np.sort(code), VOTE << BITS | np.arange(VOTERS - PATTERNS)))
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("number"), pa.array(_votes(model, batch.column("text")))], names=["number", "votes"])
-
-    voted = dict(texts.select("number", "text").mapInArrow(vote, "number long, votes long").toPandas().itertuples(index=False))
-    votes = np.array([voted[i] for i in rows.column("number").to_pylist()])
-    values, n = np.unique(codes, return_counts=True)
-    values = values[(n >= max(3, len(toxic) / 500)) & (n <= max(0.2 * len(toxic), 3))].astype(np.int64)
+            rows, codes = _coded(model, batch.column("text"))
+            at = np.minimum(np.searchsorted(values, codes), len(values) - 1)
+            own = values[at] == codes
+            row, codes = _distinct(rows[own], codes[own])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)), pa.array(codes.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(_votes(model, batch.column("text"))), lists], names=["votes", "codes"])
+
+    sampled = F.broadcast(texts.orderBy(F.xxhash64("_id"), "_id", "h1", "h2").limit(sample))
+    drawn = rows.join(sampled, ["_id", "h1", "h2"]).dropDuplicates(["_id", "h1", "h2"]).select("text").mapInArrow(chosen_features, "votes long, codes array<int>").toArrow()
+    votes = drawn.column("votes").to_numpy()
+    lists = drawn.column("codes").combine_chunks()
+    codes = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(votes)), np.diff(lists.offsets.to_numpy()))
+    values, column = np.unique(codes, return_inverse=True)
+    values = values.astype(np.int64)
     if not len(values):
         model.features, model.weights = values, np.zeros(0)
         model.intercept = float(np.log((model.posterior[votes].mean() + 1e-6) / (1 - model.posterior[votes].mean() + 1e-6)))
         return model
-    column = np.minimum(np.searchsorted(values, codes), len(values) - 1)
-    keep = values[column] == codes
-    column = column[keep]
-    row = row[keep].astype(np.int64)
-    weights, _ = _regression(row, column, len(toxic), len(values), model.posterior[votes], 1e-3)
+    weights, _ = _regression(row, column, len(votes), len(values), model.posterior[votes], 1e-3)
     # the penalty that chose the features also shrank their weights: fit these again with a tenth of it
     number = np.cumsum(weights != 0) - 1
     chosen = (weights != 0)[column]
     model.features = values[weights != 0]
-    model.weights, model.intercept = _regression(row[chosen], number[column[chosen]], len(toxic), len(model.features), model.posterior[votes], 1e-4)
+    model.weights, model.intercept = _regression(row[chosen], number[column[chosen]], len(votes), len(model.features), model.posterior[votes], 1e-4)
     return model
 
 
@@ -257,8 +299,7 @@ def _scored(model: Model | None, name: str):
             if model is not None:
                 total = np.full(batch.num_rows, model.intercept)
                 if len(model.features):
-                    rows, kinds, buckets, _ = _features(batch.column("text"))
-                    code = kinds.astype(np.int64) << BITS | buckets
+                    rows, code = _coded(model, batch.column("text"))
                     at = np.minimum(np.searchsorted(model.features, code), len(model.features) - 1)
                     hit = model.features[at] == code
                     once = np.unique(rows[hit].astype(np.int64) * len(model.features) + at[hit])

@@ -37,6 +37,21 @@ def test_toxicity(corpus):
     assert kept.columns == docs.columns and kept.count() == out.where("predicted = 0").count()
 
 
+def test_rare_markers_of_toxic_documents(spark):
+    """A word of too few toxic documents to be in the sample is learned from all labelled ones."""
+    rng = random.Random(4)
+    words = [f"plain{chr(97 + i)}" for i in range(26)]
+    rows = []
+    for i in range(3000):
+        marker = "snotling" if i % 5 == 0 else "qwertzuk" if i % 150 == 1 else ""
+        rows.append((i, " ".join([*rng.choices(words, k=12), marker, str(i)]), int(marker != "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = toxicity.score(docs, toxicity.fit(docs, docs.select("doc_id", "toxic"), sample=100)).join(docs, "doc_id").toPandas()
+    rare = out[out.text.str.contains("qwertzuk")]
+    assert len(rare) == 20 and (rare.predicted == 1).all() and (out.predicted == out.toxic).mean() > 0.99
+    assert toxicity.SAMPLE == 8000 and language_id.PER_LANGUAGE == 400
+
+
 def test_labels_of_held_out_documents_change_nothing(corpus):
     docs, labels = corpus
     turned = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out(labels.doc_id), 1 - labels.toxic).otherwise(labels.toxic))

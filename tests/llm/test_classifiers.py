@@ -90,6 +90,17 @@ def test_language(corpus):
     assert out[1003]["lang_pred"] == "aa" and all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def test_long_text_behind_a_header(spark, corpus):
+    """Few words at the ends don't decide about a long text, whatever the training texts look like."""
+    docs, _ = corpus
+    field = language_id.fit(docs)
+    header, body = "schtag werk undt heitz brog falk werks undtn", "kalo miru tensa volo pira luma " * 1600
+    long = spark.createDataFrame([(1, f"{header} {body}"), (2, f"{header} {body} {header}")], "doc_id long, text string")
+    for extra in language_id.MIXES:
+        field.mix = extra
+        assert {r["lang_pred"] for r in language_id.predict(long, field).collect()} == {"aa"}
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in language_id.predict(docs, language_id.fit(docs)).collect()} == {"und"}

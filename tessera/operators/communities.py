@@ -3,19 +3,23 @@
 All parents of a level are worked on at once: every table carries the parent, and nothing of a graph
 is ever gathered in one task.  In a round, half of the vertices (dealt by hash and round) look at
 the weight that links them to each neighbouring community and move to the best one; ties go to the
-least label.  When no round moves a vertex, communities become vertices, until that changes nothing.
+least label.  A round counts only if it raises modularity, else the best move is made alone, so rounds
+end.  When no vertex is left that would move, communities become vertices, until that changes nothing.
+Leiden starts again from what it found, until that raises modularity no more.
 Moves depend on labels and hashes only, so results are the same on any cluster, without a seed.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.graph import induced, modularity, sizes
 from tessera.shared import cut
 
-MOST_ROUNDS, MOST_PASSES, LEAST_GAIN = 12, 8, 1e-9
+LEAST_GAIN = 1e-9
 
 
 def _halves(edges: DataFrame) -> DataFrame:
@@ -24,6 +28,18 @@ def _halves(edges: DataFrame) -> DataFrame:
     return edges.unionByName(turned)
 
 
+def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
+    return state.join(moves, ["parent", "v"], "left").select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2")
+
+
+def _quality(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
+    """(parent, quality, m2): modularity but for a constant factor and the loops, which no move changes."""
+    a, b = state.select("parent", F.col("v").alias("a"), "c"), state.select("parent", F.col("v").alias("b"), F.col("c").alias("d"))
+    inside = links.join(a, ["parent", "a"]).join(b, ["parent", "b"]).where("c = d").groupBy("parent").agg((F.sum("w") / 2).alias("inside"))
+    total = state.groupBy("parent", "c", "m2").agg(F.sum("k").alias("k")).groupBy("parent", "m2").agg(F.sum(F.col("k") * F.col("k")).alias("squares"))
+    return total.join(inside, "parent", "left").select("parent", (F.coalesce("inside", F.lit(0.0)) - resolution * F.col("squares") / (2 * F.col("m2"))).alias("quality"), "m2")
+
+
 def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool) -> DataFrame:
     """Rounds of local moves.  edges (parent, a, b, w), loops allowed; state (parent, v, c, bound):
     vertex, community, and a community that its own must stay inside (within) or null."""
@@ -33,8 +49,7 @@ def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool) -
     state = state.join(strength, ["parent", "v"], "left").join(total, "parent", "left").select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"), "m2")
     state = cut(state)
     links = both.where("a <> b")
-    quiet = 0
-    for turn in range(MOST_ROUNDS):
+    for turn in count():
         full = state.join(state.groupBy("parent", "c").agg(F.sum("k").alias("tot")), ["parent", "c"])
         to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("tot").alias("tot_to"), F.col("bound").alias("bound_b"))
         own = full.select("parent", F.col("v").alias("a"), "c", "bound", "k", "m2", "tot")
@@ -48,13 +63,17 @@ def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool) -
             F.max(F.when(stays, F.col("gain"))).alias("stay"), F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to")))).alias("go"),
         )
         stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
-        wins = (-F.col("go.loss") > stay + LEAST_GAIN) & (F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2)
-        moves = best.where(wins).select("parent", "v", F.col("go.to").alias("target"))
-        state = cut(state.join(moves, ["parent", "v"], "left").select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2", F.col("target").isNotNull().alias("moved")))
-        quiet = quiet + 1 if state.where("moved").isEmpty() else 0
-        state = state.drop("moved")
-        if quiet == 2:
+        wants = best.where(-F.col("go.loss") > stay + LEAST_GAIN * F.greatest("m2", F.lit(1.0)))
+        wants = cut(wants.select("parent", "v", F.col("go.to").alias("target"), (-F.col("go.loss") - stay).alias("rise")))
+        if wants.isEmpty():
             break
+        # half of them move together if that raises the quality, else the best one alone, which does
+        half = wants.where(F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2).select("parent", "v", "target")
+        trial = cut(_moved(state, half))
+        better = _quality(links, trial, resolution).withColumnRenamed("quality", "now").join(_quality(links, state, resolution).drop("m2"), "parent")
+        better = cut(better.where(F.col("now") > F.col("quality") + LEAST_GAIN * F.greatest("m2", F.lit(1.0))).select("parent"))
+        one = wants.groupBy("parent").agg(F.min(F.struct((-F.col("rise")).alias("loss"), "v", "target")).alias("m")).select("parent", "m.v", "m.target")
+        state = cut(_moved(state, half.join(better, "parent", "left_semi").unionByName(one.join(better, "parent", "left_anti"))))
     return state.select("parent", "v", "c", "bound")
 
 
@@ -70,11 +89,29 @@ def communities(edges: DataFrame, vertices: DataFrame, method: str = "leiden", r
     loops, vertices (parent, v).  Louvain has no resolution.  Isolated vertices stay alone."""
     if method == "louvain":
         resolution = 1.0
-    member = cut(vertices.select("parent", "v", F.col("v").alias("node")))  # vertex to node of the contracted graph
+    found = vertices.select("parent", "v", F.col("v").alias("c"))
+    while True:
+        before, found = found, cut(_hierarchy(edges, found, method, resolution))
+        if method == "louvain" or not _risen(edges, before, found, resolution):
+            return found
+
+
+def _risen(edges: DataFrame, before: DataFrame, after: DataFrame, resolution: float) -> bool:
+    links = _halves(edges.select("parent", "a", "b", "w"))
+    strength = links.groupBy("parent", F.col("a").alias("v")).agg(F.sum("w").alias("k"))
+    strength = cut(strength.join(strength.groupBy("parent").agg(F.sum("k").alias("m2")), "parent"))
+    old, new = (_quality(links, x.join(strength, ["parent", "v"]), resolution) for x in (before, after))
+    rise = new.withColumnRenamed("quality", "now").join(old.drop("m2"), "parent")
+    return not rise.where(F.col("now") > F.col("quality") + LEAST_GAIN * F.greatest("m2", F.lit(1.0))).isEmpty()
+
+
+def _hierarchy(edges: DataFrame, start: DataFrame, method: str, resolution: float) -> DataFrame:
+    """Moves and contractions from the communities start (parent, v, c), until a contraction changes nothing."""
+    member = cut(start.select("parent", "v", F.col("v").alias("node")))  # vertex to node of the contracted graph
     graph = edges.select("parent", "a", "b", "w")
-    nodes = vertices.select("parent", "v", F.col("v").alias("c"), F.lit(None).cast("string").alias("bound"))
+    nodes = start.withColumn("bound", F.lit(None).cast("string"))
     final = member.select("parent", "v", F.col("node").alias("c"))
-    for _ in range(MOST_PASSES):
+    while True:
         state = _move(graph, nodes, resolution, False)
         final = cut(member.join(state.select("parent", F.col("v").alias("node"), "c"), ["parent", "node"]).select("parent", "v", "c"))
         if method == "leiden":  # communities are rebuilt from single nodes by moves inside them

@@ -163,6 +163,24 @@ def test_planted_communities(spark, method):
     assert {found[f"{i:02d}"] for i in range(10)} == {"00"} and {found[f"{i:02d}"] for i in range(10, 20)} == {"10"} and found["20"] == "20"
 
 
+def test_moves_go_on_until_none_is_left(spark):
+    """A path on which one vertex after the other joins the community that came along it."""
+    n = 12
+    rows = [("C1", f"{i:02d}", f"{i + 1:02d}", 1.0 + (n - i) ** 2) for i in range(n)]
+    edges = spark.createDataFrame(rows, "parent string, a string, b string, w double")
+    nodes = spark.createDataFrame([("C1", f"{i:02d}", f"{i:02d}", None) for i in range(n + 1)], "parent string, v string, c string, bound string")
+    c = {r["v"]: r["c"] for r in communities._move(edges, nodes, 1.0, False).collect()}
+    k, total = dict.fromkeys(c, 0.0), {}
+    for _, a, b, w in rows:
+        k[a], k[b] = k[a] + w, k[b] + w
+    for v in c:
+        total[c[v]] = total.get(c[v], 0.0) + k[v]
+    m2 = sum(k.values())
+    gain = lambda v, to: sum(w for _, a, b, w in rows if v in (a, b) and c[b if v == a else a] == to) - k[v] * (total.get(to, 0.0) - (k[v] if c[v] == to else 0)) / m2
+    left = [v for v in c for _, a, b, _ in rows if v in (a, b) and gain(v, c[b if v == a else a]) > gain(v, c[v]) + 1e-4]
+    assert left == []
+
+
 def test_hardy_weinberg(spark):
     rows = spark.createDataFrame([(10, 20, 10), (0, 0, 0), (5, 0, 5), (100, 0, 0)], "a long, b long, c long")
     p = [r["p"] for r in rows.select(popgen.hwe_midp("a", "b", "c").alias("p")).collect()]

@@ -32,7 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; n_chars follows; a document that had text and keeps none goes with them."""
-    kept = line_dedup(docs).where("n_removed = 0 or text rlike '[^ \t\n]'")
+    kept = line_dedup(docs, short=True).where("n_removed = 0 or text rlike '[^ \t\n]'")
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -7,7 +7,8 @@ distinct line is indexed by its segments (with number and length), and probes th
 could be segments of a line of its length or up to max_edits shorter.  Keys that only one line has
 are dropped; lines that share a key are compared by the banded edit distance that is built in.
 
-Lines shorter than `min_chars` characters (blank ones included) are always kept.  A null text has
+Lines shorter than `min_chars` characters are kept, as in the SQL, or only compared for equality (`short`);
+blank ones are always kept.  A null text has
 no lines and stays null.  Equal lines are found by 128 bits of hash; near ones are compared as text.
 """
 
@@ -45,19 +46,22 @@ def _keys(line: Column, max_edits: int) -> tuple[list[Column], list[Column]]:
     return index, probes
 
 
-def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
     """Documents without the lines that repeat or nearly repeat an earlier line.
 
     Returns the columns of documents, `text` being the kept lines joined by line feeds, and n_lines
-    and n_removed (which replace columns with these names).
+    and n_removed (which replace columns with these names).  With `short`, exact repeats of lines under
+    min_chars characters go too, unless they are blank.
     """
     others = [c for c in documents.columns if c not in (text_col, "n_lines", "n_removed")]
     docs = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.char_length("line") >= min_chars)
+    lines = docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    long = F.char_length("line") >= min_chars
+    lines = lines.where(long | F.col("line").rlike(r"\S") if short else long)
     lines = lines.select("doc", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"))
     index, probes = _keys(F.col("line"), max_edits)
     names = [f"k{i}" for i in range(len(index) + len(probes))]
-    keyed = lines.select("h1", "h2", "doc", "pos", *(c.alias(n) for c, n in zip(index + probes, names, strict=True)))
+    keyed = lines.where(long).select("h1", "h2", "doc", "pos", *(c.alias(n) for c, n in zip(index + probes, names, strict=True)))
     firsts = keyed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("place"), *(F.first(n).alias(n) for n in names))
     entries = F.array(*(F.struct(F.col(n).alias("k"), F.lit(i < len(index)).alias("own")) for i, n in enumerate(names)))
     entries = firsts.select("h1", F.explode(entries).alias("e")).select("h1", "e.k", "e.own").where("k is not null")
@@ -65,7 +69,7 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key)).withColumn("indexed", F.max("own").over(by_key))
     shared = saved(shared.where("low <> high and indexed").select("k", "h1", "own").distinct(), "keys")
 
-    texts = lines.join(small(shared.select("h1").distinct()), "h1", "left_semi")
+    texts = lines.where(long).join(small(shared.select("h1").distinct()), "h1", "left_semi")
     texts = texts.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos", "line")).alias("t")).select("h1", "h2", F.struct("t.doc", "t.pos").alias("place"), "t.line")
     texts = saved(texts, "lines")
     sides = shared.join(texts, "h1")
@@ -75,7 +79,7 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     links = a.join(b, (F.col("a.k") == F.col("b.k")) & near).select(F.when(F.col("a.place") < F.col("b.place"), F.struct("b.h1", "b.h2")).otherwise(F.struct("a.h1", "a.h2")).alias("later"))
     gone = links.select("later.h1", "later.h2").distinct().withColumn("near", F.lit(True))
 
-    first = keyed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("place"), F.count("*").alias("n"))
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("place"), F.count("*").alias("n"))
     rule = first.join(gone, ["h1", "h2"], "left").where("n > 1 or near").select("h1", "h2", "place", "near")
     removed = lines.select("h1", "h2", "doc", "pos").join(rule, ["h1", "h2"]).where("near or place <> struct(doc, pos)")
     removed = removed.groupBy("doc").agg(F.collect_set("pos").alias("removed"))

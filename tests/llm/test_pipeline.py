@@ -27,6 +27,13 @@ def test_awkward_rows(spark, documents):
     assert docs.groupBy("doc_id").count().where("count > 1").count() == 0
 
 
+def test_short_lines(spark):
+    """Exact repeats of short lines go, in a document and across documents; blank lines and near ones stay."""
+    docs = spark.createDataFrame([(1, "Les.\n\nLes.\nLea.", "en", "s", 15), (2, "Les.\n\nalone here", "en", "s", 16)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, SF).collect()}
+    assert got == {1: "Les.\n\nLea.", 2: "\nalone here"}
+
+
 def test_no_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -7,7 +7,8 @@ hit is then extended: of the windows of 13 words around it, those with equal has
 independent kind) are shared.  Items of fewer words have one window, looked up by its own hash.
 
 Words are maximal runs of digits, letters and bytes beyond ASCII after lower-casing A-Z.  Null and
-empty texts have no words; items without words are never found.
+empty texts have no words; items without words are never found.  Rows that repeat an id with another
+text are judged apart; repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import key, saved, table
+from .common import identified, saved, table
 from .tokens import Grams, Words, flat, mix, separators, steps, winnow
 
 
@@ -28,7 +29,7 @@ SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 #: beyond it, all fingerprints of the documents are shuffled and joined.
 MOST_KEYS = 200_000
 
-ROWS = "h long, doc long, at int, n int, wins array<long>"
+ROWS = "h long, doc long, twin long, at int, n int, wins array<long>"
 
 
 def _streams(column: pa.Array) -> tuple[Words, Grams, Grams]:
@@ -46,11 +47,11 @@ def _around(second: Grams, at: np.ndarray, size: int, w: int) -> np.ndarray:
     return np.where(ok, second.span(start.ravel(), np.minimum(start.ravel() + size, second.n)).reshape(start.shape), np.uint64(0)).view(np.int64)
 
 
-def _rows(h: np.ndarray, doc: np.ndarray, at: np.ndarray, n: np.ndarray, wins: list[np.ndarray]) -> pa.RecordBatch:
+def _rows(h: np.ndarray, doc: np.ndarray, twin: np.ndarray, at: np.ndarray, n: np.ndarray, wins: list[np.ndarray]) -> pa.RecordBatch:
     lengths = np.concatenate([np.full(len(x), x.shape[1] if x.ndim > 1 else 1) for x in wins]) if wins else np.zeros(0, np.int64)
     values = np.concatenate([x.ravel() for x in wins]) if wins else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(values.astype(np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), lists], names=["h", "doc", "at", "n", "wins"])
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(twin), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), lists], names=["h", "doc", "twin", "at", "n", "wins"])
 
 
 def _fingerprints(size: int, k: int, short: list[int] | None, known: np.ndarray | None, items: bool):
@@ -61,17 +62,17 @@ def _fingerprints(size: int, k: int, short: list[int] | None, known: np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             words, first, second = _streams(batch.column("text"))
-            doc = batch.column("doc").to_numpy()
+            doc, twin = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
             count = np.diff(words.off)
             h, places, n, wins = [np.zeros(len(doc), np.uint64)], [np.zeros(len(doc), np.int64)], [np.full(len(doc), -1)], [np.zeros((len(doc), 1), np.int64)]
-            out_doc, out_at = [doc], [count]
+            out_row, out_at = [np.arange(len(doc))], [count]
 
             def put(hashes: np.ndarray, at: np.ndarray, length: int, around) -> None:
                 if known is not None:
                     keep = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes if len(known) else np.zeros(len(hashes), bool)
                     hashes, at = hashes[keep], at[keep]
                 h.append(hashes)
-                out_doc.append(doc[first.row[at]])
+                out_row.append(first.row[at])
                 out_at.append(at - first.begin[at])
                 n.append(np.full(len(at), length))
                 wins.append(around(at))
@@ -82,7 +83,8 @@ def _fingerprints(size: int, k: int, short: list[int] | None, known: np.ndarray
             for length in range(1, size) if short is None else short:
                 starts = words.off[:-1][count == length] if items else np.flatnonzero(first.whole(length))
                 put(mix(first.span(starts, starts + length) + np.uint64(length)), starts, length, lambda at, length=length: second.span(at, at + length)[:, None].view(np.int64))
-            yield _rows(np.concatenate(h), np.concatenate(out_doc), np.concatenate(out_at), np.concatenate(n), wins)
+            row = np.concatenate(out_row)
+            yield _rows(np.concatenate(h), doc[row], twin[row], np.concatenate(out_at), np.concatenate(n), wins)
 
     return run
 
@@ -100,45 +102,45 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offset = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
         row, offset = row[equal], offset[equal]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(batch.column("doc").to_numpy()[row]), pa.array((at[row] - offset).astype(np.int32)), pa.array((at[row] - offset + n[row]).astype(np.int32)), batch.column("item").take(pa.array(row))],
-            names=["doc", "lo", "hi", "item"],
+            [*(pa.array(batch.column(x).to_numpy()[row]) for x in ("doc", "twin")), pa.array((at[row] - offset).astype(np.int32)), pa.array((at[row] - offset + n[row]).astype(np.int32)), batch.column("item").take(pa.array(row))],
+            names=["doc", "twin", "lo", "hi", "item"],
         )
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = 13, k: int = 5, share: int = 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most_keys: int = MOST_KEYS) -> DataFrame:
     """Words of documents that lie inside a window of a benchmark item, and which items.
 
-    Returns (doc_id, doc, n_words, n_hit, n_items, items_sha256, contaminated, items), `doc` being the
-    key that stands for doc_id (see common.key): a document is
-    contaminated if it has hit words and these are at least one in `share` of its words.
+    Returns (doc_id, doc, twin, n_words, n_hit, n_items, items_sha256, contaminated, items), a row for
+    each of documents; (doc, twin) is its key (see common.identified).  A document is contaminated if it
+    has hit words and these are at least one in `share` of its words.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    docs = identified(documents, id_col, text_col)
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.xxhash64(item_col, item_text_col).alias("doc"), F.col(item_text_col).cast("string").alias("text"))
-    theirs = saved(items.select("doc", "text").mapInArrow(_fingerprints(size, k, None, None, True), ROWS).where("n > 0").distinct(), "benchmark")
+    theirs = saved(items.select("doc", F.lit(0).cast("long").alias("twin"), "text").mapInArrow(_fingerprints(size, k, None, None, True), ROWS).where("n > 0").distinct(), "benchmark")
     theirs = theirs.join(items.select("doc", "item").distinct(), "doc").select("h", F.col("n").alias("n2"), F.col("wins").alias("theirs"), "item")
     short = sorted(r.n2 for r in theirs.select("n2").where(f"n2 < {size}").distinct().collect())
     some = theirs.select("h").distinct().limit(most_keys + 1).toPandas()["h"].to_numpy(np.int64)
     known = np.sort(some.view(np.uint64)) if len(some) <= most_keys else None
-    ours = docs.select("doc", "text").mapInArrow(_fingerprints(size, k, short, known, False), ROWS)
+    ours = docs.select("doc", "twin", "text").mapInArrow(_fingerprints(size, k, short, known, False), ROWS)
     ours = saved(ours, "fingerprints")
-    pairs = ours.where("n > 0").join(theirs, "h").where("n = n2").select("doc", "at", "n", "wins", "theirs", "item")
-    spans = pairs.mapInArrow(_extended, "doc long, lo int, hi int, item string")
-    hits = spans.groupBy("doc").agg(F.sort_array(F.collect_set("item")).alias("items"), F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+    pairs = ours.where("n > 0").join(theirs, "h").where("n = n2").select("doc", "twin", "at", "n", "wins", "theirs", "item")
+    spans = pairs.mapInArrow(_extended, "doc long, twin long, lo int, hi int, item string")
+    hits = spans.groupBy("doc", "twin").agg(F.sort_array(F.collect_set("item")).alias("items"), F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("total"))
     covered = F.aggregate("spans", start, lambda a, s: F.struct(F.greatest(a["end"], s["hi"]).alias("end"), (a["total"] + F.greatest(s["hi"] - F.greatest(a["end"], s["lo"]), F.lit(0))).alias("total")))["total"]
-    hits = hits.select("doc", "items", covered.cast("long").alias("n_hit"))
-    counts = ours.where("n = -1").select("doc", F.col("at").cast("long").alias("n_words")).distinct()
-    out = docs.select("doc_id", "doc").join(counts, "doc").join(hits, "doc", "left")
+    hits = hits.select("doc", "twin", "items", covered.cast("long").alias("n_hit"))
+    counts = ours.where("n = -1").select("doc", "twin", F.col("at").cast("long").alias("n_words")).distinct()
+    out = docs.select("doc_id", "doc", "twin").join(counts, ["doc", "twin"]).join(hits, ["doc", "twin"], "left")
     n_hit, found = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        "doc_id", "doc", "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"), F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
+        "doc_id", "doc", "twin", "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"), F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), found.alias("items"),
     )
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "doc")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "doc", "twin")
 
 
 SQL = r"""

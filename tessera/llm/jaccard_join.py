@@ -11,7 +11,8 @@
 4. Components of the forest are the classes.
 
 A text of fewer words than a shingle has one shingle of all its words; a text without words (null,
-empty) links with nothing.  Rows that repeat a document id are one document.
+empty) links with nothing.  Rows that repeat id and text are one document; other texts of an id are
+documents of their own.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, key, saved, table
+from .common import components, discard, identified, one_key, saved, table
 from .links import LINKS, link_rows
 from .tokens import Grams, Words, flat, mix, separators, steps
 
@@ -149,11 +150,12 @@ def _verify(threshold: float):
 def jaccard_join(documents: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with at least `threshold` of their n-word shingles in common.
 
-    Returns one row per document: (doc_id, doc, class_id, n_links, kept).  n_links counts the other
-    documents linked directly, class_id is the least id that links reach, kept is true for that one.
+    Returns one row per document: (doc_id, doc, class_id, n_links, kept).  doc is the key (common.key,
+    common.one_key), the id as a rule.  n_links counts the other documents linked directly, class_id is
+    the least key that links reach, kept is true for that one.
     """
     bands, rows = bands_for(threshold, recall)
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    docs = one_key(identified(documents, id_col, text_col)).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = docs.select("doc", "text").mapInArrow(_signatures(n, bands, rows), "doc long, n long, s1 long, s2 long, bands array<long>")
     signed = saved(signed, "signatures").dropDuplicates(["doc"])
     sets = signed.groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))

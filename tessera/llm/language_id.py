@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokens import BYTE_BASES, Words, byte_values, flat, mix, powers, separators, steps
+from .tokens import FACTORS, Words, flat, mix, separators, steps
 
 #: Training documents of each language, and training words, at most; the sequences' length.
 PER_LANGUAGE, TRAINING_WORDS, LENGTH = 400, 240_000, 60
@@ -35,7 +35,7 @@ EDGE, MIXES, LEFT_OUT = 8, ((0, 0), (1, 1), (2, 2), (4, 4), (4, 1), (1, 4)), 5
 #: Weight rows: 2**BITS hashed features; longest word starts, ends and inner n-grams.
 BITS, AFFIXES, NGRAMS = 17, (1, 2, 3), (2, 3)
 NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
-STEP = 3 << 20
+STEP = 1 << 20
 
 
 @dataclass
@@ -56,13 +56,9 @@ class Vocabulary:
         data, offsets = flat(column)
         upper = (data >= 0x41) & (data <= 0x5A)
         self.words = Words(data + (upper * 32).astype(np.uint8), offsets, separators(NOT_LETTERS))
-        prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(byte_values(0)[self.words.data] * powers(BYTE_BASES[0], len(data))[:-1], out=prefix[1:])
-        inverse = powers(pow(BYTE_BASES[0], -1, 1 << 64), len(data))
-        hashes = mix((prefix[self.words.ends] - prefix[self.words.starts]) * inverse[self.words.starts])
-        self.hashes, first, self.number = np.unique(hashes, return_index=True, return_inverse=True)
+        self.hashes, first, self.number = np.unique(self.words.hashes(0), return_index=True, return_inverse=True)
         self.starts, self.ends = self.words.starts[first], self.words.ends[first]
-        self._span = lambda a, b, salt: mix((prefix[b] - prefix[a]) * inverse[a] + np.uint64(salt))
+        self._span = lambda a, b, salt: mix(self.words.bytes.read(a, b - a) * FACTORS[0] + np.uint64(salt))
 
     def features(self, field: Field | None) -> tuple[np.ndarray, np.ndarray]:
         """(word, feature) pairs, by word."""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, small, table
 from .decontamination import SEPARATORS
-from .tokens import BYTE_BASES, Words, byte_values, flat, mix, powers, separators, steps
+from .tokens import FACTORS, Words, flat, mix, separators, steps
 
 #: Labelled documents that the classifier is fitted to, at most; lexicons are counted on all of them.
 SAMPLE = 8000
@@ -56,15 +56,12 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, Wor
     upper = (data >= 0x41) & (data <= 0x5A)
     words = Words(data + (upper * 32).astype(np.uint8), offsets, separators(SEPARATORS))
     row = np.repeat(np.arange(len(column)), np.diff(words.off))
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(byte_values(0)[words.data] * powers(BYTE_BASES[0], len(data))[:-1], out=prefix[1:])
-    inverse = powers(pow(BYTE_BASES[0], -1, 1 << 64), len(data))[words.starts]
-    rows, kinds, values = [row], [np.zeros(len(row), np.int8)], [mix((prefix[words.ends] - prefix[words.starts]) * inverse)]
+    rows, kinds, values = [row], [np.zeros(len(row), np.int8)], [words.hashes(0)]
     for kind, n in enumerate(STARTS, 1):
         long = np.flatnonzero(words.ends - words.starts >= n)
         rows.append(row[long])
         kinds.append(np.full(len(long), kind, np.int8))
-        values.append(mix((prefix[words.starts[long] + n] - prefix[words.starts[long]]) * inverse[long] + np.uint64(kind)))
+        values.append(mix(words.bytes.read(words.starts[long], n) * FACTORS[0] + np.uint64(kind)))
     return np.concatenate(rows), np.concatenate(kinds), (np.concatenate(values) >> np.uint64(64 - BITS)).astype(np.int64), words
 
 

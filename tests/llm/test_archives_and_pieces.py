@@ -65,7 +65,36 @@ def reference_model():
     return sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
 
 
-def test_best_segmentation(model, reference_model, texts):
+def test_library_ids(model, texts):
+    """Ids of whole texts are the library's, on the given documents, odd texts and random strings of short pieces."""
+    import random
+
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(2)
+    odd = ["".join(rng.choice(["a", "th", "e", "in", "▁", " ", "é", "日", "\n", "\t", "0", "1", "ing", "x", "🎉", "."]) for _ in range(rng.randrange(1, 60))) for _ in range(1500)]
+    odd += ["x" * 700, "a" * 333, "aaab" * 50, "in" * 100, " ", "  a  b  ", "the " * 300]
+    own = pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist() + [t for _, t in texts] + [t for t in odd if "▁" not in t]
+    ids, off = pieces.encode(model, own)
+    want = library.encode([t or "" for t in own], num_threads=1)
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == want
+
+
+def test_memory_of_units(model, texts, monkeypatch):
+    """Batches that share a memory, also one that is emptied, give what single batches give."""
+    monkeypatch.setattr(pieces, "MOST_UNITS", 40)
+    memory, own = pieces.Memory(), [t for _, t in texts]
+    for k in range(0, len(own), 7):
+        ids, off = pieces.encode(model, own[k : k + 7], memory)
+        alone, alone_off = pieces.encode(model, own[k : k + 7])
+        assert ids.tolist() == alone.tolist() and off.tolist() == alone_off.tolist()
+
+
+def test_best_segmentation(reference_model, texts):
+    """Of a unigram model."""
+    model = pieces.load(merges=False)
     words = sorted({w for _, t in texts if t for w in t.split() if len(w) < 40})
     ids, off = pieces.encode(model, words)
     for i, w in enumerate(words):
@@ -89,6 +118,10 @@ def test_batches_agree(model):
         assert pieces.encode(model, [t])[0].tolist() == ids[off[i] : off[i + 1]].tolist()
 
 
+def test_no_documents_to_encode(spark):
+    assert pieces.with_tokens(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_tokens_of_documents(documents):
     out = pieces.with_tokens(documents.withColumnRenamed("removed", "tokens"))
     assert set(documents.columns) - {"removed"} <= set(out.columns)

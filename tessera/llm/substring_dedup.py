@@ -10,9 +10,10 @@ of all positions) are kept in a log-structured index:
 * a batch is merge-joined with the runs before it, bucket by bucket without a shuffle;
 * a match is verified by a second, independent hash of all words that any window with that anchor
   can cover; where that wider context differs, the windows themselves are compared;
-* runs are merged into one when there are more than `fanout` of them, and the old ones dropped.
+* runs are merged into one when there are more than `fanout` of them, and the old ones dropped;
+* a manifest in the index's folder names its runs, so that a later job opens it and adds to it.
 
-Null and empty texts have no words.  Equal words are told from each other by 128 bits of hash.
+Null and empty texts have no words.  Equal windows are told from others by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -24,14 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import key, saved, scratch, shuffles, table
+from .common import delete, discard, identified, saved, scratch, shuffles, table
 from .tokens import STEP_BYTES, Grams, Words, flat, separators, steps, winnow
 
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = b" \t\n\v\f\r"
+RUN = "h long, c long, n int, doc long, twin long, at int"
 
 
 def _streams(batch: pa.RecordBatch) -> tuple[Words, Grams, Grams]:
@@ -40,9 +41,9 @@ def _streams(batch: pa.RecordBatch) -> tuple[Words, Grams, Grams]:
 
 
 def anchors(docs: DataFrame, size: int) -> DataFrame:
-    """Anchors of documents (doc, text), equal ones of a step of text put together.
+    """Anchors of documents (doc, twin, text), equal ones of a step of text put together.
 
-    (h, c, n, doc, at): gram hash, context hash, how often in this step, and the first place.  What
+    (h, c, n, doc, twin, at): gram hash, context hash, how often in this step, and the first place.  What
     repeats within the step is marked at once: rows with n = 0 are spans of words from `at` to `c`.
     """
     k = size - size // 2
@@ -55,42 +56,66 @@ def anchors(docs: DataFrame, size: int) -> DataFrame:
             at = winnow(grams, first.whole(size), w)
             at = np.unique(at[at >= 0])
             h, c = grams[at], second.context(at, w - 1, k + w - 1)
-            doc = batch.column("doc").to_numpy()[first.row[at]]
-            at = at - first.begin[at]
-            order = np.lexsort((at, doc, c, h))
-            h, c, doc, at = h[order], c[order], doc[order], at[order]
+            row, at = first.row[at], at - first.begin[at]
+            order = np.lexsort((at, row, c, h))
+            h, c, row, at = h[order], c[order], row[order], at[order]
             new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(h) else np.zeros(0, np.int64)
             n = np.diff(np.append(new, len(h)))
             again = np.repeat(n > 1, n)
-            by = np.lexsort((at[again], doc[again]))
-            d, lo = doc[again][by], np.maximum(at[again][by] - (w - 1), 0)
+            by = np.lexsort((at[again], row[again]))
+            r, lo = row[again][by], np.maximum(at[again][by] - (w - 1), 0)
             hi = at[again][by] + size
-            cut = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (lo[1:] > hi[:-1])))) if len(d) else np.zeros(0, np.int64)
-            last = np.append(cut[1:], len(d))[: len(cut)] - 1
-            d, lo, hi = d[cut], lo[cut], hi[last]
+            cut = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (lo[1:] > hi[:-1])))) if len(r) else np.zeros(0, np.int64)
+            last = np.append(cut[1:], len(r))[: len(cut)] - 1
+            r, lo, hi = r[cut], lo[cut], hi[last]
+            rows = np.concatenate((row[new], r))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate((h[new].view(np.int64), d))),
+                    pa.array(np.concatenate((h[new].view(np.int64), batch.column("doc").to_numpy()[r]))),
                     pa.array(np.concatenate((c[new].view(np.int64), hi))),
-                    pa.array(np.concatenate((n, np.zeros(len(d), np.int64))).astype(np.int32)),
-                    pa.array(np.concatenate((doc[new], d))),
+                    pa.array(np.concatenate((n, np.zeros(len(r), np.int64))).astype(np.int32)),
+                    pa.array(batch.column("doc").to_numpy()[rows]),
+                    pa.array(batch.column("twin").to_numpy()[rows]),
                     pa.array(np.concatenate((at[new], lo)).astype(np.int32)),
                 ],
-                names=["h", "c", "n", "doc", "at"],
+                names=["h", "c", "n", "doc", "twin", "at"],
             )
 
-    return docs.select("doc", "text").mapInArrow(run, "h long, c long, n int, doc long, at int")
+    return docs.select("doc", "twin", "text").mapInArrow(run, RUN)
 
 
 class FingerprintIndex:
-    """Immutable runs of anchors in the shared folder, bucketed and sorted by key (h, c)."""
+    """Immutable runs of anchors in a shared folder, bucketed and sorted by key (h, c).
 
-    def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
-        self.spark, self.fanout, self.buckets = spark, fanout, buckets or shuffles(spark)
+    `folder`: of an index to open or to begin.  Its manifest is a new version for each change, the
+    last one counts, and runs are deleted only after a version without them is there."""
+
+    def __init__(self, spark: SparkSession, folder: str, fanout: int = 2, buckets: int | None = None):
+        self.spark, self.folder, self.fanout, self.buckets = spark, folder, fanout, buckets or shuffles(spark)
         self.runs: list[tuple[str, str]] = []
+        self.version = 0
+        manifest = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+        if manifest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(manifest):
+            lines = spark.read.schema("place long, path string, buckets int, version long").json(f"{folder}/manifest").orderBy("place").collect()
+            self.version = max(r.version for r in lines)
+            for r in lines:
+                if r.version == self.version:
+                    self.buckets = r.buckets
+                    self.runs.append((self._opened(r.path), r.path))
+
+    def _opened(self, path: str) -> str:
+        name = f"run_{uuid.uuid4().hex}"
+        columns = RUN.replace(" long", " BIGINT").replace(" int", " INT")
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (h, c) SORTED BY (h, c) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        return name
+
+    def _publish(self) -> None:
+        self.version += 1
+        lines = [(i, path, self.buckets) for i, (_, path) in enumerate(self.runs)]
+        self.spark.createDataFrame(lines, "place long, path string, buckets int").coalesce(1).write.json(f"{self.folder}/manifest/version={self.version}")
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
-        name, path = f"run_{uuid.uuid4().hex}", scratch(self.spark, "run")
+        name, path = f"run_{uuid.uuid4().hex}", f"{self.folder}/run-{uuid.uuid4().hex}"
         rows = rows.repartition(self.buckets, "h", "c")
         rows.write.bucketBy(self.buckets, "h", "c").sortBy("h", "c").option("compression", "zstd").option("path", path).saveAsTable(name)
         return name, path
@@ -98,8 +123,14 @@ class FingerprintIndex:
     def _drop(self, run: tuple[str, str]) -> None:
         name, path = run
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        delete(self.spark, path)
+
+    def destroy(self) -> None:
+        """Delete the index and all its runs."""
+        for run in self.runs:
+            self._drop(run)
+        self.runs = []
+        delete(self.spark, self.folder)
 
     def tables(self) -> list[DataFrame]:
         return [self.spark.table(name) for name, _ in self.runs]
@@ -115,6 +146,7 @@ class FingerprintIndex:
         Returns the keys (h, c) of the batch that occur more than once in it or before it."""
         older = self.tables()
         self.runs.append(self._write(fingerprints))
+        self._publish()
         found = self.tables()[-1].where("n > 0").groupBy("h", "c").agg(F.sum("n").alias("n"))
         for i, run in enumerate(older):
             known = run.where("n > 0").select("h", "c").distinct().withColumn(f"in_{i}", F.lit(1))
@@ -124,34 +156,39 @@ class FingerprintIndex:
     def compact(self) -> None:
         """Merge the runs into one if they are more than the fan-out."""
         if len(self.runs) > self.fanout:
-            merged = self._write(self.rows())
-            for run in self.runs:
+            before, self.runs = self.runs, [self._write(self.rows())]
+            self._publish()
+            for run in before:
                 self._drop(run)
-            self.runs = [merged]
 
     def occurrences(self, keys: DataFrame) -> DataFrame:
-        """(doc, at) of the index rows with these keys, joined run by run without moving the runs."""
+        """(doc, twin, at) of the index rows with these keys, joined run by run without moving the runs."""
         keys = keys.repartition(self.buckets, "h", "c").dropDuplicates(["h", "c"])
-        found = [run.where("n = 1").join(keys, ["h", "c"], "left_semi").select("doc", "at") for run in self.tables()]
+        found = [run.where("n = 1").join(keys, ["h", "c"], "left_semi").select("doc", "twin", "at") for run in self.tables()]
         out = found[0]
         for other in found[1:]:
             out = out.unionByName(other)
         return out
 
     def mixed(self) -> DataFrame:
-        """(doc, at, once) of the first place of each key whose anchor has other contexts as well."""
-        own = W.partitionBy("h")
-        rows = self.rows().where("n > 0").withColumn("least", F.min("c").over(own)).withColumn("most", F.max("c").over(own)).where("least <> most")
-        keys = rows.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
-        return keys.select("first.doc", "first.at", (F.col("n") == 1).cast("int").alias("once"))
-
-
-def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
-    """Windows of the given anchors (doc, at, once) that repeat: (doc, lo, hi).  once: 1 if the
-    anchor's context occurs once, so that its own windows are still undecided."""
+        """(doc, twin, at, once) of the first place of each key whose anchor has other contexts as well.
+        Keys are dealt out by anchor and a salt of the context, so a frequent anchor isn't one task's."""
+        salt = F.pmod(F.xxhash64("c"), F.lit(shuffles(self.spark)))
+        rows = self.rows().where("n > 0").withColumn("salt", salt).repartition(shuffles(self.spark), "h", "salt")
+        keys = rows.groupBy("h", "salt", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "twin", "at")).alias("first"))
+        parts = rows.groupBy("h", "salt").agg(F.min("c").alias("least"), F.max("c").alias("most"))
+        several = parts.groupBy("h").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("h")
+        wanted = parts.select("h", "salt").join(several, "h")
+        return keys.join(wanted, ["h", "salt"]).select("first.doc", "first.twin", "first.at", (F.col("n") == 1).cast("int").alias("once"))
+
+
+def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Windows of the given anchors (doc, twin, at, once) that repeat: (doc, twin, lo, hi).  once: 1 if the
+    anchor's context occurs once, so that its own windows are still undecided.  The first of the two
+    tables is saved and what the other reads."""
     k = size - size // 2
     w = size - k + 1
-    wanted = edges.groupBy("doc").agg(F.sort_array(F.collect_list(F.col("at") * 2 + F.col("once"))).alias("wanted"))
+    wanted = edges.groupBy("doc", "twin").agg(F.sort_array(F.collect_list(F.col("at") * 2 + F.col("once"))).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
@@ -163,42 +200,53 @@ def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> DataFrame:
             once = np.full(first.n + 1, -1, dtype=np.int64)
             once[at] = values % 2
             starts = np.flatnonzero((chosen >= 0) & (once[chosen] >= 0))
-            doc = batch.column("doc").to_numpy()
+            doc, twin = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (first.span(starts, starts + size).view(np.int64), second.span(starts, starts + size).view(np.int64), doc[first.row[starts]], (starts - first.begin[starts]).astype(np.int32), once[chosen[starts]].astype(np.int32))],
-                names=["x", "y", "doc", "at", "once"],
+                [pa.array(x) for x in (first.span(starts, starts + size).view(np.int64), second.span(starts, starts + size).view(np.int64), doc[first.row[starts]], twin[first.row[starts]], (starts - first.begin[starts]).astype(np.int32), once[chosen[starts]].astype(np.int32))],
+                names=["x", "y", "doc", "twin", "at", "once"],
             )
 
-    windows = docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(run, "x long, y long, doc long, at int, once int")
-    windows = saved(windows, "windows")
+    windows = docs.join(wanted, ["doc", "twin"])
+    windows = saved(windows.select("doc", "twin", "text", "wanted").mapInArrow(run, "x long, y long, doc long, twin long, at int, once int"), "windows")
     repeated = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1")
-    return windows.where("once = 1").join(repeated, ["x", "y"], "left_semi").select("doc", F.col("at").alias("lo"), (F.col("at") + size).alias("hi"))
+    return windows, windows.where("once = 1").join(repeated, ["x", "y"], "left_semi").select("doc", "twin", F.col("at").alias("lo"), (F.col("at") + size).alias("hi"))
 
 
-def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
+def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id", text_col: str = "text", batches: int = 4, index: FingerprintIndex | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """Remove each word that a repeated window of `size` words covers.
 
     Returns (doc_id, text, n_words, n_removed, kept_sha256): `text` is the kept words joined by one
     space.  Windows are judged on the input.  Documents enter the index in `batches` batches; the
-    result doesn't depend on their number.  Repeated rows of a document count as separate texts.
-    An empty table gives an empty result.
+    result doesn't depend on their number.  Repeated rows of a document count as separate texts, and
+    so do other texts of its id.  An empty table gives an empty result.
+
+    With an `index` of `earlier` documents (same columns), windows that occur in those are repeated as
+    well, and the index is left with both; without, one is made for this call and deleted.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).alias("doc_id"), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    index = FingerprintIndex(spark)
+    docs = identified(documents, id_col, text_col)
+    own = index is None
+    index = FingerprintIndex(spark, scratch(spark, "index")) if own else index
     found = None
     for i in range(batches):
         part = docs.where(F.pmod(F.xxhash64("doc"), F.lit(batches)) == i)
-        keys = index.ingest(anchors(part, size))
-        found = keys if found is None else found.unionByName(keys)
+        keys = saved(index.ingest(anchors(part, size)), "keys")
+        found = [keys] if found is None else [*found, keys]
         index.compact()
+    every = found[0]
+    for keys in found[1:]:
+        every = every.unionByName(keys)
     reach = size // 2
-    inside = index.occurrences(found).select("doc", (F.col("at") - reach).alias("lo"), (F.col("at") + size).alias("hi"))
-    local = index.rows().where("n = 0").select("doc", F.col("at").alias("lo"), F.col("c").cast("int").alias("hi"))
-    inside = inside.unionByName(local)
-    edges = index.mixed()
-    marks = inside.unionByName(_window_marks(docs, edges, size))
-    marks = marks.groupBy("doc").agg(F.collect_list(F.shiftleft(F.greatest("lo", F.lit(0)).cast("long"), 32) + F.col("hi")).alias("marks"))
+    inside = index.occurrences(every).select("doc", "twin", (F.col("at") - reach).alias("lo"), (F.col("at") + size).alias("hi"))
+    local = index.rows().where("n = 0").select("doc", "twin", F.col("at").alias("lo"), F.col("c").cast("int").alias("hi"))
+    texts = docs if earlier is None else docs.unionByName(identified(earlier, id_col, text_col))
+    windows, edges = _window_marks(texts, index.mixed(), size)
+    marks = inside.unionByName(local).unionByName(edges)
+    marks = marks.groupBy("doc", "twin").agg(F.collect_list(F.shiftleft(F.greatest("lo", F.lit(0)).cast("long"), 32) + F.col("hi")).alias("marks"))
+    marks = saved(marks, "marks")
+    discard(windows, *found)
+    if own:
+        index.destroy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", STEP_BYTES):
@@ -220,7 +268,7 @@ def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id"
                 names=["doc_id", "text", "n_words", "n_removed", "kept_sha256"],
             )
 
-    joined = docs.join(marks, "doc", "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<long>")).alias("marks"))
+    joined = docs.join(marks, ["doc", "twin"], "left").select("doc_id", "text", F.coalesce("marks", F.array().cast("array<long>")).alias("marks"))
     kind = dict(docs.dtypes)["doc_id"]
     return joined.mapInArrow(run, f"doc_id {kind}, text string, n_words long, n_removed long, kept_sha256 string")
 

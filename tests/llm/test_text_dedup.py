@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tessera.llm.bytes_dedup import bytes_dedup
+from tessera.llm.common import scratch
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.substring_dedup import FingerprintIndex, anchors, substring_dedup
 
@@ -42,8 +43,8 @@ def test_empty_tables(spark):
 
 def test_index_of_batches(spark, documents):
     """A batch's repeats are found against runs before it, and merging runs changes nothing."""
-    docs = documents.where("doc_id between 4 and 39").selectExpr("doc_id as doc", "text")
-    index = FingerprintIndex(spark, fanout=1)
+    docs = documents.where("doc_id between 4 and 39").selectExpr("doc_id as doc", "0L as twin", "text")
+    index = FingerprintIndex(spark, scratch(spark, "index"), fanout=1)
     first = index.ingest(anchors(docs.where("doc < 20"), 35)).count()
     second = {tuple(r) for r in index.ingest(anchors(docs.where("doc >= 20"), 35)).collect()}
     assert first > 0 and len(index.runs) == 2
@@ -113,16 +114,17 @@ def test_near_lines(spark, most):
     firsts = {}
     for doc, text in rows:
         for i, line in enumerate((text or "").split("\n")):
-            if len(line) >= 12 and line not in firsts:
+            if line.strip() and line not in firsts:
                 firsts[line] = (doc, i)
     groups = defaultdict(list)
     for line in firsts:
-        groups[len(line)].append(line)
-    near = {line for line, place in firsts.items() for n in range(len(line) - most, len(line) + most + 1) for other in groups[n] if firsts[other] < place and distance(line, other, most) <= most}
+        if len(line) >= 12:
+            groups[len(line)].append(line)
+    near = {line for line, place in firsts.items() if len(line) >= 12 for n in range(len(line) - most, len(line) + most + 1) for other in groups[n] if firsts[other] < place and distance(line, other, most) <= most}
     want = []
     for doc, text in rows:
         lines = [] if text is None else text.split("\n")
-        kept = [x for i, x in enumerate(lines) if len(x) < 12 or (x not in near and firsts[x] == (doc, i))]
+        kept = [x for i, x in enumerate(lines) if not x.strip() or (x not in near and firsts[x] == (doc, i))]
         want.append((doc, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = line_dedup(docs, most).select("doc_id", "text", "n_lines", "n_removed").collect()

@@ -1,15 +1,19 @@
 """Line deduplication by a segment-partition edit join, in DataFrame functions only.
 
-A line is dropped if an earlier line (by document id, then line number) equals it or is within
-`max_edits` edits of it.  Cut into max_edits + 1 segments, a line within max_edits edits of another
-contains one of its segments unchanged, and only at a few shifts, given both lengths.  So each
-distinct line is indexed by its segments (with number and length), and probes the substrings that
-could be segments of a line of its length or up to max_edits shorter.  Keys that only one line has
-are dropped; lines that share a key are compared by the banded edit distance that is built in.
-
-Lines shorter than `min_chars` characters are kept, as in the SQL, or only compared for equality (`short`);
-blank ones are always kept.  A null text has
-no lines and stays null.  Equal lines are found by 128 bits of hash; near ones are compared as text.
+A line that isn't blank is dropped if an earlier line (by document id, then line number) equals it,
+or if both have at least `min_chars` characters and are within `max_edits` edits.  Cut into
+max_edits + 1 segments, a line within max_edits edits of another contains one of its segments
+unchanged, and only at a few shifts, given both lengths.  So each distinct line is indexed by its
+segments (with number and length), and probes the substrings that could be segments of a line of its
+length or up to max_edits shorter.  Keys that only one line has are dropped; lines that share a key
+are compared by the banded edit distance that is built in, those of a frequent key in blocks that go
+to different tasks.
+
+Blank lines (of white space) always stay.  A null text has no lines and stays null, an empty one has
+one blank line.  Equal lines are found by 128 bits of hash; near ones are compared as text.  Rows that
+repeat an id with another text are documents of their own, after each other by a hash of the text;
+rows that repeat id and text are one document, and all lose the same lines.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import key, saved, small, table
+from .common import discard, identified, saved, table
+
+#: Lines of a frequent key that one task compares with as many others.
+BLOCK = 4000
 
 
 def _segment(i: int, parts: int, length: Column) -> tuple[Column, Column]:
@@ -46,44 +53,51 @@ def _keys(line: Column, max_edits: int) -> tuple[list[Column], list[Column]]:
     return index, probes
 
 
-def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the lines that repeat or nearly repeat an earlier line.
 
     Returns the columns of documents, `text` being the kept lines joined by line feeds, and n_lines
-    and n_removed (which replace columns with these names).  With `short`, exact repeats of lines under
-    min_chars characters go too, unless they are blank.
+    and n_removed (which replace columns with these names).
     """
     others = [c for c in documents.columns if c not in (text_col, "n_lines", "n_removed")]
-    docs = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    long = F.char_length("line") >= min_chars
-    lines = lines.where(long | F.col("line").rlike(r"\S") if short else long)
-    lines = lines.select("doc", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"))
+    docs = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    docs = identified(docs, "_id", "_text", [f"c{i}" for i in range(len(others))])
+    lines = docs.select("doc", "twin", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.col("line").rlike(r"\S"))
+    lines = lines.select(F.struct("doc", "twin", "pos").alias("place"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"))
+    # only lines that can be near another travel as text
+    whole = F.when(F.char_length("line") >= min_chars, F.col("line"))
+    distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first(whole).alias("line"))
+    distinct = saved(distinct, "lines")
+
     index, probes = _keys(F.col("line"), max_edits)
-    names = [f"k{i}" for i in range(len(index) + len(probes))]
-    keyed = lines.where(long).select("h1", "h2", "doc", "pos", *(c.alias(n) for c, n in zip(index + probes, names, strict=True)))
-    firsts = keyed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("place"), *(F.first(n).alias(n) for n in names))
-    entries = F.array(*(F.struct(F.col(n).alias("k"), F.lit(i < len(index)).alias("own")) for i, n in enumerate(names)))
-    entries = firsts.select("h1", F.explode(entries).alias("e")).select("h1", "e.k", "e.own").where("k is not null")
+    keys = index + probes
+    entries = F.array(*(F.struct(k.alias("k"), F.lit(i < len(index)).alias("own")) for i, k in enumerate(keys)))
+    entries = distinct.where("line is not null").select("h1", F.explode(entries).alias("e")).select("h1", "e.k", "e.own").where("k is not null")
     by_key = W.partitionBy("k")
-    shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key)).withColumn("indexed", F.max("own").over(by_key))
-    shared = saved(shared.where("low <> high and indexed").select("k", "h1", "own").distinct(), "keys")
-
-    texts = lines.where(long).join(small(shared.select("h1").distinct()), "h1", "left_semi")
-    texts = texts.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos", "line")).alias("t")).select("h1", "h2", F.struct("t.doc", "t.pos").alias("place"), "t.line")
-    texts = saved(texts, "lines")
-    sides = shared.join(texts, "h1")
-    a, b = sides.where("own").alias("a"), sides.where("not own").alias("b")
+    shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key))
+    for name, own in (("mine", F.col("own")), ("theirs", ~F.col("own"))):
+        shared = shared.withColumn(name, F.sum(own.cast("long")).over(by_key))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    shared = shared.where("low <> high and mine > 0 and theirs > 0").select("k", "h1", "own", blocks("mine").alias("m"), blocks("theirs").alias("t")).distinct()
+    shared = saved(shared, "keys")
+
+    # a frequent key's own lines and probes are cut into blocks, and each block meets every other one
+    sides = shared.join(distinct.select("h1", "h2", "place", "line").where("line is not null"), "h1")
+    block = lambda n: F.pmod(F.xxhash64("h1"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = sides.where("own").select("*", block("m").alias("i"), each("t").alias("j")).alias("a")
+    b = sides.where("not own").select("*", block("t").alias("j"), each("m").alias("i")).alias("b")
     near = (F.col("a.h1") != F.col("b.h1")) & (F.abs(F.char_length("a.line") - F.char_length("b.line")) <= max_edits)
     near &= F.levenshtein("a.line", "b.line", max_edits) >= 0
-    links = a.join(b, (F.col("a.k") == F.col("b.k")) & near).select(F.when(F.col("a.place") < F.col("b.place"), F.struct("b.h1", "b.h2")).otherwise(F.struct("a.h1", "a.h2")).alias("later"))
+    same = (F.col("a.k") == F.col("b.k")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+    links = a.join(b, same & near).select(F.when(F.col("a.place") < F.col("b.place"), F.struct("b.h1", "b.h2")).otherwise(F.struct("a.h1", "a.h2")).alias("later"))
     gone = links.select("later.h1", "later.h2").distinct().withColumn("near", F.lit(True))
 
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("place"), F.count("*").alias("n"))
-    rule = first.join(gone, ["h1", "h2"], "left").where("n > 1 or near").select("h1", "h2", "place", "near")
-    removed = lines.select("h1", "h2", "doc", "pos").join(rule, ["h1", "h2"]).where("near or place <> struct(doc, pos)")
-    removed = removed.groupBy("doc").agg(F.collect_set("pos").alias("removed"))
-    joined = docs.join(removed, "doc", "left").withColumn("lines", F.split("text", "\n", -1))
+    rule = saved(distinct.select("h1", "h2", "place", "n").join(gone, ["h1", "h2"], "left").where("n > 1 or near").select("h1", "h2", F.col("place").alias("first"), "near"), "rule")
+    discard(shared, distinct)
+    removed = lines.select("h1", "h2", "place").join(rule, ["h1", "h2"]).where("near or place <> first")
+    removed = removed.groupBy("place.doc", "place.twin").agg(F.collect_set("place.pos").alias("removed"))
+    joined = docs.join(removed, ["doc", "twin"], "left").withColumn("lines", F.split("text", "\n", -1))
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("removed", i)))
     names = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text_col: F.array_join(kept, "\n")}
     return joined.select(
@@ -101,9 +115,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 o AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d),
-l AS (SELECT doc_id, i, ls[i] AS line, length(ls[i]) >= 12 AS counts FROM o),
+l AS (SELECT doc_id, i, ls[i] AS line, regexp_matches(ls[i], '[^\x20\x09-\x0D]') AS counts FROM o),
 f AS (SELECT line, length(line) AS n, min({'d': doc_id, 'i': i}) AS place FROM l WHERE counts GROUP BY line),
-near AS (SELECT DISTINCT b.line FROM f a JOIN f b ON a.n BETWEEN b.n - 2 AND b.n + 2 AND a.place < b.place WHERE levenshtein(a.line, b.line) <= 2),
+near AS (SELECT DISTINCT b.line FROM f a JOIN f b ON a.n >= 12 AND b.n >= 12 AND a.n BETWEEN b.n - 2 AND b.n + 2 AND a.place < b.place WHERE levenshtein(a.line, b.line) <= 2),
 m AS (SELECT l.*, counts AND (near.line IS NOT NULL OR f.place <> {'d': doc_id, 'i': i}) AS gone FROM l LEFT JOIN f USING (line) LEFT JOIN near USING (line)),
 g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept FROM m GROUP BY doc_id)
 SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN g USING (doc_id)

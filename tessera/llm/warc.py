@@ -7,7 +7,11 @@ the manifest, so leftovers of failed or repeated attempts are never read.
 Reading: tasks take archives from the manifest, load the dictionary, decode frame by frame and
 check headers, lengths and digests; a broken record raises an error.
 
-Null payloads are empty.  A page without an id gets a stand-in made from its url and payload.
+Null payloads are empty.  A page without an id gets a stand-in made from its url and payload.  Pages
+that repeat an id are written each; the one of them with the payload meant is a response, or all that
+have it.  Other columns are left out, whatever their names.  No pages give no archives.  In the header
+of a record, control characters, spaces, percent signs and non-ASCII characters of a URL are percent-
+encoded, as no header can hold them all; reading undoes that.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -30,6 +35,8 @@ from .common import saved, scratch, shuffles, table
 #: frame, and the profile of a record that repeats an earlier payload.
 SKIPPABLE, FRAME = 0x184D2A5D, b"\x28\xb5\x2f\xfd"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Characters of a URL that are written as they are.
+PLAIN = "!#$&'()*+,/:;=?@[]~\"<>\\^`{|}"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
@@ -60,7 +67,7 @@ def record(page_id: int, url: str, payload: bytes, sha: str, refers_to: int | No
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:page:{page_id}>",
         f"WARC-Date: {date}",
-        f"WARC-Target-URI: {url}",
+        f"WARC-Target-URI: {quote(url, safe=PLAIN)}",
         f"WARC-Payload-Digest: sha1:{sha}",
     ]
     if refers_to is not None:
@@ -129,7 +136,7 @@ def parsed(raw: bytes) -> tuple:
         raise ValueError(f"the payload of page {number('warc-record-id')} is not the one announced")
     if kind == "revisit" and payload:
         raise ValueError("a revisit has a payload")
-    return number("warc-record-id"), headers.get("warc-target-uri"), kind, number("warc-refers-to") if kind == "revisit" else None, full, sha, payload if kind == "response" else None
+    return number("warc-record-id"), unquote(headers.get("warc-target-uri", "")), kind, number("warc-refers-to") if kind == "revisit" else None, full, sha, payload if kind == "response" else None
 
 
 def _writer(folder: str, dictionary: bytes, archive_bytes: int, date: str, level: int):
@@ -167,18 +174,22 @@ def _writer(folder: str, dictionary: bytes, archive_bytes: int, date: str, level
     return run
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = 16 << 20, date: str = "1970-01-01T00:00:00Z", level: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = 300) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = 16 << 20, date: str = "1970-01-01T00:00:00Z", level: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = 300, sample_bytes: int = 1 << 16) -> DataFrame:
     """Write a record per page; returns the manifest (path, records).
 
     Of pages with equal payloads of at least `min_bytes` bytes, the one with the largest id is a
-    response and the others revisit it.  The dictionary is trained on `sample` pages at most.
+    response and the others revisit it.  The dictionary is trained on at most `sample` pages of at most
+    `sample_bytes` bytes, the first by a hash; it decides about sizes only.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     stand_in = F.xxhash64(url_col, html).bitwiseAND(F.lit((1 << 61) - 1)) - F.lit((1 << 63) - 1)
     rows = pages.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("sha"), F.octet_length(html).alias("size"))
-    samples = [r.html.encode() for r in rows.where("size > 0").select("html").limit(sample).collect()]
+    drawn = rows.where(F.col("size").between(1, sample_bytes)).orderBy(F.xxhash64("page_id", "sha"), "page_id", "sha").limit(sample)
+    samples = [r.html.encode() for r in drawn.select("html").collect()]
     latest = rows.where(F.col("size") >= min_bytes).groupBy("sha", "size").agg(F.max("page_id").alias("response"))
-    rows = rows.join(latest, ["sha", "size"], "left").select("page_id", "url", "html", "response")
+    # digests meet without the pages: those of one common payload don't gather in one task
+    response = rows.select("page_id", "sha", "size").distinct().join(latest, ["sha", "size"]).select("page_id", "sha", "response")
+    rows = rows.join(response, ["page_id", "sha"], "left").select("page_id", "url", "html", "response")
     return saved(rows.mapInArrow(_writer(folder, trained_dictionary(samples), archive_bytes, date, level), "path string, records long"), "manifest")
 
 

@@ -26,6 +26,16 @@ def test_round_trip(spark, min_bytes):
     assert got == want
 
 
+def test_odd_pages(spark):
+    """URLs with line breaks, headers, blanks and percent signs, repeated ids, clashing columns, long pages."""
+    urls = ["http://a/\r\nWARC-Type: revisit", "x y\tz", "http://ü/%0D%0A", "", None, "\x00\x7f\u2028", "a?b=c&d=%41"]
+    rows = [(i, u, f"page {i}", 5) for i, u in enumerate(urls)] + [(3, "again", "page 3", 5), (4, "other", "page four", 5), (90, "long", "y" * 3_000_000, 5)]
+    folder = scratch(spark, "warc")
+    got = warc.read_archives(warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string, response int"), folder), folder)
+    assert sorted((r["page_id"], r["url"] or "", bytes(r["payload"]).decode()) for r in got.collect()) == sorted((i, u or "", h) for i, u, h, _ in rows)
+    assert {r["record_type"] for r in got.collect()} == {"response"}
+
+
 def test_faults_are_found():
     sha = warc.digest(b"abc")
     good = warc.record(1, "u", b"abc", sha, None, "1970-01-01T00:00:00Z")

@@ -34,23 +34,20 @@ def _segment(i: int, parts: int, length: Column) -> tuple[Column, Column]:
     return start, (F.floor(length * (i + 1) / parts) - start).cast("int")
 
 
-def _keys(line: Column, max_edits: int) -> tuple[list[Column], list[Column]]:
-    """Hashes of the segments of a line, and of the substrings by which it probes."""
-    parts, length = max_edits + 1, F.char_length(line)
-    index = []
-    for i in range(parts):
-        start, n = _segment(i, parts, length)
-        index.append(F.xxhash64(F.lit(i), length, F.substring(line, start + 1, n)))
-    probes = []
+def _keys(line: Column, length: Column, max_edits: int) -> list[Column]:
+    """Hashed keys (k, role) of a line: its segments, by which it is found as well as finds lines of its
+    length (role 3), and the other substrings by which it finds lines (role 2)."""
+    parts, out = max_edits + 1, []
     for shorter in range(max_edits + 1):
         other = (length - shorter).cast("int")
         for i in range(parts):
             start, n = _segment(i, parts, other)
             for shift in range(max(-i, shorter - (max_edits - i)), min(i, shorter + (max_edits - i)) + 1):
                 at = start + shift
-                fits = (at >= 0) & (at + n <= length)
-                probes.append(F.when(fits, F.xxhash64(F.lit(i), other, F.substring(line, at + 1, n))))
-    return index, probes
+                k = F.xxhash64(F.lit(i), other, F.substring(line, at + 1, n))
+                own = shorter == 0 and shift == 0
+                out.append(F.struct((k if own else F.when((at >= 0) & (at + n <= length), k)).alias("k"), F.lit(3 if own else 2).alias("role")))
+    return out
 
 
 def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,27 +64,24 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     # only lines that can be near another travel as text
     whole = F.when(F.char_length("line") >= min_chars, F.col("line"))
     distinct = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first(whole).alias("line"))
-    distinct = saved(distinct, "lines")
+    distinct = saved(distinct.withColumn("size", F.char_length("line")), "lines")
+    long = distinct.where("line is not null")
 
-    index, probes = _keys(F.col("line"), max_edits)
-    keys = index + probes
-    entries = F.array(*(F.struct(k.alias("k"), F.lit(i < len(index)).alias("own")) for i, k in enumerate(keys)))
-    entries = distinct.where("line is not null").select("h1", F.explode(entries).alias("e")).select("h1", "e.k", "e.own").where("k is not null")
+    entries = long.select("h1", F.explode(F.array(*_keys(F.col("line"), F.col("size"), max_edits))).alias("e")).select("h1", "e.k", "e.role").where("k is not null")
     by_key = W.partitionBy("k")
     shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key))
-    for name, own in (("mine", F.col("own")), ("theirs", ~F.col("own"))):
-        shared = shared.withColumn(name, F.sum(own.cast("long")).over(by_key))
+    shared = shared.withColumn("mine", F.sum((F.col("role") == 3).cast("long")).over(by_key)).withColumn("theirs", F.count("*").over(by_key))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    shared = shared.where("low <> high and mine > 0 and theirs > 0").select("k", "h1", "own", blocks("mine").alias("m"), blocks("theirs").alias("t")).distinct()
+    shared = shared.where("low <> high and mine > 0").select("k", "h1", "role", blocks("mine").alias("m"), blocks("theirs").alias("t")).distinct()
     shared = saved(shared, "keys")
 
     # a frequent key's own lines and probes are cut into blocks, and each block meets every other one
-    sides = shared.join(distinct.select("h1", "h2", "place", "line").where("line is not null"), "h1")
+    sides = shared.join(long.select("h1", "h2", "place", "line", "size"), "h1")
     block = lambda n: F.pmod(F.xxhash64("h1"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    a = sides.where("own").select("*", block("m").alias("i"), each("t").alias("j")).alias("a")
-    b = sides.where("not own").select("*", block("t").alias("j"), each("m").alias("i")).alias("b")
-    near = (F.col("a.h1") != F.col("b.h1")) & (F.abs(F.char_length("a.line") - F.char_length("b.line")) <= max_edits)
+    a = sides.where("role = 3").select("*", block("m").alias("i"), each("t").alias("j")).alias("a")
+    b = sides.select("*", block("t").alias("j"), each("m").alias("i")).alias("b")
+    near = (F.col("a.h1") != F.col("b.h1")) & (F.abs(F.col("a.size") - F.col("b.size")) <= max_edits)
     near &= F.levenshtein("a.line", "b.line", max_edits) >= 0
     same = (F.col("a.k") == F.col("b.k")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
     links = a.join(b, same & near).select(F.when(F.col("a.place") < F.col("b.place"), F.struct("b.h1", "b.h2")).otherwise(F.struct("a.h1", "a.h2")).alias("later"))

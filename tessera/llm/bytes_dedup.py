@@ -311,9 +311,9 @@ def bytes_dedup(documents: DataFrame, size: int = 50, id_col: str = "doc_id", te
     packed = docs.select("doc", "twin", "text").mapInArrow(_anchors(size, shards), PACKED)
     found = saved(packed.repartition(shards, "shard").mapInArrow(_shard(most_contexts), FOUND), "found")
     found = found.groupBy("doc", "twin").agg(F.collect_list("x").alias("found"))
-    # both uses of these rows read one shuffle of the texts
+    # both uses of these rows read one shuffle of the texts, so both take all columns
     marked = docs.join(found.hint("merge"), ["doc", "twin"], "left")
-    wanted = marked.where(F.exists("found", lambda x: x.bitwiseAND(F.lit(3)) > 0)).select("doc", "twin", "text", "found")
+    wanted = marked.where(F.exists("found", lambda x: x.bitwiseAND(F.lit(3)) > 0)).select("doc_id", "doc", "twin", "text", "found")
     strings = wanted.mapInArrow(_pieces(size, shards), PACKED).repartition(shards, "shard").mapInArrow(_sorted_shard(size), MARKS)
     strings = strings.groupBy("doc", "twin").agg(F.flatten(F.collect_list("spans")).alias("strings"))
     reach = size // 2

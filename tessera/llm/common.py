@@ -78,7 +78,10 @@ def identified(documents: DataFrame, id_col: str, text_col: str, others: Sequenc
     again = saved(documents.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc")).count().where("count > 1").select("doc"), "ids")
     if again.isEmpty():
         discard(again)
-        return docs.select(*others, "doc_id", "doc", F.lit(0).cast("long").alias("twin"), "text")
+        # a 0 that isn't a literal: joins and groups by (doc, twin) are then partitioned alike
+        out = docs.select(*others, "doc_id", "doc", F.coalesce(F.pmod("doc", F.lit(1)), F.lit(0)).cast("long").alias("twin"), "text")
+        out._ids_are_unique = True
+        return out
     docs = docs.join(small(again.withColumn("again", F.lit(True))), "doc", "left")
     return docs.select(*others, "doc_id", "doc", F.when(F.col("again"), F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())).otherwise(F.lit(0).cast("long")).alias("twin"), "text")
 
@@ -86,10 +89,9 @@ def identified(documents: DataFrame, id_col: str, text_col: str, others: Sequenc
 def one_key(docs: DataFrame) -> DataFrame:
     """Identified rows without twin, told apart by doc alone.  doc is the id for the text with the least twin, and
     for other texts of this id a value over 2**62 made from both."""
-    twins = saved(docs.where("twin <> 0").select("doc", "twin").distinct(), "twins")
-    if twins.isEmpty():
-        discard(twins)
+    if getattr(docs, "_ids_are_unique", False):
         return docs.drop("twin")
+    twins = saved(docs.where("twin <> 0").select("doc", "twin").distinct(), "twins")
     least = twins.groupBy("doc").agg(F.min("twin").alias("least"))
     other = F.xxhash64("doc", "twin").bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
     doc = F.when(F.col("twin") != F.coalesce("least", "twin"), other).otherwise(F.col("doc"))

@@ -15,7 +15,7 @@ def _doubled(ranks: np.ndarray) -> np.ndarray:
         after = np.full(n, -1, dtype=np.int64)
         after[: n - k] = ranks[k:] if k < n else after[:0]
         both = ranks * (n + 1) + after + 1
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)  # equal ones get equal ranks, in any order
         ordered = both[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
         ranks = np.empty(n, dtype=np.int64)
@@ -31,7 +31,8 @@ def _induce(s: np.ndarray, is_s: np.ndarray, stars: np.ndarray, bounds: np.ndarr
     n, sigma = len(s), len(bounds) - 1
     sa = np.full(n, -1, dtype=np.int32)
     size = np.bincount(s[stars], minlength=sigma)
-    order = stars[np.argsort(s[stars], kind="stable")]
+    small = np.uint16 if sigma <= 1 << 16 else s.dtype  # short integers are sorted by radix
+    order = stars[np.argsort(s[stars].astype(small), kind="stable")]
     first = bounds[1:] - size
     sa[np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(len(order))] = order
 
@@ -41,7 +42,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, stars: np.ndarray, bounds: np.ndarr
         if not len(j):
             return
         ch = s[j]
-        by = np.argsort(ch, kind="stable")
+        by = np.argsort(ch.astype(small), kind="stable")
         j, ch = j[by], ch[by]
         new = np.flatnonzero(np.concatenate(([True], ch[1:] != ch[:-1])))
         count = np.diff(np.append(new, len(ch)))

@@ -6,8 +6,6 @@ dosages: (sample, chrom, pos, variant, dosage), dosage 0 to 2 or null.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.text import bare_chromosome
-from tessera.shared import cut
+from tessera.shared import cut, numbered
 
 
 def frequencies(dosages: DataFrame) -> DataFrame:
@@ -66,21 +64,29 @@ def variant_id(chrom: Column, pos: Column, ref: Column, alt: Column, longest: in
 
 @F.pandas_udf(DoubleType())
 def hwe_midp(hom_ref: pd.Series, het: pd.Series, hom_alt: pd.Series) -> pd.Series:
-    """Exact test of Hardy-Weinberg proportions, with half the weight of the observed outcome."""
-
-    def one(a: int, b: int, c: int) -> float:
-        n, rare = a + b + c, min(2 * a + b, 2 * c + b)
-        if n == 0:
-            return 1.0
-        hets = np.arange(rare % 2, rare + 1, 2)
-        homs = (rare - hets) // 2
-        log = [math.lgamma(n + 1) - math.lgamma(h + 1) - math.lgamma(r + 1) - math.lgamma(n - h - r + 1) + h * math.log(2) for h, r in zip(hets.tolist(), homs.tolist(), strict=True)]
-        p = np.exp(np.array(log) - max(log))
-        p /= p.sum()
-        own = p[np.searchsorted(hets, b)]
-        return float(min(1.0, p[p < own * (1 - 1e-12)].sum() + 0.5 * p[np.abs(p - own) <= own * 1e-12].sum()))
-
-    return pd.Series([one(int(a), int(b), int(c)) for a, b, c in zip(hom_ref, het, hom_alt, strict=True)])
+    """Exact test of Hardy-Weinberg proportions, with half the weight of the observed outcome.
+
+    All variants of a batch advance together over the heterozygote counts that are possible, by the
+    ratio of neighbouring probabilities, downwards and upwards from the observed count."""
+    a, b, c = (x.to_numpy().astype(np.float64) for x in (hom_ref, het, hom_alt))
+    total, less, same = np.ones(len(a)), np.zeros(len(a)), np.ones(len(a))
+    for up in (False, True):
+        x, y, h = np.minimum(a, c), np.maximum(a, c), b.copy()
+        p, live = np.ones(len(a)), np.arange(len(a))
+        while len(live):
+            x_, y_, h_ = x[live], y[live], h[live]
+            ratio = 4 * x_ * y_ / ((h_ + 2) * (h_ + 1)) if up else h_ * (h_ - 1) / (4 * (x_ + 1) * (y_ + 1))
+            step = -1 if up else 1
+            x[live], y[live], h[live] = x_ + step, y_ + step, h_ - 2 * step
+            p[live] *= ratio
+            now = p[live]
+            total[live] += now
+            equal = np.abs(now - 1) <= 1e-9
+            same[live] += np.where(equal, now, 0)
+            less[live] += np.where(equal, 0, np.where(now < 1, now, 0))
+            # past the mode, ever smaller terms end the sum
+            live = live[(now > 0) & ~((ratio < 1) & (now < 1e-18 * total[live]))]
+    return pd.Series(np.where(a + b + c == 0, 1.0, np.minimum(1.0, (less + 0.5 * same) / total)))
 
 
 def linked_pairs(dosages: DataFrame, window: int, r2: float) -> DataFrame:
@@ -189,8 +195,8 @@ def clump(counts: DataFrame, clusters: DataFrame, threshold: float, min_size: in
 
 def final_ranks(sizes: DataFrame) -> DataFrame:
     """(cluster, size, final_cluster): Cluster_1, Cluster_2, ... by size downwards, then label."""
-    rank = F.row_number().over(Window.orderBy(F.desc("size"), F.col("cluster").cast("string")))
-    return sizes.select("cluster", "size", F.concat(F.lit("Cluster_"), rank.cast("string")).alias("final_cluster"))
+    ranked = numbered(sizes.select("cluster", "size"), [F.desc("size"), F.col("cluster").cast("string")])
+    return ranked.select("cluster", "size", F.concat(F.lit("Cluster_"), (F.col("n") + 1).cast("string")).alias("final_cluster"))
 
 
 def mismatch(members: DataFrame, genotyped: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Shared haplotype segments from phased variants.
 
-Markers of a chromosome are cut into blocks of `block` consecutive markers.  Haplotypes with equal
-alleles in a block meet by a hash join on (block, alleles): runs of such blocks are seeds.  A run is
-extended marker by marker into the blocks on either side, across a short mismatch if the run beyond
-it is long enough.  Only haplotypes that share whole blocks are ever paired.
+Markers of a chromosome are cut into blocks of consecutive markers, short enough for every run of
+min_markers to hold a whole one.  Haplotypes with equal alleles in a block meet by a hash join on
+(block, alleles).  The blocks on either side are compared marker by marker, and so is the next one,
+round by round, as long as a run or a gap that may be joined reaches the end of what was compared.
+Only haplotypes that share whole blocks are ever paired.
 """
 
 from __future__ import annotations
@@ -12,6 +13,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.config import Detection
+from tessera.shared import cut, numbered
+
+PAIR = ["chrom", "h1", "h2"]
+
+
+def _compared(near: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pairs' blocks (PAIR, b) with the places in them at which both are equal."""
+    m1, m2 = blocks.select("chrom", "b", F.col("h").alias("h1"), F.col("m").alias("x")), blocks.select("chrom", "b", F.col("h").alias("h2"), F.col("m").alias("y"))
+    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"])
+    places = F.filter(F.transform(F.zip_with("x", "y", lambda a, b: a == b), lambda e, j: F.when(e, j)), lambda j: j.isNotNull())
+    return met.select(*PAIR, "b", places.alias("equal"))
+
+
+def _next(known: DataFrame, ends: DataFrame, max_gap: int) -> DataFrame:
+    """Blocks next to known ones that a run, or a gap of at most max_gap base pairs after one, reaches."""
+    at = lambda j: F.element_at("positions", j + 1)
+    size = F.size("positions")
+    rows = known.join(ends.select("chrom", "b", "positions"), ["chrom", "b"])
+    some = F.size("equal") > 0
+    rows = rows.select(*PAIR, "b", F.when(some, at(F.array_min("equal"))).alias("first"), F.when(some, at(F.array_max("equal"))).alias("last"),
+                       F.array_contains("equal", 0).alias("open_left"), F.array_contains("equal", size - 1).alias("open_right"))
+    pair = Window.partitionBy(*PAIR).orderBy("b")
+    rows = rows.withColumn("last", F.last("last", True).over(pair)).withColumn("first", F.first("first", True).over(pair.rowsBetween(0, Window.unboundedFollowing)))
+    right = ends.select("chrom", (F.col("b") - 1).alias("b"), F.element_at("positions", 1).alias("edge"))
+    left = ends.select("chrom", (F.col("b") + 1).alias("b"), F.element_at("positions", -1).alias("edge"))
+    right = rows.join(right, ["chrom", "b"]).where(F.col("open_right") | (F.col("edge") - F.col("last") <= max_gap)).select(*PAIR, (F.col("b") + 1).alias("b"))
+    left = rows.join(left, ["chrom", "b"]).where(F.col("open_left") | (F.col("first") - F.col("edge") <= max_gap)).select(*PAIR, (F.col("b") - 1).alias("b"))
+    return right.unionByName(left).distinct()
 
 
 def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, block: int = 16) -> DataFrame:
@@ -24,18 +53,21 @@ def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, block: in
     """
     counts = alleles.groupBy("chrom", "pos").agg(F.sum("allele").alias("a"), F.count("*").alias("n"))
     markers = counts.where(F.least("a", F.col("n") - F.col("a")) >= rules.min_mac).join(positions, ["chrom", "pos"])
-    order = Window.partitionBy("chrom").orderBy("pos")
-    markers = markers.withColumn("i", F.row_number().over(order) - 1).select("chrom", "pos", "cm", "i")
+    block = max(1, min(block, (rules.min_markers + 1) // 2))
+    markers = cut(numbered(markers.select("chrom", "pos", "cm"), [F.col("pos")], "chrom", "i"))
     rows = alleles.join(markers, ["chrom", "pos"]).withColumn("b", F.floor(F.col("i") / block).cast("int"))
     blocks = rows.groupBy("chrom", "b", "sample", "hap").agg(F.sort_array(F.collect_list(F.struct("i", "allele"))).alias("m"))
-    blocks = blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), F.transform("m", lambda x: x["allele"]).alias("m"))
+    blocks = cut(blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), F.transform("m", lambda x: x["allele"]).alias("m")))
+    ends = markers.groupBy("chrom", F.floor(F.col("i") / block).cast("int").alias("b")).agg(F.sort_array(F.collect_list("pos")).alias("positions"))
     one, two = blocks.select("chrom", "b", F.col("h").alias("h1"), "m"), blocks.select("chrom", "b", F.col("h").alias("h2"), "m")
     equal = one.join(two, ["chrom", "b", "m"]).where("h1.sample < h2.sample").select("chrom", "b", "h1", "h2")
-    # neighbours of equal blocks may hold the ends of runs: compare them marker by marker
-    near = equal.select("chrom", "h1", "h2", F.explode(F.array(F.col("b") - 1, "b", F.col("b") + 1)).alias("b")).distinct()
-    m1, m2 = blocks.select("chrom", "b", F.col("h").alias("h1"), F.col("m").alias("x")), blocks.select("chrom", "b", F.col("h").alias("h2"), F.col("m").alias("y"))
-    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"])
-    same = met.select("chrom", "h1", "h2", "b", F.posexplode(F.zip_with("x", "y", lambda a, b: a == b)).alias("j", "eq")).where("eq").select("chrom", "h1", "h2", (F.col("b") * block + F.col("j")).alias("i"))
+    known = cut(_compared(equal.select(*PAIR, F.explode(F.array(F.col("b") - 1, "b", F.col("b") + 1)).alias("b")).distinct(), blocks))
+    while True:
+        new = cut(_compared(_next(known, ends, rules.max_gap).join(known.select(*PAIR, "b"), [*PAIR, "b"], "left_anti"), blocks))
+        if new.isEmpty():
+            break
+        known = cut(known.unionByName(new))
+    same = known.select(*PAIR, "b", F.explode("equal").alias("j")).select(*PAIR, (F.col("b") * block + F.col("j")).alias("i"))
     pair = Window.partitionBy("chrom", "h1", "h2")
     runs = same.withColumn("run", F.col("i") - F.row_number().over(pair.orderBy("i")))
     runs = runs.groupBy("chrom", "h1", "h2", "run").agg(F.min("i").alias("first"), F.max("i").alias("last"))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir, which driver and executors share; a local one if unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS
+    """The session's spark.checkpoint.dir, which driver and executors share.  Only a session on one
+    machine may lack it, as in tests: it gets a folder of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the cluster shares")
+        found = f"file://{tempfile.gettempdir()}/checkpoints-{spark.sparkContext.applicationId}"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -29,3 +33,16 @@ def cut(rows: DataFrame) -> DataFrame:
 def small(rows: DataFrame, most: int = 200_000) -> DataFrame:
     """Rows marked to be sent to every task if they are counted to be at most so many, else as they are."""
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def numbered(rows: DataFrame, order: list[Column], group: str | None = None, name: str = "n") -> DataFrame:
+    """Rows with their number from 0 in this order, within each group.  Rows are dealt out by ranges of
+    (group, order), counted by range, and numbered within them: no group is put in order by one task."""
+    keys = [] if group is None else [group]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(rows.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy(*keys, "_part").agg(F.count("*").alias("_count"))
+    before = F.sum("_count").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*keys, "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    return dealt.join(F.broadcast(offsets), [*keys, "_part"]).withColumn(name, own - 1 + F.col("_before")).drop("_part", "_before")

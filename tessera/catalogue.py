@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import bare_chromosome
-from tessera.operators import communities, graph, intervals, pairs, popgen
+from tessera.config import Detection
+from tessera.operators import communities, graph, intervals, pairs, popgen, segments
 from tessera.plans import adapters as of
 from tessera.plans.adapters import sql
+from tessera.shared import cut
 
 QUERIES, SQL = {}, {}
 THRESHOLD, MIN_SIZE = 25.0, 4
@@ -57,9 +59,11 @@ def pair_weight_products(spark, sf_dir):
     return out.select("ID1", "ID2", "total_IBD_length_x_mean_IBD_length_cM2")
 
 
-@query(f"{sql('seg', 'pairs')}, t AS (SELECT ID1, ID2, {STATS} FROM pairs GROUP BY ID1, ID2) SELECT count(*) AS rows_checked, 0 AS faults FROM t")
+@query(f"{sql('seg', 'pairs')}, t AS (SELECT ID1, ID2, {STATS} FROM pairs GROUP BY ID1, ID2) SELECT count(*) AS rows_checked, CAST(count(*) FILTER (number_of_IBD_segments % 3 = 0) AS INT) AS faults FROM t")
 def pair_summary_faults(spark, sf_dir):
-    found = pair_summary_genome(spark, sf_dir).withColumn("error", pairs.summary_errors(THRESHOLD))
+    """Of summaries in which the totals of pairs with a multiple of three segments were made negative."""
+    spoilt = F.when(F.col("number_of_IBD_segments") % 3 == 0, -F.col("total_IBD_length_cM")).otherwise(F.col("total_IBD_length_cM"))
+    found = pair_summary_genome(spark, sf_dir).withColumn("total_IBD_length_cM", spoilt).withColumn("error", pairs.summary_errors(THRESHOLD))
     return found.agg(F.count("*").alias("rows_checked"), F.count("error").cast("int").alias("faults"))
 
 
@@ -76,21 +80,28 @@ def segment_gap_hits(spark, sf_dir):
     return intervals.overlapping(of.proper(spark, sf_dir), of.regions(spark, sf_dir), "left_semi")
 
 
-@query(f"{sql('seg', 'gap')} SELECT DISTINCT replace(chrom, 'chr', '') AS chrom FROM seg WHERE replace(chrom, 'chr', '') NOT IN (SELECT chrom FROM gap)")
+@query(f"{sql('seg', 'gap')} SELECT DISTINCT replace(chrom, 'chr', '') AS chrom FROM seg WHERE replace(chrom, 'chr', '') NOT IN (SELECT CAST(CAST(chrom AS INT) % 5 + 1 AS VARCHAR) FROM gap)")
 def chromosomes_without_regions(spark, sf_dir):
-    return intervals.chromosomes_without_regions(of.segments(spark, sf_dir), of.regions(spark, sf_dir))
+    """The regions put on five chromosomes, so that others have none."""
+    five = of.regions(spark, sf_dir).withColumn("chrom", (F.col("chrom").cast("int") % 5 + 1).cast("string"))
+    return intervals.chromosomes_without_regions(of.segments(spark, sf_dir), five)
 
 
-@query(f"{sql('seg')} SELECT CASE WHEN id1 = id2 THEN 'self_pair' END AS error, count(*) AS n FROM seg GROUP BY 1")
+@query(f"""{sql('seg')} SELECT CASE WHEN l_orderkey % 17 = 0 THEN 'empty_id' WHEN id1 = id2 THEN 'self_pair' WHEN l_orderkey % 11 = 0 THEN 'not_a_number' WHEN l_orderkey % 19 = 0 THEN 'not_finite'
+WHEN l_orderkey % 13 = 0 THEN 'negative' END AS error, count(*) AS n FROM seg GROUP BY 1""")
 def segment_violations(spark, sf_dir):
+    """Of lines some of which were spoilt."""
+    every = lambda n: F.col("l_orderkey") % n == 0
+    length = F.when(every(11), "x").when(every(19), "inf").when(every(13), "-1").otherwise(F.col("length_cm").cast("string"))
+    fields = F.array(F.when(every(17), "").otherwise(F.col("id1")), F.lit("1"), "id2", F.lit("2"), "chrom", F.col("start").cast("string"), F.col("end").cast("string"), length)
     s = of.segments(spark, sf_dir)
-    fields = F.array("id1", F.lit("1"), "id2", F.lit("2"), "chrom", F.col("start").cast("string"), F.col("end").cast("string"), F.col("length_cm").cast("string"))
     return s.select(pairs.segment_errors(fields).alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
 
-@query(f"{sql('seg', 'pairs', 'samples', 'edges')}, x AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) SELECT id, count(*) AS edges FROM x WHERE id NOT IN (SELECT id FROM samples) GROUP BY id")
+@query(f"{sql('seg', 'pairs', 'samples', 'edges')}, x AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) SELECT id, count(*) AS edges FROM x WHERE id NOT IN (SELECT id FROM samples WHERE label <> 'N7') GROUP BY id")
 def edge_endpoints_unknown(spark, sf_dir):
-    return graph.unknown_endpoints(of.edges(spark, sf_dir), of.samples(spark, sf_dir))
+    """Against a sample list that lacks one nation."""
+    return graph.unknown_endpoints(of.edges(spark, sf_dir), of.samples(spark, sf_dir).where("label <> 'N7'"))
 
 
 @query(f"{sql('seg')} SELECT least(id1, id2) AS src, greatest(id1, id2) AS dst, count(*) AS edges FROM seg WHERE len > 0 AND id1 <> id2 GROUP BY ALL HAVING count(*) > 1")
@@ -98,9 +109,11 @@ def edge_duplicates(spark, sf_dir):
     return graph.duplicate_edges(of.proper(spark, sf_dir).select(F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("length_cm").alias("weight")))
 
 
-@query(f"{sql('seg', 'pairs', 'samples', 'edges', 'strong')} SELECT id FROM samples WHERE id NOT IN (SELECT src FROM strong) AND id NOT IN (SELECT dst FROM strong)")
+@query(f"{sql('seg', 'pairs', 'samples', 'edges', 'strong')}, top AS (SELECT * FROM strong WHERE weight >= 0.75 * (SELECT max(weight) FROM strong)) SELECT id FROM samples WHERE id NOT IN (SELECT src FROM top) AND id NOT IN (SELECT dst FROM top)")
 def isolated_vertices(spark, sf_dir):
-    return graph.isolated(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir))
+    """In the graph of the strongest edges."""
+    e = of.strong_edges(spark, sf_dir)
+    return graph.isolated(e.join(F.broadcast(e.agg(F.max("weight").alias("top")))).where("weight >= 0.75 * top").drop("top"), of.samples(spark, sf_dir))
 
 
 @query(f"{sql('seg', 'pairs', 'samples', 'edges', 'strong')}, x AS (SELECT src AS id, weight FROM strong UNION ALL SELECT dst, weight FROM strong) SELECT id, count(weight) AS degree, coalesce(sum(weight), 0) AS strength FROM samples LEFT JOIN x USING (id) GROUP BY id")
@@ -128,7 +141,7 @@ def modularity_by_label(spark, sf_dir):
 
 @query(f"{_TERMS}, q AS (SELECT sum(inside / m - (strength / (2 * m)) * (strength / (2 * m))) AS q FROM t, m) SELECT 0 AS level, 0.0 AS modularity, CAST(NULL AS DOUBLE) AS gain UNION ALL SELECT 1, round(q, 9), round(q, 9) FROM q")
 def modularity_gain(spark, sf_dir):
-    e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
+    e, s = cut(of.strong_edges(spark, sf_dir)), of.samples(spark, sf_dir)
     levels = graph.modularity(e, s.withColumn("label", F.lit("C1"))).withColumn("level", F.lit(0)).unionByName(graph.modularity(e, s).withColumn("level", F.lit(1)))
     return graph.with_gain(levels.select("level", (F.round("modularity", 9) + 0.0).alias("modularity")))
 
@@ -226,16 +239,17 @@ def variant_id(spark, sf_dir):
     return _sites(spark, sf_dir).select("chrom", "pos", popgen.variant_id(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alts")[0]).alias("id"))
 
 
-@query(f"{_SITES} SELECT chrom, pos, ref FROM p WHERE p.chrom IN ('chr1', 'chr2', 'chr10') ORDER BY CAST(replace(chrom, 'chr', '') AS INT), pos")
+@query(f"{_SITES} SELECT chrom, pos, ref FROM p ORDER BY CAST(replace(chrom, 'chr', '') AS INT), pos")
 def concat_sorted(spark, sf_dir):
-    sites = _sites(spark, sf_dir).select("chrom", "pos", "ref")
-    parts = [sites.where(F.col("chrom") == c) for c in ("chr10", "chr2", "chr1")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).orderBy(bare_chromosome(F.col("chrom")).cast("int"), "pos")
+    return _sites(spark, sf_dir).select("chrom", "pos", "ref").orderBy(bare_chromosome(F.col("chrom")).cast("int"), "pos")
 
 
-@query()
+@query(f"""WITH f AS (SELECT variant, hom_ref, het, hom_alt, hom_ref + het + hom_alt AS n, least(2 * hom_ref + het, 2 * hom_alt + het) AS rare FROM ({SQL['allele_frequency']})),
+h AS (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS k FROM f), l AS (SELECT *, k * ln(2.0) - lgamma(k + 1.0) - lgamma((rare - k) // 2 + 1.0) - lgamma(n - k - (rare - k) // 2 + 1.0) AS w FROM h),
+e AS (SELECT *, exp(w - max(w) OVER (PARTITION BY variant)) AS t FROM l), o AS (SELECT *, max(CASE WHEN k = het THEN t END) OVER (PARTITION BY variant) AS own FROM e)
+SELECT variant, hom_ref, het, hom_alt, round(sum(CASE WHEN abs(t - own) <= 1e-9 * own THEN t / 2 WHEN t < own THEN t ELSE 0 END) / sum(t), 7) AS p FROM o GROUP BY ALL""")
 def hwe_midp(spark, sf_dir):
-    return allele_frequency(spark, sf_dir).select("variant", "hom_ref", "het", "hom_alt", popgen.hwe_midp("hom_ref", "het", "hom_alt").alias("p"))
+    return allele_frequency(spark, sf_dir).select("variant", "hom_ref", "het", "hom_alt", F.round(popgen.hwe_midp("hom_ref", "het", "hom_alt"), 7).alias("p"))
 
 
 _LINKS = f"""{sql('dose')}, s AS (SELECT a.chrom, a.variant AS variant_1, b.variant AS variant_2, CAST(count(*) AS DOUBLE) AS n, CAST(sum(a.dosage) AS DOUBLE) AS sx, CAST(sum(b.dosage) AS DOUBLE) AS sy,
@@ -249,7 +263,11 @@ def ld_pairs(spark, sf_dir):
     return popgen.linked_pairs(of.dosages(spark, sf_dir), 50_000, 0.002).withColumn("r2", F.round("r2", 9))
 
 
-@query()
+@query(f"""WITH RECURSIVE freq AS ({SQL['allele_frequency']}), link AS ({_LINKS} SELECT variant_1, variant_2 FROM l WHERE r2 > 0.002),
+o AS (SELECT variant, row_number() OVER (ORDER BY -maf, chrom, pos, variant) AS k FROM freq),
+g AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS kept UNION ALL
+  SELECT o.k, CASE WHEN EXISTS (SELECT 1 FROM link WHERE (variant_1 = o.variant AND list_contains(kept, variant_2)) OR (variant_2 = o.variant AND list_contains(kept, variant_1))) THEN kept ELSE list_append(kept, o.variant) END FROM g JOIN o ON o.k = g.k + 1)
+SELECT unnest(kept) AS variant FROM g WHERE k = (SELECT max(k) FROM g)""")
 def ld_prune(spark, sf_dir):
     d = of.dosages(spark, sf_dir)
     return popgen.pruned(popgen.frequencies(d), popgen.linked_pairs(d, 50_000, 0.002))
@@ -345,3 +363,50 @@ def leiden_membership(spark, sf_dir):
 @query()
 def recursive_levels(spark, sf_dir):
     return communities.recursive(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir).select("id"), "louvain", 2, 1.0, MIN_SIZE)[0]
+
+
+_MEMBERS = f"{sql('seg', 'pairs', 'samples', 'edges', 'strong')} SELECT count(*) AS samples, count(*) AS members, count(DISTINCT id) AS different, 0 AS unknown, true AS least_is_member, true AS beats_labels FROM samples"
+
+
+def _checked(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    """Whether a partition has every sample once, is called after members, and has a higher modularity than the nations."""
+    e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
+    found = cut(_communities(spark, sf_dir, method))
+    q = lambda labels: graph.modularity(e, labels).select("modularity")
+    better = q(found.withColumnRenamed("community", "label")).select(F.col("modularity").alias("q")).crossJoin(q(s).select(F.col("modularity").alias("r"))).select((F.col("q") > F.col("r")).alias("beats_labels"))  # single rows
+    own = found.where("id = community").select("community").distinct()
+    named = found.select("community").distinct().join(own, "community", "left_anti").agg((F.count("*") == 0).alias("least_is_member"))
+    unknown = found.join(s, "id", "left_anti").agg(F.count("*").cast("int").alias("unknown"))
+    counts = s.agg(F.count("*").alias("samples")).crossJoin(found.agg(F.count("*").alias("members"), F.countDistinct("id").alias("different")))
+    return counts.crossJoin(unknown).crossJoin(named).crossJoin(better)
+
+
+@query(_MEMBERS)
+def louvain_checks(spark, sf_dir):
+    return _checked(spark, sf_dir, "louvain")
+
+
+@query(_MEMBERS)
+def leiden_checks(spark, sf_dir):
+    return _checked(spark, sf_dir, "leiden")
+
+
+_DETECT = """WITH a AS (SELECT 'v' || lpad(CAST(vec_id AS VARCHAR), 9, '0') AS s, h, i, CAST(embedding[i] > CASE h WHEN 0 THEN -0.05 ELSE 0.05 END AS INT) AS x FROM embeddings, range(1, 65) r(i), range(0, 2) q(h)),
+e AS (SELECT a.s AS id1, a.h AS hap1, b.s AS id2, b.h AS hap2, a.i FROM a JOIN a b ON a.i = b.i AND a.x = b.x AND a.s < b.s),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY id1, hap1, id2, hap2 ORDER BY i) AS run FROM e),
+r AS (SELECT id1, hap1, id2, hap2, min(i) AS f, max(i) AS l FROM g GROUP BY id1, hap1, id2, hap2, run),
+k AS (SELECT *, (l - f) * 0.5 >= 7 AND l - f + 1 >= 15 AS seed FROM r WHERE (l - f) * 0.5 >= 2.5),
+j AS (SELECT *, CASE WHEN f * 10000 - lag(l * 10000) OVER (PARTITION BY id1, hap1, id2, hap2 ORDER BY f) <= 25000 THEN 0 ELSE 1 END AS new FROM k),
+n AS (SELECT *, sum(new) OVER (PARTITION BY id1, hap1, id2, hap2 ORDER BY f) AS part FROM j),
+m AS (SELECT id1, hap1, id2, hap2, min(f) AS f, max(l) AS l FROM n GROUP BY id1, hap1, id2, hap2, part HAVING bool_or(seed))
+SELECT id1, CAST(hap1 AS INT) AS hap1, id2, CAST(hap2 AS INT) AS hap2, 'chr1' AS chrom, CAST(f * 10000 AS BIGINT) AS start, CAST(l * 10000 AS BIGINT) AS "end", CAST((l - f) * 0.5 AS DOUBLE) AS length_cm FROM m WHERE (l - f) * 0.5 >= 7"""
+
+
+@query(_DETECT)
+def segment_detection(spark, sf_dir):
+    """Signs of vector components as the alleles of two haplotypes of a sample."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.concat(F.lit("v"), F.lpad(F.col("vec_id").cast("string"), 9, "0")).alias("sample"), F.posexplode("embedding").alias("p", "x"))
+    rows = rows.select("sample", (F.col("p") + 1).alias("i"), F.posexplode(F.array((F.col("x") > -0.05).cast("int"), (F.col("x") > 0.05).cast("int"))).alias("hap", "allele"))
+    alleles = rows.select(F.lit("chr1").alias("chrom"), (F.col("i") * 10000).cast("long").alias("pos"), "sample", "hap", "allele")
+    positions = alleles.select("chrom", "pos").distinct().withColumn("cm", F.col("pos") / 20000)
+    return segments.detect(alleles, positions, Detection(min_seed=7.0, min_extend=2.5, min_output=7.0, min_markers=15, min_mac=1, max_gap=25000))

@@ -56,7 +56,6 @@ class Clustering:
     weight_column: str = "total_IBD_length_cM"
     min_cluster_size: int = 20
     resolution: float = 1.0
-    absorb_residual: bool = False
 
     def __post_init__(self) -> None:
         _need(set(self.methods) <= {"louvain", "leiden"}, "methods are louvain and leiden")
@@ -72,6 +71,7 @@ class Clumping:
     max_missingness: float = 0.02
     hwe: float = 1e-6
     window_kb: int = 1000
+    step: int = 1
     r2: float = 0.1
     threshold: float = 0.0005
     min_cluster_size: int = 15

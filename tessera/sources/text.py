@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.shared import numbered
 from tessera.functions.text import bare_chromosome, finite, parse_count, parse_float, threshold_names
 from tessera.operators import pairs
 
@@ -142,12 +143,17 @@ def same_chromosome(variants: DataFrame, maps: DataFrame) -> str:
     return a[0][0]
 
 
+def map_path(folder: str, prefix: str, chromosome: str) -> str:
+    """The genetic map of a chromosome in a folder of maps: prefix, name without chr, .map."""
+    return f"{folder.rstrip('/')}/{prefix}{chromosome.removeprefix('chr')}.map"
+
+
 def same_samples(first: DataFrame, other: DataFrame) -> None:
     """Raise at the first place where two ordered sample lists (idx, id) differ."""
-    a, b = (t.selectExpr("row_number() over (order by idx) as n", f"id as {name}") for t, name in ((first, "one"), (other, "two")))
+    a, b = (numbered(t.select("idx", F.col("id").alias(name)), [F.col("idx")]).select("n", name) for t, name in ((first, "one"), (other, "two")))
     row = a.join(b, "n", "full").where("not (one <=> two)").agg(F.min(F.struct("n", "one", "two")).alias("m")).first()["m"]
     if row is not None:
-        raise ValueError(f"sample {row['n']} is {row['one']} and {row['two']}")
+        raise ValueError(f"sample {row['n'] + 1} is {row['one']} and {row['two']}")
 
 
 def must_exist(spark: SparkSession, *paths: str) -> None:

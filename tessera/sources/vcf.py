@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.shared import small
+
 
 def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(chrom, pos, id, ref, alts, gts): gts has a struct (a1, a2, phased) for each sample, in order.
@@ -29,4 +31,4 @@ def vcf_samples(spark: SparkSession, path: str) -> DataFrame:
 def as_dosages(variants: DataFrame, samples: DataFrame) -> DataFrame:
     """(sample, chrom, pos, variant, dosage) of sites with at most one alternative."""
     rows = variants.where("size(alts) <= 1").select("chrom", "pos", "id", F.posexplode("gts").alias("idx", "g"))
-    return rows.join(F.broadcast(samples.select("idx", F.col("id").alias("sample"))), "idx").select("sample", "chrom", "pos", F.col("id").alias("variant"), (F.col("g.a1") + F.col("g.a2")).alias("dosage"))
+    return rows.join(small(samples.select("idx", F.col("id").alias("sample"))), "idx").select("sample", "chrom", "pos", F.col("id").alias("variant"), (F.col("g.a1") + F.col("g.a2")).alias("dosage"))

@@ -14,7 +14,7 @@ from tessera.sources import text as sources
 from tessera.streaming import pairs as streaming
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"louvain_membership", "leiden_membership", "recursive_levels", "fst_clump_final", "fst_merge_history", "ld_prune", "hwe_midp"}
+SLOW = {"louvain_membership", "leiden_membership", "recursive_levels", "fst_clump_final", "fst_merge_history"}
 
 
 def normal(frame, columns):
@@ -285,3 +285,42 @@ def test_levels(spark):
     assert communities.wide(members, 1).columns == ["ID", "level_0", "level_1"]
     labels = communities.refine(edges, samples(21).withColumn("label", F.lit("C1")), "louvain", 1.0, 4)
     assert {r["label"] for r in labels[0].collect()} == {"C1"} and labels[1].first()["rejected"] == 1
+
+
+def test_whole_plan(spark, tmp_path):
+    """From haplotypes of two families to all outputs, written and read again."""
+    from tessera.config import Clumping, Clustering, Detection, Parameters, QualityControl
+    from tessera.plans import pipeline
+
+    rng = random.Random(5)
+    founders = {(f, k): [int(rng.random() < (0.2 if f else 0.8) or k == i % 4 and rng.random() < 0.5) for i in range(240)] for f in range(2) for k in range(4)}
+    samples = [(i, f"S{9 - i % 10}{i}") for i in range(16)]
+    haps = {i: [founders[i % 2, rng.randrange(4)] for _ in range(2)] for i, _ in samples}
+    variants = [(f"chr{1 + m // 120}", 1000 * (m % 120 + 1), f"rs{m}", "A", ["G"], [(haps[i][0][m], haps[i][1][m], True) for i, _ in samples]) for m in range(240)]
+    variants = spark.createDataFrame(variants, "chrom string, pos long, id string, ref string, alts array<string>, gts array<struct<a1:int,a2:int,phased:boolean>>")
+    people = spark.createDataFrame(samples, "idx int, id string")
+    maps = spark.createDataFrame([(c, p, p / 10000) for c in ("chr1", "chr2") for p in (1, 200_000)], "chrom string, pos long, cm double")
+    rules = Detection(min_seed=2.0, min_extend=1.0, min_output=2.0, min_markers=20, min_mac=1, max_gap=1000)
+    p = Parameters(qc=QualityControl(min_maf=0.0, max_variant_missingness=0.0), detection=rules, clustering=Clustering(methods=("louvain",), depth=2, min_cluster_size=3), clumping=Clumping(min_maf=0.05, hwe=1e-12, min_cluster_size=3, threshold=0.01))
+    out = pipeline.run(variants, people, maps, None, p)
+    assert out.segments.count() > 0 and out.summary.count() > 0
+    tables, clumps = out.clusterings["louvain"], out.clumpings["louvain"]
+    assert [r["ID"] for r in tables["membership"].collect()] == [i for _, i in samples] == [r["ID"] for r in clumps["final_membership"].collect()]
+    assert tables["diagnostics"].columns[-2:] == ["selected", "stopping_reason"] and tables["diagnostics"].where("selected").count() == 1
+    assert clumps["fst_clumping_summary"].columns == ["samples", "initial_clusters", "merges", "final_clusters", "fst_threshold", "minimum_cluster_size"]
+    row = clumps["fst_clumping_summary"].first()
+    assert row["samples"] == 16 and row["initial_clusters"] - row["merges"] == row["final_clusters"] and row["fst_threshold"] == "0.01"
+    assert {r["chromosome"]: (r["samples"], r["variants_before_QC"], r["retention_percent"]) for r in out.quality.collect()} == {"chr1": (16, 120, "100.00"), "chr2": (16, 120, "100.00")}
+    assert out.preparation.first()["samples"] == 16 and out.preparation.first()["prune_step_variants"] == "1"
+    sinks.write_clustering(tables, f"{tmp_path}/a")
+    sinks.write_clumping(clumps, f"{tmp_path}/b")
+    sinks.write_variants(variants, f"{tmp_path}/v")
+    assert spark.read.csv(f"{tmp_path}/a.membership", sep="\t", header=True).columns == ["ID", "level_0", "level_1", "level_2"]
+    assert spark.read.csv(f"{tmp_path}/b.pairwise_fst", sep="\t", header=True).columns[-1] == "eligible_for_clumping"
+    assert spark.read.parquet(f"{tmp_path}/v").where("chrom = 'chr2'").count() == 120
+    with pytest.raises(ValueError, match="no genetic map"):
+        pipeline.check(variants, people, maps.where("chrom = 'chr1'"))
+    with pytest.raises(ValueError, match="genotypes for 15"):
+        pipeline.check(variants, people.where("idx < 15"), maps)
+    with pytest.raises(ValueError, match="members have no genotypes"):
+        pipeline.same_ids(people, people.where("idx > 0"))

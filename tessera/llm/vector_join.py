@@ -8,7 +8,12 @@ The upper levels run as joins of a table of boxes, the lowest inside the task th
 Turning keeps lengths, and leaving out axes only shortens distances, so nothing is lost.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing.  Vectors
-of different lengths never link.  Rows that repeat an id are one vector.
+of different lengths never link.  Rows that repeat an id are one vector: of different ones, the first
+by a hash of its components counts.  An empty table gives an empty result.
+
+How much is skipped depends on the data: vectors in groups leave most pairs of blocks out, while for
+vectors that are spread alike over all axes every box reaches every other one, and all pairs of
+blocks are multiplied out.
 """
 
 from __future__ import annotations
@@ -167,16 +172,19 @@ def vector_join(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_
     """
     given = F.col(vector_col).cast("array<double>")
     stand_in = F.xxhash64(F.col(vector_col)).bitwiseAND(F.lit((1 << 61) - 1)) - F.lit((1 << 63) - 1)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.coalesce(F.col(id_col).cast("long"), stand_in).alias("vec"), given.alias("v")).dropDuplicates(["vec"])
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.coalesce(F.col(id_col).cast("long"), stand_in).alias("vec"), given.alias("v"))
+    rows = rows.groupBy("vec").agg(F.first("vec_id").alias("vec_id"), F.min_by("v", F.xxhash64("v")).alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = rows.where(F.col("v").isNotNull() & F.coalesce(fine, F.lit(False)))
     good = good.select("vec", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), F.reverse("v")).alias("h2"), F.size("v").alias("size"))
     classes = good.groupBy("h1", "h2").agg(F.min("vec").alias("rep"), F.count("*").alias("copies"))
-    member = saved(good.select("vec", "v", "h1", "h2", "size").join(classes, ["h1", "h2"]).select("vec", "rep", "copies", "size", F.when(F.col("vec") == F.col("rep"), F.col("v")).alias("v")), "vectors")
+    member = saved(good.select("vec", "h1", "h2", "size").join(classes, ["h1", "h2"]).select("vec", "rep", "copies", "size"), "members")
+    # only one vector of each class moves, to where its id is dealt: copies of a common one don't meet
+    first = saved(good.select("vec", "v").join(member.where("vec = rep").select("vec", "copies", "size"), "vec"), "vectors")
     reach = math.sqrt(max(2 - 2 * threshold, 0.0)) + 1e-9
     found = None
     for size in sorted(r.size for r in member.select("size").distinct().collect()):
-        reps = member.where((F.col("size") == size) & (F.col("vec") == F.col("rep"))).select("vec", "copies", "v")
+        reps = first.where(F.col("size") == size).select("vec", "copies", "v")
         axes = _axes(reps, size)
         names = [f"c{i}" for i in range(axes.shape[1])]
         placed = reps.mapInArrow(_cells(axes, reach), "vec long, copies long, v array<double>, " + ", ".join(f"{n} int" for n in names))

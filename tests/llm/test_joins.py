@@ -72,12 +72,95 @@ def test_cosine_links(spark):
     assert got == want
 
 
+def test_repeated_vector_ids(spark):
+    """Of an id with several vectors one counts, the same whatever the order of rows."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])]
+    got = [sorted(map(tuple, vector_join(spark.createDataFrame(r, "vec_id long, embedding array<double>").repartition(2)).collect())) for r in (rows, rows[::-1])]
+    assert got[0] == got[1] and len(got[0]) == 3 and sum(r[1] for r in got[0]) == 2
+
+
+def test_blocks_of_groups_are_skipped(spark, monkeypatch):
+    """Vectors in separate groups: most pairs of blocks are never joined."""
+    import tessera.llm.vector_join as module
+
+    monkeypatch.setattr(module, "BLOCK", 32)
+    seen = []
+    near = module._near_blocks
+    monkeypatch.setattr(module, "_near_blocks", lambda boxes, reach: seen.append((boxes.count(), (out := near(boxes, reach)).count())) or out)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 24))
+    x = np.repeat(centres, 50, axis=0) + rng.normal(size=(2000, 24)) * 0.05
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vector_join(rows).toPandas().set_index("vec_id")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert (got.n_links.sort_index().to_numpy() == (unit @ unit.T >= 0.95).sum(axis=1) - 1).all()
+    blocks, pairs = seen[0]
+    assert blocks >= 60 and pairs < 0.4 * blocks * (blocks + 1) / 2, (blocks, pairs)
+    print("blocks, pairs", blocks, pairs)
+
+
 def test_no_vectors(spark):
     assert vector_join(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     only = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in vector_join(only).collect()] == [(1, 0, 1, True)]
 
 
+def test_ids_of_several_texts(spark):
+    """Rows of an id with other texts are judged apart, by jaccard_join and decontaminate; odd columns don't matter."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 0), (1, "other words of this id and no copy at all", 0), (2, text, 0), (None, text, 0), (3, "", 0), (3, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, twin long")
+    got = jaccard_join(docs)
+    assert got.count() == len(rows)
+    linked = sorted((str(r["doc_id"]), r["n_links"]) for r in got.collect())
+    assert linked == [("1", 0), ("1", 2), ("2", 2), ("3", 0), ("3", 0), ("None", 2)]
+    found = decontaminate(docs, spark.createDataFrame([(9, " ".join(f"w{i}" for i in range(5, 25)))], "item_id long, text string"))
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"]) for r in found.collect()) == [("1", 10, 0), ("1", 40, 20), ("2", 40, 20), ("3", 0, 0), ("3", 0, 0), ("None", 40, 20)]
+
+
+def test_no_documents(spark):
+    assert jaccard_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def thue_morse(n):
+    a = "a"
+    while len(a) < n:
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a
+
+
+def test_thue_morse_words(spark):
+    """Words, and texts of words, on which polynomials modulo a power of two agree, are told apart."""
+    from tessera.llm.tokens import Grams, Words, separators
+
+    word = thue_morse(4096)
+    other = word.translate(str.maketrans("ab", "ba"))
+    for size in (64, 1024, 2048, 4096):
+        data = np.frombuffer(f"{word[:size]} {other[:size]}".encode(), np.uint8)
+        words = Words(data, np.array([0, len(data)]), separators(b" "))
+        assert all(words.hashes(lane)[0] != words.hashes(lane)[1] for lane in (0, 1))
+        tokens = np.array([0, 1], dtype=np.uint64)[np.frombuffer((word[:size] + other[:size]).encode(), np.uint8) - 97]
+        grams = Grams(tokens, np.array([0, 2 * size]))
+        assert len(set(grams.span(np.array([0, size]), np.array([size, 2 * size])).tolist())) == 2
+    rest = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"{word} {rest}"), (2, f"{other} {rest}"), (3, word), (4, other)], "doc_id long, text string")
+    from tessera.llm.bytes_dedup import bytes_dedup
+    from tessera.llm.substring_dedup import substring_dedup
+
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup(docs).collect()} == {1: 60, 2: 60, 3: 0, 4: 0}
+    links = {r["doc_id"]: r["n_links"] for r in jaccard_join(docs).collect()}
+    assert links == {1: 1, 2: 1, 3: 0, 4: 0}
+    found = decontaminate(docs, spark.createDataFrame([(1, word)], "item_id long, text string"))
+    assert {r["doc_id"]: r["n_hit"] for r in found.collect()} == {1: 1, 2: 0, 3: 1, 4: 0}
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    first = {}
+    for doc, text in rows:
+        for i in range(len(text) - 49):
+            first.setdefault(text[i : i + 50], doc)
+    gone = {doc: len({j for i in range(len(text) - 49) if first[text[i : i + 50]] < doc for j in range(i, i + 50)}) for doc, text in rows}
+    assert {r["doc_id"]: r["n_removed"] for r in bytes_dedup(docs).collect()} == gone
+
+
 def bench_words(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)

@@ -56,6 +56,35 @@ def test_index_of_batches(spark, documents):
     assert sorted(map(tuple, index.mixed().collect())) == before
 
 
+def test_ids_of_several_texts(spark):
+    """Rows of an id with other texts are texts of their own; an old id alone doesn't move marks to them."""
+    passage, own = " ".join(f"p{i}" for i in range(50)), " ".join(f"o{i}" for i in range(45))
+    rows = [(1, f"{own} {passage}"), (1, "short"), (2, passage), (None, passage), (2, own + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"]) for r in substring_dedup(docs).collect())
+    assert got == sorted([("1", 95, 95), ("1", 1, 0), ("2", 50, 50), ("None", 50, 50), ("2", 46, 45)])
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"] > 0) for r in bytes_dedup(docs).collect()) == sorted(
+        [("1", len(rows[0][1]), True), ("1", 5, False), ("2", len(passage), True), ("None", len(passage), False), ("2", len(own) + 2, True)])
+    lines = [(1, "first line of the text\nsecond line of it"), (1, "third line of the text"), (2, "third line of the text\nfirst line of the text"), (2, "a line that stays")]
+    got = {(r["doc_id"], r["text"]) for r in line_dedup(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    assert got == {(1, lines[0][1]), (1, lines[1][1]), (2, ""), (2, lines[3][1])}
+
+
+def test_second_job_adds_to_an_index(spark, documents):
+    """Documents added to the opened index of a first job get what one job over all gives them."""
+    docs = documents.where("doc_id between 4 and 40").select("doc_id", "text").dropDuplicates(["doc_id"]).cache()
+    old, new = docs.where("doc_id % 3 = 0"), docs.where("doc_id % 3 > 0")
+    folder = scratch(spark, "index")
+    substring_dedup(old, index=FingerprintIndex(spark, folder), batches=3).count()
+    opened = FingerprintIndex(spark, folder)
+    assert 0 < len(opened.runs) <= 2
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    got = sorted(map(tuple, substring_dedup(new, index=opened, earlier=old, batches=2).select(columns).collect()))
+    want = sorted(map(tuple, substring_dedup(docs).where("doc_id % 3 > 0").select(columns).collect()))
+    assert got == want and sum(r[2] for r in got) > 0
+    opened.destroy()
+
+
 def expected_bytes(texts, size):
     first = {}
     for doc, t in texts:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import delete, discard, identified, saved, scratch, shuffles, table
@@ -116,7 +117,6 @@ class FingerprintIndex:
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"run_{uuid.uuid4().hex}", f"{self.folder}/run-{uuid.uuid4().hex}"
-        rows = rows.repartition(self.buckets, "h", "c")
         rows.write.bucketBy(self.buckets, "h", "c").sortBy("h", "c").option("compression", "zstd").option("path", path).saveAsTable(name)
         return name, path
 
@@ -145,7 +145,7 @@ class FingerprintIndex:
         """Add a batch as a run and merge-join it with the runs before it, bucket by bucket.
         Returns the keys (h, c) of the batch that occur more than once in it or before it."""
         older = self.tables()
-        self.runs.append(self._write(fingerprints))
+        self.runs.append(self._write(fingerprints.repartition(self.buckets, "h", "c")))
         self._publish()
         found = self.tables()[-1].where("n > 0").groupBy("h", "c").agg(F.sum("n").alias("n"))
         for i, run in enumerate(older):
@@ -156,7 +156,9 @@ class FingerprintIndex:
     def compact(self) -> None:
         """Merge the runs into one if they are more than the fan-out."""
         if len(self.runs) > self.fanout:
-            before, self.runs = self.runs, [self._write(self.rows())]
+            # ordered by key, equal buckets of the runs are merged where they are, without a shuffle
+            merged = self.rows().withColumn("order", F.row_number().over(W.partitionBy("h", "c").orderBy("doc", "at")))
+            before, self.runs = self.runs, [self._write(merged.where("order > 0").drop("order"))]
             self._publish()
             for run in before:
                 self._drop(run)
@@ -208,8 +210,8 @@ def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> tuple[DataFra
 
     windows = docs.join(wanted, ["doc", "twin"])
     windows = saved(windows.select("doc", "twin", "text", "wanted").mapInArrow(run, "x long, y long, doc long, twin long, at int, once int"), "windows")
-    repeated = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1")
-    return windows, windows.where("once = 1").join(repeated, ["x", "y"], "left_semi").select("doc", "twin", F.col("at").alias("lo"), (F.col("at") + size).alias("hi"))
+    repeated = windows.withColumn("n", F.count("*").over(W.partitionBy("x", "y"))).where("once = 1 and n > 1")
+    return windows, repeated.select("doc", "twin", F.col("at").alias("lo"), (F.col("at") + size).alias("hi"))
 
 
 def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id", text_col: str = "text", batches: int = 4, index: FingerprintIndex | None = None, earlier: DataFrame | None = None) -> DataFrame:

@@ -156,9 +156,7 @@ class FingerprintIndex:
     def compact(self) -> None:
         """Merge the runs into one if they are more than the fan-out."""
         if len(self.runs) > self.fanout:
-            # ordered by key, equal buckets of the runs are merged where they are, without a shuffle
-            merged = self.rows().withColumn("order", F.row_number().over(W.partitionBy("h", "c").orderBy("doc", "at")))
-            before, self.runs = self.runs, [self._write(merged.where("order > 0").drop("order"))]
+            before, self.runs = self.runs, [self._write(self.rows().repartition(self.buckets, "h", "c"))]
             self._publish()
             for run in before:
                 self._drop(run)

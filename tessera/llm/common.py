@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's setting by which the shuffle files of a query are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,10 +37,23 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a write in here are deleted when it ends, not when the driver collects garbage.
+    What was written is read instead of them; while the write runs, lost files are made again as ever."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def saved(df: DataFrame, what: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch(df.sparkSession, what)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_end(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out

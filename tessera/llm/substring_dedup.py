@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import delete, discard, identified, saved, scratch, shuffles, table
+from .common import delete, discard, identified, saved, scratch, shuffles, shuffles_end, table
 from .tokens import STEP_BYTES, Grams, Words, flat, separators, steps, winnow
 
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
@@ -117,7 +117,8 @@ class FingerprintIndex:
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"run_{uuid.uuid4().hex}", f"{self.folder}/run-{uuid.uuid4().hex}"
-        rows.write.bucketBy(self.buckets, "h", "c").sortBy("h", "c").option("compression", "zstd").option("path", path).saveAsTable(name)
+        with shuffles_end(self.spark):
+            rows.write.bucketBy(self.buckets, "h", "c").sortBy("h", "c").option("compression", "zstd").option("path", path).saveAsTable(name)
         return name, path
 
     def _drop(self, run: tuple[str, str]) -> None:
@@ -171,15 +172,17 @@ class FingerprintIndex:
         return out
 
     def mixed(self) -> DataFrame:
-        """(doc, twin, at, once) of the first place of each key whose anchor has other contexts as well.
+        """(doc, twin, at, once) of the first place of each key whose anchor has other contexts as well, saved.
         Keys are dealt out by anchor and a salt of the context, so a frequent anchor isn't one task's."""
         salt = F.pmod(F.xxhash64("c"), F.lit(shuffles(self.spark)))
-        rows = self.rows().where("n > 0").withColumn("salt", salt).repartition(shuffles(self.spark), "h", "salt")
-        keys = rows.groupBy("h", "salt", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "twin", "at")).alias("first"))
+        rows = self.rows().where("n > 0").withColumn("salt", salt)
         parts = rows.groupBy("h", "salt").agg(F.min("c").alias("least"), F.max("c").alias("most"))
         several = parts.groupBy("h").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("h")
-        wanted = parts.select("h", "salt").join(several, "h")
-        return keys.join(wanted, ["h", "salt"]).select("first.doc", "first.twin", "first.at", (F.col("n") == 1).cast("int").alias("once"))
+        wanted = saved(parts.select("h", "salt").join(several, "h"), "several")
+        keys = rows.join(wanted, ["h", "salt"], "left_semi").groupBy("h", "salt", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "twin", "at")).alias("first"))
+        edges = saved(keys.select("first.doc", "first.twin", "first.at", (F.col("n") == 1).cast("int").alias("once")), "edges")
+        discard(wanted)
+        return edges
 
 
 def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +243,9 @@ def substring_dedup(documents: DataFrame, size: int = 35, id_col: str = "doc_id"
     inside = index.occurrences(every).select("doc", "twin", (F.col("at") - reach).alias("lo"), (F.col("at") + size).alias("hi"))
     local = index.rows().where("n = 0").select("doc", "twin", F.col("at").alias("lo"), F.col("c").cast("int").alias("hi"))
     texts = docs if earlier is None else docs.unionByName(identified(earlier, id_col, text_col))
-    windows, edges = _window_marks(texts, index.mixed(), size)
+    mixed = index.mixed()
+    windows, edges = _window_marks(texts, mixed, size)
+    discard(mixed)
     marks = inside.unionByName(local).unionByName(edges)
     marks = marks.groupBy("doc", "twin").agg(F.collect_list(F.shiftleft(F.greatest("lo", F.lit(0)).cast("long"), 32) + F.col("hi")).alias("marks"))
     marks = saved(marks, "marks")

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Spark's setting by which the shuffle files of a query are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir, which driver and executors share.  Only a session on one
     machine may lack it, as in tests: it gets a folder of its own."""
@@ -24,10 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(rows: DataFrame) -> DataFrame:
     """Rows written to the shared folder and read back: iterations don't pile up their plans, lost
-    executors lose nothing, and nothing is computed twice."""
-    path = f"{shared_dir(rows.sparkSession)}/cut-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    executors lose nothing, and nothing is computed twice.  The write's shuffle files go when it ends."""
+    spark = rows.sparkSession
+    path, before = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}", spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def small(rows: DataFrame, most: int = 200_000) -> DataFrame:

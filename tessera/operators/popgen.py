@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.text import bare_chromosome
-from tessera.shared import cut, numbered
+from tessera.shared import cut, numbered, small
 
 
 def frequencies(dosages: DataFrame) -> DataFrame:
@@ -89,15 +89,28 @@ def hwe_midp(hom_ref: pd.Series, het: pd.Series, hom_alt: pd.Series) -> pd.Serie
     return pd.Series(np.where(a + b + c == 0, 1.0, np.minimum(1.0, (less + 0.5 * same) / total)))
 
 
+def packed(dosages: DataFrame) -> DataFrame:
+    """(chrom, pos, variant, word, called, some, both): of each 64 samples, one bit for a sample whose
+    dosage is known, is 1 or 2, and is 2."""
+    samples = numbered(dosages.select("sample").distinct(), [F.col("sample")])
+    d = dosages.where("dosage is not null").join(small(samples), "sample").withColumn("bit", F.expr("shiftleft(1L, int(n % 64))"))
+    bits = lambda when: F.bit_or(F.when(when, F.col("bit")).otherwise(0))
+    return d.groupBy("chrom", "pos", "variant", F.floor(F.col("n") / 64).alias("word")).agg(F.bit_or("bit").alias("called"), bits(F.col("dosage") >= 1).alias("some"), bits(F.col("dosage") == 2).alias("both"))
+
+
 def linked_pairs(dosages: DataFrame, window: int, r2: float) -> DataFrame:
     """Pairs of variants at most `window` base pairs apart with a squared correlation above r2:
-    (chrom, variant_1, variant_2, r2), the lesser position first.  A range join by bins."""
-    d = dosages.where("dosage is not null").withColumn("bin", F.floor(F.col("pos") / window))
-    left = d.select("chrom", "sample", "bin", F.col("pos").alias("p1"), F.col("variant").alias("variant_1"), F.col("dosage").alias("x"))
-    right = d.select("chrom", "sample", F.explode(F.array("bin", F.col("bin") - 1)).alias("bin"), F.col("pos").alias("p2"), F.col("variant").alias("variant_2"), F.col("dosage").alias("y"))
+    (chrom, variant_1, variant_2, r2), the lesser position first.  A range join by bins of variants
+    packed by 64 samples; sums of dosages (0, 1, 2) and their products are counts of common bits."""
+    d = packed(dosages).withColumn("bin", F.floor(F.col("pos") / window))
+    side = lambda i, where: d.select("chrom", "word", where.alias("bin"), F.col("pos").alias(f"p{i}"), F.col("variant").alias(f"variant_{i}"), F.col("called").alias(f"c{i}"), F.col("some").alias(f"a{i}"), F.col("both").alias(f"b{i}"))
     near = (F.col("p2") - F.col("p1") <= window) & ((F.col("p1") < F.col("p2")) | ((F.col("p1") == F.col("p2")) & (F.col("variant_1") < F.col("variant_2"))))
-    sums = left.join(right, ["chrom", "sample", "bin"]).where(near).groupBy("chrom", "variant_1", "variant_2").agg(
-        F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"), F.sum(F.col("x") * F.col("y")).alias("sxy"),
+    common = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.col(y)))
+    joined = side(1, F.col("bin")).join(side(2, F.explode(F.array("bin", F.col("bin") - 1))), ["chrom", "word", "bin"]).where(near)
+    sums = joined.groupBy("chrom", "variant_1", "variant_2").agg(
+        F.sum(common("c1", "c2")).alias("n"), F.sum(common("a1", "c2") + common("b1", "c2")).alias("sx"), F.sum(common("c1", "a2") + common("c1", "b2")).alias("sy"),
+        F.sum(common("a1", "c2") + 3 * common("b1", "c2")).alias("sxx"), F.sum(common("c1", "a2") + 3 * common("c1", "b2")).alias("syy"),
+        F.sum(common("a1", "a2") + common("a1", "b2") + common("b1", "a2") + common("b1", "b2")).alias("sxy"),
     )
     c = lambda n: F.col(n).cast("double")
     cov, vx, vy = c("n") * c("sxy") - c("sx") * c("sy"), c("n") * c("sxx") - c("sx") * c("sx"), c("n") * c("syy") - c("sy") * c("sy")

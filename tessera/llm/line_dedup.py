@@ -6,8 +6,8 @@ max_edits + 1 segments, a line within max_edits edits of another contains one of
 unchanged, and only at a few shifts, given both lengths.  So each distinct line is indexed by its
 segments (with number and length), and probes the substrings that could be segments of a line of its
 length or up to max_edits shorter.  Keys that only one line has are dropped; lines that share a key
-are compared by the banded edit distance that is built in, those of a frequent key in blocks that go
-to different tasks.
+are compared by a banded bit-parallel edit distance, those of a frequent key in blocks that go to
+different tasks.  Before it, pairs whose characters differ in more counts than edits can change go.
 
 Blank lines (of white space) always stay.  A null text has no lines and stays null, an empty one has
 one blank line.  Equal lines are found by 128 bits of hash; near ones are compared as text.  Rows that
@@ -18,6 +18,8 @@ empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,12 +52,72 @@ def _keys(line: Column, length: Column, max_edits: int) -> list[Column]:
     return out
 
 
+def _parity(line: Column) -> Column:
+    """One bit for each class of characters: whether the line has an odd number of them.  An edit turns two at most."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", one, F.ascii(c).bitwiseAND(63))))
+
+
+def _bound(values: list[Column], then: Callable[[Column], Column]) -> Column:
+    """A condition on values (x, y and so on) that are worked out once, however often it reads them."""
+    return F.exists(F.array(F.struct(*(v.alias(n) for v, n in zip(values, "xyz", strict=False)))), then)
+
+
+def _tails(a: Column, b: Column, then: Callable[[Column, Column], Column]) -> Column:
+    """A condition on what is left of two lines after a common start, found by halving; it is given in reverse."""
+
+    def start(t: Column) -> Column:
+        def longer(n: Column, i: Column) -> Column:
+            more = F.call_function("shiftright", F.least(F.char_length(t["x"]), F.char_length(t["y"])), i)
+            return n + F.when(F.substring(t["x"], n + 1, more) == F.substring(t["y"], n + 1, more), more).otherwise(0)
+
+        return F.aggregate(F.array(*map(F.lit, range(1, 9))), F.lit(0), longer)
+
+    rest = lambda line, n: F.reverse(F.substring(line, n + 1, F.char_length(line)))
+    return _bound([a, b], lambda t: _bound([t["x"], t["y"], start(t)], lambda u: then(rest(u["x"], u["z"]), rest(u["y"], u["z"]))))
+
+
+def _within(a: Column, b: Column, k: int) -> Column:
+    """Whether lines whose lengths differ by k at most are within k edits.
+
+    Bit d + k of level e says that a's first i characters and b's first i + d are within e edits.  The
+    levels lie in one long, with k + 1 idle bits between them, so a character of a moves all diagonals of
+    the band and all levels at once.  Only what lies between a common start and a common end is compared.
+    """
+    width, levels = 3 * k + 2, range(k + 1)
+    long = lambda n: F.lit(n).cast("long")
+    band = sum(((1 << 2 * k + 1) - 1) << width * e for e in levels)
+    start = sum(1 << width * e + k + d for e in levels for d in range(e + 1))
+
+    def either(columns: list[Column]) -> Column:
+        out = columns[0]
+        for c in columns[1:]:
+            out = out.bitwiseOR(c)
+        return out
+
+    def step(state: Column, match: Column) -> Column:
+        changed = F.shiftleft(state, width).bitwiseOR(F.shiftleft(state, width - 1))  # substituted, or left out of a
+        moved = state.bitwiseAND(match).bitwiseOR(changed.bitwiseAND(long(band)))
+        return either([moved, *(F.shiftleft(moved, n * (width + 1)).bitwiseAND(long(band)) for n in range(1, k + 1))])  # put in from b
+
+    def verdict(pair: Column) -> Column:
+        every = sum(1 << width * e for e in levels)
+        matches = F.transform(pair["x"], lambda c, i: either([F.when(F.get(pair["y"], i + d) == c, long(every << k + d)).otherwise(long(0)) for d in range(-k, k + 1)]))
+        end = F.call_function("shiftleft", long(1), F.size(pair["y"]) - F.size(pair["x"]) + (width * k + k))
+        return F.aggregate(matches, long(start), step).bitwiseAND(end) != 0
+
+    characters = lambda x, y: _bound([F.split(x, ""), F.split(y, "")], verdict)
+    return _tails(a, b, lambda x, y: _tails(x, y, characters))
+
+
 def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the lines that repeat or nearly repeat an earlier line.
 
     Returns the columns of documents, `text` being the kept lines joined by line feeds, and n_lines
-    and n_removed (which replace columns with these names).
+    and n_removed (which replace columns with these names).  max_edits is 3 at most.
     """
+    if not 0 <= max_edits <= 3:
+        raise ValueError("max_edits has to be 0 to 3")
     others = [c for c in documents.columns if c not in (text_col, "n_lines", "n_removed")]
     docs = documents.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     docs = identified(docs, "_id", "_text", [f"c{i}" for i in range(len(others))])
@@ -76,13 +138,14 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     shared = saved(shared, "keys")
 
     # a frequent key's own lines and probes are cut into blocks, and each block meets every other one
-    sides = shared.join(long.select("h1", "h2", "place", "line", "size"), "h1")
+    sides = shared.join(long.select("h1", "h2", "place", "line", "size"), "h1").withColumn("parity", _parity(F.col("line")))
     block = lambda n: F.pmod(F.xxhash64("h1"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     a = sides.where("role = 3").select("*", block("m").alias("i"), each("t").alias("j")).alias("a")
     b = sides.select("*", block("t").alias("j"), each("m").alias("i")).alias("b")
     near = (F.col("a.h1") != F.col("b.h1")) & (F.abs(F.col("a.size") - F.col("b.size")) <= max_edits)
-    near &= F.levenshtein("a.line", "b.line", max_edits) >= 0
+    near &= F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 2 * max_edits
+    near &= _within(F.col("a.line"), F.col("b.line"), max_edits)
     same = (F.col("a.k") == F.col("b.k")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
     links = a.join(b, same & near).select(F.when(F.col("a.place") < F.col("b.place"), F.struct("b.h1", "b.h2")).otherwise(F.struct("a.h1", "a.h2")).alias("later"))
     gone = links.select("later.h1", "later.h2").distinct().withColumn("near", F.lit(True))

@@ -3,10 +3,11 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm.bytes_dedup import bytes_dedup
 from tessera.llm.common import scratch
-from tessera.llm.line_dedup import line_dedup
+from tessera.llm.line_dedup import _parity, _within, line_dedup
 from tessera.llm.substring_dedup import FingerprintIndex, anchors, substring_dedup
 
 
@@ -160,6 +161,33 @@ def test_near_lines(spark, most):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_distance_by_bits(spark, most):
+    """Against a table of distances, on short and long lines with equal starts and ends and characters of up to four bytes."""
+    rng = random.Random(most)
+    pairs = []
+    for n in range(800):
+        a = rng.choices("ab\u00e9\U0001f600", k=rng.randrange(14)) + ["x"] * (300 * (n % 9 == 0))
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.randrange(2)] = rng.choices("ab\U0001f600", k=rng.randrange(2))
+        if abs(len(a) - len(b)) <= most:
+            pairs.append(("".join(a), "".join(b)))
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    turned = F.bit_count(_parity(F.col("a")).bitwiseXOR(_parity(F.col("b"))))
+    got = rows.select("a", "b", _within(F.col("a"), F.col("b"), most).alias("near"), turned.alias("turned")).collect()
+    assert len(got) == len(pairs) and 0 < sum(r.near for r in got) < len(got)
+    for r in got:
+        assert r.near == (distance(r.a, r.b, most) <= most)
+        assert not r.near or r.turned <= 2 * most
+
+
+def test_too_many_edits(documents):
+    with pytest.raises(ValueError, match="0 to 3"):
+        line_dedup(documents, 4)
+
+
 def test_lines_keep_other_columns(documents):
     out = line_dedup(documents)
     assert out.columns == [*documents.columns, "n_lines", "n_removed"]

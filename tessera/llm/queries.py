@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, substring_dedup, toxicity, vector_join, warc
+from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, prefix_trie, substring_dedup, toxicity, vector_join, warc
 
 QUERIES = {
     "op5_pieces": pieces.op5_pieces,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 SQL = {
     "op3_warc": warc.SQL,
@@ -24,4 +25,5 @@ SQL = {
     "op7_decontamination": decontamination.SQL,
     "op8_suffix_dedup": bytes_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }

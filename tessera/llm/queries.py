@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, prefix_trie, substring_dedup, toxicity, vector_join, warc
+from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, prefix_trie, ranked_search, substring_dedup, toxicity, vector_join, warc
 
 QUERIES = {
     "op5_pieces": pieces.op5_pieces,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_suffix_dedup": bytes_dedup.op8_suffix_dedup,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
 }
 SQL = {
     "op3_warc": warc.SQL,
@@ -26,4 +27,5 @@ SQL = {
     "op8_suffix_dedup": bytes_dedup.SQL,
     "op2_substring_dedup": substring_dedup.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
+    "op12_ranked_search": ranked_search.SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytes_dedup, decontamination, jaccard_join, language_id, line_dedup, pieces, prefix_trie, ranked_search, substring_dedup, toxicity, vector_join, warc
+from . import bytes_dedup, decontamination, fingerprints, jaccard_join, language_id, line_dedup, pieces, prefix_trie, ranked_search, substring_dedup, toxicity, vector_join, warc
 
 QUERIES = {
     "op5_pieces": pieces.op5_pieces,
@@ -17,6 +17,7 @@ QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op11_fingerprints": fingerprints.op11_fingerprints,
 }
 SQL = {
     "op3_warc": warc.SQL,

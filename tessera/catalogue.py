@@ -365,20 +365,20 @@ def recursive_levels(spark, sf_dir):
     return communities.recursive(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir).select("id"), "louvain", 2, 1.0, MIN_SIZE)[0]
 
 
-_MEMBERS = f"{sql('seg', 'pairs', 'samples', 'edges', 'strong')} SELECT count(*) AS samples, count(*) AS members, count(DISTINCT id) AS different, 0 AS unknown, true AS least_is_member, true AS beats_labels FROM samples"
+_MEMBERS = f"{sql('samples')} SELECT count(*) AS samples, count(*) AS members, count(DISTINCT id) AS different, 0 AS unknown, true AS least_is_member, 0 AS gainful FROM samples"
 
 
 def _checked(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
-    """Whether a partition has every sample once, is called after members, and has a higher modularity than the nations."""
+    """Whether a partition has every sample once and is called after its least members, and how many gainful moves
+    are left: of single samples (Leiden), of whole communities into others (Louvain)."""
     e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
     found = cut(_communities(spark, sf_dir, method))
-    q = lambda labels: graph.modularity(e, labels).select("modularity")
-    better = q(found.withColumnRenamed("community", "label")).select(F.col("modularity").alias("q")).crossJoin(q(s).select(F.col("modularity").alias("r"))).select((F.col("q") > F.col("r")).alias("beats_labels"))  # single rows
-    own = found.where("id = community").select("community").distinct()
-    named = found.select("community").distinct().join(own, "community", "left_anti").agg((F.count("*") == 0).alias("least_is_member"))
+    named = found.groupBy("community").agg(F.min("id").alias("least")).agg(F.min(F.col("least") == F.col("community")).alias("least_is_member"))
     unknown = found.join(s, "id", "left_anti").agg(F.count("*").cast("int").alias("unknown"))
     counts = s.agg(F.count("*").alias("samples")).crossJoin(found.agg(F.count("*").alias("members"), F.countDistinct("id").alias("different")))
-    return counts.crossJoin(unknown).crossJoin(named).crossJoin(better)
+    labels = found.select(F.lit("C1").alias("parent"), F.col("id").alias("v"), F.col("community").alias("c"))
+    rows = e.select(F.lit("C1").alias("parent"), F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("w"))
+    return counts.crossJoin(unknown).crossJoin(named).crossJoin(communities.moves_left(rows, labels, method == "louvain").agg(F.count("*").cast("int").alias("gainful")))  # single rows
 
 
 @query(_MEMBERS)

@@ -1,35 +1,58 @@
 """Louvain and Leiden communities, and their fixed-depth refinement, as rounds of DataFrame jobs.
 
 All parents of a level are worked on at once: every table carries the parent, and nothing of a graph
-is ever gathered in one task.  In a round, half of the vertices (dealt by hash and round) look at
-the weight that links them to each neighbouring community and move to the best one; ties go to the
-least label.  A round counts only if it raises modularity, else the best move is made alone, so rounds
-end.  When no vertex is left that would move, communities become vertices, until that changes nothing.
+is ever gathered in one task.  In a round, the vertices that look (at first all, then those with a
+neighbour that moved, and all once more before the end) find the community that raises modularity most;
+ties go to the least label.  Communities are coloured: one that the best of all moves to and from it
+enters takes, one that it leaves gives, and only moves from a giving to a taking one are made.  No
+community is then both left and entered, so what moves do to each other is a sum over pairs with the same source or
+the same target, and the rise of many moves at once is known exactly before any is made.  The moves of
+a parent are nested by how much they raise: the best alone, those of at least a half of it, an eighth,
+all; that set is made which raises modularity most.  A round is never worse than the best single move.
+
+So a phase of rounds ends: modularity rises by more than LEAST_GAIN each time and stays below one.  It rarely
+needs more than a few dozen; MOST_ROUNDS bounds them, and a phase that meets it goes on from what it has.
+When no vertex is left that would move, communities become vertices, until that changes nothing.
 Leiden starts again from what it found, until that raises modularity no more.
 Moves depend on labels and hashes only, so results are the same on any cluster, without a seed.
+
+The edges of a phase are kept in buckets of one end: a round joins them with the state of vertices,
+which is small, without shuffling them for it.  A parent with at most IN_TASK edges and vertices, given or left by
+contractions, is finished in one task, by the same moves one vertex at a time; that is where the many
+small parents of deeper levels are worked on, all in one job.
 """
 
 from __future__ import annotations
 
-from itertools import count
+from collections import deque
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.graph import induced, modularity, sizes
-from tessera.shared import cut
+from tessera.shared import cut, passing
 
 LEAST_GAIN = 1e-9
+#: Rounds of a phase at most.
+MOST_ROUNDS = 500
+#: Edges and vertices of a parent that one task may hold (some 100 bytes each).
+IN_TASK = 1_000_000
+#: Moves are nested by the share of the best rise in their parent that they reach.
+SHARES = (0.5, 0.125)
 
 
 def _halves(edges: DataFrame) -> DataFrame:
     """Both directions of each edge; loops once, with their weight doubled in `strength` sums."""
     turned = edges.where("a <> b").select("parent", F.col("b").alias("a"), F.col("a").alias("b"), "w")
-    return edges.unionByName(turned)
+    return edges.select("parent", "a", "b", "w").unionByName(turned)
 
 
-def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
-    return state.join(moves, ["parent", "v"], "left").select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2")
+def _strengths(both: DataFrame) -> DataFrame:
+    """(parent, v, k, m2): summed weights of each vertex that has an edge, and of all of its parent."""
+    k = both.groupBy("parent", F.col("a").alias("v")).agg(F.sum(F.when(F.col("a") == F.col("b"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k"))
+    return k.join(k.groupBy("parent").agg(F.sum("k").alias("m2")), "parent").select("parent", "v", "k", "m2")
 
 
 def _quality(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
@@ -40,41 +63,87 @@ def _quality(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame
     return total.join(inside, "parent", "left").select("parent", (F.coalesce("inside", F.lit(0.0)) - resolution * F.col("squares") / (2 * F.col("m2"))).alias("quality"), "m2")
 
 
-def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool) -> DataFrame:
+def gainful(links: DataFrame, state: DataFrame, resolution: float, within: bool = False) -> DataFrame:
+    """(parent, v, c, k, m2, target, rise) of each vertex that looks and has a community to which its move raises
+    the quality.  links (parent, a, b, w): both directions, no loops; state (parent, v, c, bound, k, m2, look)."""
+    full = state.join(state.groupBy("parent", "c").agg(F.sum("k").alias("tot")), ["parent", "c"])
+    to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("tot").alias("tot_to"), F.col("bound").alias("bound_b"))
+    own = full.where("look").select("parent", F.col("v").alias("a"), "c", "bound", "k", "m2", "tot")
+    near = links.join(to, ["parent", "b"]).join(own, ["parent", "a"])
+    if within:
+        near = near.where("bound = bound_b")
+    near = near.groupBy("parent", F.col("a").alias("v"), "c", "k", "m2", "tot", "to", "tot_to").agg(F.sum("w").alias("w"))
+    stays, pull = F.col("to") == F.col("c"), resolution * F.col("k") / F.col("m2")
+    gain = F.round(F.col("w") - pull * (F.col("tot_to") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
+    best = near.withColumn("gain", gain).groupBy("parent", "v", "c", "k", "m2", "tot").agg(
+        F.max(F.when(stays, F.col("gain"))).alias("stay"), F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to")))).alias("go"),
+    )
+    stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
+    wants = best.where(-F.col("go.loss") > stay + LEAST_GAIN * F.greatest("m2", F.lit(1.0)))
+    return wants.select("parent", "v", "c", "k", "m2", F.col("go.to").alias("target"), (-F.col("go.loss") - stay).alias("rise"))
+
+
+def _allowed(wants: DataFrame) -> DataFrame:
+    """Moves from giving to taking communities, with the number of the least nested set that has them."""
+    key = F.struct("rise", F.xxhash64("v").alias("h"), "v")
+    out, into = wants.groupBy("parent", "c").agg(F.max(key).alias("out")), wants.groupBy("parent", F.col("target").alias("c")).agg(F.max(key).alias("into"))
+    takes = into.join(out, ["parent", "c"], "left").where(F.col("out").isNull() | (F.col("into") > F.col("out"))).select("parent", F.col("c").alias("target"))
+    gives = out.join(into, ["parent", "c"], "left").where(F.col("into").isNull() | (F.col("out") > F.col("into"))).select("parent", "c")
+    top = wants.groupBy("parent").agg(F.max(key).alias("top"))
+    rank = F.when(F.col("v") == F.col("top.v"), 0)
+    for i, share in enumerate(SHARES, 1):
+        rank = rank.when(F.col("rise") >= share * F.col("top.rise"), i)
+    moves = wants.join(gives, ["parent", "c"]).join(takes, ["parent", "target"]).join(top, "parent")
+    return moves.select("parent", "v", "c", "k", "m2", "target", "rise", rank.otherwise(len(SHARES) + 1).alias("rank"))
+
+
+def _rises(links: DataFrame, moves: DataFrame, resolution: float) -> DataFrame:
+    """(parent, rank, rise): by how much each nested set of moves, made at once, raises the quality."""
+    nested = lambda rows: rows.withColumn("rank", F.explode(F.sequence("rank", F.lit(len(SHARES) + 1))))
+    side = lambda x: moves.select("parent", F.col("v").alias(x), F.col("c").alias(f"c{x}"), F.col("target").alias(f"t{x}"), F.col("rank").alias(f"r{x}"))
+    shared = (F.col("ca") == F.col("cb")).cast("int") + (F.col("ta") == F.col("tb")).cast("int")
+    met = links.join(side("b"), ["parent", "b"]).join(side("a"), ["parent", "a"]).where("ca = cb or ta = tb")
+    met = met.groupBy("parent", F.greatest("ra", "rb").alias("rank")).agg((F.sum(F.col("w") * shared) / 2).alias("part"))
+
+    def crowding(of: str) -> DataFrame:
+        by = nested(moves).groupBy("parent", "rank", "m2", of).agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("squares"))
+        pairs: Column = (F.col("k") * F.col("k") - F.col("squares")) / 2
+        return by.select("parent", "rank", (-resolution / F.col("m2") * pairs).alias("part"))
+
+    parts = nested(moves).select("parent", "rank", F.col("rise").alias("part")).unionByName(nested(met).select("parent", "rank", "part"))
+    return parts.unionByName(crowding("c")).unionByName(crowding("target")).groupBy("parent", "rank").agg(F.sum("part").alias("rise"))
+
+
+def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool, trace: list | None = None) -> DataFrame:
     """Rounds of local moves.  edges (parent, a, b, w), loops allowed; state (parent, v, c, bound):
     vertex, community, and a community that its own must stay inside (within) or null."""
-    both = cut(_halves(edges))
-    strength = both.groupBy("parent", F.col("a").alias("v")).agg(F.sum(F.when(F.col("a") == F.col("b"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k"))
-    total = strength.groupBy("parent").agg(F.sum("k").alias("m2"))
-    state = state.join(strength, ["parent", "v"], "left").join(total, "parent", "left").select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"), "m2")
-    state = cut(state)
-    links = both.where("a <> b")
-    for turn in count():
-        full = state.join(state.groupBy("parent", "c").agg(F.sum("k").alias("tot")), ["parent", "c"])
-        to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("tot").alias("tot_to"), F.col("bound").alias("bound_b"))
-        own = full.select("parent", F.col("v").alias("a"), "c", "bound", "k", "m2", "tot")
-        near = links.join(to, ["parent", "b"]).join(own, ["parent", "a"])
-        if within:
-            near = near.where("bound = bound_b")
-        near = near.groupBy("parent", F.col("a").alias("v"), "c", "k", "m2", "tot", "to", "tot_to").agg(F.sum("w").alias("w"))
-        stays, pull = F.col("to") == F.col("c"), resolution * F.col("k") / F.col("m2")
-        gain = F.round(F.col("w") - pull * (F.col("tot_to") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
-        best = near.withColumn("gain", gain).groupBy("parent", "v", "c", "k", "m2", "tot").agg(
-            F.max(F.when(stays, F.col("gain"))).alias("stay"), F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to")))).alias("go"),
-        )
-        stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
-        wants = best.where(-F.col("go.loss") > stay + LEAST_GAIN * F.greatest("m2", F.lit(1.0)))
-        wants = cut(wants.select("parent", "v", F.col("go.to").alias("target"), (-F.col("go.loss") - stay).alias("rise")))
-        if wants.isEmpty():
-            break
-        # half of them move together if that raises the quality, else the best one alone, which does
-        half = wants.where(F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2).select("parent", "v", "target")
-        trial = cut(_moved(state, half))
-        better = _quality(links, trial, resolution).withColumnRenamed("quality", "now").join(_quality(links, state, resolution).drop("m2"), "parent")
-        better = cut(better.where(F.col("now") > F.col("quality") + LEAST_GAIN * F.greatest("m2", F.lit(1.0))).select("parent"))
-        one = wants.groupBy("parent").agg(F.min(F.struct((-F.col("rise")).alias("loss"), "v", "target")).alias("m")).select("parent", "m.v", "m.target")
-        state = cut(_moved(state, half.join(better, "parent", "left_semi").unionByName(one.join(better, "parent", "left_anti"))))
-    return state.select("parent", "v", "c", "bound")
+    spark = edges.sparkSession
+    with passing(spark) as keep:
+        both = cut(_halves(edges))
+        links = cut(both.where("a <> b"), ["parent", "b"])
+        own = state.join(_strengths(both), ["parent", "v"], "left")
+        state = cut(own.select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"), "m2", F.col("k").isNotNull().alias("look")))
+        everyone = True
+        for turn in range(MOST_ROUNDS):
+            with passing(spark) as keep_state:
+                wants = cut(gainful(links, state, resolution, within))
+                if wants.isEmpty():
+                    if everyone:
+                        break
+                    state, everyone = keep_state(cut(state.withColumn("look", F.col("m2").isNotNull()))), True
+                    continue
+                moves = wants.select("parent", "v", "target")
+                if not wants.groupBy("parent").count().where("count > 1").isEmpty():
+                    moves = cut(_allowed(wants))
+                    pick = _rises(links, moves, resolution).groupBy("parent").agg(F.max(F.struct(F.round("rise", 9).alias("rise"), "rank"))["rank"].alias("most"))
+                    moves = cut(moves.join(pick, "parent").where("rank <= most").select("parent", "v", "target"))
+                touched = links.join(moves.select("parent", F.col("v").alias("b")), ["parent", "b"]).select("parent", F.col("a").alias("v")).distinct().withColumn("look", F.lit(True))
+                state = state.drop("look").join(moves, ["parent", "v"], "left").join(touched, ["parent", "v"], "left")
+                state = keep_state(cut(state.select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2", F.coalesce("look", F.lit(False)).alias("look"))))
+                everyone = False
+                if trace is not None:
+                    trace.append((turn, wants.count(), moves.count()))
+        return keep(state.select("parent", "v", "c", "bound"))
 
 
 def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -84,50 +153,157 @@ def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.groupBy("parent", F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w"))
 
 
-def communities(edges: DataFrame, vertices: DataFrame, method: str = "leiden", resolution: float = 1.0) -> DataFrame:
+class _Local:
+    """A graph of one task: both directions of each edge by vertex, strengths of vertices."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int):
+        self.edges, self.n, apart = (a, b, w), n, a != b
+        x, y, z = np.concatenate((a[apart], b[apart])), np.concatenate((b[apart], a[apart])), np.concatenate((w[apart], w[apart]))
+        order = np.lexsort((y, x))
+        self.to, self.w, self.at = y[order], z[order], np.searchsorted(x[order], np.arange(n + 1))
+        self.k = np.bincount(a, w, n) + np.bincount(b, w, n)
+        self.total = self.k.sum()
+
+    def moved(self, c: np.ndarray, resolution: float, bound: np.ndarray | None = None) -> np.ndarray:
+        """Communities (numbers below n) after gainful moves of single vertices, until there are none; bound: only to
+        communities of the same bound."""
+        c, tot, least = c.copy(), np.bincount(c, self.k, self.n), LEAST_GAIN * max(self.total, 1.0)
+        queue, waits = deque(range(self.n)), np.ones(self.n, bool)
+        while queue:
+            v = queue.popleft()
+            waits[v] = False
+            near, w = self.to[self.at[v] : self.at[v + 1]], self.w[self.at[v] : self.at[v + 1]]
+            if bound is not None:
+                near, w = near[bound[near] == bound[v]], w[bound[near] == bound[v]]
+            if not len(near):
+                continue
+            own, pull = c[v], resolution * self.k[v] / self.total
+            tot[own] -= self.k[v]
+            there, which = np.unique(c[near], return_inverse=True)
+            gain = np.round(np.bincount(which, w) - pull * tot[there], 9)
+            stay = gain[there == own].sum() if own in there else round(-pull * tot[own], 9)
+            best = int(gain.argmax())
+            if gain[best] > stay + least:
+                c[v] = there[best]
+                again = near[(c[near] != c[v]) & ~waits[near]]
+                waits[again] = True
+                queue.extend(again.tolist())
+            tot[c[v]] += self.k[v]
+        return c
+
+    def quality(self, c: np.ndarray, resolution: float) -> float:
+        a, b, w = self.edges
+        return w[c[a] == c[b]].sum() - resolution * (np.bincount(c, self.k, self.n) ** 2).sum() / (2 * max(self.total, 1e-300))
+
+    def contracted(self, fine: np.ndarray, n: int) -> _Local:
+        a, b = np.minimum(fine[self.edges[0]], fine[self.edges[1]]), np.maximum(fine[self.edges[0]], fine[self.edges[1]])
+        pair, which = np.unique(a * n + b, return_inverse=True)
+        return _Local(pair // n, pair % n, np.bincount(which, self.edges[2], len(pair)), n)
+
+    def solved(self, c: np.ndarray, resolution: float, leiden: bool) -> np.ndarray:
+        while True:
+            before, graph, member = c, self, np.arange(self.n)
+            while True:
+                c = graph.moved(c, resolution)
+                found = c[member]
+                _, some, fine = np.unique(graph.moved(np.arange(graph.n), resolution, c) if leiden else c, return_index=True, return_inverse=True)
+                if len(some) == graph.n:
+                    break
+                c = np.unique(c[some], return_inverse=True)[1]
+                graph, member = graph.contracted(fine, len(some)), fine[member]
+            _, some, which = np.unique(found, return_index=True, return_inverse=True)
+            c = some[which]
+            if not leiden or self.quality(c, resolution) <= self.quality(before, resolution) + LEAST_GAIN * max(self.total, 1.0):
+                return c
+
+
+def _in_tasks(edges: DataFrame, state: DataFrame, method: str, resolution: float) -> DataFrame:
+    """(parent, v, c) of parents small enough for a task each, from the communities state (parent, v, c)."""
+    def solve(edges: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        state = state.sort_values("v", ignore_index=True)
+        names = pd.Index(state["v"])
+        if not len(edges):
+            return state
+        ends = [names.get_indexer(edges[x]) for x in ("a", "b")]
+        order = np.lexsort(ends)
+        graph = _Local(ends[0][order], ends[1][order], edges["w"].to_numpy(np.float64)[order], len(names))
+        found = graph.solved(names.get_indexer(state["c"]), resolution, method == "leiden")
+        return state.assign(c=names[found])
+
+    kind = dict(state.dtypes)
+    own = state.select("parent", "v", "c").groupBy("parent")
+    return edges.select("parent", "a", "b", "w").groupBy("parent").cogroup(own).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['c']}")
+
+
+def _heavy(edges: DataFrame, vertices: DataFrame, most: int) -> DataFrame:
+    """Parents with more edges and vertices than a task may hold."""
+    return edges.select("parent").unionByName(vertices.select("parent")).groupBy("parent").count().where(F.col("count") > most).select("parent")
+
+
+def communities(edges: DataFrame, vertices: DataFrame, method: str = "leiden", resolution: float = 1.0, in_task: int = IN_TASK, trace: list | None = None) -> DataFrame:
     """(parent, v, c): c is the least vertex of the community.  edges (parent, a, b, w) without
     loops, vertices (parent, v).  Louvain has no resolution.  Isolated vertices stay alone."""
+    spark = edges.sparkSession
     if method == "louvain":
         resolution = 1.0
-    found = vertices.select("parent", "v", F.col("v").alias("c"))
-    while True:
-        before, found = found, cut(_hierarchy(edges, found, method, resolution))
-        if method == "louvain" or not _risen(edges, before, found, resolution):
-            return found
+    with passing(spark) as keep:
+        edges = cut(edges.select("parent", "a", "b", "w"))
+        start = cut(vertices.select("parent", "v", F.col("v").alias("c")))
+        heavy = cut(_heavy(edges, start, in_task))
+        light = cut(_in_tasks(edges.join(heavy, "parent", "left_anti"), start.join(heavy, "parent", "left_anti"), method, resolution))
+        if heavy.isEmpty():
+            return keep(light)
+        edges, found = cut(edges.join(heavy, "parent", "left_semi")), cut(start.join(heavy, "parent", "left_semi"))
+        while True:
+            with passing(spark) as keep_found:
+                before, found = found, keep_found(_hierarchy(edges, found, method, resolution, in_task, trace))
+            if method == "louvain" or not _risen(edges, before, found, resolution):
+                return keep(cut(light.unionByName(found)))
+
+
+def moves_left(edges: DataFrame, labels: DataFrame, whole: bool = False, resolution: float = 1.0) -> DataFrame:
+    """Gainful moves that a partition (parent, v, c) leaves: of single vertices, or (whole) of communities into others."""
+    if whole:
+        edges, labels = _contract(edges, labels), labels.select("parent", F.col("c").alias("v"), "c").distinct()
+    both = _halves(edges)
+    state = labels.join(_strengths(both), ["parent", "v"]).select("parent", "v", "c", F.lit(None).cast("string").alias("bound"), "k", "m2", F.lit(True).alias("look"))
+    return gainful(both.where("a <> b"), cut(state), resolution)
 
 
 def _risen(edges: DataFrame, before: DataFrame, after: DataFrame, resolution: float) -> bool:
-    links = _halves(edges.select("parent", "a", "b", "w"))
-    strength = links.groupBy("parent", F.col("a").alias("v")).agg(F.sum("w").alias("k"))
-    strength = cut(strength.join(strength.groupBy("parent").agg(F.sum("k").alias("m2")), "parent"))
+    links = _halves(edges)
+    strength = _strengths(links)
     old, new = (_quality(links, x.join(strength, ["parent", "v"]), resolution) for x in (before, after))
     rise = new.withColumnRenamed("quality", "now").join(old.drop("m2"), "parent")
     return not rise.where(F.col("now") > F.col("quality") + LEAST_GAIN * F.greatest("m2", F.lit(1.0))).isEmpty()
 
 
-def _hierarchy(edges: DataFrame, start: DataFrame, method: str, resolution: float) -> DataFrame:
-    """Moves and contractions from the communities start (parent, v, c), until a contraction changes nothing."""
-    member = cut(start.select("parent", "v", F.col("v").alias("node")))  # vertex to node of the contracted graph
-    graph = edges.select("parent", "a", "b", "w")
-    nodes = start.withColumn("bound", F.lit(None).cast("string"))
-    final = member.select("parent", "v", F.col("node").alias("c"))
+def _hierarchy(edges: DataFrame, start: DataFrame, method: str, resolution: float, in_task: int, trace: list | None) -> DataFrame:
+    """Moves and contractions from the communities start (parent, v, c), until a contraction changes nothing
+    or leaves graphs that a task can hold."""
+    member = start.select("parent", "v", F.col("v").alias("node"))  # vertex to node of the contracted graph
+    graph, nodes = edges, start.withColumn("bound", F.lit(None).cast("string"))
     while True:
-        state = _move(graph, nodes, resolution, False)
-        final = cut(member.join(state.select("parent", F.col("v").alias("node"), "c"), ["parent", "node"]).select("parent", "v", "c"))
+        state = _move(graph, nodes, resolution, False, trace)
+        final = member.join(state.select("parent", F.col("v").alias("node"), "c"), ["parent", "node"]).select("parent", "v", "c")
         if method == "leiden":  # communities are rebuilt from single nodes by moves inside them
-            fine = _move(graph, state.select("parent", "v", F.col("v").alias("c"), F.col("c").alias("bound")), resolution, True)
+            fine = _move(graph, state.select("parent", "v", F.col("v").alias("c"), F.col("c").alias("bound")), resolution, True, trace)
         else:
             fine = state.select("parent", "v", "c", F.col("c").alias("bound"))
-        if fine.where("v <> c").limit(1).count() == 0:
+        if fine.where("v <> c").isEmpty():
             break
         graph = cut(_contract(graph, fine))
         member = cut(member.join(fine.select("parent", F.col("v").alias("node"), "c"), ["parent", "node"]).select("parent", "v", F.col("c").alias("node")))
-        nodes = cut(fine.groupBy("parent", F.col("c").alias("v")).agg(F.min("bound").alias("c")).withColumn("bound", F.lit(None).cast("string")))
+        nodes = fine.groupBy("parent", F.col("c").alias("v")).agg(F.min("bound").alias("c"))
         # a community is called after its least node of the contracted graph
         least = nodes.groupBy("parent", "c").agg(F.min("v").alias("least"))
-        nodes = cut(nodes.join(least, ["parent", "c"]).select("parent", "v", F.col("least").alias("c"), "bound"))
+        nodes = cut(nodes.join(least, ["parent", "c"]).select("parent", "v", F.col("least").alias("c"), F.lit(None).cast("string").alias("bound")))
+        if _heavy(graph, nodes, in_task).isEmpty():
+            state = _in_tasks(graph, nodes, method, resolution)
+            final = member.join(state.select("parent", F.col("v").alias("node"), "c"), ["parent", "node"]).select("parent", "v", "c")
+            break
     least = final.groupBy("parent", "c").agg(F.min("v").alias("least"))
-    return final.join(least, ["parent", "c"]).select("parent", "v", F.col("least").alias("c"))
+    return cut(final.join(least, ["parent", "c"]).select("parent", "v", F.col("least").alias("c")))
 
 
 def split_decisions(proposed: DataFrame, min_size: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,13 +28,57 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(rows: DataFrame) -> DataFrame:
+#: What `cut` wrote in each `passing` that is open, the innermost last.
+_WRITTEN: list[list[str]] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable]:
+    """Tables cut in here are deleted at the end, all but those that the tables given to the function it
+    yields still read; these belong to the block around this one, if there is any."""
+    kept, written = [], []
+
+    def keep(*tables: DataFrame):
+        kept.extend(tables)
+        return tables[0] if len(tables) == 1 else tables
+
+    _WRITTEN.append(written)
+    try:
+        yield keep
+    finally:
+        _WRITTEN.remove(written)
+        read = {part for t in kept for file in t.inputFiles() for part in file.split("/") if part.startswith("cut-")}
+        for path in written:
+            name = path.rpartition("/")[2]
+            if name not in read:
+                spark.sql(f"DROP TABLE IF EXISTS {name.replace('-', '_')}")
+                delete(spark, path)
+            elif _WRITTEN:
+                _WRITTEN[-1].append(path)
+
+
+def cut(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows written to the shared folder and read back: iterations don't pile up their plans, lost
-    executors lose nothing, and nothing is computed twice.  The write's shuffle files go when it ends."""
+    executors lose nothing, and nothing is computed twice.  The write's shuffle files go when it ends,
+    the table with the innermost `passing` around it.  by: kept in buckets of these columns, as many as shuffles have
+    partitions, so that joins by them don't shuffle the table again."""
     spark = rows.sparkSession
-    path, before = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}", spark.conf.get(CLEANUP)
+    name = f"cut-{uuid.uuid4().hex}"
+    path, before = f"{shared_dir(spark)}/{name}", spark.conf.get(CLEANUP)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     spark.conf.set(CLEANUP, "true")
     try:
+        if by:
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            rows.repartition(parts, *by).write.bucketBy(parts, *by).sortBy(*by).option("path", path).saveAsTable(name.replace("-", "_"))
+            return spark.table(name.replace("-", "_"))
         rows.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)

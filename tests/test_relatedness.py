@@ -1,5 +1,6 @@
 import gzip
 import math
+import os
 import random
 
 import duckdb
@@ -14,7 +15,6 @@ from tessera.sources import text as sources
 from tessera.streaming import pairs as streaming
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"louvain_membership", "leiden_membership", "recursive_levels", "fst_clump_final", "fst_merge_history"}
 
 
 def normal(frame, columns):
@@ -22,7 +22,7 @@ def normal(frame, columns):
     return sorted(tuple(map(cell, r)) for r in frame[columns].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalogue.SQL))
 def test_against_sql(spark, name):
     db = duckdb.connect()
     for t in ("supplier", "lineitem", "customer", "part", "embeddings"):
@@ -163,6 +163,73 @@ def test_planted_communities(spark, method):
     assert {found[f"{i:02d}"] for i in range(10)} == {"00"} and {found[f"{i:02d}"] for i in range(10, 20)} == {"10"} and found["20"] == "20"
 
 
+def _partition(spark, edges, vertices, method, in_task, trace=None):
+    """Communities of a weighted graph over named vertices, and the number of gainful moves left."""
+    rows = spark.createDataFrame([("P", *e) for e in edges], "parent string, a string, b string, w double")
+    found = communities.communities(rows, spark.createDataFrame([("P", v) for v in vertices], "parent string, v string"), method, 1.0, in_task, trace)
+    labels = found.select("parent", "v", "c")
+    return {r["v"]: r["c"] for r in found.collect()}, communities.moves_left(rows, labels, method == "louvain").count()
+
+
+@pytest.mark.parametrize("in_task", [0, communities.IN_TASK])
+def test_ring_of_cliques(spark, in_task):
+    """Cliques that single edges join to a ring are its communities, in rounds over tables and in one task."""
+    size, cliques = 6, 7
+    name = lambda c, i: f"v{c}{i}"
+    edges = [(name(c, i), name(c, j), 1.0) for c in range(cliques) for i in range(size) for j in range(i + 1, size)]
+    edges += [(name(c, 0), name((c + 1) % cliques, 1), 1.0) for c in range(cliques)]
+    trace = []
+    found, left = _partition(spark, edges, [name(c, i) for c in range(cliques) for i in range(size)] + ["alone"], "louvain", in_task, trace)
+    assert found == {name(c, i): name(c, 0) for c in range(cliques) for i in range(size)} | {"alone": "alone"} and left == 0
+    assert len(trace) <= 25 and all(made >= 1 for _, _, made in trace)
+
+
+def test_path(spark):
+    """A path of equal edges, where every vertex can go either way: many move in each round, and none is left that would."""
+    n = 90
+    edges = [(f"v{i:02d}", f"v{i + 1:02d}", 1.0) for i in range(n - 1)]
+    trace = []
+    found, left = _partition(spark, edges, [f"v{i:02d}" for i in range(n)], "louvain", 0, trace)
+    groups = {}
+    for v, c in found.items():
+        groups.setdefault(c, []).append(int(v[1:]))
+    assert left == 0 and 5 <= len(groups) <= 20 and all(max(g) - min(g) + 1 == len(g) for g in groups.values())
+    assert len(trace) <= 40 and trace[0][2] >= n / 6
+
+
+def test_task_and_rounds_agree(spark):
+    """In one task or in rounds, Leiden leaves no gainful move, on a graph whose communities blur."""
+    rng = random.Random(8)
+    edges = [(f"v{i:02d}", f"v{j:02d}", round(rng.uniform(0.5, 2), 3)) for i in range(40) for j in range(i + 1, 40) if rng.random() < (0.6 if i // 10 == j // 10 else 0.12)]
+    total = sum(w for *_, w in edges)
+    quality = []
+    for in_task in (0, communities.IN_TASK):
+        found, left = _partition(spark, edges, [f"v{i:02d}" for i in range(40)], "leiden", in_task)
+        assert left == 0 and all(min(v for v in found if found[v] == c) == c for c in found.values())
+        strength, inside = {}, 0.0
+        for a, b, w in edges:
+            inside += w * (found[a] == found[b])
+            for v in (a, b):
+                strength[found[v]] = strength.get(found[v], 0) + w
+        quality.append(inside / total - sum((k / (2 * total)) ** 2 for k in strength.values()))
+    assert abs(quality[0] - quality[1]) < 0.01 and min(quality) > 0.3
+
+
+def test_cut_tables_end(spark):
+    """Tables cut on the way are deleted, buckets with their name in the catalogue; what is returned stays readable."""
+    from tessera.shared import cut, passing
+
+    where = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = {x for x in os.listdir(where) if x.startswith("cut-")}
+    with passing(spark) as keep:
+        cut(spark.range(5))
+        with passing(spark) as keep_inner:
+            inner = keep_inner(cut(spark.range(7).withColumnRenamed("id", "v"), ["v"]))
+        last = keep(cut(inner.where("v > 2")))
+    assert last.count() == 4 and len({x for x in os.listdir(where) if x.startswith("cut-")} - before) == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("cut_")]
+
+
 def test_moves_go_on_until_none_is_left(spark):
     """A path on which one vertex after the other joins the community that came along it."""
     n = 12

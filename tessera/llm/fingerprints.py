@@ -26,7 +26,7 @@ from .common import discard, saved, shuffles, table
 
 WORDS = 5
 #: Bins of a fingerprint, bits kept of each; a power of two each, and at least 64 bits together.
-BINS, BITS = 128, 8
+BINS, BITS = 256, 8
 #: Bins that an empty one asks by calculation; after that, the first in its whole order.
 TRIES = 12
 #: Bytes of text in a range of documents.

@@ -243,17 +243,17 @@ class ByteGrams(Grams):
 
 def winnow(grams: np.ndarray, whole: np.ndarray, w: int) -> np.ndarray:
     """For each position that begins a whole window (w grams of one document), the position of the
-    least of these grams (the last of equals), else -1.  Equal windows choose the same offset."""
+    least of these grams (the last of equals), else -1.  Equal windows choose the same offset, whatever
+    else the stream holds: grams are compared in full, their places carried along."""
     n = len(grams)
     out = np.full(n, -1)
     if n < w:
         return out
-    low = np.uint64((1 << max(1, int(n).bit_length())) - 1)
-    span = (grams & ~low) | (low - np.arange(n, dtype=np.uint64))
-    step = 1
-    while step * 2 <= w:
-        span = np.minimum(span[: len(span) - step], span[step:])
-        step *= 2
-    span = np.minimum(span[: n - w + 1], span[w - step : w - step + n - w + 1])
-    out[: n - w + 1] = np.where(whole[: n - w + 1], (low - (span & low)).astype(np.int64), -1)
+    least, at, step = grams, np.arange(n), 1
+    while step < w:
+        by = min(step, w - step)
+        later = least[by:] <= least[: len(least) - by]
+        least, at = np.where(later, least[by:], least[: len(least) - by]), np.where(later, at[by:], at[: len(at) - by])
+        step += by
+    out[: n - w + 1] = np.where(whole[: n - w + 1], at, -1)
     return out

@@ -92,7 +92,10 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     removed = lines.select("h1", "h2", "place").join(rule, ["h1", "h2"]).where("near or place <> first")
     removed = removed.groupBy("place.doc", "place.twin").agg(F.collect_set("place.pos").alias("removed"))
     joined = docs.join(removed, ["doc", "twin"], "left").withColumn("lines", F.split("text", "\n", -1))
-    kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("removed", i)))
+    # positions left are a difference of sets, so a text of many lines takes time in proportion to them
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
+    some = F.get(F.transform(F.array("lines"), lambda lines: F.transform(left, lambda i: F.get(lines, i))), F.lit(0))
+    kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(some)
     names = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text_col: F.array_join(kept, "\n")}
     return joined.select(
         *(names[c].alias(c) for c in documents.columns if c in names),

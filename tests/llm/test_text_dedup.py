@@ -164,3 +164,35 @@ def test_lines_keep_other_columns(documents):
     out = line_dedup(documents)
     assert out.columns == [*documents.columns, "n_lines", "n_removed"]
     assert out.count() == documents.count()
+
+
+def test_anchors_depend_on_the_window_alone():
+    """Equal windows choose equal offsets, alone or inside any stream, also if grams agree in all but their lowest bits."""
+    import numpy as np
+
+    from tessera.llm.tokens import winnow
+
+    rng = np.random.default_rng(3)
+    for w in range(1, 12):
+        own = (np.uint64(1 << 40) + rng.integers(0, 4, w).astype(np.uint64))
+        alone = winnow(own, np.ones(w, bool), w)[0]
+        assert alone == max(i for i in range(w) if own[i] == own.min())
+        for n in (w, 3 * w + 1, 5000):
+            at = int(rng.integers(0, n - w + 1))
+            stream = np.uint64(1 << 40) + rng.integers(0, 4, n).astype(np.uint64)
+            stream[at : at + w] = own
+            assert winnow(stream, np.arange(n) + w <= n, w)[at] - at == alone
+
+
+def test_long_text_of_equal_lines(spark):
+    """The time for one document of equal lines grows with their number."""
+    import time
+
+    took = []
+    for n in (40_000, 320_000):
+        docs = spark.createDataFrame([(1, "\n".join(["a repeated line of some length"] * n))], "doc_id long, text string")
+        began = time.perf_counter()
+        row = line_dedup(docs).collect()[0]
+        took.append(time.perf_counter() - began)
+        assert (row["n_lines"], row["n_removed"], row["text"]) == (n, n - 1, "a repeated line of some length")
+    assert took[1] < 12 * took[0] + 10

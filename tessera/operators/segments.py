@@ -1,28 +1,138 @@
 """Shared haplotype segments from phased variants.
 
-Markers of a chromosome are cut into blocks of consecutive markers, short enough for every run of
-min_markers to hold a whole one.  Haplotypes with equal alleles in a block meet by a hash join on
-(block, alleles).  The blocks on either side are compared marker by marker, and so is the next one,
-round by round, as long as a run or a gap that may be joined reaches the end of what was compared.
-Only haplotypes that share whole blocks are ever paired.
+Alleles are packed, 64 markers to a long integer (a block).  Runs of equal alleles that are long enough to be seeds are
+found by the positional prefix order: marker by marker, haplotypes are kept in the order of their
+reversed prefixes, so that those which agree longest are neighbours, with the marker from which each agrees with
+the one before it.  Where neighbours that agree for long enough part, the pairs that part are reported.
+The work is haplotypes times markers, plus the pairs reported; no other pairs are ever formed, however many haplotypes
+share a shorter stretch.
+
+A chromosome is cut into windows of blocks, each a task of its own.  A window begins early enough for every
+seed that ends in it to be recognised, and reports just those.  Seeds that began before what a window holds
+are joined at its seam when the blocks next to them are compared: the blocks of each seed are compared marker by
+marker, and so is the next one, round by round, as long as a run or a gap that may be joined reaches
+the end of what was compared.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.config import Detection
-from tessera.shared import cut, numbered
+from tessera.shared import cut, numbered, passing
 
 PAIR = ["chrom", "h1", "h2"]
+#: Markers of a block, and blocks of a window (besides those it begins early by): a task holds a bit for each marker and haplotype.
+BLOCK, WINDOW = 64, 64
+SEEDS = "chrom string, sample1 string, hap1 int, sample2 string, hap2 int, first int, last int"
+
+
+def _parted(order: np.ndarray, since: np.ndarray, ones: np.ndarray, latest: int, flush: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that agree since `latest` or before and part at this marker (flush: end here, all of them), with the marker
+    from which they agree.  order: haplotypes by reversed prefix; since: from where each agrees with the one before; ones: its allele."""
+    cuts = np.flatnonzero(since > latest)  # a group begins here; the first always does
+    sizes = np.diff(np.append(cuts, len(order)))
+    found = []
+    many = np.flatnonzero(sizes > 1)
+    if not flush and len(many):
+        some = np.add.reduceat(ones, cuts)[many]
+        many = many[(some > 0) & (some < sizes[many])]
+    for lo, n in zip(cuts[many].tolist(), sizes[many].tolist(), strict=True):
+        d, x, a = since[lo : lo + n], ones[lo : lo + n], order[lo : lo + n]
+        rare = np.arange(n - 1) if flush else np.flatnonzero(x == (2 * int(x.sum()) <= n))
+        for i in rare.tolist():
+            after = np.maximum.accumulate(d[i + 1 :])
+            other = np.arange(len(after)) if flush else np.flatnonzero(x[i + 1 :] != x[i])
+            found.append((np.full(len(other), a[i]), a[i + 1 + other], after[other]))
+            if not flush and i:
+                before = np.maximum.accumulate(d[i:0:-1])  # of the pair (i, i - 1), (i, i - 2), ...
+                other = np.flatnonzero(x[i - 1 :: -1] != x[i])
+                found.append((np.full(len(other), a[i]), a[i - 1 - other], before[other]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def prefix_order(bits: np.ndarray, cm: np.ndarray, begin: int, rules: Detection, ends: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Runs that are seeds and end at marker begin - 1 or later: (haplotypes, haplotypes, first markers, last marker).  bits: haplotypes by
+    blocks; cm: genetic positions of the markers; ends: runs also end after the last of them."""
+    n, markers, out = len(bits), len(cm), []
+    order, since = np.arange(n), np.zeros(n, np.int64)
+    since[:1] = markers + 1
+    for k in range(markers + ends):
+        latest = min(int(np.searchsorted(cm, cm[k - 1] - rules.min_seed + 1e-9, "right")) - 1, k - rules.min_markers) if k else -1
+        ones = ((bits[:, k // BLOCK] >> np.uint64(k % BLOCK)) & np.uint64(1)).astype(np.int64)[order] if k < markers else np.zeros(n, np.int64)
+        if k >= begin and latest >= 0:
+            a, b, first = _parted(order, np.where(np.arange(n) == 0, markers + 1, since), ones, latest, k == markers)
+            if len(a):
+                out.append((a, b, first, k - 1))
+        if k < markers:
+            # those with 0 come first, then those with 1, each in the order they had; a haplotype agrees with the one now before it since the latest start between them
+            parts = []
+            for x in (0, 1):
+                own = np.flatnonzero(ones == x)
+                d = np.maximum.reduceat(since[: own[-1] + 1], np.append(0, own[:-1] + 1)) if len(own) else since[:0]
+                d[:1] = k + 1
+                parts.append((order[own], d))
+            order, since = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return out
+
+
+def _task(rules: Detection):
+    def run(blocks: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
+        """Seeds that end in one window.  blocks: (sample, hap, b, m); ends: (of_chrom, b, cms, own, closes)."""
+        if not len(blocks) or not len(ends):
+            return pd.DataFrame({x.split()[0]: [] for x in SEEDS.split(", ")})
+        ends, blocks = ends.sort_values("b"), blocks.sort_values(["sample", "hap", "b"])
+        bits = blocks["m"].to_numpy(np.int64).view(np.uint64).reshape(-1, len(ends))
+        names = blocks.iloc[:: len(ends)]
+        cm = np.concatenate(ends["cms"].to_list())
+        base, begin = int(ends["b"].iloc[0]) * BLOCK, int((~ends["own"]).sum()) * BLOCK
+        sample, hap = names["sample"].to_numpy(object), names["hap"].to_numpy()
+        parts = [(np.zeros(0, np.int64),) * 4]
+        for a, b, first, last in prefix_order(bits, cm, begin, rules, bool(ends["closes"].max())):
+            a, b = np.minimum(a, b), np.maximum(a, b)  # haplotypes are numbered in the order of samples
+            apart = sample[a] != sample[b]
+            parts.append((a[apart], b[apart], first[apart] + base, np.full(int(apart.sum()), last + base)))
+        a, b, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pd.DataFrame({"chrom": ends["of_chrom"].iloc[0], "sample1": sample[a], "hap1": hap[a], "sample2": sample[b], "hap2": hap[b], "first": first, "last": last})
 
+    return run
 
-def _compared(near: DataFrame, blocks: DataFrame) -> DataFrame:
+
+def packed_blocks(alleles: DataFrame, markers: DataFrame) -> DataFrame:
+    """(chrom, b, sample, hap, m): bit j of m is the allele (0 or 1) at marker 64 b + j."""
+    rows = alleles.join(markers.select("chrom", "pos", "i"), ["chrom", "pos"])
+    bit = F.expr(f"shiftleft(cast(allele as bigint), cast(i % {BLOCK} as int))")
+    return rows.groupBy("chrom", F.floor(F.col("i") / BLOCK).cast("int").alias("b"), "sample", "hap").agg(F.bit_or(bit).alias("m"))
+
+
+def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WINDOW) -> DataFrame:
+    """Runs of equal alleles of two samples' haplotypes that are long enough for a seed (SEEDS), first and last by marker; a run
+    that began before its window is given from the window's first marker on.  ends: (chrom, b, positions, cms)."""
+    last = F.floor(F.element_at("cms", -1) * 1_000_000)  # whole numbers, as range frames need
+    at = Window.partitionBy("chrom").orderBy("b")
+    rows = ends.select("chrom", "b", last.alias("end"))  # a row for each block of a chromosome
+    far = Window.partitionBy("chrom").orderBy("end").rangeBetween(Window.unboundedPreceding, -math.ceil(rules.min_seed * 1_000_000) - 2)
+    rows = rows.withColumn("far", F.coalesce(F.max("b").over(far), F.lit(0))).withColumn("far", F.coalesce(F.lag("far").over(at), F.lit(0)))
+    rows = rows.withColumn("last", F.max("b").over(Window.partitionBy("chrom")))
+    early = F.greatest(F.least("far", F.floor((F.col("b") * BLOCK - rules.min_markers) / BLOCK)), F.lit(0))
+    windows = rows.where(F.col("b") % window == 0).select("chrom", F.col("b").alias("own"), F.explode(F.sequence(early.cast("int"), F.least(F.col("b") + window - 1, F.col("last")))).alias("b"), (F.col("b") + window > F.col("last")).alias("closes"))
+    windows = cut(windows.withColumnRenamed("own", "w"))
+    of = ends.select("chrom", "b", "cms").join(windows, ["chrom", "b"]).select(F.col("chrom").alias("of_chrom"), F.col("w").alias("of_w"), "b", "cms", (F.col("b") >= F.col("w")).alias("own"), "closes")
+    dealt = blocks.join(F.broadcast(windows.select("chrom", "b", "w")), ["chrom", "b"])
+    return dealt.groupBy("chrom", "w").cogroup(of.groupBy("of_chrom", "of_w")).applyInPandas(_task(rules), SEEDS)
+
+
+def _compared(near: DataFrame, blocks: DataFrame, ends: DataFrame) -> DataFrame:
     """Pairs' blocks (PAIR, b) with the places in them at which both are equal."""
     m1, m2 = blocks.select("chrom", "b", F.col("h").alias("h1"), F.col("m").alias("x")), blocks.select("chrom", "b", F.col("h").alias("h2"), F.col("m").alias("y"))
-    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"])
-    places = F.filter(F.transform(F.zip_with("x", "y", lambda a, b: a == b), lambda e, j: F.when(e, j)), lambda j: j.isNotNull())
+    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"]).join(ends.select("chrom", "b", F.size("positions").alias("n")), ["chrom", "b"])
+    other = F.col("x").bitwiseXOR(F.col("y"))
+    places = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.getbit(other, j) == 0)
     return met.select(*PAIR, "b", places.alias("equal"))
 
 
@@ -43,31 +153,37 @@ def _next(known: DataFrame, ends: DataFrame, max_gap: int) -> DataFrame:
     return right.unionByName(left).distinct()
 
 
-def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, block: int = 16) -> DataFrame:
+def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, window: int = WINDOW) -> DataFrame:
     """(id1, hap1, id2, hap2, chrom, start, end, length_cm).
 
-    alleles: (chrom, pos, sample, hap, allele), complete; positions: (chrom, pos, cm).  Markers below
+    alleles: (chrom, pos, sample, hap, allele), complete, 0 or 1; positions: (chrom, pos, cm).  Markers below
     the minor allele count are left out.  A segment is a maximal run of equal alleles of at least
     min_seed centimorgans and min_markers markers, joined with neighbouring runs of at least
     min_extend across gaps of at most max_gap base pairs, reported from min_output on.
     """
-    counts = alleles.groupBy("chrom", "pos").agg(F.sum("allele").alias("a"), F.count("*").alias("n"))
-    markers = counts.where(F.least("a", F.col("n") - F.col("a")) >= rules.min_mac).join(positions, ["chrom", "pos"])
-    block = max(1, min(block, (rules.min_markers + 1) // 2))
-    markers = cut(numbered(markers.select("chrom", "pos", "cm"), [F.col("pos")], "chrom", "i"))
-    rows = alleles.join(markers, ["chrom", "pos"]).withColumn("b", F.floor(F.col("i") / block).cast("int"))
-    blocks = rows.groupBy("chrom", "b", "sample", "hap").agg(F.sort_array(F.collect_list(F.struct("i", "allele"))).alias("m"))
-    blocks = cut(blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), F.transform("m", lambda x: x["allele"]).alias("m")))
-    ends = markers.groupBy("chrom", F.floor(F.col("i") / block).cast("int").alias("b")).agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-    one, two = blocks.select("chrom", "b", F.col("h").alias("h1"), "m"), blocks.select("chrom", "b", F.col("h").alias("h2"), "m")
-    equal = one.join(two, ["chrom", "b", "m"]).where("h1.sample < h2.sample").select("chrom", "b", "h1", "h2")
-    known = cut(_compared(equal.select(*PAIR, F.explode(F.array(F.col("b") - 1, "b", F.col("b") + 1)).alias("b")).distinct(), blocks))
-    while True:
-        new = cut(_compared(_next(known, ends, rules.max_gap).join(known.select(*PAIR, "b"), [*PAIR, "b"], "left_anti"), blocks))
-        if new.isEmpty():
-            break
-        known = cut(known.unionByName(new))
-    same = known.select(*PAIR, "b", F.explode("equal").alias("j")).select(*PAIR, (F.col("b") * block + F.col("j")).alias("i"))
+    with passing(alleles.sparkSession) as keep:
+        counts = alleles.groupBy("chrom", "pos").agg(F.sum("allele").alias("a"), F.count("*").alias("n"))
+        markers = counts.where(F.least("a", F.col("n") - F.col("a")) >= rules.min_mac).join(positions, ["chrom", "pos"])
+        markers = cut(numbered(markers.select("chrom", "pos", "cm"), [F.col("pos")], "chrom", "i"))
+        blocks = cut(packed_blocks(alleles, markers))
+        ends = markers.groupBy("chrom", F.floor(F.col("i") / BLOCK).cast("int").alias("b")).agg(F.sort_array(F.collect_list(F.struct("pos", "cm"))).alias("at"))
+        ends = cut(ends.select("chrom", "b", F.col("at.pos").alias("positions"), F.col("at.cm").alias("cms")))
+        found = cut(seeds(blocks, ends, rules, window))
+        blocks = blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), "m")
+        reach = F.sequence(F.floor(F.col("first") / BLOCK).cast("int") - 1, F.floor(F.col("last") / BLOCK).cast("int") + 1)
+        near = found.select("chrom", F.struct(F.col("sample1").alias("sample"), F.col("hap1").alias("hap")).alias("h1"), F.struct(F.col("sample2").alias("sample"), F.col("hap2").alias("hap")).alias("h2"), F.explode(reach).alias("b"))
+        known = cut(_compared(near.distinct(), blocks, ends))
+        while True:
+            new = cut(_compared(_next(known, ends, rules.max_gap).join(known.select(*PAIR, "b"), [*PAIR, "b"], "left_anti"), blocks, ends))
+            if new.isEmpty():
+                break
+            known = cut(known.unionByName(new))
+        return keep(cut(_joined(known, markers, rules)))
+
+
+def _joined(known: DataFrame, markers: DataFrame, rules: Detection) -> DataFrame:
+    """Segments from the places at which pairs are equal."""
+    same = known.select(*PAIR, "b", F.explode("equal").alias("j")).select(*PAIR, (F.col("b") * BLOCK + F.col("j")).alias("i"))
     pair = Window.partitionBy("chrom", "h1", "h2")
     runs = same.withColumn("run", F.col("i") - F.row_number().over(pair.orderBy("i")))
     runs = runs.groupBy("chrom", "h1", "h2", "run").agg(F.min("i").alias("first"), F.max("i").alias("last"))

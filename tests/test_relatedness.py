@@ -316,10 +316,42 @@ def test_segments(spark):
                 else:
                     groups.append((r, seed))
             want |= {(f"s{a // 2}", a % 2, f"s{b // 2}", b % 2, 100 * keep[r[0]], 100 * keep[r[1]]) for r, seed in groups if seed and cm(r) >= 3.0}
-    got = {tuple(r)[:4] + (r["start"], r["end"]) for r in segments.detect(alleles, positions, rules, block=8).collect()}
+    got = {tuple(r)[:4] + (r["start"], r["end"]) for r in segments.detect(alleles, positions, rules, window=1).collect()}
     assert got == want and len(want) >= 2
 
 
+@pytest.mark.parametrize("window", [1, 2, 64])
+def test_seeds_only(spark, window):
+    """Half of the samples carry one haplotype along a stretch too short for a seed, a few pairs share a long one: only
+    these are ever paired, once for each window's end, whatever the windows are."""
+    rng = random.Random(window)
+    n, haps = 400, 60
+    rows = [[rng.randrange(2) for _ in range(n)] for _ in range(haps)]
+    for h in range(0, haps, 2):
+        rows[h][150:190] = rows[0][150:190]
+    rows[11][30:330] = rows[4][30:330]
+    rows[21][300:400] = rows[40][300:400]
+    rows[33][0:90] = rows[2][0:90]
+    alleles = spark.createDataFrame([("1", 100 * i, f"s{h:02d}", 0, rows[h][i]) for h in range(haps) for i in range(n)], "chrom string, pos long, sample string, hap int, allele int")
+    positions = spark.createDataFrame([("1", 100 * i, i / 10) for i in range(n)], "chrom string, pos long, cm double")
+    rules = config.Detection(min_seed=5.0, min_extend=1.0, min_output=5.0, min_markers=20, min_mac=1, max_gap=300)
+    markers = positions.selectExpr("chrom", "pos", "cm", "cast(pos / 100 as int) as i")
+    ends = markers.groupBy("chrom", F.expr("cast(floor(i / 64) as int)").alias("b")).agg(F.sort_array(F.collect_list(F.struct("pos", "cm"))).alias("at")).selectExpr("chrom", "b", "at.pos as positions", "at.cm as cms")
+    found = segments.seeds(segments.packed_blocks(alleles, markers), ends, rules, window).collect()
+    want = set()
+    for a in range(haps):
+        for b in range(a + 1, haps):
+            start = 0
+            for i in range(n + 1):
+                if i == n or rows[a][i] != rows[b][i]:
+                    if i - 1 - start >= 50:
+                        want.add((a, b, start, i - 1))
+                    start = i + 1
+    got = {(int(r["sample1"][1:]), int(r["sample2"][1:]), r["last"]): r["first"] for r in found}
+    assert len(found) == len(got) == len(want) >= 3
+    assert all(start <= got[a, b, last] <= last - 49 for a, b, start, last in want)
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "B", float(i)) for i in range(10)], "ID1 string, ID2 string, len double")
     (tmp_path / "in").mkdir()

@@ -18,7 +18,7 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,26 +28,19 @@ from .common import discard, identified, saved, table
 BLOCK = 4000
 
 
-def _segment(i: int, parts: int, length: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i of a line of this length."""
-    start = F.floor(length * i / parts).cast("int")
-    return start, (F.floor(length * (i + 1) / parts) - start).cast("int")
-
-
-def _keys(line: Column, length: Column, max_edits: int) -> list[Column]:
-    """Hashed keys (k, role) of a line: its segments, by which it is found as well as finds lines of its
-    length (role 3), and the other substrings by which it finds lines (role 2)."""
-    parts, out = max_edits + 1, []
-    for shorter in range(max_edits + 1):
-        other = (length - shorter).cast("int")
-        for i in range(parts):
-            start, n = _segment(i, parts, other)
-            for shift in range(max(-i, shorter - (max_edits - i)), min(i, shorter + (max_edits - i)) + 1):
-                at = start + shift
-                k = F.xxhash64(F.lit(i), other, F.substring(line, at + 1, n))
-                own = shorter == 0 and shift == 0
-                out.append(F.struct((k if own else F.when((at >= 0) & (at + n <= length), k)).alias("k"), F.lit(3 if own else 2).alias("role")))
-    return out
+def _entries(lines: DataFrame, max_edits: int) -> DataFrame:
+    """(h1, k, role): hashed keys of lines (h1, line, size): their segments, by which they are found as well as find lines of
+    their length (role 3), and the other substrings by which they find lines (role 2).  Which segment of how much
+    shorter a line, at which shift, is exploded first, so that the key is one short expression."""
+    parts = max_edits + 1
+    places = [(i, shorter, shift) for shorter in range(max_edits + 1) for i in range(parts) for shift in range(max(-i, shorter - (max_edits - i)), min(i, shorter + (max_edits - i)) + 1)]
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(shorter).alias("shorter"), F.lit(shift).alias("shift")) for i, shorter, shift in places)))
+    rows = lines.select("h1", "line", "size", each.alias("e")).select("h1", "line", "size", "e.i", "e.shift", "e.shorter", (F.col("size") - F.col("e.shorter")).alias("other"))
+    edge = lambda i: F.floor(F.col("other") * i / parts).cast("int")
+    rows = rows.withColumn("at", edge(F.col("i")) + F.col("shift")).withColumn("n", edge(F.col("i") + 1) - edge(F.col("i"))).where("at >= 0 and at + n <= size")
+    # of a line of one byte a character, a substring is found without counting characters; its hash is the same
+    part = F.when(F.octet_length("line") == F.col("size"), F.substring(F.col("line").cast("binary"), F.col("at") + 1, F.col("n"))).otherwise(F.substring("line", F.col("at") + 1, F.col("n")).cast("binary"))
+    return rows.select("h1", F.xxhash64("i", "other", part).alias("k"), F.when((F.col("shorter") == 0) & (F.col("shift") == 0), 3).otherwise(2).alias("role"))
 
 
 def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,7 +60,7 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     distinct = saved(distinct.withColumn("size", F.char_length("line")), "lines")
     long = distinct.where("line is not null")
 
-    entries = long.select("h1", F.explode(F.array(*_keys(F.col("line"), F.col("size"), max_edits))).alias("e")).select("h1", "e.k", "e.role").where("k is not null")
+    entries = _entries(long, max_edits)
     by_key = W.partitionBy("k")
     shared = entries.withColumn("low", F.min("h1").over(by_key)).withColumn("high", F.max("h1").over(by_key))
     shared = shared.withColumn("mine", F.sum((F.col("role") == 3).cast("long")).over(by_key)).withColumn("theirs", F.count("*").over(by_key))

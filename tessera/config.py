@@ -79,6 +79,7 @@ class Clumping:
     def __post_init__(self) -> None:
         _need(0 <= self.min_maf <= 0.5 and 0 <= self.max_missingness <= 1, "frequencies must be in range")
         _need(0 < self.hwe <= 1, "hwe must be above 0 and at most 1")
+        _need(self.step == 1, "step must be 1: windows are of kilobases, and every pair inside one is looked at")
         _need(self.window_kb >= 1 and 0 < self.r2 < 1, "window_kb must be at least 1 and r2 between 0 and 1")
         _need(self.threshold >= 0 and self.min_cluster_size >= 2, "threshold must not be negative, min_cluster_size at least 2")
 

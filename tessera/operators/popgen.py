@@ -6,6 +6,8 @@ dosages: (sample, chrom, pos, variant, dosage), dosage 0 to 2 or null.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -62,31 +64,47 @@ def variant_id(chrom: Column, pos: Column, ref: Column, alt: Column, longest: in
     return F.concat_ws(":", bare_chromosome(chrom), pos.cast("string"), F.left(ref, F.lit(longest)), F.left(alt, F.lit(longest)))
 
 
-@F.pandas_udf(DoubleType())
-def hwe_midp(hom_ref: pd.Series, het: pd.Series, hom_alt: pd.Series) -> pd.Series:
-    """Exact test of Hardy-Weinberg proportions, with half the weight of the observed outcome.
-
-    All variants of a batch advance together over the heterozygote counts that are possible, by the
-    ratio of neighbouring probabilities, downwards and upwards from the observed count."""
-    a, b, c = (x.to_numpy().astype(np.float64) for x in (hom_ref, het, hom_alt))
-    total, less, same = np.ones(len(a)), np.zeros(len(a)), np.ones(len(a))
+def _outwards(common: np.ndarray, rare: np.ndarray, start: np.ndarray, done) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(variants, heterozygotes, probability relative to that of start) of the heterozygote counts from start
+    downwards, then upwards, all variants a step at a time; done(variants, heterozygotes, probability, whether it falls) ends some."""
     for up in (False, True):
-        x, y, h = np.minimum(a, c), np.maximum(a, c), b.copy()
-        p, live = np.ones(len(a)), np.arange(len(a))
+        h = start.copy()
+        x, y, p, live = (rare - h) / 2, (common - h) / 2, np.ones(len(h)), np.arange(len(h))
         while len(live):
             x_, y_, h_ = x[live], y[live], h[live]
             ratio = 4 * x_ * y_ / ((h_ + 2) * (h_ + 1)) if up else h_ * (h_ - 1) / (4 * (x_ + 1) * (y_ + 1))
             step = -1 if up else 1
             x[live], y[live], h[live] = x_ + step, y_ + step, h_ - 2 * step
             p[live] *= ratio
-            now = p[live]
-            total[live] += now
-            equal = np.abs(now - 1) <= 1e-9
-            same[live] += np.where(equal, now, 0)
-            less[live] += np.where(equal, 0, np.where(now < 1, now, 0))
-            # past the mode, ever smaller terms end the sum
-            live = live[(now > 0) & ~((ratio < 1) & (now < 1e-18 * total[live]))]
-    return pd.Series(np.where(a + b + c == 0, 1.0, np.minimum(1.0, (less + 0.5 * same) / total)))
+            yield live, h[live], p[live]
+            live = live[(p[live] > 0) & ~done(live, h[live], p[live], ratio < 1)]
+
+
+@F.pandas_udf(DoubleType())
+def hwe_midp(hom_ref: pd.Series, het: pd.Series, hom_alt: pd.Series) -> pd.Series:
+    """Exact test of Hardy-Weinberg proportions, with half the weight of the observed outcome.
+
+    All variants of a batch advance together over the heterozygote counts that are possible, by the
+    ratio of neighbouring probabilities, outwards from about the likeliest count, relative to which none is
+    large: an outcome so unlikely that it vanishes beside that one has a p of 0."""
+    a, b, c = (x.to_numpy().astype(np.float64) for x in (hom_ref, het, hom_alt))
+    n, rare = a + b + c, 2 * np.minimum(a, c) + b
+    common = 2 * n - rare
+    start = np.floor(rare * common / np.maximum(2 * n, 1))
+    start = np.clip(start - (start - rare) % 2, rare % 2, rare)
+    own = np.where(start == b, 1.0, 0.0)
+    away = b - start
+    passed = lambda live, h, p, falls: ((h - start[live]) * away[live] <= 0) | (np.abs(h - start[live]) >= np.abs(away[live]))
+    for live, h, p in _outwards(common, rare, start, passed):
+        here = h == b[live]
+        own[live[here]] = p[here]
+    less, same, total = np.where(own < 1 - 1e-9, 0.0, np.where(own > 1 + 1e-9, 1.0, 0.0)), np.where(np.abs(own - 1) <= 1e-9, 1.0, 0.0), np.ones(len(a))
+    for live, _, p in _outwards(common, rare, start, lambda live, h, p, falls: falls & (p < 1e-18 * total[live])):
+        total[live] += p
+        equal = np.abs(p - own[live]) <= 1e-9 * own[live]
+        same[live] += np.where(equal, p, 0)
+        less[live] += np.where(~equal & (p < own[live]), p, 0)
+    return pd.Series(np.where(n == 0, 1.0, np.minimum(1.0, (less + 0.5 * same) / total)))
 
 
 def packed(dosages: DataFrame) -> DataFrame:

@@ -254,6 +254,19 @@ def test_hardy_weinberg(spark):
     assert p[1] == 1.0 and p[0] > 0.8 and p[2] < 0.01 and p[3] == 0.5
 
 
+def test_exact_test_of_large_cohorts(spark):
+    """Against sums of logarithms, also where the observed outcome all but vanishes beside the likeliest."""
+    cases = [(550, 0, 550), (1500, 100, 1500), (500, 0, 500), (300, 200, 100), (1000, 30, 5), (0, 1000, 0), (7000, 2900, 300), (7000, 2901, 301), (1, 1, 1), (3, 0, 0), (20, 5, 0), (0, 3, 40)]
+    got = spark.createDataFrame(cases, "a long, b long, c long").select("a", "b", "c", popgen.hwe_midp("a", "b", "c").alias("p")).collect()
+    for a, b, c, p in map(tuple, got):
+        n, rare = a + b + c, 2 * min(a, c) + b
+        logs = {h: h * math.log(2) - math.lgamma(h + 1) - math.lgamma((rare - h) // 2 + 1) - math.lgamma(n - h - (rare - h) // 2 + 1) for h in range(rare % 2, rare + 1, 2)}
+        most = max(logs.values())
+        each = {h: math.exp(x - most) for h, x in logs.items()}
+        less = sum(x / 2 if abs(logs[h] - logs[b]) < 1e-8 else x if logs[h] < logs[b] else 0.0 for h, x in each.items())
+        assert p is not None and abs(p - less / sum(each.values())) < 1e-7
+
+
 def test_fst(spark):
     counts = spark.createDataFrame([("A", "v", 20, 15), ("B", "v", 10, 2), ("C", "v", 10, 2), ("A", "w", 20, 10), ("B", "w", 10, 5), ("C", "w", 10, 5), ("D", "w", 1, 1)], "cluster string, variant string, n long, ac long")
 

@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 from tessera.shared import small
 
 
-def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(chrom, pos, id, ref, alts, gts): gts has a struct (a1, a2, phased) for each sample, in order.
-    A haploid genotype has no second allele."""
-    lines = spark.read.text(paths).where("value <> '' and not startswith(value, '#')")
+def parsed(lines: DataFrame) -> DataFrame:
+    """(chrom, pos, id, ref, alts, gts) of lines (value, and chrom and pos where these are known before)."""
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t", -1)
-    rows = lines.select(f.alias("f"))
+    known = "chrom" in lines.columns
+    rows = lines.select(f.alias("f"), *(["chrom", "pos"] if known else []))
     at = F.array_position(F.split(F.col("f")[8], ":"), "GT").cast("int")
     allele = lambda g, i: F.get(F.split(g, r"[|/]"), F.lit(i)).try_cast("int")
     fields = F.transform(F.slice("f", 10, F.greatest(F.size("f") - 9, F.lit(0))), lambda s: F.get(F.split(s, ":"), at - 1))
-    gts = F.transform(fields, lambda g: F.struct(allele(g, 0).alias("a1"), allele(g, 1).alias("a2"), ~F.contains(g, F.lit("/")).alias("phased")))
+    gts = F.transform(fields, lambda g: F.struct(allele(g, 0).alias("a1"), allele(g, 1).alias("a2"), (~F.contains(g, F.lit("/"))).alias("phased")))
     alts = F.filter(F.split(F.col("f")[4], ","), lambda a: a != ".")
-    return rows.select(F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("pos"), F.col("f")[2].alias("id"), F.col("f")[3].alias("ref"), alts.alias("alts"), gts.alias("gts"))
+    place = [F.col("chrom"), F.col("pos")] if known else [F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("pos")]
+    return rows.select(*place, F.col("f")[2].alias("id"), F.col("f")[3].alias("ref"), alts.alias("alts"), gts.alias("gts"))
+
+
+def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(chrom, pos, id, ref, alts, gts): gts has a struct (a1, a2, phased) for each sample, in order.
+    A haploid genotype has no second allele."""
+    return parsed(spark.read.text(paths).where("value <> '' and not startswith(value, '#')"))
 
 
 def vcf_samples(spark: SparkSession, path: str) -> DataFrame:

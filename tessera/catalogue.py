@@ -302,14 +302,23 @@ def fst_argmin(spark, sf_dir):
     return popgen.closest(fst_eligible(spark, sf_dir))
 
 
-@query()
+_CLUMP = f"""{sql('dose').replace('WITH', 'WITH RECURSIVE', 1)}, c AS (SELECT cluster, variant, CAST(2 * count(*) AS DOUBLE) AS n, CAST(sum(dosage) AS DOUBLE) AS ac FROM dose WHERE dosage IS NOT NULL GROUP BY ALL),
+z AS (SELECT 'P' || CAST(label AS VARCHAR) AS cluster, count(*) AS size FROM embeddings GROUP BY ALL),
+r AS (SELECT 0 AS step, cluster, cluster AS label, '' AS c1, '' AS c2, CAST(0 AS DOUBLE) AS fst, CAST(0 AS BIGINT) AS s1, CAST(0 AS BIGINT) AS s2 FROM z UNION ALL
+  SELECT * FROM (WITH k AS (SELECT label, variant, sum(n) AS n, sum(ac) / sum(n) AS p FROM r JOIN c USING (cluster) GROUP BY ALL), y AS (SELECT label, CAST(sum(size) AS BIGINT) AS size FROM r JOIN z USING (cluster) GROUP BY ALL),
+    f AS (SELECT a.label AS c1, b.label AS c2, sum((a.p - b.p) * (a.p - b.p) - a.p * (1 - a.p) / (a.n - 1) - b.p * (1 - b.p) / (b.n - 1)) / sum(a.p * (1 - b.p) + b.p * (1 - a.p)) AS fst FROM k a JOIN k b USING (variant) WHERE a.label < b.label GROUP BY ALL),
+    b AS (SELECT f.*, u.size AS s1, v.size AS s2 FROM f JOIN y u ON u.label = c1 JOIN y v ON v.label = c2 WHERE u.size >= 4 AND v.size >= 4 ORDER BY fst, c1, c2 LIMIT 1)
+    SELECT r.step + 1, r.cluster, CASE WHEN r.label = b.c2 THEN b.c1 ELSE r.label END, b.c1, b.c2, b.fst, b.s1, b.s2 FROM r, b WHERE b.fst < 0.0005))"""
+
+
+@query(f"{_CLUMP} SELECT cluster, label AS final FROM r WHERE step = (SELECT max(step) FROM r)")
 def fst_clump_final(spark, sf_dir):
     return popgen.clump(*_counts(spark, sf_dir), 0.0005, MIN_SIZE)[0]
 
 
-@query()
+@query(f"{_CLUMP} SELECT DISTINCT step, c1 AS cluster_1, c2 AS cluster_2, round(fst, 9) AS fst_before_merge, c1 AS retained_label, s1 AS cluster_1_size, s2 AS cluster_2_size, s1 + s2 AS merged_size FROM r WHERE step > 0")
 def fst_merge_history(spark, sf_dir):
-    return popgen.clump(*_counts(spark, sf_dir), 0.0005, MIN_SIZE)[1]
+    return popgen.clump(*_counts(spark, sf_dir), 0.0005, MIN_SIZE)[1].withColumn("fst_before_merge", F.round("fst_before_merge", 9))
 
 
 @query(f"{sql('samples')}, z AS (SELECT label AS cluster, count(*) AS size FROM samples GROUP BY label) SELECT cluster, size, 'Cluster_' || CAST(row_number() OVER (ORDER BY size DESC, cluster) AS VARCHAR) AS final_cluster FROM z")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.text import bare_chromosome
-from tessera.shared import cut, numbered, small
+from tessera.shared import Growing, cut, numbered, small
+from tessera.shared import passing as owning
 
 
 def frequencies(dosages: DataFrame) -> DataFrame:
@@ -193,35 +194,64 @@ def closest(pairs: DataFrame) -> DataFrame:
 def clump(counts: DataFrame, clusters: DataFrame, threshold: float, min_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Merge the closest eligible pair while its F_ST is below the threshold.
 
-    Genotypes are counted once: merging adds rows of counts, and only pairs with the merged cluster
-    are computed again.  Returns (cluster, final) for every input cluster, the merges and all pairs of
-    every iteration, the last one included.
+    Genotypes are counted once.  Counts, and F_ST of pairs, are kept by cluster and version, the step that made it, in
+    tables that only grow: a merge adds the counts of the merged cluster and its pairs with the others.  What is current are
+    versions that the log of merges has not ended.  Returns (cluster, final) for every input cluster, the merges and all
+    pairs of every iteration, the last one included.
     """
     spark = counts.sparkSession
-    label = cut(clusters.groupBy("cluster").agg(F.count("*").alias("size")))
-    counts = cut(counts)
-    final = cut(label.select("cluster", F.col("cluster").alias("final")))
-    merges, history, step = [], None, 0
-    pairs = cut(hudson(counts))
-    while True:
-        current = cut(with_eligibility(pairs, label, min_size).withColumn("iteration", F.lit(step)))
-        history = current if history is None else history.unionByName(current)
-        best = closest(current).first()
-        if best is None or best["hudson_fst"] >= threshold:
-            break
-        keep, gone = min(best["cluster_1"], best["cluster_2"]), max(best["cluster_1"], best["cluster_2"])
-        size = {r["cluster"]: r["size"] for r in label.where(F.col("cluster").isin(keep, gone)).collect()}
-        step += 1
-        merges.append((step, best["cluster_1"], best["cluster_2"], best["hudson_fst"], keep, size[best["cluster_1"]], size[best["cluster_2"]], size[keep] + size[gone]))
-        to = lambda c: F.when(F.col(c) == gone, keep).otherwise(F.col(c))  # noqa: B023, E731
-        final = cut(final.withColumn("final", to("final")))
-        label = cut(label.groupBy(to("cluster").alias("cluster")).agg(F.sum("size").alias("size")))
-        counts = cut(counts.groupBy(to("cluster").alias("cluster"), "variant").agg(F.sum("n").alias("n"), F.sum("ac").alias("ac")))
-        changed = spark.createDataFrame([(keep,)], "cluster string").select(F.col("cluster").cast(dict(counts.dtypes)["cluster"]))
-        pairs = cut(pairs.where(~F.col("cluster_1").isin(keep, gone) & ~F.col("cluster_2").isin(keep, gone)).unionByName(hudson(counts, changed)))
     kind = dict(counts.dtypes)["cluster"]
-    merged = spark.createDataFrame(merges, f"step int, cluster_1 {kind}, cluster_2 {kind}, fst_before_merge double, retained_label {kind}, cluster_1_size long, cluster_2_size long, merged_size long")
-    return final, merged, history
+    with owning(spark) as keep:
+        versions = lambda rows, v: rows.withColumn("version", F.lit(v))
+        sizes = Growing(versions(clusters.groupBy("cluster").agg(F.count("*").alias("size")), 0))
+        log = Growing(versions(counts.select("cluster", "variant", "n", "ac"), 0))
+        ended: list[tuple] = []
+
+        def current(rows: DataFrame, *sides: str) -> DataFrame:
+            """Rows whose versions (of these sides of a pair, or of themselves) the log of merges has not ended; it has two rows a step."""
+            gone = F.broadcast(spark.createDataFrame([x[:2] for x in ended], f"cluster {kind}, version int"))
+            for side in sides or ("",):
+                names = gone.withColumnsRenamed({c: c + side for c in gone.columns})
+                rows = rows.join(names, names.columns, "left_anti")
+            return rows
+
+        def paired(fst: DataFrame) -> DataFrame:
+            now = current(sizes.rows())
+            out = with_eligibility(fst, now, min_size)
+            for side in ("_1", "_2"):
+                out = out.join(small(now.select(F.col("cluster").alias(f"cluster{side}"), F.col("version").alias(f"version{side}"))), f"cluster{side}")
+            return out
+
+        pairs, merges, step = Growing(paired(hudson(log.rows()))), [], 0
+        while True:
+            best = current(pairs.rows(), "_1", "_2").where("eligible").agg(F.min(F.struct("hudson_fst", "cluster_1", "cluster_2", "version_1", "version_2", "cluster_1_size", "cluster_2_size")).alias("m")).first()["m"]
+            if best is None or best["hudson_fst"] >= threshold:
+                break
+            step += 1
+            one, two = (best["cluster_1"], best["version_1"]), (best["cluster_2"], best["version_2"])
+            kept, size = min(one[0], two[0]), best["cluster_1_size"] + best["cluster_2_size"]
+            merges.append((step, one[0], two[0], best["hudson_fst"], kept, best["cluster_1_size"], best["cluster_2_size"], size))
+            both = F.struct("cluster", "version").isin([F.struct(F.lit(c), F.lit(v)) for c, v in (one, two)])
+            merged = log.rows().where(both).groupBy("variant").agg(F.sum("n").alias("n"), F.sum("ac").alias("ac"))
+            ended += [(*one, step), (*two, step)]
+            log.add(versions(merged.withColumn("cluster", F.lit(kept).cast(kind)), step))
+            sizes.add(versions(spark.createDataFrame([(kept, size)], f"cluster {kind}, size long"), step))
+            pairs.add(paired(hudson(current(log.rows()), spark.createDataFrame([(kept,)], f"cluster {kind}"))))
+        merged = spark.createDataFrame(merges, f"step int, cluster_1 {kind}, cluster_2 {kind}, fst_before_merge double, retained_label {kind}, cluster_1_size long, cluster_2_size long, merged_size long")
+        # a pair was current from the step that made it to before the one that ended either side
+        history = pairs.rows()
+        for side in ("_1", "_2"):
+            history = history.join(F.broadcast(spark.createDataFrame(ended, f"cluster{side} {kind}, version{side} int, ended{side} int")), [f"cluster{side}", f"version{side}"], "left")
+        to = F.least(F.coalesce("ended_1", F.lit(step + 1)), F.coalesce("ended_2", F.lit(step + 1))) - 1
+        history = history.withColumn("iteration", F.explode(F.sequence(F.greatest("version_1", "version_2"), to)))
+        history = history.select("cluster_1", "cluster_2", "hudson_fst", "cluster_1_size", "cluster_2_size", "eligible", "iteration")
+        # labels that went, with the one that each ended up in
+        into: dict = {}
+        for _, a, b, _, kept, *_ in merges:
+            into = {k: kept if v == max(a, b) else v for k, v in into.items()} | {max(a, b): kept}
+        names = spark.createDataFrame(list(into.items()), f"cluster {kind}, final {kind}")
+        final = clusters.select("cluster").distinct().join(F.broadcast(names), "cluster", "left").select("cluster", F.coalesce("final", "cluster").alias("final"))
+        return keep(cut(final), merged, cut(history))
 
 
 def final_ranks(sizes: DataFrame) -> DataFrame:

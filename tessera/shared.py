@@ -85,6 +85,23 @@ def cut(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+class Growing:
+    """A table in the shared folder that rows are added to and that are never changed; it ends with the innermost `passing`."""
+
+    def __init__(self, rows: DataFrame):
+        self.spark, self.schema = rows.sparkSession, rows.schema
+        self.path = f"{shared_dir(self.spark)}/cut-{uuid.uuid4().hex}"
+        if _WRITTEN:
+            _WRITTEN[-1].append(self.path)
+        self.add(rows)
+
+    def add(self, rows: DataFrame) -> None:
+        rows.select(self.schema.names).write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def small(rows: DataFrame, most: int = 200_000) -> DataFrame:
     """Rows marked to be sent to every task if they are counted to be at most so many, else as they are."""
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows

@@ -144,6 +144,37 @@ def test_split_table(spark, children, decision, sizes):
     assert [r["count"] for r in labels] == sizes
 
 
+@pytest.mark.parametrize("regions", [0, 1, 7, 100_000])
+def test_many_regions_on_one_chromosome(spark, regions):
+    """The index of merged regions against a search of all of them, and against bins."""
+    import bisect
+
+    rng = random.Random(regions)
+    size = 3_000_000_000 if regions > 10 else 2_000
+    given = [(rng.choice(["1", "chr1"]), a := rng.randrange(size), a + rng.choice([0, 1, 50, 9_000])) for _ in range(regions)] + [("2", 5, 10)]
+    rows = [(f"{i}", rng.choice(["chr1", "1", "2", "3"]), a := rng.randrange(1, size), a + rng.choice([0, 30, 20_000])) for i in range(4_000)]
+    s = spark.createDataFrame(rows, "name string, chrom string, start long, end long")
+    r = spark.createDataFrame(given, "chrom string, start long, end long")
+    own = {}
+    for c, a, b in given:
+        own.setdefault(c.removeprefix("chr"), []).append((a, b))
+    want = set()
+    for c, regions_ in own.items():
+        regions_.sort()
+        reach, most = [], -1
+        for _, b in regions_:
+            most = max(most, b)
+            reach.append(most)
+        for name, chrom, start, end in rows:
+            at = bisect.bisect_left(regions_, (end, -1))
+            if chrom.removeprefix("chr") == c and at and reach[at - 1] > start - 1:
+                want.add(name)
+    got = {x["name"] for x in intervals.overlapping(s, r, "left_semi").collect()}
+    assert got == want and {x["name"] for x in intervals.overlapping(s, r).collect()} == {x[0] for x in rows} - want
+    if regions <= 10:
+        assert {x["name"] for x in intervals.overlapping(s, r, "left_semi", most=0).collect()} == want
+
+
 def test_graph_faults(spark):
     samples = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     edge = lambda *rows: spark.createDataFrame(rows, "src string, dst string, weight double")
@@ -288,6 +319,23 @@ def test_fst(spark):
     assert history.where("iteration = 1").first()["hudson_fst"] == pytest.approx(one.first()["hudson_fst"])
 
 
+def test_clumping_only_adds(spark, monkeypatch):
+    """A merge writes the merged cluster's counts, its pairs with the others and its size, nothing else anew."""
+    written = []
+    add = popgen.Growing.add
+    monkeypatch.setattr(popgen.Growing, "add", lambda self, rows: (written.append(rows.count()), add(self, rows))[1])
+    rng = random.Random(1)
+    base = [[rng.randrange(3) for _ in range(40)] for _ in range(3)]
+    clusters = spark.createDataFrame([(f"s{c}{i}", f"c{c}") for c in range(6) for i in range(5)], "sample string, cluster string")
+    dosages = spark.createDataFrame([(f"s{c}{i}", "1", v, f"v{v:02d}", base[c % 3][v] if rng.random() < 0.8 else rng.randrange(3)) for c in range(6) for i in range(5) for v in range(40)], "sample string, chrom string, pos long, variant string, dosage int")
+    final, merges, pairs = popgen.clump(popgen.allele_counts(dosages, clusters), clusters, 0.05, 2)
+    n = merges.count()
+    assert n >= 2 and written[:3] == [6, 6 * 40, 15]
+    assert written[3:] == [x for step in range(1, n + 1) for x in (40, 1, 5 - step)]
+    assert {(r["iteration"], r["count"]) for r in pairs.groupBy("iteration").count().collect()} == {(i, (6 - i) * (5 - i) // 2) for i in range(n + 1)}
+    assert final.select("final").distinct().count() == 6 - n
+
+
 def test_pruning(spark):
     f = spark.createDataFrame([("1", i, f"v{i}", m) for i, m in enumerate([0.1, 0.4, 0.3, 0.2, 0.5])], "chrom string, pos long, variant string, maf double")
     links = spark.createDataFrame([("1", "v0", "v1", 0.9), ("1", "v1", "v2", 0.9), ("1", "v2", "v3", 0.9)], "chrom string, variant_1 string, variant_2 string, r2 double")

@@ -67,6 +67,20 @@ def pair_summary_faults(spark, sf_dir):
     return found.agg(F.count("*").alias("rows_checked"), F.count("error").cast("int").alias("faults"))
 
 
+@query(f"""{sql('seg', 'pairs')}, t AS (SELECT ID1, ID2, {STATS} FROM pairs GROUP BY ID1, ID2),
+k AS (SELECT CAST(substr(ID2, 2) AS INT) % 5 AS k FROM t)
+SELECT CASE k WHEN 0 THEN 'no_segments' WHEN 1 THEN 'threshold_count' WHEN 2 THEN 'min_above_max' WHEN 3 THEN 'threshold_length' END AS error, count(*) AS n FROM k GROUP BY 1""")
+def pair_summary_relations(spark, sf_dir):
+    """Of summaries spoilt so that each relation between their columns is broken in some: by the second sample's number."""
+    t, kind = pair_summary_genome(spark, sf_dir), F.substring("ID2", 2, 20).cast("int") % 5
+    spoilt = lambda k, c, v: F.when(kind == k, v).otherwise(F.col(c))
+    t = t.withColumns({
+        "number_of_IBD_segments": spoilt(0, "number_of_IBD_segments", F.lit(0)), "number_of_segments_ge_25_cM": spoilt(1, "number_of_segments_ge_25_cM", F.col("number_of_IBD_segments") + 1),
+        "min_IBD_length_cM": spoilt(2, "min_IBD_length_cM", F.col("max_IBD_length_cM") + 1), "total_length_of_segments_ge_25_cM": spoilt(3, "total_length_of_segments_ge_25_cM", F.col("total_IBD_length_cM") + 1),
+    })
+    return t.withColumn("error", pairs.summary_errors(THRESHOLD)).groupBy("error").agg(F.count("*").alias("n"))
+
+
 _GAPS = "seg.id1 <> seg.id2 AND {} EXISTS (SELECT 1 FROM gap WHERE replace(seg.chrom, 'chr', '') = gap.chrom AND greatest(seg.s - 1, 0) < gap.e AND gap.s < seg.e)"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.shared import numbered
 from tessera.functions.text import bare_chromosome, finite, parse_count, parse_float, threshold_names
 from tessera.operators import pairs
+from tessera.sources.observed import Watched
 
 
 def per_chromosome(pattern: str, chromosomes: list[str]) -> dict[str, str]:
@@ -19,15 +20,16 @@ def per_chromosome(pattern: str, chromosomes: list[str]) -> dict[str, str]:
     return {c: pattern.replace("{chr}", c) for c in chromosomes}
 
 
-def read_segments(spark: SparkSession, paths: list[str], check: bool = True) -> DataFrame:
-    """Headerless segment files: (id1, hap1, id2, hap2, chrom, start, end, length_cm, file).
+SEGMENT_FAULTS = ["field_count", "empty_id", "self_pair", "not_a_number", "not_finite", "negative"]
+SUMMARY_FAULTS = ["empty_id", "self_pair", "not_a_number", "not_finite", "negative", "no_segments", "threshold_count", "min_above_max", "threshold_length"]
 
-    Blank lines are skipped, fields split at tabs; ids and length are checked, the others are not.
-    """
+
+def _segment_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"), F.rtrim(F.regexp_replace("value", "\r$", "")).alias("value"))
-    rows = lines.where("value <> ''").withColumn("f", F.split("value", "\t", -1))
-    if check:
-        pairs.first_error(rows, pairs.segment_errors(F.col("f")), "file", "line")
+    return lines.where("value <> ''").withColumn("f", F.split("value", "\t", -1))
+
+
+def _segments(rows: DataFrame) -> DataFrame:
     get = lambda i: F.get("f", F.lit(i))
     return rows.select(
         get(0).alias("id1"), parse_count(get(1)).cast("int").alias("hap1"), get(2).alias("id2"), parse_count(get(3)).cast("int").alias("hap2"), get(4).alias("chrom"),
@@ -35,6 +37,24 @@ def read_segments(spark: SparkSession, paths: list[str], check: bool = True) ->
     )
 
 
+def read_segments(spark: SparkSession, paths: list[str], check: bool = True) -> DataFrame:
+    """Headerless segment files: (id1, hap1, id2, hap2, chrom, start, end, length_cm, file).
+
+    Blank lines are skipped, fields split at tabs; ids and length are checked, the others are not.
+    """
+    rows = _segment_lines(spark, paths)
+    if check:
+        pairs.first_error(rows, pairs.segment_errors(F.col("f")), "file", "line")
+    return _segments(rows)
+
+
+def watch_segments(spark: SparkSession, paths: list[str]) -> Watched:
+    """read_segments whose faults are found while its rows are used."""
+    watched = Watched(_segment_lines(spark, paths), pairs.segment_errors(F.col("f")), SEGMENT_FAULTS, "file", "line", "value")
+    watched.rows = _segments(watched.rows)
+    return watched
+
+
 def _table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.csv(paths, sep="\t", header=True, escape='"', quote='"', enforceSchema=False)
 
@@ -45,18 +65,27 @@ def _need(table: DataFrame, columns: list[str], what: str) -> None:
         raise ValueError(f"{what} lacks the columns {missing}")
 
 
-def read_summaries(spark: SparkSession, paths: str | list[str], threshold: float) -> DataFrame:
-    """Published pair summaries as numbers, checked."""
+def _summaries(spark: SparkSession, paths: str | list[str], threshold: float) -> DataFrame:
     n_ge, total_ge = threshold_names(threshold)
     counts = ["number_of_IBD_segments", n_ge]
     floats = ["total_IBD_length_cM", "sum_squared_IBD_length_cM", "min_IBD_length_cM", "max_IBD_length_cM", total_ge]
     table = _table(spark, paths)
     _need(table, ["ID1", "ID2", *counts, *floats], "a pair summary")
-    rows = table.select("ID1", "ID2", *(parse_count(F.col(c)).alias(c) for c in counts), *(parse_float(F.col(c)).alias(c) for c in floats))
+    return table.select("ID1", "ID2", *(parse_count(F.col(c)).alias(c) for c in counts), *(parse_float(F.col(c)).alias(c) for c in floats))
+
+
+def read_summaries(spark: SparkSession, paths: str | list[str], threshold: float) -> DataFrame:
+    """Published pair summaries as numbers, checked."""
+    rows = _summaries(spark, paths, threshold)
     pairs.first_error(rows, pairs.summary_errors(threshold), "ID1", "ID2")
     return rows
 
 
+def watch_summaries(spark: SparkSession, paths: str | list[str], threshold: float) -> Watched:
+    """read_summaries whose faults are found while its rows are used."""
+    return Watched(_summaries(spark, paths, threshold), pairs.summary_errors(threshold), SUMMARY_FAULTS, "ID1", "ID2")
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """(idx, id) in the file's order; ids are trimmed, blank lines skipped; none or a repeat is an error."""
     lines = spark.read.text(path, wholetext=False).select(F.monotonically_increasing_id().alias("idx"), F.trim("value").alias("id")).where("id <> ''")

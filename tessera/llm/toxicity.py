@@ -252,7 +252,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["votes", "n"])
 
-    counted = documents.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).toPandas()
+    # the label model sees no votes of held-out documents either
+    counted = documents.where(~held_out(F.col(id_col))).select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << VOTERS)
     counts[counted["votes"].to_numpy()] = counted["n"].to_numpy()
     model.posterior = label_model(counts, VOTERS - PATTERNS, PATTERNS)

@@ -80,6 +80,71 @@ def test_label_model():
     assert q[(votes[:, :4].sum(axis=1) == 0)].max() < 0.2
 
 
+def test_posteriors_by_enumeration():
+    """The label model of two lexicons and one pattern, against the same rounds written out combination by combination."""
+    rng = np.random.default_rng(5)
+    counts = rng.integers(1, 400, 8).astype(float)
+    combos = [((c >> 0) & 1, (c >> 1) & 1, c >> 2) for c in range(8)]
+    q = {c: 0.9 if c[0] + c[1] else 0.05 for c in combos}
+    n = dict(zip(combos, counts, strict=True))
+    whole = sum(counts)
+    for _ in range(7):
+        logs = {}
+        weight = [{c: n[c] * (1 - q[c]) for c in combos}, {c: n[c] * q[c] for c in combos}]
+        shares = [sum(w.values()) + 1 for w in weight]
+        for y, (size, rate) in enumerate(((2 * whole, 0.002), (4.0, 0.25))):
+            w, total = weight[y], sum(weight[y].values()) + size
+            one = [(sum(w[c] for c in combos if c[j]) + size * rate) / total for j in (0, 1)]
+            both = (sum(w[c] for c in combos if c[0] and c[1]) + size * rate * rate) / total
+            every = [sum(n[c] for c in combos if c[2] == s) + 1e-3 for s in (0, 1)]
+            own = [sum(w[c] for c in combos if c[2] == s) + every[s] for s in (0, 1)]
+            for c in combos:
+                first = one[0] if c[0] else 1 - one[0]
+                given = both / one[0] if c[0] else (one[1] - both) / (1 - one[0])
+                second = given if c[1] else 1 - given
+                logs[c, y] = np.log(shares[y] / sum(shares)) + np.log(own[c[2]] / sum(own)) + np.log(first) + np.log(second)
+        q = {c: 1 / (1 + np.exp(logs[c, 0] - logs[c, 1])) for c in combos}
+    got = toxicity.label_model(counts, 2, 1, rounds=7)
+    assert np.allclose(got, [q[c] for c in combos], atol=1e-9)
+
+
+def test_regression_is_optimal():
+    """At the minimum the gradient of a feature that is used balances the penalty, and no other exceeds it."""
+    rng = np.random.default_rng(2)
+    x = rng.random((400, 12)) < 0.3
+    target = 1 / (1 + np.exp(-(x @ np.array([3.0, -2, 1.5] + [0] * 9) - 0.5)))
+    row, column = np.nonzero(x)
+    for penalty in (1e-2, 1e-3):
+        w, b = toxicity._regression(row, column, 400, 12, target, penalty, rounds=5000)
+        error = 1 / (1 + np.exp(-(x @ w + b))) - target
+        gradient = x.T @ error / 400
+        assert abs(error.mean()) < 1e-6 and (np.abs(gradient) <= penalty + 1e-6).all()
+        assert np.allclose(gradient[w != 0], -penalty * np.sign(w[w != 0]), atol=1e-6)
+    short, c = toxicity._regression(row, column, 400, 12, target, 1e-3)
+    loss = lambda w, b: np.mean(np.logaddexp(0, x @ w + b) - target * (x @ w + b)) + 1e-3 * np.abs(w).sum()
+    assert loss(short, c) < loss(w, b) + 1e-4
+
+
+def test_votes_of_held_out_documents_are_not_counted(corpus):
+    """Texts of held-out documents change no score of others."""
+    docs, labels = corpus
+    other = docs.withColumn("text", toxicity.F.when(toxicity.held_out(docs.doc_id), "grubface snotling " * 3).otherwise(docs.text))
+    a, b = (dict(toxicity.score(docs, toxicity.fit(x, labels)).select("doc_id", toxicity.F.round("score", 9)).collect()) for x in (docs, other))
+    assert a == b
+
+
+def test_awkward_rows_of_toxicity(spark, corpus):
+    """Null ids and texts, repeated rows, one id with several texts, clashing columns."""
+    docs, labels = corpus
+    rows = [(None, "grubface snotling wretchit grubface snotling", "x", 1), (None, None, "x", 2), (5, "kalo", "x", 3), (5, "kalo", "x", 3), (5, "grubface snotling wretchit", "x", 4)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, score string, held_out int")
+    model = toxicity.fit(docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text")), labels)
+    out = toxicity.score(odd, model).collect()
+    assert len(out) == 5 and sorted(r["predicted"] for r in out) == [0, 0, 0, 1, 1]
+    kept = toxicity.without_toxic(odd, model)
+    assert kept.columns == odd.columns and sorted(map(str, kept.collect())) == sorted(str(r) for r in odd.collect() if r["held_out"] in (2, 3))
+
+
 def test_language(corpus):
     docs, _ = corpus
     out = {r["doc_id"]: r for r in language_id.predict(docs, language_id.fit(docs)).collect()}

@@ -56,12 +56,15 @@ class Clustering:
     weight_column: str = "total_IBD_length_cM"
     min_cluster_size: int = 20
     resolution: float = 1.0
+    #: Accepted from older configurations and checked; changes nothing.
+    min_modularity_gain: float = 0.0
 
     def __post_init__(self) -> None:
         _need(set(self.methods) <= {"louvain", "leiden"}, "methods are louvain and leiden")
         _need(self.depth >= 1, "depth must be at least 1")
         _need(self.min_cluster_size >= 2, "min_cluster_size must be at least 2")
         _need(self.resolution > 0, "resolution must be positive")
+        _need(self.min_modularity_gain >= 0, "min_modularity_gain must not be negative")
 
 
 @dataclass(frozen=True)

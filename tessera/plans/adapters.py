@@ -14,7 +14,7 @@ SQL = {
     "edges": "edges AS (SELECT ID1 AS src, ID2 AS dst, sum(len) AS weight FROM pairs GROUP BY ALL)",
     "strong": "strong AS (SELECT e.* FROM edges e JOIN samples a ON a.id = src JOIN samples b ON b.id = dst WHERE weight >= (SELECT avg(weight) FROM edges))",
     "dose": """dose AS (SELECT CAST(vec_id AS VARCHAR) AS sample, 'P' || CAST(label AS VARCHAR) AS cluster, 'chr' || CAST((i - 1) // 16 + 1 AS VARCHAR) AS chrom, i * 10000 AS pos, 'v' || lpad(CAST(i AS VARCHAR), 3, '0') AS variant,
-  CASE WHEN (vec_id + i) % 50 <> 0 THEN CAST(embedding[i] > -0.05 AS INT) + CAST(embedding[i] > 0.05 AS INT) END AS dosage FROM embeddings, range(1, 65) r(i))""",
+  CASE WHEN (vec_id + i) % 50 <> 0 THEN CAST(embedding[i] > -0.05 AS INT) + CAST(embedding[i] > 0.05 AS INT) END AS dosage FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i))""",
 }
 
 
@@ -66,7 +66,7 @@ def strong_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dosages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample, cluster, chrom, pos, variant, dosage): vector components cut in three; some missing."""
-    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("p", "x")).withColumn("i", F.col("p") + 1).where("i <= 64")
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("p", "x")).withColumn("i", F.col("p") + 1)
     dosage = F.when((F.col("vec_id") + F.col("i")) % 50 != 0, (F.col("x") > -0.05).cast("int") + (F.col("x") > 0.05).cast("int"))
     return rows.select(
         F.col("vec_id").cast("string").alias("sample"), F.concat(F.lit("P"), F.col("label").cast("string")).alias("cluster"), F.concat(F.lit("chr"), (F.floor((F.col("i") - 1) / 16) + 1).cast("string")).alias("chrom"),

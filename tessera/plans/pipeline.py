@@ -24,6 +24,8 @@ class Results:
     merges: dict[str, DataFrame] = field(default_factory=dict)
     quality: DataFrame | None = None
     preparation: DataFrame | None = None
+    pruned: DataFrame | None = None  # variants that F_ST is computed from: chrom, pos, variant
+    counts: dict[str, int] = field(default_factory=dict)
     clusterings: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
     clumpings: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
 
@@ -104,10 +106,12 @@ def run(variants: DataFrame, samples: DataFrame, maps: DataFrame, regions: DataF
     out = Results(cut(found), DataFrame)
     out.quality = sinks.quality_report(quality)
     out.summary = cut(summaries(out.segments, p))
+    out.counts = {"variants": kept.count(), "segments": out.segments.count(), "pairs": out.summary.count()}
     edges = cut(graph.build(out.summary.select(F.col("ID1").alias("src"), F.col("ID2").alias("dst"), F.col(p.clustering.weight_column).alias("weight")), samples))
     dosages = cut(genotypes_for_fst(kept, samples, p)) if p.clumping.enabled else None
     if dosages is not None:
         f = p.clumping
+        out.pruned = dosages.select("chrom", "pos", "variant").distinct()
         out.preparation = sinks.preparation_report(dosages, f.min_maf, f.max_missingness, f.hwe, f.window_kb, f.step, f.r2)
     for method in p.clustering.methods:
         c = p.clustering

@@ -31,8 +31,8 @@ def write_pair_summary(summary: DataFrame, path: str, compressed: bool = True, s
 
 
 def write_genotypes(dosages: DataFrame, path: str) -> None:
-    """The genotype matrix as Parquet by chromosome, sorted by position."""
-    dosages.repartition("chrom").sortWithinPartitions("chrom", "pos", "sample").write.mode("overwrite").partitionBy("chrom").parquet(path)
+    """The genotype matrix as Parquet by chromosome, sorted by position, each chromosome in as many files as its ranges."""
+    dosages.repartitionByRange("chrom", "pos", "sample").sortWithinPartitions("chrom", "pos", "sample").write.mode("overwrite").partitionBy("chrom").parquet(path)
 
 
 def clustering_tables(members: DataFrame, diagnostics: DataFrame, sizes: DataFrame, samples: DataFrame, depth: int) -> dict[str, DataFrame]:
@@ -95,3 +95,9 @@ def preparation_report(dosages: DataFrame, min_maf: float, max_missingness: floa
     counts = dosages.agg(F.countDistinct("sample").alias("samples"), F.countDistinct("variant").alias("variants"))
     limits = {"min_maf": min_maf, "max_variant_missingness": max_missingness, "hwe_pvalue": hwe, "prune_window_kb": window_kb, "prune_step_variants": step, "prune_r2": r2}
     return counts.select("*", *(F.lit(str(v)).alias(k) for k, v in limits.items()))
+
+
+def write_prune_list(variants: DataFrame, path: str) -> None:
+    """The ids (variant) that pruning left, one a line, in the order of chromosomes and positions (chrom, pos)."""
+    number = F.coalesce(F.regexp_replace("chrom", "^chr", "").try_cast("int"), F.lit(1 << 30))
+    variants.select("chrom", "pos", "variant").distinct().orderBy(number, "chrom", "pos", "variant").select("variant").write.mode("overwrite").text(path)

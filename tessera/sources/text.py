@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,17 +132,32 @@ def read_genotyped(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first, value): the lines of Zstandard files, unpacked in pieces, and whether they are the first of their file."""
+    import zstandard
+
+    for batch in batches:
+        for content in batch.column("content").to_pylist():
+            first, rest = True, b""
+            stream = zstandard.ZstdDecompressor().stream_reader(content, read_across_frames=True)
+            while True:
+                piece = stream.read(1 << 20)
+                *lines, rest = (rest + piece).split(b"\n") if piece else [*filter(None, [rest]), b""]
+                if lines:
+                    yield pa.RecordBatch.from_arrays([pa.array([first and i == 0 for i in range(len(lines))]), pa.array([x.rstrip(b"\r").decode() for x in lines])], names=["first", "value"])
+                    first = False
+                if not piece:
+                    break
+
+
 def read_fst(spark: SparkSession, path: str) -> DataFrame:
     """(cluster_1, cluster_2, hudson_fst); what isn't a number is NaN.  Reads .zst, .gz and plain files."""
     if path.endswith(".zst"):
-        import zstandard
-
         raw = spark.read.format("binaryFile").load(path).select("content")
-        unpack = F.udf(lambda b: zstandard.ZstdDecompressor().decompressobj().decompress(bytes(b)).decode(), "string")
-        lines = raw.select(F.explode(F.split(unpack("content"), "\r?\n")).alias("value")).where("value <> ''")
-        names = lines.first()["value"].split("\t")
+        lines = raw.mapInArrow(_unpacked, "first boolean, value string").where("value <> ''")
+        names = lines.where("first").first()["value"].split("\t")
         f = F.split("value", "\t", -1)
-        table = lines.where(F.col("value") != "\t".join(names)).select(*(F.get(f, F.lit(i)).alias(n) for i, n in enumerate(names)))
+        table = lines.where("not first").select(*(F.get(f, F.lit(i)).alias(n) for i, n in enumerate(names)))
     else:
         table = _table(spark, path)
     one = next((c for c in ("#POP1", "POP1") if c in table.columns), None)

@@ -1,12 +1,16 @@
 import json
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
+from tessera.config import Clumping, Clustering
 from tessera.operators import pairs
 from tessera.plans import per_pair
+from tessera.plans.inputs import from_files
 from tessera.plans.publish import manifests, publish, published
 from tessera.sources import sinks, text
+from tessera.sources.indexed_vcf import write_indexed_vcf
 
 
 def lines(rows):
@@ -82,3 +86,68 @@ def test_published_at_once(spark, tmp_path):
     with pytest.raises(ValueError, match="not what was published"):
         published(spark, root, "a", verify=True)
     assert json.loads((tmp_path / "out" / "manifest-000003.json").read_text())["tables"]["b"]["rows"] == 6
+
+
+HEAD = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+
+
+def test_inputs_from_files(spark, tmp_path):
+    """Files by chromosome are read together; a missing file, another order of samples and another chromosome are errors."""
+    for c in ("1", "2", "3", "4"):
+        names = "b\ta" if c == "3" else "a\tb"
+        (tmp_path / f"v{c}.vcf").write_text(f"{HEAD}{names}\nchr{c}\t10\trs{c}\tA\tG\t.\t.\t.\tGT\t0|1\t1|1\n")
+        (tmp_path / f"m.{c}.map").write_text(f"chr{9 if c == '4' else c} . 0.5 1\nchr{9 if c == '4' else c} . 1.5 300\n")
+    (tmp_path / "gaps.bed").write_text("chr1\t100\t200\tgap\n")
+    read = lambda cs, **k: from_files(spark, f"{tmp_path}/v{{chr}}.vcf", cs, str(tmp_path), "m.", **k)
+    got = read(["1", "2"], regions=str(tmp_path / "gaps.bed"))
+    assert got.variants.count() == 2 and got.maps.count() == 4 and got.regions.count() == 1
+    assert [tuple(r) for r in got.samples.orderBy("idx").collect()] == [(0, "a"), (1, "b")]
+    with pytest.raises(ValueError, match="sample 1 is a and b"):
+        read(["1", "3"])
+    with pytest.raises(ValueError, match="chromosomes differ"):
+        read(["4"])
+    with pytest.raises(FileNotFoundError):
+        read(["1", "7"])
+    with pytest.raises(ValueError, match="no {chr}"):
+        from_files(spark, "v.vcf", ["1"], str(tmp_path))
+
+
+def test_indexed_inputs(spark, tmp_path):
+    rows = [("chr1", 10 * i, f"rs{i}", "A", ["G"], [(i % 2, 1, True), (0, 1, True)]) for i in range(1, 50)]
+    variants = spark.createDataFrame(rows, "chrom string, pos long, id string, ref string, alts array<string>, gts array<struct<a1:int,a2:int,phased:boolean>>")
+    write_indexed_vcf(variants, ["a", "b"], str(tmp_path / "v1.vcf.gz"))
+    (tmp_path / "1.map").write_text("chr1 . 0.5 1\n")
+    got = from_files(spark, f"{tmp_path}/v{{chr}}.vcf.gz", ["1"], str(tmp_path), indexed=True)
+    assert sorted(map(str, got.variants.collect())) == sorted(map(str, variants.collect())) and [r["id"] for r in got.samples.collect()] == ["a", "b"]
+
+
+def test_compressed_pairs(spark, tmp_path):
+    """A Zstandard file of several frames; a row that repeats the header is a row."""
+    head, body = b"#POP1\tPOP2\tHUDSON_FST\r\n", b"".join(b"A\tB%d\t%f\r\n" % (i, i / 7) for i in range(60_000))
+    pack = zstandard.ZstdCompressor()
+    (tmp_path / "f.fst.summary.zst").write_bytes(pack.compress(head + body[:500_000]) + pack.compress(body[500_000:] + head))
+    (tmp_path / "f.fst.summary").write_bytes(head + body)
+    packed, plain = (text.read_fst(spark, str(tmp_path / f"f.fst.summary{x}")) for x in (".zst", ""))
+    assert packed.count() == plain.count() + 1 and packed.where("isnan(hudson_fst)").count() == 1
+    assert packed.where("not isnan(hudson_fst)").exceptAll(plain).count() == 0
+
+
+def test_genotype_files(spark, tmp_path):
+    rows = [(f"s{s:03d}", f"chr{c}", 10 * p, f"{c}:{10 * p}:A:G", (s + p) % 3) for s in range(40) for c in (2, 10) for p in range(1, 200)]
+    dosages = spark.createDataFrame(rows, "sample string, chrom string, pos long, variant string, dosage int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows end in one file
+    sinks.write_genotypes(dosages, f"{tmp_path}/g")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(f"{tmp_path}/g").select(dosages.columns)
+    assert back.exceptAll(dosages).count() == 0 and back.count() == len(rows)
+    assert all(len(list(p.glob("part-*"))) >= 2 for p in (tmp_path / "g").glob("chrom=*"))
+    sinks.write_prune_list(dosages, f"{tmp_path}/p")
+    names = [line for p in sorted((tmp_path / "p").glob("part-*")) for line in p.read_text().splitlines()]
+    assert names == [f"{c}:{10 * p}:A:G" for c in (2, 10) for p in range(1, 200)]
+
+
+def test_old_parameters():
+    with pytest.raises(ValueError, match="min_modularity_gain"):
+        Clustering(min_modularity_gain=-1)
+    with pytest.raises(ValueError, match="step"):
+        Clumping(step=5)

@@ -25,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import delete, discard, identified, saved, scratch, shuffles, shuffles_end, table
@@ -211,7 +210,9 @@ def _window_marks(docs: DataFrame, edges: DataFrame, size: int) -> tuple[DataFra
 
     windows = docs.join(wanted, ["doc", "twin"])
     windows = saved(windows.select("doc", "twin", "text", "wanted").mapInArrow(run, "x long, y long, doc long, twin long, at int, once int"), "windows")
-    repeated = windows.withColumn("n", F.count("*").over(W.partitionBy("x", "y"))).where("once = 1 and n > 1")
+    # counted with partial sums first: the windows of a passage that many documents share don't meet in one task
+    several = windows.groupBy("x", "y").count().where("count > 1").select("x", "y")
+    repeated = windows.where("once = 1").join(several, ["x", "y"], "left_semi")
     return windows, repeated.select("doc", "twin", F.col("at").alias("lo"), (F.col("at") + size).alias("hi"))
 
 

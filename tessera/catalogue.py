@@ -367,25 +367,24 @@ def qc_retention(spark, sf_dir):
     return counted.select(*popgen.retention(F.concat(F.lit("chr"), F.col("l_linenumber").cast("string")), F.col("s"), F.col("b"), F.col("a")))
 
 
-def _communities(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
-    e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
+def _communities(e: DataFrame, s: DataFrame, method: str) -> DataFrame:
     rows = e.select(F.lit("C1").alias("parent"), F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("w"))
     return communities.communities(rows, s.select(F.lit("C1").alias("parent"), F.col("id").alias("v")), method).select(F.col("v").alias("id"), F.col("c").alias("community"))
 
 
 @query()
 def louvain_membership(spark, sf_dir):
-    return _communities(spark, sf_dir, "louvain")
+    return _communities(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir), "louvain")
 
 
 @query()
 def leiden_membership(spark, sf_dir):
-    return _communities(spark, sf_dir, "leiden")
+    return _communities(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir), "leiden")
 
 
 @query()
 def recursive_levels(spark, sf_dir):
-    return communities.recursive(of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir).select("id"), "louvain", 2, 1.0, MIN_SIZE)[0]
+    return communities.recursive(cut(of.strong_edges(spark, sf_dir)), of.samples(spark, sf_dir).select("id"), "louvain", 2, 1.0, MIN_SIZE)[0]
 
 
 _MEMBERS = f"{sql('samples')} SELECT count(*) AS samples, count(*) AS members, count(DISTINCT id) AS different, 0 AS unknown, true AS least_is_member, 0 AS gainful FROM samples"
@@ -394,8 +393,8 @@ _MEMBERS = f"{sql('samples')} SELECT count(*) AS samples, count(*) AS members, c
 def _checked(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     """Whether a partition has every sample once and is called after its least members, and how many gainful moves
     are left: of single samples (Leiden), of whole communities into others (Louvain)."""
-    e, s = of.strong_edges(spark, sf_dir), of.samples(spark, sf_dir)
-    found = cut(_communities(spark, sf_dir, method))
+    e, s = cut(of.strong_edges(spark, sf_dir)), of.samples(spark, sf_dir)
+    found = cut(_communities(e, s, method))
     named = found.groupBy("community").agg(F.min("id").alias("least")).agg(F.min(F.col("least") == F.col("community")).alias("least_is_member"))
     unknown = found.join(s, "id", "left_anti").agg(F.count("*").cast("int").alias("unknown"))
     counts = s.agg(F.count("*").alias("samples")).crossJoin(found.agg(F.count("*").alias("members"), F.countDistinct("id").alias("different")))

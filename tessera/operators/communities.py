@@ -2,15 +2,14 @@
 
 All parents of a level are worked on at once: every table carries the parent, and nothing of a graph
 is ever gathered in one task.  In a round, the vertices that look (at first all, then those with a
-neighbour that moved, and all once more before the end) find the community that raises modularity most;
-ties go to the least label.  Communities are coloured: one that the best of all moves to and from it
-enters takes, one that it leaves gives, and only moves from a giving to a taking one are made.  No
-community is then both left and entered, so what moves do to each other is a sum over pairs with the same source or
-the same target, and the rise of many moves at once is known exactly before any is made.  The moves of
-a parent are nested by how much they raise: the best alone, those of at least a half of it, an eighth,
-all; that set is made which raises modularity most.  A round is never worse than the best single move.
-
-So a phase of rounds ends: modularity rises by more than LEAST_GAIN each time and stays below one.  It rarely
+neighbour that moved or that did not get their turn, and all once more before the end) find the communities near them,
+which is the work that grows with the edges.  They are then moved one after the other by one task for each
+parent, which knows their weights to communities and the edges among them, while all others stay: each move's rise is exact, so
+modularity only rises.  If they have more of either than TOGETHER, those come first that want to move most.
+A large graph without communities starts in groups of vertices by hash, each a task: moves inside of a group need
+nothing of the others, as communities don't reach across; then the communities of all groups are joined.
+
+So a phase of rounds ends: modularity rises each time and stays below one.  It rarely
 needs more than a few dozen; MOST_ROUNDS bounds them, and a phase that meets it goes on from what it has.
 When no vertex is left that would move, communities become vertices, until that changes nothing.
 Leiden starts again from what it found, until that raises modularity no more.
@@ -24,6 +23,7 @@ small parents of deeper levels are worked on, all in one job.
 
 from __future__ import annotations
 
+import math
 from collections import deque
 
 import numpy as np
@@ -39,8 +39,10 @@ LEAST_GAIN = 1e-9
 MOST_ROUNDS = 500
 #: Edges and vertices of a parent that one task may hold (some 100 bytes each).
 IN_TASK = 1_000_000
-#: Moves are nested by the share of the best rise in their parent that they reach.
-SHARES = (0.5, 0.125)
+#: Weights to communities, and links of vertices to each other, that one task may hold while it moves vertices of a large parent.
+TOGETHER = 4_000_000
+#: Vertices times communities of which a task keeps all weights (8 bytes each).
+DENSE = 16_000_000
 
 
 def _halves(edges: DataFrame) -> DataFrame:
@@ -63,55 +65,139 @@ def _quality(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame
     return total.join(inside, "parent", "left").select("parent", (F.coalesce("inside", F.lit(0.0)) - resolution * F.col("squares") / (2 * F.col("m2"))).alias("quality"), "m2")
 
 
-def gainful(links: DataFrame, state: DataFrame, resolution: float, within: bool = False) -> DataFrame:
-    """(parent, v, c, k, m2, target, rise) of each vertex that looks and has a community to which its move raises
-    the quality.  links (parent, a, b, w): both directions, no loops; state (parent, v, c, bound, k, m2, look)."""
+def choices(links: DataFrame, state: DataFrame, resolution: float, within: bool = False) -> DataFrame:
+    """(parent, v, c, bound, k, m2, tot, near, links, rise) of each vertex that looks and is linked to another community: near
+    (to, tot_to, w) are the communities it is linked to, links the number of its links, rise by how much its best move
+    raises the quality (below 0: lowers).
+    links (parent, a, b, w): both directions, no loops; state (parent, v, c, bound, k, m2, look)."""
     full = state.join(state.groupBy("parent", "c").agg(F.sum("k").alias("tot")), ["parent", "c"])
     to = full.select("parent", F.col("v").alias("b"), F.col("c").alias("to"), F.col("tot").alias("tot_to"), F.col("bound").alias("bound_b"))
     own = full.where("look").select("parent", F.col("v").alias("a"), "c", "bound", "k", "m2", "tot")
     near = links.join(to, ["parent", "b"]).join(own, ["parent", "a"])
     if within:
         near = near.where("bound = bound_b")
-    near = near.groupBy("parent", F.col("a").alias("v"), "c", "k", "m2", "tot", "to", "tot_to").agg(F.sum("w").alias("w"))
+    own = ["parent", "v", "c", "bound", "k", "m2", "tot"]
+    near = near.withColumnRenamed("a", "v").groupBy(*own, "to", "tot_to").agg(F.sum("w").alias("w"), F.count("*").alias("links"))
     stays, pull = F.col("to") == F.col("c"), resolution * F.col("k") / F.col("m2")
     gain = F.round(F.col("w") - pull * (F.col("tot_to") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
-    best = near.withColumn("gain", gain).groupBy("parent", "v", "c", "k", "m2", "tot").agg(
-        F.max(F.when(stays, F.col("gain"))).alias("stay"), F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to")))).alias("go"),
+    best = near.withColumn("gain", gain).groupBy(*own).agg(
+        F.max(F.when(stays, F.col("gain"))).alias("stay"), F.max(F.when(~stays, F.col("gain"))).alias("go"), F.collect_list(F.struct("to", "tot_to", "w")).alias("near"), F.sum("links").alias("links"),
     )
     stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
-    wants = best.where(-F.col("go.loss") > stay + LEAST_GAIN * F.greatest("m2", F.lit(1.0)))
-    return wants.select("parent", "v", "c", "k", "m2", F.col("go.to").alias("target"), (-F.col("go.loss") - stay).alias("rise"))
-
+    return best.where("go is not null").select(*own, "near", "links", (F.col("go") - stay).alias("rise"))
 
-def _allowed(wants: DataFrame) -> DataFrame:
-    """Moves from giving to taking communities, with the number of the least nested set that has them."""
-    key = F.struct("rise", F.xxhash64("v").alias("h"), "v")
-    out, into = wants.groupBy("parent", "c").agg(F.max(key).alias("out")), wants.groupBy("parent", F.col("target").alias("c")).agg(F.max(key).alias("into"))
-    takes = into.join(out, ["parent", "c"], "left").where(F.col("out").isNull() | (F.col("into") > F.col("out"))).select("parent", F.col("c").alias("target"))
-    gives = out.join(into, ["parent", "c"], "left").where(F.col("into").isNull() | (F.col("out") > F.col("into"))).select("parent", "c")
-    top = wants.groupBy("parent").agg(F.max(key).alias("top"))
-    rank = F.when(F.col("v") == F.col("top.v"), 0)
-    for i, share in enumerate(SHARES, 1):
-        rank = rank.when(F.col("rise") >= share * F.col("top.rise"), i)
-    moves = wants.join(gives, ["parent", "c"]).join(takes, ["parent", "target"]).join(top, "parent")
-    return moves.select("parent", "v", "c", "k", "m2", "target", "rise", rank.otherwise(len(SHARES) + 1).alias("rank"))
 
+def _wants() -> Column:
+    return F.col("rise") > LEAST_GAIN * F.greatest("m2", F.lit(1.0))
 
-def _rises(links: DataFrame, moves: DataFrame, resolution: float) -> DataFrame:
-    """(parent, rank, rise): by how much each nested set of moves, made at once, raises the quality."""
-    nested = lambda rows: rows.withColumn("rank", F.explode(F.sequence("rank", F.lit(len(SHARES) + 1))))
-    side = lambda x: moves.select("parent", F.col("v").alias(x), F.col("c").alias(f"c{x}"), F.col("target").alias(f"t{x}"), F.col("rank").alias(f"r{x}"))
-    shared = (F.col("ca") == F.col("cb")).cast("int") + (F.col("ta") == F.col("tb")).cast("int")
-    met = links.join(side("b"), ["parent", "b"]).join(side("a"), ["parent", "a"]).where("ca = cb or ta = tb")
-    met = met.groupBy("parent", F.greatest("ra", "rb").alias("rank")).agg((F.sum(F.col("w") * shared) / 2).alias("part"))
 
-    def crowding(of: str) -> DataFrame:
-        by = nested(moves).groupBy("parent", "rank", "m2", of).agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("squares"))
-        pairs: Column = (F.col("k") * F.col("k") - F.col("squares")) / 2
-        return by.select("parent", "rank", (-resolution / F.col("m2") * pairs).alias("part"))
+def gainful(links: DataFrame, state: DataFrame, resolution: float, within: bool = False) -> DataFrame:
+    """Those of the choices that raise the quality."""
+    return choices(links, state, resolution, within).where(_wants())
+
+
+def _turns(found: DataFrame, turn: int) -> DataFrame:
+    """The vertices of each parent that may move in this round: all that look, or about so many as a task can hold, those
+    whose best moves raise most, or lower least.  If these have more links than the average, a share of them is taken by hash, with the best."""
+    held = found.groupBy("parent").agg(F.sum(F.size("near")).alias("weights"), F.sum("links").alias("all_links"), F.max(F.struct("rise", "v"))["v"].alias("top"), F.percentile_approx("rise", F.array(*(F.lit(1 - i / 20) for i in range(1, 20))), F.lit(1000)).alias("ranks"))
+    share = F.least(TOGETHER / F.col("weights"), F.sqrt(TOGETHER / F.col("all_links")), F.lit(1.0))
+    rank = F.when(share < 1, F.get("ranks", F.least(F.greatest((20 * share).cast("int") - 1, F.lit(0)), F.lit(18))))
+    some = found.join(held.select("parent", "top", "all_links", rank.alias("rank")), "parent").where("rank is null or rise >= rank")
+    again = some.groupBy("parent").agg(F.sum(F.size("near")).alias("weights"), F.sum("links").alias("some_links"))
+    share = F.least(TOGETHER / F.col("weights"), F.sqrt(TOGETHER * F.col("all_links")) / F.col("some_links"))
+    chosen = F.pmod(F.xxhash64("v", F.lit(turn)), F.lit(1_000_000)) < 1_100_000 * share
+    return some.join(again, "parent").where(chosen | (F.col("v") == F.col("top"))).select(*found.columns)
+
+
+def _together(links: DataFrame, wants: DataFrame, resolution: float) -> DataFrame:
+    """(parent, v, target): gainful moves of these vertices one after the other, until there are none; all others stay."""
+    def solve(wants: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        wants = wants.sort_values("v", ignore_index=True)
+        n, names = len(wants), pd.Index(wants["v"])
+        sizes = wants["to"].map(len).to_numpy()
+        codes, labels = pd.factorize(np.concatenate([wants["c"].to_numpy(object), *wants["to"]]), sort=True)
+        c, many = codes[:n].copy(), len(labels)
+        tot = np.zeros(many)
+        tot[codes] = np.concatenate([wants["tot"].to_numpy(), *wants["tot_to"]])
+        a, b = (names.get_indexer(edges[x]) for x in ("a", "b"))
+        x, y, w = np.concatenate((a, b)), np.concatenate((b, a)), np.tile(edges["w"].to_numpy(np.float64), 2)
+        order = np.lexsort((y, x))
+        x, y, w = x[order], y[order], w[order]
+        # weights to those of each community that stay: all but those of the vertices that are moved here
+        cells, which = np.unique(np.concatenate((np.repeat(np.arange(n), sizes), x)) * many + np.concatenate((codes[n:], c[y])), return_inverse=True)
+        fixed = np.bincount(which, np.concatenate((*wants["w"], -w)), len(cells))
+        cell_at, at, to = np.searchsorted(cells, np.arange(n + 1) * many), np.searchsorted(x, np.arange(n + 1)), cells % many
+        # few communities: weights to all of them are kept up to date
+        dense = np.bincount(np.concatenate((cells, x * many + c[y])), np.concatenate((fixed, w)), n * many).reshape(n, many) if n * many <= DENSE else None
+        every = np.arange(many)
+        k, total = wants["k"].to_numpy(), wants["m2"].iloc[0]
+        start, least = c.copy(), LEAST_GAIN * max(total, 1.0) / 2
+        queue, waits = deque(range(n)), np.ones(n, bool)
+        while queue:
+            v = queue.popleft()
+            waits[v] = False
+            near, weight = y[at[v] : at[v + 1]], w[at[v] : at[v + 1]]
+            own, pull = c[v], resolution * k[v] / total
+            tot[own] -= k[v]
+            if dense is None:
+                there, which = np.unique(np.concatenate((to[cell_at[v] : cell_at[v + 1]], c[near])), return_inverse=True)
+                sums = np.bincount(which, np.concatenate((fixed[cell_at[v] : cell_at[v + 1]], weight)))
+            else:
+                there, sums = every, dense[v]
+            gain = np.where(sums > 1e-12, np.round(sums - pull * tot[there], 9), -np.inf)
+            stay = round(sums[there == own].sum() - pull * tot[own], 9)
+            best = int(gain.argmax())
+            if there[best] != own and gain[best] > stay + least:
+                c[v] = there[best]
+                if dense is not None:
+                    np.subtract.at(dense, (near, own), weight)
+                    np.add.at(dense, (near, c[v]), weight)
+                again = near[(c[near] != c[v]) & ~waits[near]]
+                waits[again] = True
+                queue.extend(again.tolist())
+            tot[c[v]] += k[v]
+        moved = c != start
+        return pd.DataFrame({"parent": wants["parent"][moved], "v": wants["v"][moved], "target": labels[c[moved]]})
+
+    kind = dict(wants.dtypes)
+    side = lambda x: wants.select("parent", F.col("v").alias(x), F.coalesce("bound", F.lit("")).alias(f"bound_{x}"))
+    among = links.where("a < b").join(side("a"), ["parent", "a"]).join(side("b"), ["parent", "b"]).where("bound_a = bound_b").select("parent", "a", "b", "w")
+    rows = wants.select("parent", "v", "c", "k", "m2", "tot", F.col("near.to").alias("to"), F.col("near.tot_to").alias("tot_to"), F.col("near.w").alias("w"))
+    return rows.groupBy("parent").cogroup(among.groupBy("parent")).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, target {kind['c']}")
+
+
+def _in_groups(links: DataFrame, state: DataFrame, groups: int, resolution: float) -> DataFrame:
+    """(parent, v, c) from single vertices, by moves and contractions inside of groups: by hash, and by bound."""
+    def solve(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("v", ignore_index=True)
+        names, n = pd.Index(nodes["v"]), len(nodes)
+        a, b = (names.get_indexer(edges[x]) for x in ("a", "b"))
+        order = np.lexsort((b, a))
+        graph = _Local(a[order], b[order], edges["w"].to_numpy(np.float64)[order], n, nodes["k"].to_numpy(), nodes["m2"].iloc[0])
+        return pd.DataFrame({"parent": nodes["parent"], "v": nodes["v"], "c": names[graph.solved(np.arange(n), resolution, False)]})
 
-    parts = nested(moves).select("parent", "rank", F.col("rise").alias("part")).unionByName(nested(met).select("parent", "rank", "part"))
-    return parts.unionByName(crowding("c")).unionByName(crowding("target")).groupBy("parent", "rank").agg(F.sum("part").alias("rise"))
+    kind = dict(state.dtypes)
+    nodes = state.where("m2 is not null").select("parent", "v", "k", "m2", F.concat_ws("/", F.pmod(F.xxhash64("v"), F.lit(groups)), F.coalesce("bound", F.lit(""))).alias("g"))
+    side = lambda x: nodes.select("parent", F.col("v").alias(x), F.col("g").alias(f"g_{x}"))
+    among = links.where("a < b").join(side("a"), ["parent", "a"]).join(side("b"), ["parent", "b"]).where("g_a = g_b").select("parent", F.col("g_a").alias("g"), "a", "b", "w")
+    return nodes.groupBy("parent", "g").cogroup(among.groupBy("parent", "g")).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['v']}")
+
+
+def _started(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
+    """The state, with communities found in groups of vertices instead of single vertices; those of all groups
+    are joined if a task can hold what is between them."""
+    parts = math.ceil(math.sqrt(links.count() / IN_TASK))
+    found = cut(_in_groups(links, state, parts, resolution))
+    own = cut(state.drop("c").join(found, ["parent", "v"]))
+    side = lambda x, y: found.select("parent", F.col("v").alias(x), F.col("c").alias(y))
+    between = links.join(side("a", "ca"), ["parent", "a"]).join(side("b", "cb"), ["parent", "b"]).where("ca <> cb")
+    between = cut(between.groupBy("parent", F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
+    if between.count() <= IN_TASK:
+        nodes = own.groupBy("parent", F.col("c").alias("v"), "bound", "m2").agg(F.sum("k").alias("k"))
+        joined = _in_groups(between, nodes, 1, resolution).select("parent", F.col("v").alias("c"), F.col("c").alias("whole"))
+        found = found.join(joined, ["parent", "c"]).select("parent", "v", F.col("whole").alias("c"))
+    rest = state.withColumnRenamed("c", "alone").join(found, ["parent", "v"], "left")
+    return rest.select("parent", "v", F.coalesce("c", "alone").alias("c"), "bound", "k", "m2", "look")
 
 
 def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool, trace: list | None = None) -> DataFrame:
@@ -120,24 +206,25 @@ def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool, t
     spark = edges.sparkSession
     with passing(spark) as keep:
         both = cut(_halves(edges))
-        links = cut(both.where("a <> b"), ["parent", "b"])
+        links = cut(both.where("a <> b"), ["parent", "a"])
         own = state.join(_strengths(both), ["parent", "v"], "left")
         state = cut(own.select("parent", "v", "c", "bound", F.coalesce("k", F.lit(0.0)).alias("k"), "m2", F.col("k").isNotNull().alias("look")))
+        if links.count() > IN_TASK and state.where("v <> c").isEmpty():
+            state = cut(_started(links, state, resolution))
         everyone = True
         for turn in range(MOST_ROUNDS):
             with passing(spark) as keep_state:
-                wants = cut(gainful(links, state, resolution, within))
+                found = cut(choices(links, state, resolution, within))
+                wants = found.where(_wants())
                 if wants.isEmpty():
                     if everyone:
                         break
                     state, everyone = keep_state(cut(state.withColumn("look", F.col("m2").isNotNull()))), True
                     continue
-                moves = wants.select("parent", "v", "target")
-                if not wants.groupBy("parent").count().where("count > 1").isEmpty():
-                    moves = cut(_allowed(wants))
-                    pick = _rises(links, moves, resolution).groupBy("parent").agg(F.max(F.struct(F.round("rise", 9).alias("rise"), "rank"))["rank"].alias("most"))
-                    moves = cut(moves.join(pick, "parent").where("rank <= most").select("parent", "v", "target"))
-                touched = links.join(moves.select("parent", F.col("v").alias("b")), ["parent", "b"]).select("parent", F.col("a").alias("v")).distinct().withColumn("look", F.lit(True))
+                moves = cut(_together(links, cut(_turns(found, turn)), resolution))
+                touched = links.join(moves.select("parent", F.col("v").alias("b")), ["parent", "b"]).select("parent", F.col("a").alias("v"))
+                waiting = wants.select("parent", "v").join(moves, ["parent", "v"], "left_anti")
+                touched = touched.unionByName(waiting).distinct().withColumn("look", F.lit(True))
                 state = state.drop("look").join(moves, ["parent", "v"], "left").join(touched, ["parent", "v"], "left")
                 state = keep_state(cut(state.select("parent", "v", F.coalesce("target", "c").alias("c"), "bound", "k", "m2", F.coalesce("look", F.lit(False)).alias("look"))))
                 everyone = False
@@ -154,15 +241,15 @@ def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 class _Local:
-    """A graph of one task: both directions of each edge by vertex, strengths of vertices."""
+    """A graph of one task: both directions of each edge by vertex, strengths of vertices (given, if it is a part of a graph)."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int):
+    def __init__(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int, k: np.ndarray | None = None, total: float | None = None):
         self.edges, self.n, apart = (a, b, w), n, a != b
         x, y, z = np.concatenate((a[apart], b[apart])), np.concatenate((b[apart], a[apart])), np.concatenate((w[apart], w[apart]))
         order = np.lexsort((y, x))
         self.to, self.w, self.at = y[order], z[order], np.searchsorted(x[order], np.arange(n + 1))
-        self.k = np.bincount(a, w, n) + np.bincount(b, w, n)
-        self.total = self.k.sum()
+        self.k = np.bincount(a, w, n) + np.bincount(b, w, n) if k is None else k
+        self.total = self.k.sum() if total is None else total
 
     def moved(self, c: np.ndarray, resolution: float, bound: np.ndarray | None = None) -> np.ndarray:
         """Communities (numbers below n) after gainful moves of single vertices, until there are none; bound: only to
@@ -198,7 +285,7 @@ class _Local:
     def contracted(self, fine: np.ndarray, n: int) -> _Local:
         a, b = np.minimum(fine[self.edges[0]], fine[self.edges[1]]), np.maximum(fine[self.edges[0]], fine[self.edges[1]])
         pair, which = np.unique(a * n + b, return_inverse=True)
-        return _Local(pair // n, pair % n, np.bincount(which, self.edges[2], len(pair)), n)
+        return _Local(pair // n, pair % n, np.bincount(which, self.edges[2], len(pair)), n, np.bincount(fine, self.k, n), self.total)
 
     def solved(self, c: np.ndarray, resolution: float, leiden: bool) -> np.ndarray:
         while True:

@@ -246,6 +246,19 @@ def test_task_and_rounds_agree(spark):
     assert abs(quality[0] - quality[1]) < 0.01 and min(quality) > 0.3
 
 
+@pytest.mark.parametrize("held", [None, 150])
+def test_blurred_graph_takes_few_rounds(spark, monkeypatch, held):
+    """A graph all but without communities, where every move makes others gainful; also when a task holds but a share of it."""
+    if held:
+        monkeypatch.setattr(communities, "IN_TASK", held)
+        monkeypatch.setattr(communities, "TOGETHER", held)
+    rng, trace = random.Random(3), []
+    edges = [(f"v{i:02d}", f"v{j:02d}", round(rng.uniform(0.5, 2), 3)) for i in range(60) for j in range(i + 1, 60) if rng.random() < 0.5]
+    found, left = _partition(spark, edges, [f"v{i:02d}" for i in range(60)], "louvain", 0, trace)
+    assert left == 0 and set(found) == {f"v{i:02d}" for i in range(60)} and all(found[c] == c for c in found.values())
+    assert all(made >= 1 for _, _, made in trace) and len(trace) <= (30 if held else 8)
+
+
 def test_cut_tables_end(spark):
     """Tables cut on the way are deleted, buckets with their name in the catalogue; what is returned stays readable."""
     from tessera.shared import cut, passing

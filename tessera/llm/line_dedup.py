@@ -84,7 +84,8 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     discard(shared, distinct)
     removed = lines.select("h1", "h2", "place").join(rule, ["h1", "h2"]).where("near or place <> first")
     removed = removed.groupBy("place.doc", "place.twin").agg(F.collect_set("place.pos").alias("removed"))
-    joined = docs.join(removed, ["doc", "twin"], "left").withColumn("lines", F.split("text", "\n", -1))
+    # not broadcast while it is small: the plan, and so the disk it takes for its input, is the same at every size
+    joined = docs.join(removed.hint("merge"), ["doc", "twin"], "left").withColumn("lines", F.split("text", "\n", -1))
     # positions left are a difference of sets, so a text of many lines takes time in proportion to them
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
     some = F.get(F.transform(F.array("lines"), lambda lines: F.transform(left, lambda i: F.get(lines, i))), F.lit(0))

@@ -196,3 +196,10 @@ def test_long_text_of_equal_lines(spark):
         took.append(time.perf_counter() - began)
         assert (row["n_lines"], row["n_removed"], row["text"]) == (n, n - 1, "a repeated line of some length")
     assert took[1] < 12 * took[0] + 10
+
+
+def test_line_dedup_plan_is_the_same_at_every_size(spark):
+    """Documents meet the lines they lose by a sorted join, also where these are few enough to broadcast."""
+    out = line_dedup(spark.createDataFrame([(1, "one line of text\nother"), (2, "one line of text")], "doc_id long, text string"))
+    assert sorted(r["n_removed"] for r in out.collect()) == [0, 1]
+    assert re.search(r"SortMergeJoin[^\n]*LeftOuter", out._jdf.queryExecution().executedPlan().toString())

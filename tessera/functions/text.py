@@ -16,9 +16,8 @@ INTEGER = r"^[+-]?[0-9](_?[0-9])*$"
 def parse_float(text: Column) -> Column:
     """The number a text denotes (also inf and nan), or null if it denotes none."""
     text = F.trim(text)
-    plain = F.when(text.rlike(DECIMAL), F.regexp_replace(text, "_", "").try_cast("double"))
     special = F.when(text.rlike("(?i)nan"), F.lit(float("nan"))).when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(text.rlike(SPECIAL), special).otherwise(plain)
+    return F.when(text.rlike(DECIMAL), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")).when(text.rlike(SPECIAL), special)
 
 
 def finite(value: Column) -> Column:

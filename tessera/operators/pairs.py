@@ -60,8 +60,7 @@ def statistics_of(summaries: DataFrame, threshold: float) -> DataFrame:
 
 def segment_errors(fields: Column) -> Column:
     """What is wrong with a split segment line, null if nothing."""
-    value = parse_float(F.get(fields, F.lit(7)))
-    return (
+    error = lambda value: (
         F.when(F.size(fields) != 8, "field_count")
         .when((F.get(fields, F.lit(0)) == "") | (F.get(fields, F.lit(2)) == ""), "empty_id")
         .when(F.get(fields, F.lit(0)) == F.get(fields, F.lit(2)), "self_pair")
@@ -69,6 +68,8 @@ def segment_errors(fields: Column) -> Column:
         .when(~finite(value), "not_finite")
         .when(value < 0, "negative")
     )
+    # the only item of an array, so that the number is parsed once and not at each of its places
+    return F.get(F.transform(F.array(parse_float(F.get(fields, F.lit(7)))), error), F.lit(0))
 
 
 def summary_errors(threshold: float) -> Column:

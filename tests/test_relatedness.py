@@ -292,6 +292,15 @@ def test_moves_go_on_until_none_is_left(spark):
     assert left == []
 
 
+def test_segment_errors_parse_once(spark):
+    """The number of a line is parsed at one place of the plan, and every kind of error is still told."""
+    lines = ["a 1 b 2 c 1 2 1_0.5", "a 1 b 2 c 1 2", " 1 b 2 c 1 2 3", "a 1 a 2 c 1 2 3", "a 1 b 2 c 1 2 x", "a 1 b 2 c 1 2 inf", "a 1 b 2 c 1 2 NaN", "a 1 b 2 c 1 2 -1", "a 1 b 2 c 1 2 1e999"]
+    rows = spark.createDataFrame([(i, x.split(" ")) for i, x in enumerate(lines)], "i int, fields array<string>")
+    out = rows.select("i", pairs.segment_errors(F.col("fields")).alias("error"))
+    assert [r["error"] for r in out.orderBy("i").collect()] == [None, "field_count", "empty_id", "self_pair", "not_a_number", "not_finite", "not_finite", "negative", "not_finite"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("try_cast") + out._jdf.queryExecution().optimizedPlan().toString().count("cast(") <= 2
+
+
 def test_hardy_weinberg(spark):
     rows = spark.createDataFrame([(10, 20, 10), (0, 0, 0), (5, 0, 5), (100, 0, 0)], "a long, b long, c long")
     p = [r["p"] for r in rows.select(popgen.hwe_midp("a", "b", "c").alias("p")).collect()]

@@ -45,7 +45,8 @@ def pair_summary_genome(spark, sf_dir):
 
 @query(SQL["pair_summary_genome"])
 def pair_summary_two_phase(spark, sf_dir):
-    return pairs.summary(pairs.merged(pairs.partial(_canonical(spark, sf_dir), THRESHOLD, "chrom")), THRESHOLD)
+    dealt = of.dealt_by_pair(spark, sf_dir, _canonical(spark, sf_dir))  # both steps then are in one task for each part
+    return pairs.summary(pairs.merged(pairs.partial(dealt, THRESHOLD, "chrom")), THRESHOLD)
 
 
 @query(f"{SQL['pair_summary_genome']} ORDER BY ID1, ID2")

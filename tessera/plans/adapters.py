@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Lines that one task sums up by pair.
+PART = 250_000
+
 SQL = {
     "seg": """seg AS (SELECT 'S' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id1, 'S' || lpad(CAST(l_partkey % (SELECT count(*) FROM supplier) AS VARCHAR), 6, '0') AS id2,
   'chr' || CAST(l_linenumber AS VARCHAR) AS chrom, CAST(round(l_extendedprice * 100) AS BIGINT) AS s, CAST(round(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity * 1000 AS BIGINT) AS e, l_quantity AS len, l_orderkey, l_linenumber FROM lineitem)""",
@@ -43,6 +46,12 @@ def proper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments(spark, sf_dir).where("id1 <> id2")
 
 
+def dealt_by_pair(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
+    """Pairs of the lines dealt so that a task has about PART of them, however many there are."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_table(spark, sf_dir, "lineitem").count() // PART))
+    return pairs.repartition(parts, "ID1", "ID2")
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.floor(F.abs("s_acctbal") * 1000).cast("long")
     return _table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 7 + 1).cast("string").alias("chrom"), start.alias("start"), (start + 50000).alias("end"))

@@ -292,6 +292,19 @@ def test_moves_go_on_until_none_is_left(spark):
     assert left == []
 
 
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Tasks of the summary in two steps grow in number with the lines, not in size, and sum up the same."""
+    from tessera import catalogue
+    from tessera.plans import adapters
+
+    monkeypatch.setattr(adapters, "PART", 500)
+    folder = "/root/testdata/sf0.001"
+    out = catalogue.pair_summary_two_phase(spark, folder)
+    assert out.rdd.getNumPartitions() >= spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500
+    key = lambda r: (r["ID1"], r["ID2"], r["number_of_IBD_segments"], round(r["total_IBD_length_cM"], 6), round(r["sd_IBD_length_cM"], 4))
+    assert sorted(map(key, out.collect())) == sorted(map(key, catalogue.pair_summary_genome(spark, folder).collect()))
+
+
 def test_segment_errors_parse_once(spark):
     """The number of a line is parsed at one place of the plan, and every kind of error is still told."""
     lines = ["a 1 b 2 c 1 2 1_0.5", "a 1 b 2 c 1 2", " 1 b 2 c 1 2 3", "a 1 a 2 c 1 2 3", "a 1 b 2 c 1 2 x", "a 1 b 2 c 1 2 inf", "a 1 b 2 c 1 2 NaN", "a 1 b 2 c 1 2 -1", "a 1 b 2 c 1 2 1e999"]

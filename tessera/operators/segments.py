@@ -7,19 +7,22 @@ the one before it.  Where neighbours that agree for long enough part, the pairs
 The work is haplotypes times markers, plus the pairs reported; no other pairs are ever formed, however many haplotypes
 share a shorter stretch.
 
-A chromosome is cut into windows of blocks, each a task of its own.  A window begins early enough for every
-seed that ends in it to be recognised, and reports just those.  Seeds that began before what a window holds
+A chromosome is cut into windows of blocks.  A window begins early enough for every
+seed that ends in it to be recognised, and reports just those.  Each window is dealt to a task for every SHARE of its
+haplotypes: all of these tasks keep the order of all haplotypes, which is little work, and each reports the pairs that it finds by its own
+ones, in pieces, so that no task ever holds the pairs of a window.  Seeds that began before what a window holds
 are joined at its seam when the blocks next to them are compared: the blocks of each seed are compared marker by
 marker, and so is the next one, round by round, as long as a run or a gap that may be joined reaches
-the end of what was compared.
+the end of what was compared.  Of a block, only the runs that are long enough or reach its ends are kept.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,76 +32,95 @@ from tessera.shared import cut, numbered, passing
 PAIR = ["chrom", "h1", "h2"]
 #: Markers of a block, and blocks of a window (besides those it begins early by): a task holds a bit for each marker and haplotype.
 BLOCK, WINDOW = 64, 64
+#: Haplotypes by which one task finds pairs, and pairs that it hands on at once.
+SHARE, PIECE = 20_000, 100_000
 SEEDS = "chrom string, sample1 string, hap1 int, sample2 string, hap2 int, first int, last int"
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _parted(order: np.ndarray, since: np.ndarray, ones: np.ndarray, latest: int, flush: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _parted(order: np.ndarray, since: np.ndarray, ones: np.ndarray, latest: int, flush: bool, own: np.ndarray, piece: int = PIECE) -> Iterator[Found]:
     """Pairs that agree since `latest` or before and part at this marker (flush: end here, all of them), with the marker
-    from which they agree.  order: haplotypes by reversed prefix; since: from where each agrees with the one before; ones: its allele."""
+    from which they agree, in pieces.  order: haplotypes by reversed prefix; since: from where each agrees with the one before; ones: its
+    allele; own: which haplotypes pairs are found by."""
     cuts = np.flatnonzero(since > latest)  # a group begins here; the first always does
     sizes = np.diff(np.append(cuts, len(order)))
-    found = []
+    found, held = [], 0
     many = np.flatnonzero(sizes > 1)
     if not flush and len(many):
         some = np.add.reduceat(ones, cuts)[many]
         many = many[(some > 0) & (some < sizes[many])]
     for lo, n in zip(cuts[many].tolist(), sizes[many].tolist(), strict=True):
         d, x, a = since[lo : lo + n], ones[lo : lo + n], order[lo : lo + n]
-        rare = np.arange(n - 1) if flush else np.flatnonzero(x == (2 * int(x.sum()) <= n))
-        for i in rare.tolist():
+        rare = own[a] if flush else own[a] & (x == (2 * int(x.sum()) <= n))
+        for i in np.flatnonzero(rare).tolist():
             after = np.maximum.accumulate(d[i + 1 :])
             other = np.arange(len(after)) if flush else np.flatnonzero(x[i + 1 :] != x[i])
             found.append((np.full(len(other), a[i]), a[i + 1 + other], after[other]))
+            held += len(other)
             if not flush and i:
                 before = np.maximum.accumulate(d[i:0:-1])  # of the pair (i, i - 1), (i, i - 2), ...
                 other = np.flatnonzero(x[i - 1 :: -1] != x[i])
                 found.append((np.full(len(other), a[i]), a[i - 1 - other], before[other]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-
-
-def prefix_order(bits: np.ndarray, cm: np.ndarray, begin: int, rules: Detection, ends: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-    """Runs that are seeds and end at marker begin - 1 or later: (haplotypes, haplotypes, first markers, last marker).  bits: haplotypes by
-    blocks; cm: genetic positions of the markers; ends: runs also end after the last of them."""
-    n, markers, out = len(bits), len(cm), []
+                held += len(other)
+            if held >= piece:
+                yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+                found, held = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def prefix_order(bits: np.ndarray, cm: np.ndarray, begin: int, rules: Detection, ends: bool, own: np.ndarray | None = None, piece: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Runs that are seeds and end at marker begin - 1 or later, in pieces: (haplotypes, haplotypes, first markers, last marker).  bits: haplotypes
+    by blocks; cm: genetic positions of the markers; ends: runs also end after the last of them; own: which haplotypes pairs are found by (all)."""
+    n, markers = len(bits), len(cm)
+    own = np.ones(n, bool) if own is None else own
     order, since = np.arange(n), np.zeros(n, np.int64)
     since[:1] = markers + 1
     for k in range(markers + ends):
         latest = min(int(np.searchsorted(cm, cm[k - 1] - rules.min_seed + 1e-9, "right")) - 1, k - rules.min_markers) if k else -1
         ones = ((bits[:, k // BLOCK] >> np.uint64(k % BLOCK)) & np.uint64(1)).astype(np.int64)[order] if k < markers else np.zeros(n, np.int64)
         if k >= begin and latest >= 0:
-            a, b, first = _parted(order, np.where(np.arange(n) == 0, markers + 1, since), ones, latest, k == markers)
-            if len(a):
-                out.append((a, b, first, k - 1))
+            for a, b, first in _parted(order, np.where(np.arange(n) == 0, markers + 1, since), ones, latest, k == markers, own, piece):
+                yield a, b, first, k - 1
         if k < markers:
             # those with 0 come first, then those with 1, each in the order they had; a haplotype agrees with the one now before it since the latest start between them
             parts = []
             for x in (0, 1):
-                own = np.flatnonzero(ones == x)
-                d = np.maximum.reduceat(since[: own[-1] + 1], np.append(0, own[:-1] + 1)) if len(own) else since[:0]
+                same = np.flatnonzero(ones == x)
+                d = np.maximum.reduceat(since[: same[-1] + 1], np.append(0, same[:-1] + 1)) if len(same) else since[:0]
                 d[:1] = k + 1
-                parts.append((order[own], d))
+                parts.append((order[same], d))
             order, since = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return out
-
-
-def _task(rules: Detection):
-    def run(blocks: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
-        """Seeds that end in one window.  blocks: (sample, hap, b, m); ends: (of_chrom, b, cms, own, closes)."""
-        if not len(blocks) or not len(ends):
-            return pd.DataFrame({x.split()[0]: [] for x in SEEDS.split(", ")})
-        ends, blocks = ends.sort_values("b"), blocks.sort_values(["sample", "hap", "b"])
-        bits = blocks["m"].to_numpy(np.int64).view(np.uint64).reshape(-1, len(ends))
-        names = blocks.iloc[:: len(ends)]
-        cm = np.concatenate(ends["cms"].to_list())
-        base, begin = int(ends["b"].iloc[0]) * BLOCK, int((~ends["own"]).sum()) * BLOCK
-        sample, hap = names["sample"].to_numpy(object), names["hap"].to_numpy()
-        parts = [(np.zeros(0, np.int64),) * 4]
-        for a, b, first, last in prefix_order(bits, cm, begin, rules, bool(ends["closes"].max())):
-            a, b = np.minimum(a, b), np.maximum(a, b)  # haplotypes are numbered in the order of samples
+
+
+def _task(rules: Detection, piece: int = PIECE):
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Seeds that end in one window, found by one share of the haplotypes.  Rows are of blocks (sample, hap, b, m) or of the
+        window's markers (b, cms, own, closes)."""
+        chrom, _, share, shares = (x.as_py() for x in key)
+        rows = pa.Table.from_batches(list(batches))
+        ends, blocks = rows.filter(rows["cms"].is_valid()).sort_by("b"), rows.filter(rows["cms"].is_null())
+        if not blocks.num_rows or not ends.num_rows:
+            return
+        sample = blocks["sample"].combine_chunks().dictionary_encode()
+        names, number = sample.dictionary.to_numpy(zero_copy_only=False), np.zeros(len(sample.dictionary), np.int64)
+        number[np.argsort(names)] = np.arange(len(names))
+        sample, hap = number[sample.indices.to_numpy()], blocks["hap"].to_numpy()  # haplotypes are numbered in the order of samples
+        names = pa.array(np.sort(names), pa.string())
+        order = np.lexsort((blocks["b"].to_numpy(), hap, sample))
+        bits = blocks["m"].to_numpy().astype(np.int64)[order].view(np.uint64).reshape(-1, ends.num_rows)
+        sample, hap = sample[order[:: ends.num_rows]], hap[order[:: ends.num_rows]]
+        cm = ends["cms"].combine_chunks().flatten().to_numpy()
+        base, begin = ends["b"][0].as_py() * BLOCK, ends["own"].to_pylist().count(False) * BLOCK
+        own = np.arange(len(bits)) % shares == share
+        for a, b, first, last in prefix_order(bits, cm, begin, rules, any(ends["closes"].to_pylist()), own, piece):
+            a, b = np.minimum(a, b), np.maximum(a, b)
             apart = sample[a] != sample[b]
-            parts.append((a[apart], b[apart], first[apart] + base, np.full(int(apart.sum()), last + base)))
-        a, b, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pd.DataFrame({"chrom": ends["of_chrom"].iloc[0], "sample1": sample[a], "hap1": hap[a], "sample2": sample[b], "hap2": hap[b], "first": first, "last": last})
+            a, b, first = a[apart], b[apart], first[apart] + base
+            yield pa.RecordBatch.from_arrays([
+                pa.array([chrom] * len(a), pa.string()), names.take(pa.array(sample[a])), pa.array(hap[a], pa.int32()), names.take(pa.array(sample[b])), pa.array(hap[b], pa.int32()),
+                pa.array(first.astype(np.int32)), pa.array(np.full(len(a), last + base, np.int32)),
+            ], names=[x.split()[0] for x in SEEDS.split(", ")])
 
     return run
 
@@ -110,9 +132,10 @@ def packed_blocks(alleles: DataFrame, markers: DataFrame) -> DataFrame:
     return rows.groupBy("chrom", F.floor(F.col("i") / BLOCK).cast("int").alias("b"), "sample", "hap").agg(F.bit_or(bit).alias("m"))
 
 
-def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WINDOW) -> DataFrame:
+def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WINDOW, share: int = SHARE, piece: int = PIECE) -> DataFrame:
     """Runs of equal alleles of two samples' haplotypes that are long enough for a seed (SEEDS), first and last by marker; a run
-    that began before its window is given from the window's first marker on.  ends: (chrom, b, positions, cms)."""
+    that began before its window is given from the window's first marker on.  ends: (chrom, b, positions, cms).
+    share: haplotypes by which a task finds pairs; piece: pairs that it hands on at once."""
     last = F.floor(F.element_at("cms", -1) * 1_000_000)  # whole numbers, as range frames need
     at = Window.partitionBy("chrom").orderBy("b")
     rows = ends.select("chrom", "b", last.alias("end"))  # a row for each block of a chromosome
@@ -122,28 +145,38 @@ def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WI
     early = F.greatest(F.least("far", F.floor((F.col("b") * BLOCK - rules.min_markers) / BLOCK)), F.lit(0))
     windows = rows.where(F.col("b") % window == 0).select("chrom", F.col("b").alias("own"), F.explode(F.sequence(early.cast("int"), F.least(F.col("b") + window - 1, F.col("last")))).alias("b"), (F.col("b") + window > F.col("last")).alias("closes"))
     windows = cut(windows.withColumnRenamed("own", "w"))
-    of = ends.select("chrom", "b", "cms").join(windows, ["chrom", "b"]).select(F.col("chrom").alias("of_chrom"), F.col("w").alias("of_w"), "b", "cms", (F.col("b") >= F.col("w")).alias("own"), "closes")
-    dealt = blocks.join(F.broadcast(windows.select("chrom", "b", "w")), ["chrom", "b"])
-    return dealt.groupBy("chrom", "w").cogroup(of.groupBy("of_chrom", "of_w")).applyInPandas(_task(rules), SEEDS)
-
-
-def _compared(near: DataFrame, blocks: DataFrame, ends: DataFrame) -> DataFrame:
-    """Pairs' blocks (PAIR, b) with the places in them at which both are equal."""
+    # the most haplotypes that a block of the chromosome has decide on how many tasks a window is dealt to
+    shares = blocks.groupBy("chrom", "b").count().groupBy("chrom").agg(F.ceil(F.max("count") / share).cast("int").alias("shares"))
+    windows = windows.join(F.broadcast(cut(shares)), "chrom").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    key = ["chrom", "w", "share", "shares"]
+    of = ends.select("chrom", "b", "cms").join(windows, ["chrom", "b"]).select(*key, F.lit(None).cast("string").alias("sample"), F.lit(None).cast("int").alias("hap"), "b", F.lit(None).cast("long").alias("m"), "cms", (F.col("b") >= F.col("w")).alias("own"), "closes")
+    dealt = blocks.join(F.broadcast(windows.select(*key, "b")), ["chrom", "b"])
+    dealt = dealt.select(*key, "sample", F.col("hap").cast("int").alias("hap"), "b", "m", F.lit(None).cast("array<double>").alias("cms"), F.lit(None).cast("boolean").alias("own"), F.lit(None).cast("boolean").alias("closes"))
+    # dealt by number: by their size, which isn't their work, the parts of a window would be put into one task again
+    parts = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), windows.select(*key).distinct().count())
+    return dealt.unionByName(of).repartition(parts, *key).groupBy(*key).applyInArrow(_task(rules, piece), SEEDS)
+
+
+def _compared(near: DataFrame, blocks: DataFrame, ends: DataFrame, rules: Detection) -> DataFrame:
+    """Pairs' blocks (PAIR, b, n markers, lo, hi, runs): the first and last place in them at which both are equal, and the runs of
+    equal places (first, last, s, e: their markers' numbers, positions and centimorgans) that can be of use: those that reach
+    an end of the block, or are long enough to extend."""
     m1, m2 = blocks.select("chrom", "b", F.col("h").alias("h1"), F.col("m").alias("x")), blocks.select("chrom", "b", F.col("h").alias("h2"), F.col("m").alias("y"))
-    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"]).join(ends.select("chrom", "b", F.size("positions").alias("n")), ["chrom", "b"])
-    other = F.col("x").bitwiseXOR(F.col("y"))
-    places = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.getbit(other, j) == 0)
-    return met.select(*PAIR, "b", places.alias("equal"))
+    met = near.join(m1, ["chrom", "b", "h1"]).join(m2, ["chrom", "b", "h2"]).join(ends.select("chrom", "b", "positions", "cms", F.size("positions").alias("n")), ["chrom", "b"])
+    met = met.withColumn("same", F.expr(f"~(x ^ y) & shiftrightunsigned(-1L, {BLOCK} - n)"))
+    places = lambda bits: F.expr(f"filter(sequence(0, n - 1), j -> getbit({bits}, j) = 1)")
+    met = met.withColumn("starts", places("same & ~shiftleft(same, 1)")).withColumn("stops", places("same & ~shiftrightunsigned(same, 1)"))
+    runs = F.filter(F.arrays_zip("starts", "stops"), lambda r: (r["starts"] == 0) | (r["stops"] == F.col("n") - 1) | (F.get("cms", r["stops"]) - F.get("cms", r["starts"]) >= rules.min_extend))
+    at = lambda j: F.struct(F.get("positions", j).alias("pos"), F.get("cms", j).alias("cm"))
+    runs = F.transform(runs, lambda r: F.struct((F.col("b") * BLOCK + r["starts"]).alias("first"), (F.col("b") * BLOCK + r["stops"]).alias("last"), at(r["starts"]).alias("s"), at(r["stops"]).alias("e")))
+    return met.select(*PAIR, "b", "n", F.get("starts", F.lit(0)).alias("lo"), F.try_element_at("stops", F.lit(-1)).alias("hi"), runs.alias("runs"))
 
 
 def _next(known: DataFrame, ends: DataFrame, max_gap: int) -> DataFrame:
     """Blocks next to known ones that a run, or a gap of at most max_gap base pairs after one, reaches."""
-    at = lambda j: F.element_at("positions", j + 1)
-    size = F.size("positions")
     rows = known.join(ends.select("chrom", "b", "positions"), ["chrom", "b"])
-    some = F.size("equal") > 0
-    rows = rows.select(*PAIR, "b", F.when(some, at(F.array_min("equal"))).alias("first"), F.when(some, at(F.array_max("equal"))).alias("last"),
-                       F.array_contains("equal", 0).alias("open_left"), F.array_contains("equal", size - 1).alias("open_right"))
+    rows = rows.select(*PAIR, "b", F.get("positions", "lo").alias("first"), F.get("positions", "hi").alias("last"),
+                       F.coalesce(F.col("lo") == 0, F.lit(False)).alias("open_left"), F.coalesce(F.col("hi") == F.col("n") - 1, F.lit(False)).alias("open_right"))
     pair = Window.partitionBy(*PAIR).orderBy("b")
     rows = rows.withColumn("last", F.last("last", True).over(pair)).withColumn("first", F.first("first", True).over(pair.rowsBetween(0, Window.unboundedFollowing)))
     right = ends.select("chrom", (F.col("b") - 1).alias("b"), F.element_at("positions", 1).alias("edge"))
@@ -172,23 +205,23 @@ def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, window: i
         blocks = blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), "m")
         reach = F.sequence(F.floor(F.col("first") / BLOCK).cast("int") - 1, F.floor(F.col("last") / BLOCK).cast("int") + 1)
         near = found.select("chrom", F.struct(F.col("sample1").alias("sample"), F.col("hap1").alias("hap")).alias("h1"), F.struct(F.col("sample2").alias("sample"), F.col("hap2").alias("hap")).alias("h2"), F.explode(reach).alias("b"))
-        known = cut(_compared(near.distinct(), blocks, ends))
+        near = near.join(ends.select("chrom", "b"), ["chrom", "b"], "left_semi")
+        known = cut(_compared(near.distinct(), blocks, ends, rules))
         while True:
-            new = cut(_compared(_next(known, ends, rules.max_gap).join(known.select(*PAIR, "b"), [*PAIR, "b"], "left_anti"), blocks, ends))
+            new = cut(_compared(_next(known, ends, rules.max_gap).join(known.select(*PAIR, "b"), [*PAIR, "b"], "left_anti"), blocks, ends, rules))
             if new.isEmpty():
                 break
             known = cut(known.unionByName(new))
-        return keep(cut(_joined(known, markers, rules)))
+        return keep(cut(_joined(known, rules)))
 
 
-def _joined(known: DataFrame, markers: DataFrame, rules: Detection) -> DataFrame:
-    """Segments from the places at which pairs are equal."""
-    same = known.select(*PAIR, "b", F.explode("equal").alias("j")).select(*PAIR, (F.col("b") * BLOCK + F.col("j")).alias("i"))
+def _joined(known: DataFrame, rules: Detection) -> DataFrame:
+    """Segments from the runs in blocks; those that go on in the next block are put together first."""
     pair = Window.partitionBy("chrom", "h1", "h2")
-    runs = same.withColumn("run", F.col("i") - F.row_number().over(pair.orderBy("i")))
-    runs = runs.groupBy("chrom", "h1", "h2", "run").agg(F.min("i").alias("first"), F.max("i").alias("last"))
-    at = lambda n: markers.select("chrom", F.col("i").alias(n), F.struct("pos", "cm").alias(f"{n}_at"))
-    runs = runs.join(at("first"), ["chrom", "first"]).join(at("last"), ["chrom", "last"])
+    runs = known.select(*PAIR, F.explode("runs").alias("r")).select(*PAIR, "r.*")
+    begins = F.coalesce(F.col("first") != F.lag("last").over(pair.orderBy("first")) + 1, F.lit(True)).cast("int")
+    runs = runs.withColumn("begins", begins).withColumn("run", F.sum("begins").over(pair.orderBy("first")))
+    runs = runs.groupBy(*PAIR, "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("s").alias("first_at"), F.max("e").alias("last_at"))
     length = F.col("last_at.cm") - F.col("first_at.cm")
     runs = runs.withColumn("seed", (length >= rules.min_seed) & (F.col("last") - F.col("first") + 1 >= rules.min_markers)).where(F.col("seed") | (length >= rules.min_extend))
     before = F.lag("last_at.pos").over(pair.orderBy("first"))

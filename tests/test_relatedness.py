@@ -4,6 +4,7 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -448,6 +449,26 @@ def test_seeds_only(spark, window):
     assert all(start <= got[a, b, last] <= last - 49 for a, b, start, last in want)
 
 
+def test_seeds_in_pieces(spark):
+    """One window's pairs are found by several tasks, each once, and no task holds more of them than a piece and one haplotype's."""
+    rng = random.Random(5)
+    n, haps = 40, 90
+    rows = [[rng.randrange(2) for _ in range(n)] for _ in range(haps)]
+    for h in range(0, haps, 2):
+        rows[h] = rows[0][:33] + rows[h][33:]
+    rules = config.Detection(min_seed=2.0, min_extend=1.0, min_output=2.0, min_markers=20, min_mac=1, max_gap=300)
+    bits = np.array([[sum(x << j for j, x in enumerate(r))] for r in rows], np.uint64)
+    pieces = [list(zip(a.tolist(), b.tolist(), strict=True)) for a, b, _, _ in segments.prefix_order(bits, np.arange(n) / 10, 0, rules, True, piece=100)]
+    assert len(pieces) > 5 and max(map(len, pieces)) <= 100 + 2 * haps and sum(map(len, pieces)) >= 990
+    alleles = spark.createDataFrame([("1", 100 * i, f"s{h:02d}", 0, rows[h][i]) for h in range(haps) for i in range(n)], "chrom string, pos long, sample string, hap int, allele int")
+    markers = spark.createDataFrame([("1", 100 * i, i) for i in range(n)], "chrom string, pos long, i int")
+    ends = spark.createDataFrame([("1", 0, [100 * i for i in range(n)], [i / 10 for i in range(n)])], "chrom string, b int, positions array<long>, cms array<double>")
+    blocks = segments.packed_blocks(alleles, markers)
+    found = [sorted(map(tuple, segments.seeds(blocks, ends, rules, share=share, piece=50).collect())) for share in (haps, 7)]
+    assert found[0] == found[1] and len(found[0]) == len(set(found[0])) == sum(map(len, pieces))
+    assert segments.seeds(blocks, ends, rules, share=7).rdd.getNumPartitions() >= math.ceil(haps / 7)
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "B", float(i)) for i in range(10)], "ID1 string, ID2 string, len double")
     (tmp_path / "in").mkdir()

@@ -39,6 +39,8 @@ PATTERNS = 3
 VOTERS = sum(parts for _, parts in LEXICONS) + PATTERNS
 #: The kind of features that are lexicon votes; distinct features that a task counts before it merges them.
 VOTE, MERGE = 1 + len(STARTS), 1 << 20
+#: Features of the sample that the driver works on at once.
+PIECE = 1 << 18
 
 
 @dataclass
@@ -198,10 +200,31 @@ def label_model(counts: np.ndarray, lexicons: int, patterns: int, rounds: int =
     return posterior
 
 
+def _summed(to: np.ndarray, values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Sums of values[at] by to, in the order of a count by weights but a piece at a time, so that the driver holds no long arrays besides to and at."""
+    out = np.zeros(size)
+    for i in range(0, len(to), PIECE):
+        np.add.at(out, to[i : i + PIECE].astype(np.intp), values[at[i : i + PIECE]])
+    return out
+
+
+def _numbered(codes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes, in order, and the number of each code among them.  known: sorted, holds all of them."""
+    number = np.empty(len(codes), np.int32)
+    for i in range(0, len(codes), PIECE):
+        number[i : i + PIECE] = np.searchsorted(known, codes[i : i + PIECE])
+    there = np.zeros(len(known), bool)
+    there[number] = True
+    again = (np.cumsum(there) - 1).astype(np.int32)
+    for i in range(0, len(codes), PIECE):
+        number[i : i + PIECE] = again[number[i : i + PIECE]]
+    return known[there], number
+
+
 def _regression(row: np.ndarray, column: np.ndarray, size: int, width: int, target: np.ndarray, penalty: float, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Logistic regression with an absolute-value penalty, by accelerated proximal gradients.  Rows are 0/1 features."""
-    times = lambda w: np.bincount(row, weights=w[column], minlength=size)
-    back = lambda r: np.bincount(column, weights=r[row], minlength=width)
+    times = lambda w: _summed(row, w, column, size)
+    back = lambda r: _summed(column, r, row, width)
     x = np.ones(width)
     for _ in range(20):
         x = back(times(x / np.linalg.norm(x)))
@@ -271,12 +294,15 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     sampled = F.broadcast(texts.orderBy(F.xxhash64("_id"), "_id", "h1", "h2").limit(sample))
     drawn = rows.join(sampled, ["_id", "h1", "h2"]).dropDuplicates(["_id", "h1", "h2"]).select("text").mapInArrow(chosen_features, "votes long, codes array<int>").toArrow()
-    votes = drawn.column("votes").to_numpy()
-    lists = drawn.column("codes").combine_chunks()
-    codes = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(votes)), np.diff(lists.offsets.to_numpy()))
-    values, column = np.unique(codes, return_inverse=True)
-    values = values.astype(np.int64)
+    votes, lists = np.array(drawn.column("votes")), drawn.column("codes")
+    del drawn
+    codes = np.concatenate([np.zeros(0, np.int32), *(part.flatten().to_numpy() for part in lists.chunks)])
+    row = np.concatenate([np.zeros(0, np.int64), *(np.diff(part.offsets.to_numpy()) for part in lists.chunks)])
+    del lists
+    row = np.repeat(np.arange(len(votes), dtype=np.int32), row)
+    values, column = _numbered(codes, values)
+    del codes
+    pa.default_memory_pool().release_unused()
     if not len(values):
         model.features, model.weights = values, np.zeros(0)
         model.intercept = float(np.log((model.posterior[votes].mean() + 1e-6) / (1 - model.posterior[votes].mean() + 1e-6)))

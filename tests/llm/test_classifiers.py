@@ -196,3 +196,26 @@ def test_words_of_switching_text(corpus):
     words = language_id.Vocabulary(pa.array(["kalo miru tensa volo schtag werk undt heitz brog"]))
     p = language_id.marginals(language_id._scores(*words.features(field), len(words.hashes), field.weights)[words.number], words.words.off, field.transitions, field.start)
     assert p.argmax(axis=1).tolist() == [field.languages.index("aa")] * 4 + [field.languages.index("bb")] * 5
+
+
+def test_driver_memory_of_the_regression():
+    """The driver's arrays besides the features themselves are as long as a piece, a row or a feature, not as all features of the sample."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    known = np.unique(rng.integers(0, 1 << 25, 2000))
+    codes = rng.choice(known[::2], 2_000_000).astype(np.int32)
+    row = np.sort(rng.integers(0, 500, len(codes))).astype(np.int32)
+    values, column = np.unique(codes, return_inverse=True)
+    tracemalloc.start()
+    try:
+        toxicity._regression(row, column.astype(np.int32), 500, len(values), rng.random(500), 1e-3, rounds=2)
+        assert tracemalloc.get_traced_memory()[1] < 24_000_000  # 8 of them are the columns as given
+        tracemalloc.reset_peak()
+        found = toxicity._numbered(codes, known)
+        assert tracemalloc.get_traced_memory()[1] < 16_000_000
+    finally:
+        tracemalloc.stop()
+    assert (found[0] == values).all() and (found[1] == column).all()
+    weights = rng.normal(size=len(values))
+    assert (toxicity._summed(row, weights, column, 500) == np.bincount(row, weights=weights[column], minlength=500)).all()

@@ -68,8 +68,9 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     shared = shared.where("low <> high and mine > 0").select("k", "h1", "role", blocks("mine").alias("m"), blocks("theirs").alias("t")).distinct()
     shared = saved(shared, "keys")
 
-    # a frequent key's own lines and probes are cut into blocks, and each block meets every other one
-    sides = shared.join(long.select("h1", "h2", "place", "line", "size"), "h1")
+    # a frequent key's own lines and probes are cut into blocks, and each block meets every other one; keys are not broadcast
+    # while they are few: the plan, and so the disk it takes for its input, is the same at every size
+    sides = shared.hint("merge").join(long.select("h1", "h2", "place", "line", "size"), "h1")
     block = lambda n: F.pmod(F.xxhash64("h1"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     a = sides.where("role = 3").select("*", block("m").alias("i"), each("t").alias("j")).alias("a")
@@ -84,7 +85,7 @@ def line_dedup(documents: DataFrame, max_edits: int = 2, min_chars: int = 12, id
     discard(shared, distinct)
     removed = lines.select("h1", "h2", "place").join(rule, ["h1", "h2"]).where("near or place <> first")
     removed = removed.groupBy("place.doc", "place.twin").agg(F.collect_set("place.pos").alias("removed"))
-    # not broadcast while it is small: the plan, and so the disk it takes for its input, is the same at every size
+    # not broadcast while it is small, as above
     joined = docs.join(removed.hint("merge"), ["doc", "twin"], "left").withColumn("lines", F.split("text", "\n", -1))
     # positions left are a difference of sets, so a text of many lines takes time in proportion to them
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from tessera.llm import line_dedup as module
 from tessera.llm.bytes_dedup import bytes_dedup
 from tessera.llm.common import scratch
 from tessera.llm.line_dedup import line_dedup
@@ -203,3 +204,13 @@ def test_line_dedup_plan_is_the_same_at_every_size(spark):
     out = line_dedup(spark.createDataFrame([(1, "one line of text\nother"), (2, "one line of text")], "doc_id long, text string"))
     assert sorted(r["n_removed"] for r in out.collect()) == [0, 1]
     assert re.search(r"SortMergeJoin[^\n]*LeftOuter", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_keys_meet_their_lines_by_the_same_plan_at_every_size(spark, monkeypatch):
+    """A table of keys that is just small enough to broadcast saved a shuffle of all lines, which a larger one doesn't."""
+    plans, saved = {}, module.saved
+    monkeypatch.setattr(module, "saved", lambda df, what: (plans.update({what: df._jdf.queryExecution().executedPlan().toString()}), saved(df, what))[1])
+    docs = spark.createDataFrame([(1, "one line of some text\nother"), (2, "one line of sume text")], "doc_id long, text string")
+    assert sorted(r["n_removed"] for r in line_dedup(docs).collect()) == [0, 1]
+    joins = re.findall(r"(\w+Join) \[h1#\d+L\], \[h1#\d+L\], Inner", plans["rule"])
+    assert joins and set(joins) == {"SortMergeJoin"}

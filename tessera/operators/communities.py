@@ -18,7 +18,8 @@ Moves depend on labels and hashes only, so results are the same on any cluster,
 The edges of a phase are kept in buckets of one end: a round joins them with the state of vertices,
 which is small, without shuffling them for it.  A parent with at most IN_TASK edges and vertices, given or left by
 contractions, is finished in one task, by the same moves one vertex at a time; that is where the many
-small parents of deeper levels are worked on, all in one job.
+small parents of deeper levels are worked on, all in one job.  There, sweeps over all vertices at once find those that gain as soon
+as communities are few, so a move costs no step for each neighbour that stays.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ import math
 from collections import deque
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +39,8 @@ from tessera.shared import cut, passing
 LEAST_GAIN = 1e-9
 #: Rounds of a phase at most.
 MOST_ROUNDS = 500
-#: Edges and vertices of a parent that one task may hold (some 100 bytes each).
-IN_TASK = 1_000_000
+#: Edges and vertices of a parent that one task may hold (some 100 bytes each), as many as links of TOGETHER.
+IN_TASK = 2_000_000
 #: Weights to communities, and links of vertices to each other, that one task may hold while it moves vertices of a large parent.
 TOGETHER = 4_000_000
 #: Vertices times communities of which a task keeps all weights (8 bytes each).
@@ -109,78 +111,117 @@ def _turns(found: DataFrame, turn: int) -> DataFrame:
     return some.join(again, "parent").where(chosen | (F.col("v") == F.col("top"))).select(*found.columns)
 
 
+def _numbers(values: pa.ChunkedArray | pa.Array, names: pa.Array) -> np.ndarray:
+    """The place of each value among the names."""
+    return np.asarray(pc.fill_null(pc.index_in(values, value_set=names), -1)).astype(np.int64)
+
+
+def _settled(c: np.ndarray, dense: np.ndarray, tot: np.ndarray, k: np.ndarray, at: np.ndarray, to: np.ndarray, w: np.ndarray, total: float, resolution: float, least: float) -> np.ndarray:
+    """Communities after gainful moves one after the other, until there are none.  dense: weights of each vertex to each community, kept
+    up to date.  Sweeps find those that gain, of all vertices at once; each of them is looked at again when its turn comes, so
+    vertices that stay cost no step of their own."""
+    n, many = dense.shape
+    pull, rows = resolution * k / total, max(1, 1_000_000 // many)
+    while True:
+        gainers = []
+        for i in range(0, n, rows):
+            part, own = slice(i, i + rows), c[i : i + rows]
+            each = np.arange(len(own))
+            gain = np.where(dense[part] > 1e-12, np.round(dense[part] - pull[part, None] * tot, 9), -np.inf)
+            stay = np.round(dense[part][each, own] - pull[part] * (tot[own] - k[part]), 9)
+            gain[each, own] = stay
+            gainers.extend((i + np.flatnonzero(gain.max(1) > stay + least)).tolist())
+        moves = 0
+        for v in gainers:
+            own, sums = c[v], dense[v]
+            tot[own] -= k[v]
+            gain = np.where(sums > 1e-12, np.round(sums - pull[v] * tot, 9), -np.inf)
+            stay = round(sums[own] - pull[v] * tot[own], 9)
+            gain[own] = stay
+            best = int(gain.argmax())
+            if gain[best] > stay + least:
+                near, weight = to[at[v] : at[v + 1]], w[at[v] : at[v + 1]]
+                c[v] = best
+                np.subtract.at(dense, (near, own), weight)
+                np.add.at(dense, (near, best), weight)
+                moves += 1
+            tot[c[v]] += k[v]
+        if not moves:
+            return c
+
+
 def _together(links: DataFrame, wants: DataFrame, resolution: float) -> DataFrame:
     """(parent, v, target): gainful moves of these vertices one after the other, until there are none; all others stay."""
-    def solve(wants: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        wants = wants.sort_values("v", ignore_index=True)
-        n, names = len(wants), pd.Index(wants["v"])
-        sizes = wants["to"].map(len).to_numpy()
-        codes, labels = pd.factorize(np.concatenate([wants["c"].to_numpy(object), *wants["to"]]), sort=True)
+    def solve(wants: pa.Table, edges: pa.Table) -> pa.Table:
+        wants = wants.sort_by("v")
+        n, names, near = len(wants), wants["v"].combine_chunks(), wants["to"].combine_chunks()
+        sizes, given = pc.list_value_length(near).to_numpy(), lambda x: wants[x].combine_chunks().flatten().to_numpy()
+        both = pa.concat_arrays([wants["c"].combine_chunks(), near.flatten()])
+        labels = both.unique()
+        labels = labels.take(pc.sort_indices(labels))
+        codes = _numbers(both, labels)
         c, many = codes[:n].copy(), len(labels)
         tot = np.zeros(many)
-        tot[codes] = np.concatenate([wants["tot"].to_numpy(), *wants["tot_to"]])
-        a, b = (names.get_indexer(edges[x]) for x in ("a", "b"))
-        x, y, w = np.concatenate((a, b)), np.concatenate((b, a)), np.tile(edges["w"].to_numpy(np.float64), 2)
+        tot[codes] = np.concatenate((wants["tot"].to_numpy(), given("tot_to")))
+        a, b = (_numbers(edges[x], names) for x in ("a", "b"))
+        x, y, w = np.concatenate((a, b)), np.concatenate((b, a)), np.tile(edges["w"].to_numpy().astype(np.float64), 2)
         order = np.lexsort((y, x))
         x, y, w = x[order], y[order], w[order]
         # weights to those of each community that stay: all but those of the vertices that are moved here
         cells, which = np.unique(np.concatenate((np.repeat(np.arange(n), sizes), x)) * many + np.concatenate((codes[n:], c[y])), return_inverse=True)
-        fixed = np.bincount(which, np.concatenate((*wants["w"], -w)), len(cells))
-        cell_at, at, to = np.searchsorted(cells, np.arange(n + 1) * many), np.searchsorted(x, np.arange(n + 1)), cells % many
-        # few communities: weights to all of them are kept up to date
-        dense = np.bincount(np.concatenate((cells, x * many + c[y])), np.concatenate((fixed, w)), n * many).reshape(n, many) if n * many <= DENSE else None
-        every = np.arange(many)
-        k, total = wants["k"].to_numpy(), wants["m2"].iloc[0]
+        fixed = np.bincount(which, np.concatenate((given("w"), -w)), len(cells))
+        at = np.searchsorted(x, np.arange(n + 1))
+        k, total = wants["k"].to_numpy(), wants["m2"][0].as_py()
         start, least = c.copy(), LEAST_GAIN * max(total, 1.0) / 2
-        queue, waits = deque(range(n)), np.ones(n, bool)
+        if n * many <= DENSE:  # few communities: weights to all of them are kept up to date
+            dense = np.bincount(np.concatenate((cells, x * many + c[y])), np.concatenate((fixed, w)), n * many).reshape(n, many)
+            c = _settled(c, dense, tot, k, at, y, w, total, resolution, least)
+            queue = deque()
+        else:
+            queue, waits = deque(range(n)), np.ones(n, bool)
+        cell_at, to = np.searchsorted(cells, np.arange(n + 1) * many), cells % many
         while queue:
             v = queue.popleft()
             waits[v] = False
             near, weight = y[at[v] : at[v + 1]], w[at[v] : at[v + 1]]
             own, pull = c[v], resolution * k[v] / total
             tot[own] -= k[v]
-            if dense is None:
-                there, which = np.unique(np.concatenate((to[cell_at[v] : cell_at[v + 1]], c[near])), return_inverse=True)
-                sums = np.bincount(which, np.concatenate((fixed[cell_at[v] : cell_at[v + 1]], weight)))
-            else:
-                there, sums = every, dense[v]
+            there, which = np.unique(np.concatenate((to[cell_at[v] : cell_at[v + 1]], c[near])), return_inverse=True)
+            sums = np.bincount(which, np.concatenate((fixed[cell_at[v] : cell_at[v + 1]], weight)))
             gain = np.where(sums > 1e-12, np.round(sums - pull * tot[there], 9), -np.inf)
             stay = round(sums[there == own].sum() - pull * tot[own], 9)
             best = int(gain.argmax())
             if there[best] != own and gain[best] > stay + least:
                 c[v] = there[best]
-                if dense is not None:
-                    np.subtract.at(dense, (near, own), weight)
-                    np.add.at(dense, (near, c[v]), weight)
                 again = near[(c[near] != c[v]) & ~waits[near]]
                 waits[again] = True
                 queue.extend(again.tolist())
             tot[c[v]] += k[v]
-        moved = c != start
-        return pd.DataFrame({"parent": wants["parent"][moved], "v": wants["v"][moved], "target": labels[c[moved]]})
+        moved = pa.array(np.flatnonzero(c != start))
+        return pa.table({"parent": wants["parent"].take(moved), "v": names.take(moved), "target": labels.take(pa.array(c).take(moved))})
 
     kind = dict(wants.dtypes)
     side = lambda x: wants.select("parent", F.col("v").alias(x), F.coalesce("bound", F.lit("")).alias(f"bound_{x}"))
     among = links.where("a < b").join(side("a"), ["parent", "a"]).join(side("b"), ["parent", "b"]).where("bound_a = bound_b").select("parent", "a", "b", "w")
     rows = wants.select("parent", "v", "c", "k", "m2", "tot", F.col("near.to").alias("to"), F.col("near.tot_to").alias("tot_to"), F.col("near.w").alias("w"))
-    return rows.groupBy("parent").cogroup(among.groupBy("parent")).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, target {kind['c']}")
+    return rows.groupBy("parent").cogroup(among.groupBy("parent")).applyInArrow(solve, f"parent {kind['parent']}, v {kind['v']}, target {kind['c']}")
 
 
 def _in_groups(links: DataFrame, state: DataFrame, groups: int, resolution: float) -> DataFrame:
     """(parent, v, c) from single vertices, by moves and contractions inside of groups: by hash, and by bound."""
-    def solve(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        nodes = nodes.sort_values("v", ignore_index=True)
-        names, n = pd.Index(nodes["v"]), len(nodes)
-        a, b = (names.get_indexer(edges[x]) for x in ("a", "b"))
+    def solve(nodes: pa.Table, edges: pa.Table) -> pa.Table:
+        nodes = nodes.sort_by("v")
+        names, n = nodes["v"].combine_chunks(), len(nodes)
+        a, b = (_numbers(edges[x], names) for x in ("a", "b"))
         order = np.lexsort((b, a))
-        graph = _Local(a[order], b[order], edges["w"].to_numpy(np.float64)[order], n, nodes["k"].to_numpy(), nodes["m2"].iloc[0])
-        return pd.DataFrame({"parent": nodes["parent"], "v": nodes["v"], "c": names[graph.solved(np.arange(n), resolution, False)]})
+        graph = _Local(a[order], b[order], edges["w"].to_numpy().astype(np.float64)[order], n, nodes["k"].to_numpy(), nodes["m2"][0].as_py())
+        return pa.table({"parent": nodes["parent"], "v": names, "c": names.take(pa.array(graph.solved(np.arange(n), resolution, False)))})
 
     kind = dict(state.dtypes)
     nodes = state.where("m2 is not null").select("parent", "v", "k", "m2", F.concat_ws("/", F.pmod(F.xxhash64("v"), F.lit(groups)), F.coalesce("bound", F.lit(""))).alias("g"))
     side = lambda x: nodes.select("parent", F.col("v").alias(x), F.col("g").alias(f"g_{x}"))
     among = links.where("a < b").join(side("a"), ["parent", "a"]).join(side("b"), ["parent", "b"]).where("g_a = g_b").select("parent", F.col("g_a").alias("g"), "a", "b", "w")
-    return nodes.groupBy("parent", "g").cogroup(among.groupBy("parent", "g")).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['v']}")
+    return nodes.groupBy("parent", "g").cogroup(among.groupBy("parent", "g")).applyInArrow(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['v']}")
 
 
 def _started(links: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
@@ -255,13 +296,25 @@ class _Local:
         """Communities (numbers below n) after gainful moves of single vertices, until there are none; bound: only to
         communities of the same bound."""
         c, tot, least = c.copy(), np.bincount(c, self.k, self.n), LEAST_GAIN * max(self.total, 1.0)
-        queue, waits = deque(range(self.n)), np.ones(self.n, bool)
+        ends, weights, at = self.to, self.w, self.at
+        vertex = np.repeat(np.arange(self.n), np.diff(at))
+        if bound is not None:
+            same = bound[vertex] == bound[ends]
+            vertex, ends, weights = vertex[same], ends[same], weights[same]
+            at = np.searchsorted(vertex, np.arange(self.n + 1))
+        positive = len(weights) > 0 and weights.min() > 0
+        queue, waits, looks = deque(range(self.n)), np.ones(self.n, bool), 0
         while queue:
+            if positive and looks and looks % self.n == 0:  # communities may be few by now
+                labels, codes = np.unique(c, return_inverse=True)
+                many = len(labels)
+                if self.n * many <= DENSE:
+                    dense = np.bincount(vertex * many + codes[ends], weights, self.n * many).reshape(self.n, many)
+                    return labels[_settled(codes, dense, np.bincount(codes, self.k, many), self.k, at, ends, weights, self.total, resolution, least)]
+            looks += 1
             v = queue.popleft()
             waits[v] = False
-            near, w = self.to[self.at[v] : self.at[v + 1]], self.w[self.at[v] : self.at[v + 1]]
-            if bound is not None:
-                near, w = near[bound[near] == bound[v]], w[bound[near] == bound[v]]
+            near, w = ends[at[v] : at[v + 1]], weights[at[v] : at[v + 1]]
             if not len(near):
                 continue
             own, pull = c[v], resolution * self.k[v] / self.total
@@ -306,20 +359,20 @@ class _Local:
 
 def _in_tasks(edges: DataFrame, state: DataFrame, method: str, resolution: float) -> DataFrame:
     """(parent, v, c) of parents small enough for a task each, from the communities state (parent, v, c)."""
-    def solve(edges: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        state = state.sort_values("v", ignore_index=True)
-        names = pd.Index(state["v"])
+    def solve(edges: pa.Table, state: pa.Table) -> pa.Table:
+        state = state.select(["parent", "v", "c"]).sort_by("v")
         if not len(edges):
             return state
-        ends = [names.get_indexer(edges[x]) for x in ("a", "b")]
+        names = state["v"].combine_chunks()
+        ends = [_numbers(edges[x], names) for x in ("a", "b")]
         order = np.lexsort(ends)
-        graph = _Local(ends[0][order], ends[1][order], edges["w"].to_numpy(np.float64)[order], len(names))
-        found = graph.solved(names.get_indexer(state["c"]), resolution, method == "leiden")
-        return state.assign(c=names[found])
+        graph = _Local(ends[0][order], ends[1][order], edges["w"].to_numpy().astype(np.float64)[order], len(names))
+        found = graph.solved(_numbers(state["c"], names), resolution, method == "leiden")
+        return pa.table({"parent": state["parent"], "v": names, "c": names.take(pa.array(found))})
 
     kind = dict(state.dtypes)
     own = state.select("parent", "v", "c").groupBy("parent")
-    return edges.select("parent", "a", "b", "w").groupBy("parent").cogroup(own).applyInPandas(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['c']}")
+    return edges.select("parent", "a", "b", "w").groupBy("parent").cogroup(own).applyInArrow(solve, f"parent {kind['parent']}, v {kind['v']}, c {kind['c']}")
 
 
 def _heavy(edges: DataFrame, vertices: DataFrame, most: int) -> DataFrame:

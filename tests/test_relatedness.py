@@ -260,6 +260,30 @@ def test_blurred_graph_takes_few_rounds(spark, monkeypatch, held):
     assert all(made >= 1 for _, _, made in trace) and len(trace) <= (30 if held else 8)
 
 
+@pytest.mark.parametrize("leiden", [False, True])
+def test_a_task_looks_at_those_that_gain(monkeypatch, leiden):
+    """In a graph where a vertex has hundreds of neighbours a move doesn't cost a step for each of them; what is found is a local optimum."""
+    steps = []
+
+    class Counted(communities.deque):
+        def popleft(self):
+            steps.append(1)
+            return super().popleft()
+
+    monkeypatch.setattr(communities, "deque", Counted)
+    draw, n = np.random.default_rng(5), 1000
+    a, b = np.nonzero(np.triu(draw.random((n, n)) < 0.3, 1))
+    w = draw.integers(1, 50, len(a)).astype(float)
+    graph = communities._Local(a, b, w, n)
+    found = graph.solved(np.arange(n), 1.0, leiden)
+    assert len(steps) < 20 * n
+    weights, labels = np.zeros((n, n)), np.unique(found, return_inverse=True)[1]
+    weights[a, b] = weights[b, a] = w
+    to, tot = weights @ np.eye(labels.max() + 1)[labels], np.bincount(labels, graph.k)
+    gain = to - graph.k[:, None] * (tot - np.eye(len(tot))[labels] * graph.k[:, None]) / graph.total
+    assert (gain.max(1) <= gain[np.arange(n), labels] + 1e-9 * graph.total).all()
+
+
 def test_cut_tables_end(spark):
     """Tables cut on the way are deleted, buckets with their name in the catalogue; what is returned stays readable."""
     from tessera.shared import cut, passing

@@ -1,5 +1,8 @@
 """Louvain and Leiden communities, and their fixed-depth refinement, as rounds of DataFrame jobs.
 
+Parents that are too large for a task are worked on over packed rows (adjacency).  What follows is about those
+with too many vertices for that, which go by joins.
+
 All parents of a level are worked on at once: every table carries the parent, and nothing of a graph
 is ever gathered in one task.  In a round, the vertices that look (at first all, then those with a
 neighbour that moved or that did not get their turn, and all once more before the end) find the communities near them,
@@ -33,18 +36,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import adjacency
+from tessera.operators.adjacency import DENSE, LEAST_GAIN, settled, together
 from tessera.operators.graph import induced, modularity, sizes
-from tessera.shared import cut, passing
+from tessera.shared import cut, numbered, passing, small
 
-LEAST_GAIN = 1e-9
 #: Rounds of a phase at most.
 MOST_ROUNDS = 500
 #: Edges and vertices of a parent that one task may hold (some 100 bytes each), as many as links of TOGETHER.
 IN_TASK = 2_000_000
 #: Weights to communities, and links of vertices to each other, that one task may hold while it moves vertices of a large parent.
 TOGETHER = 4_000_000
-#: Vertices times communities of which a task keeps all weights (8 bytes each).
-DENSE = 16_000_000
 
 
 def _halves(edges: DataFrame) -> DataFrame:
@@ -93,11 +95,6 @@ def _wants() -> Column:
     return F.col("rise") > LEAST_GAIN * F.greatest("m2", F.lit(1.0))
 
 
-def gainful(links: DataFrame, state: DataFrame, resolution: float, within: bool = False) -> DataFrame:
-    """Those of the choices that raise the quality."""
-    return choices(links, state, resolution, within).where(_wants())
-
-
 def _turns(found: DataFrame, turn: int) -> DataFrame:
     """The vertices of each parent that may move in this round: all that look, or about so many as a task can hold, those
     whose best moves raise most, or lower least.  If these have more links than the average, a share of them is taken by hash, with the best."""
@@ -116,40 +113,6 @@ def _numbers(values: pa.ChunkedArray | pa.Array, names: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(pc.index_in(values, value_set=names), -1)).astype(np.int64)
 
 
-def _settled(c: np.ndarray, dense: np.ndarray, tot: np.ndarray, k: np.ndarray, at: np.ndarray, to: np.ndarray, w: np.ndarray, total: float, resolution: float, least: float) -> np.ndarray:
-    """Communities after gainful moves one after the other, until there are none.  dense: weights of each vertex to each community, kept
-    up to date.  Sweeps find those that gain, of all vertices at once; each of them is looked at again when its turn comes, so
-    vertices that stay cost no step of their own."""
-    n, many = dense.shape
-    pull, rows = resolution * k / total, max(1, 1_000_000 // many)
-    while True:
-        gainers = []
-        for i in range(0, n, rows):
-            part, own = slice(i, i + rows), c[i : i + rows]
-            each = np.arange(len(own))
-            gain = np.where(dense[part] > 1e-12, np.round(dense[part] - pull[part, None] * tot, 9), -np.inf)
-            stay = np.round(dense[part][each, own] - pull[part] * (tot[own] - k[part]), 9)
-            gain[each, own] = stay
-            gainers.extend((i + np.flatnonzero(gain.max(1) > stay + least)).tolist())
-        moves = 0
-        for v in gainers:
-            own, sums = c[v], dense[v]
-            tot[own] -= k[v]
-            gain = np.where(sums > 1e-12, np.round(sums - pull[v] * tot, 9), -np.inf)
-            stay = round(sums[own] - pull[v] * tot[own], 9)
-            gain[own] = stay
-            best = int(gain.argmax())
-            if gain[best] > stay + least:
-                near, weight = to[at[v] : at[v + 1]], w[at[v] : at[v + 1]]
-                c[v] = best
-                np.subtract.at(dense, (near, own), weight)
-                np.add.at(dense, (near, best), weight)
-                moves += 1
-            tot[c[v]] += k[v]
-        if not moves:
-            return c
-
-
 def _together(links: DataFrame, wants: DataFrame, resolution: float) -> DataFrame:
     """(parent, v, target): gainful moves of these vertices one after the other, until there are none; all others stay."""
     def solve(wants: pa.Table, edges: pa.Table) -> pa.Table:
@@ -160,43 +123,14 @@ def _together(links: DataFrame, wants: DataFrame, resolution: float) -> DataFram
         labels = both.unique()
         labels = labels.take(pc.sort_indices(labels))
         codes = _numbers(both, labels)
-        c, many = codes[:n].copy(), len(labels)
-        tot = np.zeros(many)
+        c, tot = codes[:n].copy(), np.zeros(len(labels))
         tot[codes] = np.concatenate((wants["tot"].to_numpy(), given("tot_to")))
         a, b = (_numbers(edges[x], names) for x in ("a", "b"))
         x, y, w = np.concatenate((a, b)), np.concatenate((b, a)), np.tile(edges["w"].to_numpy().astype(np.float64), 2)
         order = np.lexsort((y, x))
         x, y, w = x[order], y[order], w[order]
-        # weights to those of each community that stay: all but those of the vertices that are moved here
-        cells, which = np.unique(np.concatenate((np.repeat(np.arange(n), sizes), x)) * many + np.concatenate((codes[n:], c[y])), return_inverse=True)
-        fixed = np.bincount(which, np.concatenate((given("w"), -w)), len(cells))
-        at = np.searchsorted(x, np.arange(n + 1))
-        k, total = wants["k"].to_numpy(), wants["m2"][0].as_py()
-        start, least = c.copy(), LEAST_GAIN * max(total, 1.0) / 2
-        if n * many <= DENSE:  # few communities: weights to all of them are kept up to date
-            dense = np.bincount(np.concatenate((cells, x * many + c[y])), np.concatenate((fixed, w)), n * many).reshape(n, many)
-            c = _settled(c, dense, tot, k, at, y, w, total, resolution, least)
-            queue = deque()
-        else:
-            queue, waits = deque(range(n)), np.ones(n, bool)
-        cell_at, to = np.searchsorted(cells, np.arange(n + 1) * many), cells % many
-        while queue:
-            v = queue.popleft()
-            waits[v] = False
-            near, weight = y[at[v] : at[v + 1]], w[at[v] : at[v + 1]]
-            own, pull = c[v], resolution * k[v] / total
-            tot[own] -= k[v]
-            there, which = np.unique(np.concatenate((to[cell_at[v] : cell_at[v + 1]], c[near])), return_inverse=True)
-            sums = np.bincount(which, np.concatenate((fixed[cell_at[v] : cell_at[v + 1]], weight)))
-            gain = np.where(sums > 1e-12, np.round(sums - pull * tot[there], 9), -np.inf)
-            stay = round(sums[there == own].sum() - pull * tot[own], 9)
-            best = int(gain.argmax())
-            if there[best] != own and gain[best] > stay + least:
-                c[v] = there[best]
-                again = near[(c[near] != c[v]) & ~waits[near]]
-                waits[again] = True
-                queue.extend(again.tolist())
-            tot[c[v]] += k[v]
+        k, total, start = wants["k"].to_numpy(), wants["m2"][0].as_py(), c.copy()
+        c = together(c, tot, k, np.repeat(np.arange(n), sizes), codes[n:], given("w"), x, y, w, total, resolution)
         moved = pa.array(np.flatnonzero(c != start))
         return pa.table({"parent": wants["parent"].take(moved), "v": names.take(moved), "target": labels.take(pa.array(c).take(moved))})
 
@@ -276,7 +210,7 @@ def _move(edges: DataFrame, state: DataFrame, resolution: float, within: bool, t
 
 def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Edges between communities; those inside become loops."""
-    a, b = labels.select("parent", F.col("v").alias("a"), F.col("c").alias("ca")), labels.select("parent", F.col("v").alias("b"), F.col("c").alias("cb"))
+    a, b = small(labels.select("parent", F.col("v").alias("a"), F.col("c").alias("ca")), adjacency.KNOWN), small(labels.select("parent", F.col("v").alias("b"), F.col("c").alias("cb")), adjacency.KNOWN)
     joined = edges.join(a, ["parent", "a"]).join(b, ["parent", "b"])
     return joined.groupBy("parent", F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w"))
 
@@ -310,7 +244,7 @@ class _Local:
                 many = len(labels)
                 if self.n * many <= DENSE:
                     dense = np.bincount(vertex * many + codes[ends], weights, self.n * many).reshape(self.n, many)
-                    return labels[_settled(codes, dense, np.bincount(codes, self.k, many), self.k, at, ends, weights, self.total, resolution, least)]
+                    return labels[settled(codes, dense, np.bincount(codes, self.k, many), self.k, at, ends, weights, self.total, resolution, least)]
             looks += 1
             v = queue.popleft()
             waits[v] = False
@@ -390,24 +324,46 @@ def communities(edges: DataFrame, vertices: DataFrame, method: str = "leiden", r
         edges = cut(edges.select("parent", "a", "b", "w"))
         start = cut(vertices.select("parent", "v", F.col("v").alias("c")))
         heavy = cut(_heavy(edges, start, in_task))
-        light = cut(_in_tasks(edges.join(heavy, "parent", "left_anti"), start.join(heavy, "parent", "left_anti"), method, resolution))
+        out = cut(_in_tasks(edges.join(heavy, "parent", "left_anti"), start.join(heavy, "parent", "left_anti"), method, resolution))
         if heavy.isEmpty():
-            return keep(light)
-        edges, found = cut(edges.join(heavy, "parent", "left_semi")), cut(start.join(heavy, "parent", "left_semi"))
+            return keep(out)
+        vast = cut(start.join(heavy, "parent", "left_semi").groupBy("parent").count().where(F.col("count") > adjacency.KNOWN).select("parent"))
+        known = small(heavy.join(vast, "parent", "left_anti"))
+        if not known.isEmpty():
+            vertices = start.join(known, "parent", "left_semi").select("parent", "v")
+            out = out.unionByName(adjacency.solved(edges.join(known, "parent", "left_semi"), vertices, method, resolution, in_task, IN_TASK, MOST_ROUNDS, trace))
+        if vast.isEmpty():
+            return keep(cut(out))
+        edges, found = cut(edges.join(vast, "parent", "left_semi")), cut(start.join(vast, "parent", "left_semi"))
         while True:
             with passing(spark) as keep_found:
                 before, found = found, keep_found(_hierarchy(edges, found, method, resolution, in_task, trace))
             if method == "louvain" or not _risen(edges, before, found, resolution):
-                return keep(cut(light.unionByName(found)))
+                return keep(cut(out.unionByName(found)))
 
 
 def moves_left(edges: DataFrame, labels: DataFrame, whole: bool = False, resolution: float = 1.0) -> DataFrame:
-    """Gainful moves that a partition (parent, v, c) leaves: of single vertices, or (whole) of communities into others."""
+    """Gainful moves (parent, v, c, rise) that a partition (parent, v, c) leaves: of single vertices, or (whole) of communities into others.
+    Vertices are numbered, so that of each link only numbers are shuffled."""
     if whole:
-        edges, labels = _contract(edges, labels), labels.select("parent", F.col("c").alias("v"), "c").distinct()
-    both = _halves(edges)
-    state = labels.join(_strengths(both), ["parent", "v"]).select("parent", "v", "c", F.lit(None).cast("string").alias("bound"), "k", "m2", F.lit(True).alias("look"))
-    return gainful(both.where("a <> b"), cut(state), resolution)
+        edges, labels = cut(_contract(edges, labels)), labels.select("parent", F.col("c").alias("v"), "c").distinct()
+    own = cut(numbered(labels.select("parent", "v", "c"), [F.col("parent"), F.col("v")], name="i"))
+    own = cut(own.join(own.groupBy("parent", "c").agg(F.min("i").alias("j")), ["parent", "c"]))
+    side = lambda x: small(own.select("parent", F.col("v").alias(x), F.col("i").alias(f"i{x}"), F.col("j").alias(f"j{x}")), adjacency.KNOWN)
+    met = edges.join(side("a"), ["parent", "a"]).join(side("b"), ["parent", "b"]).select("ia", "ja", "ib", "jb", "w", (F.col("ia") != F.col("ib")).alias("apart"))
+    turned = lambda x, y: F.struct(F.col(f"i{x}").alias("i"), F.col(f"j{y}").alias("to"), "w", F.when(F.col("apart"), F.col("w")).alias("apart"))
+    near = met.select(F.explode(F.array(turned("a", "b"), turned("b", "a"))).alias("r")).select("r.*")
+    near = cut(near.groupBy("i", "to").agg(F.sum("w").alias("all"), F.sum("apart").alias("w")))
+    own = own.join(near.groupBy("i").agg(F.sum("all").alias("k")), "i")
+    own = cut(own.join(own.groupBy("parent").agg(F.sum("k").alias("m2")), "parent"))
+    tot = cut(own.groupBy(F.col("j").alias("to")).agg(F.sum("k").alias("tot")))
+    stays, pull = F.col("to") == F.col("j"), resolution * F.col("k") / F.col("m2")
+    near = near.where("w is not null").join(small(own.select("i", "j", "k", "m2"), adjacency.KNOWN), "i").join(small(tot, adjacency.KNOWN), "to")
+    gain = F.round(F.col("w") - pull * (F.col("tot") - F.when(stays, F.col("k")).otherwise(0.0)), 9)
+    best = near.groupBy("i").agg(F.max(F.when(stays, gain)).alias("stay"), F.max(F.when(~stays, gain)).alias("go")).where("go is not null")
+    best = best.join(own, "i").join(tot.withColumnRenamed("to", "j"), "j")
+    stay = F.coalesce("stay", F.round(-pull * (F.col("tot") - F.col("k")), 9))
+    return best.select("parent", "v", "c", "m2", (F.col("go") - stay).alias("rise")).where(_wants()).drop("m2")
 
 
 def _risen(edges: DataFrame, before: DataFrame, after: DataFrame, resolution: float) -> bool:

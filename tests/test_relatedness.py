@@ -5,12 +5,13 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera import catalogue, config
 from tessera.functions import text
-from tessera.operators import communities, graph, intervals, pairs, popgen, segments
+from tessera.operators import adjacency, communities, graph, intervals, pairs, popgen, segments
 from tessera.sources import sinks, vcf
 from tessera.sources import text as sources
 from tessera.streaming import pairs as streaming
@@ -260,6 +261,68 @@ def test_blurred_graph_takes_few_rounds(spark, monkeypatch, held):
     assert all(made >= 1 for _, _, made in trace) and len(trace) <= (30 if held else 8)
 
 
+@pytest.mark.parametrize("method", ["louvain", "leiden"])
+def test_rounds_over_blocks(spark, monkeypatch, method):
+    """A graph whose communities blur, in many blocks: no gainful move is left, and two contractions lose none of its strength."""
+    monkeypatch.setattr(adjacency, "LINKS", 100)
+    rng = random.Random(4)
+    edges = [(f"v{i:02d}", f"v{j:02d}", round(rng.uniform(0.5, 2), 3)) for i in range(60) for j in range(i + 1, 60) if rng.random() < (0.6 if i // 15 == j // 15 else 0.15)]
+    of = []
+    begun = adjacency.Packed.state
+
+    def state(graph):
+        out = begun(graph)
+        of.append((graph.many, out.first()["m2"]))
+        return out
+
+    monkeypatch.setattr(adjacency.Packed, "state", state)
+    found, left = _partition(spark, edges, [f"v{i:02d}" for i in range(60)] + ["w"], method, 0)
+    assert left == 0 and found["w"] == "w" and all(found[c] == c for c in found.values()) and len(set(found.values())) < 12
+    assert of[0][0] >= 8 and len(of) >= 2
+    assert all(abs(m2 - 2 * sum(w for *_, w in edges)) < 1e-6 for _, m2 in of)
+
+
+def test_chosen_vertices_fit_a_task(monkeypatch):
+    """A round moves no more vertices of a large graph than a task can hold with the links among them; quality rises until none would move."""
+    monkeypatch.setattr(adjacency, "HELD", 300)
+    monkeypatch.setattr(adjacency, "WEIGHTS", 100)
+    draw, n, of = np.random.default_rng(6), 60, 4
+    weights = np.triu(np.where(draw.random((n, n)) < 0.5, draw.integers(1, 50, (n, n)), 0), 1)
+    weights = (weights + weights.T).astype(float)
+    rows = []
+    for block in range(of):
+        v, to = np.nonzero(weights[block::of])
+        cells = {"at": np.searchsorted(v, np.arange(n // of + 1)).astype(np.int32), "to": to.astype(np.int32), "w": weights[block::of][v, to], "k": weights[block::of].sum(1)}
+        rows.append({"parent": "P", "block": block, "of": of} | {x: y.tobytes() for x, y in cells.items()})
+    state = adjacency._fresh({"parent": "P", "n": n, "m2": weights.sum(), "k": weights.sum(1).tobytes()}, np.arange(n), None)
+    quality = []
+    for _ in range(100):
+        seen = [adjacency._looked(row | {x: state[x] for x in ("m2", "c", "bound", "tot")}, 1.0) for row in rows]
+        state = adjacency._chosen(state, seen, 1.0)
+        quality.append(state["quality"])
+        if state["done"]:
+            break
+        met = [x for row in rows for x in adjacency._collected(row | {x: state[x] for x in ("m2", "c", "bound", "tot", "chosen")})]
+        assert 0 < sum(len(x["v"]) // 4 for x in met) < n and sum(len(x["x"]) // 4 for x in met) <= 2 * 300
+        moved = adjacency._moved(pa.Table.from_pylist(met), 1.0).to_pylist()[0]
+        c = np.frombuffer(state["c"], np.int32).copy()
+        c[np.frombuffer(moved["v"], np.int32)] = np.frombuffer(moved["c"], np.int32)
+        state = adjacency._fresh(state, c, None)
+    assert state["done"] and len(quality) > 3 and all(b > a for a, b in zip(quality, quality[1:], strict=False))
+    c = np.frombuffer(state["c"], np.int32)
+    to, k = weights @ np.eye(c.max() + 1)[c], weights.sum(1)
+    gain = to - k[:, None] * (np.bincount(c, k) - np.eye(c.max() + 1)[c] * k[:, None]) / weights.sum()
+    assert (gain.max(1) <= gain[np.arange(n), c] + 1e-6).all()
+
+
+def test_more_vertices_than_go_to_every_task(spark, monkeypatch):
+    """Parents with too many vertices to send their state to every task are worked on by joins."""
+    monkeypatch.setattr(adjacency, "KNOWN", 10)
+    edges = [(f"v{c}{i}", f"v{c}{j}", 1.0) for c in range(3) for i in range(5) for j in range(i + 1, 5)] + [("v00", "v11", 1.0), ("v10", "v21", 1.0)]
+    found, left = _partition(spark, edges, [f"v{c}{i}" for c in range(3) for i in range(5)], "louvain", 0)
+    assert found == {f"v{c}{i}": f"v{c}0" for c in range(3) for i in range(5)} and left == 0
+
+
 @pytest.mark.parametrize("leiden", [False, True])
 def test_a_task_looks_at_those_that_gain(monkeypatch, leiden):
     """In a graph where a vertex has hundreds of neighbours a move doesn't cost a step for each of them; what is found is a local optimum."""

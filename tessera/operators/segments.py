@@ -10,7 +10,8 @@ share a shorter stretch.
 A chromosome is cut into windows of blocks.  A window begins early enough for every
 seed that ends in it to be recognised, and reports just those.  Each window is dealt to a task for every SHARE of its
 haplotypes: all of these tasks keep the order of all haplotypes, which is little work, and each reports the pairs that it finds by its own
-ones, in pieces, so that no task ever holds the pairs of a window.  Seeds that began before what a window holds
+ones, in pieces, so that no task ever holds the pairs of a window.  A piece's pairs are compared at once, in all of the markers that the task has; a
+segment that can't go on beyond these is finished there and reported with its last seed.  For others, seeds that began before what a window holds
 are joined at its seam when the blocks next to them are compared: the blocks of each seed are compared marker by
 marker, and so is the next one, round by round, as long as a run or a gap that may be joined reaches
 the end of what was compared.  Of a block, only the runs that are long enough or reach its ends are kept.
@@ -33,8 +34,13 @@ PAIR = ["chrom", "h1", "h2"]
 #: Markers of a block, and blocks of a window (besides those it begins early by): a task holds a bit for each marker and haplotype.
 BLOCK, WINDOW = 64, 64
 #: Haplotypes by which one task finds pairs, and pairs that it hands on at once.
-SHARE, PIECE = 20_000, 100_000
+SHARE, PIECE = 8_000, 100_000
+#: Haplotypes of a group whose pairs are formed at once with those of other groups.
+NEAR = 256
+#: Pairs times markers that are compared at once (some 10 bytes each).
+COMPARED = 8_000_000
 SEEDS = "chrom string, sample1 string, hap1 int, sample2 string, hap2 int, first int, last int"
+SEGMENT = "start long, end long, length_cm double"
 Found = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -44,27 +50,42 @@ def _parted(order: np.ndarray, since: np.ndarray, ones: np.ndarray, latest: int,
     allele; own: which haplotypes pairs are found by."""
     cuts = np.flatnonzero(since > latest)  # a group begins here; the first always does
     sizes = np.diff(np.append(cuts, len(order)))
-    found, held = [], 0
-    many = np.flatnonzero(sizes > 1)
-    if not flush and len(many):
-        some = np.add.reduceat(ones, cuts)[many]
-        many = many[(some > 0) & (some < sizes[many])]
-    for lo, n in zip(cuts[many].tolist(), sizes[many].tolist(), strict=True):
-        d, x, a = since[lo : lo + n], ones[lo : lo + n], order[lo : lo + n]
-        rare = own[a] if flush else own[a] & (x == (2 * int(x.sum()) <= n))
-        for i in np.flatnonzero(rare).tolist():
-            after = np.maximum.accumulate(d[i + 1 :])
-            other = np.arange(len(after)) if flush else np.flatnonzero(x[i + 1 :] != x[i])
-            found.append((np.full(len(other), a[i]), a[i + 1 + other], after[other]))
-            held += len(other)
-            if not flush and i:
-                before = np.maximum.accumulate(d[i:0:-1])  # of the pair (i, i - 1), (i, i - 2), ...
-                other = np.flatnonzero(x[i - 1 :: -1] != x[i])
-                found.append((np.full(len(other), a[i]), a[i - 1 - other], before[other]))
-                held += len(other)
+    parts, found, held = sizes > 1, [], 0
+    rare = own[order]
+    if not flush:
+        some = np.add.reduceat(ones, cuts)
+        parts &= (some > 0) & (some < sizes)
+        rare &= ones == np.repeat(2 * some <= sizes, sizes)
+    at = np.flatnonzero(rare & np.repeat(parts, sizes))
+    lo = np.repeat(cuts, sizes)[at]
+    hi = lo + np.repeat(sizes, sizes)[at]
+    near = hi - lo <= NEAR
+    for way in (1,) if flush else (1, -1):  # of small groups, all haplotypes meet the next one, then the one after it, and so on
+        i, first, last, agree, step = at[near], lo[near], hi[near], np.zeros(near.sum(), np.int64), 0
+        while len(i):
+            step += way
+            inside = np.flatnonzero((i + step < last) & (i + step >= first))
+            i, first, last, j = i[inside], first[inside], last[inside], i[inside] + step
+            agree = np.maximum(agree[inside], since[j if way == 1 else j + 1])
+            part = slice(None) if flush else ones[i] != ones[j]
+            found.append((order[i][part], order[j][part], agree[part]))
+            held += len(found[-1][0])
             if held >= piece:
                 yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
                 found, held = [], 0
+    for i, first, last in zip(at[~near].tolist(), lo[~near].tolist(), hi[~near].tolist(), strict=True):
+        after = np.maximum.accumulate(since[i + 1 : last])
+        other = np.arange(len(after)) if flush else np.flatnonzero(ones[i + 1 : last] != ones[i])
+        found.append((np.full(len(other), order[i]), order[i + 1 + other], after[other]))
+        held += len(other)
+        if not flush and i > first:
+            before = np.maximum.accumulate(since[i:first:-1])  # of the pair (i, i - 1), (i, i - 2), ...
+            other = np.flatnonzero(ones[first:i][::-1] != ones[i])
+            found.append((np.full(len(other), order[i]), order[i - 1 - other], before[other]))
+            held += len(other)
+        if held >= piece:
+            yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            found, held = [], 0
     if held:
         yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
@@ -93,10 +114,41 @@ def prefix_order(bits: np.ndarray, cm: np.ndarray, begin: int, rules: Detection,
             order, since = (np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _task(rules: Detection, piece: int = PIECE):
+def finished(same: np.ndarray, last: np.ndarray, positions: np.ndarray, cm: np.ndarray, opens: bool, closes: bool, rules: Detection) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What becomes of pairs' seeds: (rows, first markers, last markers) of the segments of which they are the last seeds, and the rows
+    whose segments may go on beyond these markers.  same: pairs by markers, whether alleles are equal; last: the last marker of each pair's seed; opens, closes: whether
+    the chromosome has no marker before, after these."""
+    end, kind = len(cm) - 1, np.zeros((len(same), len(cm) + 2), np.int8)
+    kind[:, 1:-1] = same
+    change = np.diff(kind, axis=1)
+    (row, s), e = np.nonzero(change == 1), np.nonzero(change == -1)[1] - 1
+    cut_off = ((s == 0) & (not opens)) | ((e == end) & (not closes))  # such a run may be longer
+    length = cm[e] - cm[s]
+    seed = (length >= rules.min_seed) & (e - s + 1 >= rules.min_markers)
+    use = seed | (length >= rules.min_extend) | cut_off
+    row, s, e, seed, cut_off = (x[use] for x in (row, s, e, seed, cut_off))
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (positions[s[1:]] - positions[e[:-1]] > rules.max_gap) | (rules.max_gap < 0)
+    first = np.flatnonzero(new)  # of each segment, its first run
+    if not len(first):
+        return (*np.zeros((3, 0), np.int64), np.arange(len(same)))
+    until = np.append(first[1:], len(row)) - 1
+    begin, stop = s[first], e[until]
+    goes_on = np.logical_or.reduceat(cut_off, first)
+    if not opens:
+        goes_on |= positions[begin] - positions[0] <= rules.max_gap
+    if not closes:
+        goes_on |= positions[end] - positions[stop] <= rules.max_gap
+    holds = np.add.reduceat((s <= last[row]) & (last[row] <= e), first) > 0  # the seed that was found is in this one
+    last_seed = np.maximum.reduceat(np.where(seed, e, -1), first)
+    done = holds & ~goes_on & (last_seed == last[row[first]]) & (cm[stop] - cm[begin] >= rules.min_output)
+    return row[first[done]], begin[done], stop[done], row[first[holds & goes_on]]
+
+
+def _task(rules: Detection, piece: int = PIECE, finish: bool = False):
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Seeds that end in one window, found by one share of the haplotypes.  Rows are of blocks (sample, hap, b, m) or of the
-        window's markers (b, cms, own, closes)."""
+        window's markers (b, cms, positions, own, closes)."""
         chrom, _, share, shares = (x.as_py() for x in key)
         rows = pa.Table.from_batches(list(batches))
         ends, blocks = rows.filter(rows["cms"].is_valid()).sort_by("b"), rows.filter(rows["cms"].is_null())
@@ -110,17 +162,29 @@ def _task(rules: Detection, piece: int = PIECE):
         order = np.lexsort((blocks["b"].to_numpy(), hap, sample))
         bits = blocks["m"].to_numpy().astype(np.int64)[order].view(np.uint64).reshape(-1, ends.num_rows)
         sample, hap = sample[order[:: ends.num_rows]], hap[order[:: ends.num_rows]]
-        cm = ends["cms"].combine_chunks().flatten().to_numpy()
+        cm, positions = (ends[x].combine_chunks().flatten().to_numpy() for x in ("cms", "positions"))
         base, begin = ends["b"][0].as_py() * BLOCK, ends["own"].to_pylist().count(False) * BLOCK
         own = np.arange(len(bits)) % shares == share
-        for a, b, first, last in prefix_order(bits, cm, begin, rules, any(ends["closes"].to_pylist()), own, piece):
+        closes, step = any(ends["closes"].to_pylist()), max(1, COMPARED // len(cm))
+        names_of = lambda schema: [x.split()[0] for x in schema.split(", ")]
+        for a, b, first, last in prefix_order(bits, cm, begin, rules, closes, own, piece):
             a, b = np.minimum(a, b), np.maximum(a, b)
             apart = sample[a] != sample[b]
             a, b, first = a[apart], b[apart], first[apart] + base
-            yield pa.RecordBatch.from_arrays([
-                pa.array([chrom] * len(a), pa.string()), names.take(pa.array(sample[a])), pa.array(hap[a], pa.int32()), names.take(pa.array(sample[b])), pa.array(hap[b], pa.int32()),
-                pa.array(first.astype(np.int32)), pa.array(np.full(len(a), last + base, np.int32)),
-            ], names=[x.split()[0] for x in SEEDS.split(", ")])
+            named = lambda x, y: [pa.array([chrom] * len(x), pa.string()), names.take(pa.array(sample[x])), pa.array(hap[x], pa.int32()), names.take(pa.array(sample[y])), pa.array(hap[y], pa.int32())]  # noqa: B023, E731
+            if not finish:
+                yield pa.RecordBatch.from_arrays([*named(a, b), pa.array(first.astype(np.int32)), pa.array(np.full(len(a), last + base, np.int32))], names=names_of(SEEDS))
+                continue
+            for i in range(0, len(a), step):
+                x, y, begun = a[i : i + step], b[i : i + step], first[i : i + step]
+                same = np.unpackbits(np.ascontiguousarray(~(bits[x] ^ bits[y])).astype("<u8").view(np.uint8), axis=1, bitorder="little")[:, : len(cm)]
+                row, s, e, open_rows = finished(same, np.full(len(x), last), positions, cm, base == 0, closes, rules)
+                rows = np.concatenate((row, open_rows))
+                some = len(row)
+                segment = (np.append(values, np.zeros(len(open_rows), values.dtype)) for values in (positions[s], positions[e], cm[e] - cm[s]))
+                null = np.arange(len(rows)) >= some
+                yield pa.RecordBatch.from_arrays([*named(x[rows], y[rows]), pa.array(begun[rows].astype(np.int32)), pa.array(np.full(len(rows), last + base, np.int32)), *(pa.array(values, mask=null) for values in segment)],
+                                                 names=names_of(f"{SEEDS}, {SEGMENT}"))
 
     return run
 
@@ -132,10 +196,11 @@ def packed_blocks(alleles: DataFrame, markers: DataFrame) -> DataFrame:
     return rows.groupBy("chrom", F.floor(F.col("i") / BLOCK).cast("int").alias("b"), "sample", "hap").agg(F.bit_or(bit).alias("m"))
 
 
-def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WINDOW, share: int = SHARE, piece: int = PIECE) -> DataFrame:
+def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WINDOW, share: int = SHARE, piece: int = PIECE, finish: bool = False) -> DataFrame:
     """Runs of equal alleles of two samples' haplotypes that are long enough for a seed (SEEDS), first and last by marker; a run
     that began before its window is given from the window's first marker on.  ends: (chrom, b, positions, cms).
-    share: haplotypes by which a task finds pairs; piece: pairs that it hands on at once."""
+    share: haplotypes by which a task finds pairs; piece: pairs that it hands on at once.  finish: instead, (SEEDS, SEGMENT), segments that are finished, with their last
+    seeds, and the seeds of others, without a start."""
     last = F.floor(F.element_at("cms", -1) * 1_000_000)  # whole numbers, as range frames need
     at = Window.partitionBy("chrom").orderBy("b")
     rows = ends.select("chrom", "b", last.alias("end"))  # a row for each block of a chromosome
@@ -149,12 +214,12 @@ def seeds(blocks: DataFrame, ends: DataFrame, rules: Detection, window: int = WI
     shares = blocks.groupBy("chrom", "b").count().groupBy("chrom").agg(F.ceil(F.max("count") / share).cast("int").alias("shares"))
     windows = windows.join(F.broadcast(cut(shares)), "chrom").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
     key = ["chrom", "w", "share", "shares"]
-    of = ends.select("chrom", "b", "cms").join(windows, ["chrom", "b"]).select(*key, F.lit(None).cast("string").alias("sample"), F.lit(None).cast("int").alias("hap"), "b", F.lit(None).cast("long").alias("m"), "cms", (F.col("b") >= F.col("w")).alias("own"), "closes")
+    of = ends.select("chrom", "b", "cms", F.col("positions").cast("array<long>").alias("positions")).join(windows, ["chrom", "b"]).select(*key, F.lit(None).cast("string").alias("sample"), F.lit(None).cast("int").alias("hap"), "b", F.lit(None).cast("long").alias("m"), "cms", "positions", (F.col("b") >= F.col("w")).alias("own"), "closes")
     dealt = blocks.join(F.broadcast(windows.select(*key, "b")), ["chrom", "b"])
-    dealt = dealt.select(*key, "sample", F.col("hap").cast("int").alias("hap"), "b", "m", F.lit(None).cast("array<double>").alias("cms"), F.lit(None).cast("boolean").alias("own"), F.lit(None).cast("boolean").alias("closes"))
+    dealt = dealt.select(*key, "sample", F.col("hap").cast("int").alias("hap"), "b", "m", F.lit(None).cast("array<double>").alias("cms"), F.lit(None).cast("array<bigint>").alias("positions"), F.lit(None).cast("boolean").alias("own"), F.lit(None).cast("boolean").alias("closes"))
     # dealt by number: by their size, which isn't their work, the parts of a window would be put into one task again
     parts = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), windows.select(*key).distinct().count())
-    return dealt.unionByName(of).repartition(parts, *key).groupBy(*key).applyInArrow(_task(rules, piece), SEEDS)
+    return dealt.unionByName(of).repartition(parts, *key).groupBy(*key).applyInArrow(_task(rules, piece, finish), f"{SEEDS}, {SEGMENT}" if finish else SEEDS)
 
 
 def _compared(near: DataFrame, blocks: DataFrame, ends: DataFrame, rules: Detection) -> DataFrame:
@@ -201,7 +266,12 @@ def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, window: i
         blocks = cut(packed_blocks(alleles, markers))
         ends = markers.groupBy("chrom", F.floor(F.col("i") / BLOCK).cast("int").alias("b")).agg(F.sort_array(F.collect_list(F.struct("pos", "cm"))).alias("at"))
         ends = cut(ends.select("chrom", "b", F.col("at.pos").alias("positions"), F.col("at.cm").alias("cms")))
-        found = cut(seeds(blocks, ends, rules, window))
+        found = cut(seeds(blocks, ends, rules, window, finish=True))
+        names = [F.col("sample1").alias("id1"), "hap1", F.col("sample2").alias("id2"), "hap2", "chrom"]
+        done = found.where("start is not null").select(*names, "start", "end", "length_cm")
+        found = found.where("start is null")
+        if found.isEmpty():
+            return keep(done)
         blocks = blocks.select("chrom", "b", F.struct("sample", "hap").alias("h"), "m")
         reach = F.sequence(F.floor(F.col("first") / BLOCK).cast("int") - 1, F.floor(F.col("last") / BLOCK).cast("int") + 1)
         near = found.select("chrom", F.struct(F.col("sample1").alias("sample"), F.col("hap1").alias("hap")).alias("h1"), F.struct(F.col("sample2").alias("sample"), F.col("hap2").alias("hap")).alias("h2"), F.explode(reach).alias("b"))
@@ -212,7 +282,10 @@ def detect(alleles: DataFrame, positions: DataFrame, rules: Detection, window: i
             if new.isEmpty():
                 break
             known = cut(known.unionByName(new))
-        return keep(cut(_joined(known, rules)))
+        # of pairs with open seeds, finished segments may be met again
+        met = done.join(found.select(*names).distinct(), ["id1", "hap1", "id2", "hap2", "chrom"], "left_semi").select("id1", "hap1", "id2", "hap2", "chrom", "start")
+        rest = _joined(known, rules)
+        return keep(cut(done.unionByName(rest.join(met, met.columns, "left_anti").select(done.columns))))
 
 
 def _joined(known: DataFrame, rules: Detection) -> DataFrame:

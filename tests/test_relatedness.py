@@ -556,6 +556,38 @@ def test_seeds_in_pieces(spark):
     assert segments.seeds(blocks, ends, rules, share=7).rdd.getNumPartitions() >= math.ceil(haps / 7)
 
 
+@pytest.mark.parametrize("near", [2, 256])
+def test_pairs_of_groups(monkeypatch, near):
+    """Pairs that part at a marker, met step by step in small groups and one by one in large ones, are those of a search of all pairs."""
+    monkeypatch.setattr(segments, "NEAR", near)
+    draw, n, haps = np.random.default_rng(9), 40, 60
+    rows = draw.integers(0, 2, (haps, n))
+    rows[::2, 5:25] = rows[0, 5:25]
+    rows[::3, 12:] = rows[0, 12:]
+    bits = np.packbits(np.pad(rows, ((0, 0), (0, 24))).astype(np.uint8), axis=1, bitorder="little").view(np.uint64)
+    rules = config.Detection(min_seed=1.0, min_extend=0.5, min_output=1.0, min_markers=10, min_mac=1, max_gap=300)
+    for own in (np.ones(haps, bool), np.arange(haps) % 3 == 1):
+        got = [(*sorted((i, j)), f, last) for a, b, first, last in segments.prefix_order(bits, np.arange(n) / 10, 0, rules, True, own) for i, j, f in zip(a.tolist(), b.tolist(), first.tolist(), strict=True)]
+        want = {(i, j, f, e) for i in range(haps) for j in range(i + 1, haps) for f in range(n) for e in range(f + 10, n)
+                if (rows[i, f : e + 1] == rows[j, f : e + 1]).all() and (f == 0 or rows[i, f - 1] != rows[j, f - 1]) and (e == n - 1 or rows[i, e + 1] != rows[j, e + 1])}
+        assert len(got) == len(set(got)) and (set(got) == want if own.all() else set(got) < want) and len(got) > 100
+
+
+def test_segments_end_in_the_task_that_sees_them(spark, monkeypatch):
+    """Where a task has all markers of a chromosome, no pair's blocks are joined again."""
+    rng = random.Random(12)
+    n, haps = 60, 40
+    rows = [[rng.randrange(2) for _ in range(n)] for _ in range(haps)]
+    for h in range(0, haps, 2):
+        rows[h][10:50] = rows[0][10:50]
+    alleles = spark.createDataFrame([("1", 100 * i, f"s{h // 2:02d}", h % 2, rows[h][i]) for h in range(haps) for i in range(n)], "chrom string, pos long, sample string, hap int, allele int")
+    positions = spark.createDataFrame([("1", 100 * i, i / 10) for i in range(n)], "chrom string, pos long, cm double")
+    monkeypatch.delattr(segments, "_compared")
+    rules = config.Detection(min_seed=2.5, min_extend=1.0, min_output=3.0, min_markers=20, min_mac=1, max_gap=300)
+    found = segments.detect(alleles, positions, rules).collect()
+    assert len(found) == len({(r["id1"], r["hap1"], r["id2"], r["hap2"]) for r in found}) == 190 and all(r["start"] <= 1000 and r["end"] >= 4900 for r in found)
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "B", float(i)) for i in range(10)], "ID1 string, ID2 string, len double")
     (tmp_path / "in").mkdir()
